@@ -22,6 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -51,10 +52,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d
-    d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
+    d = tempfile.mkdtemp(prefix="tidewater-ckpt-")   # local runs only: the setting was unset
     spark.sparkContext.setCheckpointDir(d)
-    return d
+    return spark.sparkContext.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
