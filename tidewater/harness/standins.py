@@ -207,6 +207,37 @@ BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "li
                "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+def _balanced_arg(text: str, start: int) -> int:
+    depth = 0
+    for i in range(start, len(text)):
+        if text[i] == "(":
+            depth += 1
+        elif text[i] == ")":
+            depth -= 1
+            if depth == 0:
+                return i
+    raise ValueError("unbalanced AGG(")
+
+
+def expand_agg(text: str, engine: str, key: str = "k") -> str:
+    """``AGG(expr)``: string concatenation of ``expr`` over the group in ``key`` order."""
+    out, i = [], 0
+    while True:
+        j = text.find("AGG(", i)
+        if j < 0:
+            out.append(text[i:])
+            return "".join(out)
+        end = _balanced_arg(text, j + 3)
+        expr = text[j + 4:end]
+        if engine == "spark":
+            rep = (f"array_join(transform(array_sort(collect_list(named_struct('k', {key}, 's', {expr}))), "
+                   f"e -> e.s), '')")
+        else:
+            rep = f"string_agg({expr}, '' ORDER BY {key})"
+        out.append(text[i:j] + rep)
+        i = end + 1
+
+
 class Inputs:
     """Lazily built Spark frames for the base tables and stand-ins of one scale-factor folder."""
 
@@ -219,7 +250,7 @@ class Inputs:
                 self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
                 text, deps = STANDINS[name]
-                self._cache[name] = self.spark.sql(text, **{d: self[d] for d in deps})
+                self._cache[name] = self.spark.sql(expand_agg(text, "spark"), **{d: self[d] for d in deps})
         return self._cache[name]
 
 
@@ -239,5 +270,127 @@ def duck_ctes(names) -> list[str]:
     out = []
     for n in order:
         text, deps = STANDINS[n]
-        out.append(f"{n} AS ({text.format(**{d: d for d in deps})})")
+        out.append(f"{n} AS ({expand_agg(text, 'duck').format(**{d: d for d in deps})})")
     return out
+
+
+# ------------------------------------------------------------------------------------------------
+# stored pages and responses
+# ------------------------------------------------------------------------------------------------
+# one row per part: the HTML fragments of its plan card, its table cells and its GPU grid
+MATRIX_PARTS = """
+SELECT k, page_id, p_name, s, cpu_text, detail_text, ram_text, nvme_text, hdd_text, ssd_text, conn_text,
+  CASE WHEN page_id % 4 = 3 THEN 'gpu' ELSE concat('ax', CAST(page_id % 7 AS STRING)) END AS line,
+  concat('<div class="product product-type-HetznerProduct" id="c', CAST(k AS STRING), '">',
+    CASE WHEN k % 17 = 0 THEN '' ELSE concat('<h3 class="product-text-name">',
+      CASE WHEN k % 19 = 0 THEN ' ' ELSE concat(' ', p_name, CASE WHEN k % 4 = 0 THEN ' &trade; ' ELSE ' ' END) END,
+      '</h3>') END,
+    CASE WHEN k % 5 = 1 THEN '' ELSE concat('<ho-split-price-container product-key="m', CAST(k AS STRING),
+      '"></ho-split-price-container>') END,
+    CASE WHEN k % 3 = 0 THEN concat('<ho-price-container price-type="hourly" product-key="h', CAST(k AS STRING),
+      '"></ho-price-container>') ELSE '' END,
+    '<p>from <b>', CAST(s AS STRING), '</b> EUR<br/></p></div>') AS card_html,
+  concat('<div class="gpu-information-grid"><div class="grid-header-name">', p_name, '</div>',
+    '<div class="item-a">', cpu_text, '</div><div class="item-b">',
+    CASE s % 3 WHEN 0 THEN concat(CAST(s AS STRING), ' Performance Cores ', CAST(s % 8 AS STRING), ' Efficient Cores')
+         WHEN 1 THEN concat(CAST(s AS STRING), ' Cores') ELSE CAST(s AS STRING) END,
+    '</div><div class="item-c">', CAST(s * 4 AS STRING), ' GB</div><div class="item-d">',
+    CASE WHEN k % 2 = 0 THEN 'NVIDIA RTX 6000 Ada' ELSE 'NVIDIA L40S' END, '</div>',
+    CASE WHEN k % 6 = 0 THEN '' ELSE concat('<div class="item-e">', CAST(s AS STRING), '.5 TFLOPS</div>') END,
+    '<div class="item-f">48 GB</div></div>') AS grid_html
+FROM (
+  SELECT p_partkey AS k, CAST((p_partkey - p_partkey % 40) / 40 AS BIGINT) AS page_id, p_name, p_size AS s,
+    concat(CPU_CASE, CASE WHEN p_partkey % 4 = 0 THEN '™' ELSE '' END) AS cpu_text,
+    concat(CASE p_size % 4 WHEN 0 THEN 'Octa-Core' WHEN 1 THEN concat(CAST(p_size AS STRING), ' Core')
+                WHEN 2 THEN 'Dual-Cores' ELSE 'Hexa-Core' END,
+           ' (', CASE p_size % 3 WHEN 0 THEN 'Zen 4' WHEN 1 THEN 'VT-x' ELSE 'Raptor Lake' END, ')') AS detail_text,
+    concat(CAST(p_size * 2 AS STRING), ' GB DDR5', CASE WHEN p_partkey % 2 = 0 THEN ' Upgradeable to 256 GB' ELSE '' END)
+      AS ram_text,
+    CASE p_partkey % 3 WHEN 0 THEN '-' WHEN 1 THEN concat('2 x ', CAST(p_size * 64 AS STRING), ' GB optionally more')
+         ELSE 'none' END AS nvme_text,
+    CASE WHEN p_partkey % 5 = 0 THEN concat(CAST(p_size AS STRING), ' TB') ELSE '' END AS hdd_text,
+    CASE p_partkey % 4 WHEN 1 THEN concat(CAST(p_size * 100 AS STRING), ' GB') WHEN 2 THEN ' ' ELSE '-' END AS ssd_text,
+    CASE WHEN p_partkey % 2 = 0 THEN '1 Gbit/s Upgradeable to 10 Gbit/s' ELSE '10 Gbit/s' END AS conn_text
+  FROM {part}) x
+""".replace("CPU_CASE", _cpu_case)
+
+MATRIX_PAGES = """
+SELECT page_id, max(line) AS line, concat('https://example.test/matrix-', CAST(page_id AS STRING), '/') AS url,
+  concat('<!DOCTYPE html><html><head><title>Matrix</title><script>var x = "<td>";</script></head><body>',
+    '<div class="cards">', AGG(card_html), '</div>',
+    CASE WHEN max(line) = 'gpu' THEN AGG(grid_html) ELSE concat('<table class="hw">',
+      '<tr><th>CPU</th>', AGG(concat('<td>', cpu_text, '</td>')), '</tr>',
+      '<tr><td>CPU <i>Details</i></td>', AGG(concat('<td>\n  ', detail_text, '\n</td>')), '</tr>',
+      '<tr></tr>',
+      '<tr><th>RAM</th>', AGG(concat('<td>', ram_text, '</td>')), '</tr>',
+      '<tr><th> Drives <b>NVMe</b> SSD </th>', AGG(concat('<td>', nvme_text, '</td>')), '</tr>',
+      '<tr><th>CPU</th>', AGG('<td>other</td>'), '</tr>',
+      '<tr><th>NVMe HDD</th>', AGG(concat('<td>', hdd_text, '</td>')), '</tr>',
+      '<tr><th>HDD</th>', AGG('<td>9 TB</td>'), '</tr>',
+      '<tr><th>SATA SSD</th>', AGG(concat('<td>', ssd_text, '</td>')), '</tr>',
+      '<tr><th>Connection</th>', AGG(concat('<td colspan="x">', conn_text, '</td>')), '</tr>',
+      '<tr><th>Traffic</th><td colspan="3">unlimited&trade;</td><td colspan="-2">20 TB</td></tr>',
+      '</table>') END,
+    '</body></html>') AS html
+FROM {matrix_parts} GROUP BY page_id
+"""
+
+PRICES = """
+SELECT concat(CASE WHEN r.role = 1 THEN 'm' ELSE 'h' END, CAST(p_partkey AS STRING)) AS product_key,
+  concat('{{"currency":"EUR","price":', CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS STRING), ',"role":',
+         CAST(r.role AS STRING), '}}') AS prices
+FROM {part} JOIN (SELECT 1 AS role UNION ALL SELECT 2 AS role) r ON p_partkey % 7 <> r.role
+"""
+
+# an escaped double quote (backslash + quote), spelled the same way for both engines
+_BQ = "concat(chr(92), '\"')"
+STORED_RESPONSES = """
+SELECT event_id AS response_id, 'Cherry Servers' AS provider, 'groups' AS kind, CAST(NULL AS STRING) AS line,
+  concat('https://example.test/pricing/', CAST(event_id AS STRING)) AS source_url, ts AS fetched_at,
+  concat('<html><head><script>',
+    CASE event_id % 5 WHEN 0 THEN 'window.OTHER_DATA = {{"plansGroups":[' ELSE 'window.PLANS_PRICING_DATA = {{"plansGroups":[' END,
+    CASE event_id % 5 WHEN 1 THEN '' ELSE props END,
+    CASE event_id % 5 WHEN 2 THEN ' </script>' ELSE '],"currency":"EUR"}};</script>' END,
+    '</head><body>', CASE WHEN event_id % 13 = 0 THEN '' ELSE repeat('<p>plans</p>', 90) END, '</body></html>') AS body
+FROM {events} WHERE event_type = 'view'
+UNION ALL
+SELECT event_id, 'Latitude', 'arrays', CAST(NULL AS STRING),
+  concat('https://example.test/lat/', CAST(event_id AS STRING)), ts,
+  concat('<html><body>', repeat('<div>plan</div>', 80), '<script>self.__next_f.push([1,"{{',
+    CASE WHEN event_id % 4 IN (1, 2) THEN '' ELSE concat(BQ, 'servers', BQ, ':[', replace(props, '"', BQ), '],') END,
+    CASE WHEN event_id % 4 IN (0, 2) THEN '' ELSE concat(BQ, 'virtualMachines', BQ, ':[', replace(props, '"', BQ), ',',
+      replace(props, '"', BQ), ']') END,
+    '}}"])</script></body></html>')
+FROM {events} WHERE event_type = 'click'
+UNION ALL
+SELECT event_id, 'OVH', 'catalog', CAST(NULL AS STRING),
+  concat('https://example.test/catalog?ovhSubsidiary=', CAST(event_id % 7 AS STRING)), ts,
+  CASE event_id % 3 WHEN 0 THEN concat('{{"catalogId":1,"plans":[', props, ',', props, ']}}')
+       WHEN 1 THEN concat('[', props, ']') ELSE props END
+FROM {events} WHERE event_type = 'signup'
+UNION ALL
+SELECT 100000000 + page_id, 'Hetzner', 'matrix', line, url, CAST('2026-05-04 06:00:00' AS TIMESTAMP), html
+FROM {matrix_pages}
+UNION ALL
+SELECT 200000000 + page_id, 'Hetzner', 'matrix', 'ex', url, CAST('2026-05-04 06:00:00' AS TIMESTAMP), html
+FROM {pages}
+"""
+
+STORED_RESPONSES = STORED_RESPONSES.replace("BQ", _BQ)
+
+RAW_EXISTING = """
+SELECT CASE event_id % 3 WHEN 0 THEN 'Cherry Servers' WHEN 1 THEN 'Latitude' ELSE 'OVH' END AS provider,
+  CAST(ts AS DATE) AS extracted_date, concat('https://example.test/src/', CAST(user_id % 25 AS STRING)) AS source_url,
+  props AS payload, ts AS fetched_at
+FROM {events} WHERE event_type IN ('view', 'click', 'error')
+"""
+RAW_INCOMING = RAW_EXISTING.replace("('view', 'click', 'error')", "('purchase', 'signup')")
+
+STANDINS.update({
+    "matrix_parts": (MATRIX_PARTS, ["part"]),
+    "matrix_pages": (MATRIX_PAGES, ["matrix_parts"]),
+    "prices": (PRICES, ["part"]),
+    "stored_responses": (STORED_RESPONSES, ["events", "matrix_pages", "pages"]),
+    "raw_existing": (RAW_EXISTING, ["events"]),
+    "raw_incoming": (RAW_INCOMING, ["events"]),
+})

@@ -59,3 +59,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def write_table(df, name: str):
+    """Materialise ``df`` as Parquet under the shared checkpoint folder and return the re-read
+    frame: an intermediate that several branches read is computed once and its lineage is cut."""
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
