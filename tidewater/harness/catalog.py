@@ -33,7 +33,7 @@ def register(name: str, sql: str | None):
 
 def with_inputs(inputs, *cte_blocks: str, final: str) -> str:
     blocks = duck_ctes(inputs) + [b.strip() for b in cte_blocks if b.strip()]
-    return "WITH " + ",\n".join(blocks) + "\n" + final
+    return ("WITH " + ",\n".join(blocks) + "\n" + final) if blocks else final
 
 
 # ------------------------------------------------------------------------------------------------
@@ -94,6 +94,9 @@ def plans_location(spark, sf):
     return normalise_plans(union_price_lists([i[n] for n in PRICE_LISTS]), i["countries"])
 
 
+from . import catalog_pages  # noqa: E402,F401  (registers the page-side queries)
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in QUERIES.items()}
 

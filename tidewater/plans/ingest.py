@@ -61,10 +61,11 @@ def card_payloads(cards_with_prices: DataFrame) -> DataFrame:
     doc = F.struct(*[F.col(c) for c in CARD_JSON_FIELDS],
                    F.try_parse_json("monthly_prices").alias("monthly_prices"),
                    F.try_parse_json("hourly_prices").alias("hourly_prices"))
+    card_json = F.to_json(doc, {"ignoreNullFields": "false"})
     per_page = (cards_with_prices.groupBy("page_id")
-                .agg(F.array_sort(F.collect_list(F.struct("position", doc.alias("card")))).alias("cards")))
-    return per_page.select("page_id", F.to_json(F.transform("cards", lambda x: x["card"]),
-                                                {"ignoreNullFields": "false"}).alias("payload"))
+                .agg(F.array_sort(F.collect_list(F.struct("position", card_json.alias("j")))).alias("cards")))
+    return per_page.select("page_id", F.concat(F.lit("["), F.array_join(F.transform("cards", lambda x: x["j"]), ","),
+                                               F.lit("]")).alias("payload"))
 
 
 def extract_responses(responses: DataFrame, prices: DataFrame, run_date: str) -> DataFrame:
