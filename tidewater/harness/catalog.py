@@ -94,7 +94,7 @@ def plans_location(spark, sf):
     return normalise_plans(union_price_lists([i[n] for n in PRICE_LISTS]), i["countries"])
 
 
-from . import catalog_pages  # noqa: E402,F401  (registers the page-side queries)
+from . import catalog_ops, catalog_pages  # noqa: E402,F401  (register the operator and page queries)
 
 
 def queries() -> dict[str, QueryFn]:

@@ -241,7 +241,7 @@ def _ustrip(c: Column) -> Column:
     return F.regexp_replace(c, r"^(?U)\s+|(?U)\s+$", "")
 
 
-def _storage_part(v: Column, label: str) -> Column:
+def storage_part(v: Column, label: str) -> Column:
     v0 = _ustrip(v)
     head = _ustrip(F.element_at(F.split(v0, r"(?iU)\boptionally\b", 2), 1))
     v1 = F.regexp_replace(head, r"(?U)\s+", " ")
@@ -256,7 +256,7 @@ def enrich_from_table(cards: DataFrame, specs: DataFrame) -> DataFrame:
     at = {a: F.coalesce(F.element_at(expand_cells(F.coalesce(F.col(a)["cells"], F.array().cast(CELL_T)),
                                                   F.col("_n")), F.col("position") + 1), F.lit(""))
           for a in ATTRIBUTES}
-    storage = F.array_join(F.filter(F.array(*[_storage_part(at[k], lbl) for k, lbl in R.STORAGE_KINDS]),
+    storage = F.array_join(F.filter(F.array(*[storage_part(at[k], lbl) for k, lbl in R.STORAGE_KINDS]),
                                     lambda x: x.isNotNull()), ", ")
     return c.select(
         *cards.columns,

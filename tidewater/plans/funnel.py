@@ -98,8 +98,9 @@ def client_touches(clients: DataFrame, sales: DataFrame, resources: DataFrame, t
     )
 
 
-def lead_model(sessions: DataFrame, clients: DataFrame, orders: DataFrame, forms: DataFrame, sales: DataFrame,
-               resources: DataFrame, teams: DataFrame) -> DataFrame:
+def lead_stages(sessions: DataFrame, clients: DataFrame, orders: DataFrame, forms: DataFrame, sales: DataFrame,
+                resources: DataFrame, teams: DataFrame) -> DataFrame:
+    """Stage entry times before the back-fill (D11–D13): one row per lead."""
     see = see_stage(sessions)
     visitors = visitor_touches(orders, forms)
     touches = client_touches(clients, sales, resources, teams)
@@ -122,9 +123,13 @@ def lead_model(sessions: DataFrame, clients: DataFrame, orders: DataFrame, forms
 
     think = F.least(F.col("korys_contact_created_date"), F.col("first_order_page_visit"), F.col("first_think_form"))
     do = F.least(F.col("first_new_order").cast(NTZ), F.col("first_order_attempt"), F.col("first_do_form"))
-    staged = leads.select("anonymous_id", "korys_client_id", "attribution_id", "see_entered_at",
-                          think.alias("think_entered_at"), do.alias("do_entered_at"),
-                          F.col("first_old_order").alias("care_entered_at"), "churn_date")
+    return leads.select("anonymous_id", "korys_client_id", "attribution_id", "see_entered_at",
+                        think.alias("think_entered_at"), do.alias("do_entered_at"),
+                        F.col("first_old_order").alias("care_entered_at"), "churn_date")
+
+
+def backfill_funnel(staged: DataFrame) -> DataFrame:
+    """Lead model columns (D15, D16): each stage is at most every later stage; exit only after Care."""
     see_, think_, do_ = least_chain([F.col("see_entered_at"), F.col("think_entered_at"), F.col("do_entered_at"),
                                      F.col("care_entered_at").cast(NTZ)])[:3]
     return staged.select(
@@ -134,3 +139,8 @@ def lead_model(sessions: DataFrame, clients: DataFrame, orders: DataFrame, forms
         "care_entered_at",
         F.when(F.col("care_entered_at").isNotNull(), F.col("churn_date")).alias("care_exited_at"),
     )
+
+
+def lead_model(sessions: DataFrame, clients: DataFrame, orders: DataFrame, forms: DataFrame, sales: DataFrame,
+               resources: DataFrame, teams: DataFrame) -> DataFrame:
+    return backfill_funnel(lead_stages(sessions, clients, orders, forms, sales, resources, teams))
