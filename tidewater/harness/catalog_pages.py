@@ -25,7 +25,8 @@ def _elements(i: Inputs):
 
 def _cards_with_table(i: Inputs):
     el = _elements(i)
-    return product_cards(el).join(page_has_table(el), "page_id")
+    return product_cards(el).join(page_has_table(el), "page_id", "left").withColumn(
+        "has_table", F.coalesce("has_table", F.lit(False)))
 
 
 def matrix_sql(final: str, extra_inputs=()) -> str:
@@ -101,7 +102,7 @@ def html_spec_rows(spark, sf):
 def array_expand_pad(spark, sf):
     i = Inputs(spark, sf)
     cards = _cards_with_table(i).filter("has_table")
-    n = cards.groupBy("page_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    n = cards.groupBy("page_id").agg(F.max("n_cards").alias("n"))
     specs = spec_rows(_elements(i)).join(n, "page_id")
     return specs.select("page_id", F.array_join(expand_cells(F.col("traffic")["cells"], F.col("n")), "|")
                         .alias("traffic_cells"))

@@ -19,6 +19,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import IntegerType
 
 from ..functions import rules as R
+from ..session import ship_package
 
 # Python treats these member values as empty (``if not groups``)
 FALSY_JSON = ["[]", "{}", '""', "0", "0.0", "false", "null"]
@@ -66,6 +67,7 @@ def embedded_arrays(df: DataFrame, html: str = "html", markers=R.ARRAY_MARKERS)
     the end of the first) in a page whose quotes are escaped; concatenated into ``payload``.
     ``error``: an array that cannot be parsed, or no element in either."""
     first, second = markers
+    ship_package(df.sparkSession)
     d = (df.withColumn("_u", F.replace(F.col(html), F.lit('\\"'), F.lit('"')))
            .withColumn("_p1", F.expr(f"locate({_sql_str(first)}, _u)"))
            .withColumn("_s1", F.when(F.col("_p1") > 0, F.col("_p1") + len(first) - 1))   # the '['

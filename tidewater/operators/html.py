@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..session import write_table
+from ..session import ship_package, write_table
 from ..functions.text import blank_to_null, clean_or_null, clean_text, core_count, cpu_arch, cut_upgradeable, \
     gpu_core_count, key_fallback
 
@@ -107,8 +107,16 @@ def html_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
     The extractors read the element table about ten times; with ``materialise`` it is parsed
     once and written as a Parquet table in the shared checkpoint folder (later reads are
     columnar with filter pushdown, and the lineage back to the Python stage is cut)."""
+    spark = pages.sparkSession
+    ship_package(spark)
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"))
-    el = src.mapInPandas(_explode_pages, ELEMENT_SCHEMA)
+    # Python parsing runs at ~1 MB/s per core, shuffling bytes ~100x faster: spread the pages over
+    # at least the configured parallelism instead of inheriting a few coalesced partitions.
+    n = max(src.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")),
+            spark.sparkContext.defaultParallelism)
+    # (a hash of the key: a plain ``repartition(n, page_id)`` over data already hashed on page_id
+    # would be dropped as redundant, leaving whatever partitions AQE coalesced)
+    el = src.repartition(n, F.xxhash64("page_id")).mapInPandas(_explode_pages, ELEMENT_SCHEMA)
     return write_table(el, "elements") if materialise else el
 
 
@@ -123,46 +131,75 @@ def attr(name: str) -> Column:
     return F.try_element_at(F.col("attrs"), F.lit(name))
 
 
-def first_descendant(anchors: DataFrame, elements: DataFrame, predicate: Column, value: Column,
-                     out: str, anchor_col: str = "anchor_ord") -> DataFrame:
-    """For each anchor (page_id, anchor_ord): ``value`` of its first descendant (document order)
-    matching ``predicate``; anchors without one are absent."""
-    cand = (elements.filter(predicate)
-            .select("page_id", "ord", value.alias("_v"), F.explode("path").alias(anchor_col)))
-    j = cand.join(anchors.select("page_id", anchor_col), ["page_id", anchor_col])
-    return (j.groupBy("page_id", anchor_col)
-            .agg(F.min(F.struct("ord", "_v")).alias("_m"))
-            .select("page_id", anchor_col, F.col("_m._v").alias(out)))
-
-
 def page_has_table(elements: DataFrame) -> DataFrame:
-    return elements.groupBy("page_id").agg(F.max((F.col("tag") == "table").cast("int")).cast("boolean")
-                                           .alias("has_table"))
+    """Pages with at least one ``<table>`` (the extractor branch is chosen per page)."""
+    return (elements.filter(F.col("tag") == "table").select("page_id").distinct()
+            .withColumn("has_table", F.lit(True)))
 
 
 # ------------------------------------------------------------------------------------------------
-# H4: product cards
+# H4 + H7 anchors: product cards and GPU grids, with their first-descendant lookups in one pass
 # ------------------------------------------------------------------------------------------------
-def product_cards(elements: DataFrame) -> DataFrame:
-    """Cards with a name and a price key, numbered by document order per page (position 0..n-1)."""
+GRID_FIELDS = [f for _, f in R.GPU_GRID_CELLS]
+
+
+def _lookups() -> list[tuple[str, Column, Column]]:
+    """(name, predicate, value) of every "first descendant matching P" the extractors need."""
+    key = F.coalesce(attr(R.PRODUCT_KEY_ATTR), F.lit(""))
+    text = F.col("text")
+    out = [
+        ("name_text", has_class(R.CARD_NAME_CLASS), text),
+        ("m_key", F.col("tag") == R.MONTHLY_PRICE_TAG, key),
+        ("h_key", (F.col("tag") == R.HOURLY_PRICE_TAG)
+         & (F.coalesce(attr("price-type"), F.lit("")) == R.HOURLY_PRICE_TYPE), key),
+        ("grid_name", has_class(R.GPU_GRID_NAME_CLASS), text),
+    ]
+    out += [(f, (F.col("tag") == "div") & has_class(klass), text) for klass, f in R.GPU_GRID_CELLS]
+    return out
+
+
+def anchor_lookups(elements: DataFrame) -> DataFrame:
+    """For every card and grid anchor: the value of its first descendant (document order) for each
+    lookup. Candidates are exploded over their ancestor path and equi-joined to the anchors on
+    (page_id, ancestor ord) once; work is linear in candidates × depth."""
     a, b = R.CARD_CLASSES
-    anchors = (elements.filter((F.col("tag") == "div") & has_class(a) & has_class(b))
-               .select("page_id", F.col("ord").alias("anchor_ord")))
-    name = first_descendant(anchors, elements, has_class(R.CARD_NAME_CLASS), F.col("text"), "name_text")
-    monthly = first_descendant(anchors, elements, F.col("tag") == R.MONTHLY_PRICE_TAG,
-                               F.coalesce(attr(R.PRODUCT_KEY_ATTR), F.lit("")), "m_key")
-    hourly = first_descendant(anchors, elements,
-                              (F.col("tag") == R.HOURLY_PRICE_TAG)
-                              & (F.coalesce(attr("price-type"), F.lit("")) == R.HOURLY_PRICE_TYPE),
-                              F.coalesce(attr(R.PRODUCT_KEY_ATTR), F.lit("")), "h_key")
-    keys = ["page_id", "anchor_ord"]
-    cards = name.join(monthly, keys, "left").join(hourly, keys, "left")
+    is_card = (F.col("tag") == "div") & has_class(a) & has_class(b)
+    is_grid = (F.col("tag") == "div") & has_class(R.GPU_GRID_CLASS)
+    anchors = elements.filter(is_card | is_grid).select(
+        "page_id", F.col("ord").alias("anchor_ord"), is_card.alias("is_card"), is_grid.alias("is_grid"))
+    lk = _lookups()
+    any_match = lk[0][1]
+    for _, pred, _ in lk[1:]:
+        any_match = any_match | pred
+    cand = elements.filter(any_match).select(
+        "page_id", *[F.when(pred, F.struct(F.col("ord"), val.alias("v"))).alias(f"_{name}") for name, pred, val in lk],
+        F.explode("path").alias("anchor_ord"))
+    j = cand.join(anchors, ["page_id", "anchor_ord"])
+    return (j.groupBy("page_id", "anchor_ord", "is_card", "is_grid")
+            .agg(*[F.min(f"_{name}")["v"].alias(name) for name, _, _ in lk]))
+
+
+def product_cards(elements: DataFrame, looked: DataFrame | None = None) -> DataFrame:
+    """H4: cards with a name and a price key; ``position`` is the document-order number among
+    the page's valid cards (0-based) and ``n_cards`` their count."""
+    v = (looked if looked is not None else anchor_lookups(elements)).filter("is_card")
     mk, hk = key_fallback(F.coalesce("m_key", F.lit("")), F.coalesce("h_key", F.lit("")))
-    cards = (cards.select(*keys, clean_text("name_text").alias("plan_name"), mk.alias("monthly_key"),
-                          hk.alias("hourly_key"))
+    cards = (v.filter(F.col("name_text").isNotNull())
+             .select("page_id", "anchor_ord", clean_text("name_text").alias("plan_name"), mk.alias("monthly_key"),
+                     hk.alias("hourly_key"))
              .filter((F.col("plan_name") != "") & F.col("monthly_key").isNotNull()))
-    pos = Window.partitionBy("page_id").orderBy("anchor_ord")   # one page's cards: bounded by page size
-    return cards.withColumn("position", (F.row_number().over(pos) - 1).cast("int"))
+    page = Window.partitionBy("page_id")                      # one page's cards: bounded by page size
+    return (cards.withColumn("position", (F.row_number().over(page.orderBy("anchor_ord")) - 1).cast("int"))
+                 .withColumn("n_cards", F.count(F.lit(1)).over(page).cast("int")))
+
+
+def gpu_grids(elements: DataFrame, looked: DataFrame | None = None) -> DataFrame:
+    """H7 grids: cleaned name and the six cells; of several grids with one name the last wins."""
+    v = (looked if looked is not None else anchor_lookups(elements)).filter("is_grid")
+    v = v.filter(F.col("grid_name").isNotNull()).withColumn("plan_name", clean_text("grid_name"))
+    cells = F.struct(*[clean_text(F.coalesce(F.col(f), F.lit(""))).alias(f) for f in GRID_FIELDS])
+    return (v.groupBy("page_id", "plan_name").agg(F.max_by(cells, F.col("anchor_ord")).alias("g"))
+            .select("page_id", "plan_name", *[F.col(f"g.{f}").alias(f"g_{f}") for f in GRID_FIELDS]))
 
 
 # ------------------------------------------------------------------------------------------------
@@ -242,6 +279,7 @@ def _ustrip(c: Column) -> Column:
 
 
 def storage_part(v: Column, label: str) -> Column:
+    """``"<value> <label>"`` for a storage cell, NULL for blank, ``-`` or digit-less values."""
     v0 = _ustrip(v)
     head = _ustrip(F.element_at(F.split(v0, r"(?iU)\boptionally\b", 2), 1))
     v1 = F.regexp_replace(head, r"(?U)\s+", " ")
@@ -249,83 +287,96 @@ def storage_part(v: Column, label: str) -> Column:
     return F.when(ok, F.concat(v1, F.lit(" " + label)))
 
 
-def enrich_from_table(cards: DataFrame, specs: DataFrame) -> DataFrame:
-    """H6: value i of each assigned row goes to card i (X3 positional assignment)."""
-    n = F.count(F.lit(1)).over(Window.partitionBy("page_id"))
-    c = cards.withColumn("_n", n.cast("int")).join(specs, "page_id", "left")
-    at = {a: F.coalesce(F.element_at(expand_cells(F.coalesce(F.col(a)["cells"], F.array().cast(CELL_T)),
-                                                  F.col("_n")), F.col("position") + 1), F.lit(""))
-          for a in ATTRIBUTES}
+CARD_FIELDS = ["cpu_model", "cores_count", "cpu_arch", "cpu_detail_raw", "ram", "storage", "bandwidth", "traffic",
+               "gpu", "gpu_vram", "gpu_tflops", "cpu_cores_raw"]
+
+
+def positional_values(specs: DataFrame, n_per_page: DataFrame) -> DataFrame:
+    """X1–X3 once per page: expand every assigned row to exactly n values (n = the page's card
+    count) and turn position i into a row (page_id, position, <attribute values>)."""
+    empty = F.array().cast(CELL_T)
+    expanded = specs.join(n_per_page, "page_id").select(
+        "page_id", *[expand_cells(F.coalesce(F.col(a)["cells"], empty), F.col("n_cards")).alias(a) for a in ATTRIBUTES])
+    zipped = F.arrays_zip(*[F.col(a) for a in ATTRIBUTES])
+    return expanded.select("page_id", F.posexplode(zipped).alias("position", "v")).select(
+        "page_id", F.col("position").cast("int").alias("position"), *[F.col(f"v.{a}").alias(f"t_{a}") for a in ATTRIBUTES])
+
+
+def _table_fields() -> dict[str, Column]:
+    """H6 field expressions for a card joined with its row of positional values (t_<attribute>)."""
+    at = {a: F.coalesce(F.col(f"t_{a}"), F.lit("")) for a in ATTRIBUTES}
     storage = F.array_join(F.filter(F.array(*[storage_part(at[k], lbl) for k, lbl in R.STORAGE_KINDS]),
                                     lambda x: x.isNotNull()), ", ")
-    return c.select(
-        *cards.columns,
-        clean_or_null(at["cpu"]).alias("cpu_model"),
-        core_count(at["cpu_detail"]).alias("cores_count"),
-        cpu_arch(at["cpu_detail"]).alias("cpu_arch"),
-        clean_or_null(at["cpu_detail"]).alias("cpu_detail_raw"),
-        blank_to_null(F.trim(cut_upgradeable(clean_text(at["ram"])))).alias("ram"),
-        blank_to_null(storage).alias("storage"),
-        clean_or_null(cut_upgradeable(at["bandwidth"])).alias("bandwidth"),
-        clean_or_null(at["traffic"]).alias("traffic"),
-        *[F.lit(None).cast("string").alias(x) for x in ("gpu", "gpu_vram", "gpu_tflops", "cpu_cores_raw")],
-    )
+    null = F.lit(None).cast("string")
+    return {
+        "cpu_model": clean_or_null(at["cpu"]),
+        "cores_count": core_count(at["cpu_detail"]),
+        "cpu_arch": cpu_arch(at["cpu_detail"]),
+        "cpu_detail_raw": clean_or_null(at["cpu_detail"]),
+        "ram": blank_to_null(F.trim(cut_upgradeable(clean_text(at["ram"])))),
+        "storage": blank_to_null(storage),
+        "bandwidth": clean_or_null(cut_upgradeable(at["bandwidth"])),
+        "traffic": clean_or_null(at["traffic"]),
+        "gpu": null, "gpu_vram": null, "gpu_tflops": null, "cpu_cores_raw": null,
+    }
+
+
+def _gpu_fields() -> dict[str, Column]:
+    """H7 field expressions for a card joined with its grid (only the last card of a name)."""
+    hit = F.col("_is_last") & F.col("g_cpu_model").isNotNull()
+    null = F.lit(None).cast("string")
+
+    def pick(c: Column) -> Column:
+        return F.when(hit, blank_to_null(c))
+
+    raw = F.col("g_cpu_cores_raw")
+    return {
+        "cpu_model": pick(F.col("g_cpu_model")),
+        "cores_count": F.when(hit & (raw != ""), gpu_core_count(raw)),
+        "cpu_arch": null, "cpu_detail_raw": null,
+        "ram": pick(F.col("g_ram")),
+        "storage": null, "bandwidth": null, "traffic": null,
+        "gpu": pick(F.col("g_gpu")), "gpu_vram": pick(F.col("g_gpu_vram")),
+        "gpu_tflops": pick(F.col("g_gpu_tflops")), "cpu_cores_raw": pick(raw),
+    }
+
+
+def _with_last_flag(cards: DataFrame) -> DataFrame:
+    """A name lookup finds the last card with that name (dict overwrite, J11)."""
+    return cards.withColumn("_is_last", F.col("position") == F.max("position").over(
+        Window.partitionBy("page_id", "plan_name")))
+
+
+def _n_per_page(cards: DataFrame) -> DataFrame:
+    return cards.groupBy("page_id").agg(F.max("n_cards").alias("n_cards"))
 
 
-# ------------------------------------------------------------------------------------------------
-# H7: GPU information grids (pages without a table)
-# ------------------------------------------------------------------------------------------------
-def gpu_grids(elements: DataFrame) -> DataFrame:
-    """Per grid: cleaned name and the six cells; the last grid of a name wins (dict overwrite)."""
-    anchors = (elements.filter((F.col("tag") == "div") & has_class(R.GPU_GRID_CLASS))
-               .select("page_id", F.col("ord").alias("anchor_ord")))
-    keys = ["page_id", "anchor_ord"]
-    grid = first_descendant(anchors, elements, has_class(R.GPU_GRID_NAME_CLASS), F.col("text"), "name_text")
-    for klass, field in R.GPU_GRID_CELLS:
-        cell = first_descendant(anchors, elements, (F.col("tag") == "div") & has_class(klass), F.col("text"), field)
-        grid = grid.join(cell, keys, "left")
-    grid = grid.withColumn("plan_name", clean_text("name_text")).drop("name_text")
-    fields = [f for _, f in R.GPU_GRID_CELLS]
-    return (grid.groupBy("page_id", "plan_name")
-            .agg(F.max_by(F.struct(*[clean_text(F.coalesce(F.col(f), F.lit(""))).alias(f) for f in fields]),
-                          F.col("anchor_ord")).alias("g"))
-            .select("page_id", "plan_name", *[F.col(f"g.{f}").alias(f) for f in fields]))
+def enrich_from_table(cards: DataFrame, specs: DataFrame) -> DataFrame:
+    """H6 for cards of table pages: positional values joined on (page_id, position)."""
+    f = _table_fields()
+    vals = positional_values(specs, _n_per_page(cards))
+    return (cards.join(vals, ["page_id", "position"], "left")
+            .select(*cards.columns, *[f[c].alias(c) for c in CARD_FIELDS]))
 
 
 def enrich_from_gpu_grid(cards: DataFrame, grids: DataFrame) -> DataFrame:
-    """Only the last card of a name is enriched; fields are blank → NULL."""
-    last = Window.partitionBy("page_id", "plan_name")
-    c = cards.withColumn("_is_last", F.col("position") == F.max("position").over(last))
-    g = grids.withColumn("_hit", F.lit(True))
-    j = c.join(g, ["page_id", "plan_name"], "left")
-    hit = F.col("_is_last") & F.col("_hit").eqNullSafe(True)
-
-    def pick(col: Column) -> Column:
-        return F.when(hit, col)
-
-    return j.select(
-        *cards.columns,
-        pick(blank_to_null(F.col("cpu_model"))).alias("cpu_model"),
-        pick(F.when(F.col("cpu_cores_raw") != "", gpu_core_count("cpu_cores_raw"))).alias("cores_count"),
-        F.lit(None).cast("string").alias("cpu_arch"), F.lit(None).cast("string").alias("cpu_detail_raw"),
-        pick(blank_to_null(F.col("ram"))).alias("ram"),
-        F.lit(None).cast("string").alias("storage"), F.lit(None).cast("string").alias("bandwidth"),
-        F.lit(None).cast("string").alias("traffic"),
-        pick(blank_to_null(F.col("gpu"))).alias("gpu"),
-        pick(blank_to_null(F.col("gpu_vram"))).alias("gpu_vram"),
-        pick(blank_to_null(F.col("gpu_tflops"))).alias("gpu_tflops"),
-        pick(blank_to_null(F.col("cpu_cores_raw"))).alias("cpu_cores_raw"),
-    )
-
-
-CARD_FIELDS = ["cpu_model", "cores_count", "cpu_arch", "cpu_detail_raw", "ram", "storage", "bandwidth", "traffic",
-               "gpu", "gpu_vram", "gpu_tflops", "cpu_cores_raw"]
+    """H7 for cards of pages without a table."""
+    f = _gpu_fields()
+    j = _with_last_flag(cards).join(grids, ["page_id", "plan_name"], "left")
+    return j.select(*cards.columns, *[f[c].alias(c) for c in CARD_FIELDS])
 
 
 def enriched_cards(elements: DataFrame) -> DataFrame:
-    """Cards with hardware fields: table pages from the spec table, the others from GPU grids."""
-    cards = product_cards(elements).join(page_has_table(elements), "page_id")
-    tab = enrich_from_table(cards.filter("has_table"), spec_rows(elements))
-    gpu = enrich_from_gpu_grid(cards.filter(~F.col("has_table")), gpu_grids(elements))
-    cols = cards.columns + CARD_FIELDS
-    return tab.select(*cols).unionByName(gpu.select(*cols)).drop("has_table")
+    """Cards with hardware fields in one plan: every card meets the positional values of its
+    page's table (page, position key) and its name's grid (page, name key); whether the page has a
+    table picks the fields. No branch is computed twice and nothing is re-expanded per card."""
+    looked = anchor_lookups(elements)
+    cards = product_cards(elements, looked)
+    vals = positional_values(spec_rows(elements), _n_per_page(cards))
+    c = (cards.join(page_has_table(elements), "page_id", "left")
+              .withColumn("has_table", F.coalesce("has_table", F.lit(False)))
+              .join(vals, ["page_id", "position"], "left"))
+    c = _with_last_flag(c).join(gpu_grids(elements, looked), ["page_id", "plan_name"], "left")
+    tf, gf = _table_fields(), _gpu_fields()
+    fields = [F.when(F.col("has_table"), tf[n]).otherwise(gf[n]).alias(n) for n in CARD_FIELDS]
+    return c.select(*cards.columns, *fields)

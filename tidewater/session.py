@@ -69,3 +69,32 @@ def write_table(df, name: str):
     path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewater`` importable in Python workers (needed by the Arrow UDF / mapInPandas
+    operators): the package is zipped once per application into the shared checkpoint folder and
+    added with ``addPyFile``. On a cluster this is what ``--py-files`` does."""
+    import hashlib
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
+    digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
+    out_dir = os.path.join(checkpoint_dir(spark), "pyfiles")
+    os.makedirs(out_dir, exist_ok=True)
+    path = os.path.join(out_dir, f"tidewater-{digest}.zip")
+    if not os.path.exists(path):
+        tmp = path + f".{os.getpid()}.part"
+        with zipfile.ZipFile(tmp, "w") as z:
+            for f in files:
+                z.write(f, os.path.join("tidewater", os.path.relpath(f, pkg)))
+        os.replace(tmp, path)
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
