@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col_
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, write_table
 
 NULL_KEY_PREFIX = "\u0000null:"
 
@@ -52,17 +52,19 @@ def row_number_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence, na
     2. rank inside (partition, key) with a window (each group is at most one range partition);
     3. a key continuing from earlier partitions is the first key of its partition, so the offsets
        to add form a table of at most ``num_partitions`` rows: broadcast by construction.
-    The ranked frame is read twice (ranks, offsets). Range bounds come from sampling, which is
-    not guaranteed to repeat, so the frame is materialised once with a reliable checkpoint in
-    the cluster's checkpoint folder; this also cuts the lineage for executor loss.
-    ``order`` must end with a unique tie-breaker (ties are arbitrary in the reference).
+    Range partitioning samples its input in a pass of its own, so the input is first written
+    once as a table in the shared checkpoint folder (the upstream plan is not computed twice).
+    The ranked frame is read twice (ranks, offsets) and partition ids must agree between the two
+    reads, so it is materialised once with a reliable checkpoint; both also cut the lineage for
+    executor loss. ``order`` must end with a unique tie-breaker (ties are arbitrary in the reference).
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_sort = [F.col(k).asc_nulls_last() for k in keys]
     ord_sort = [col_(o).asc_nulls_last() for o in order]
-    ranged = df.repartitionByRange(n, *key_sort, *ord_sort).withColumn("_rp", F.spark_partition_id())
+    src = write_table(df, "rank-input")
+    ranged = src.repartitionByRange(n, *key_sort, *ord_sort).withColumn("_rp", F.spark_partition_id())
     w = Window.partitionBy("_rp", *keys).orderBy(*ord_sort)
     local = ranged.withColumn("_lr", F.row_number().over(w)).checkpoint(eager=True)
     counts = local.groupBy("_rp", *keys).agg(F.count(F.lit(1)).alias("_n"))
