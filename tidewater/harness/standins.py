@@ -336,10 +336,15 @@ FROM {matrix_parts} GROUP BY page_id
 """
 
 PRICES = """
-SELECT concat(CASE WHEN r.role = 1 THEN 'm' ELSE 'h' END, CAST(p_partkey AS STRING)) AS product_key,
-  concat('{{"currency":"EUR","price":', CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS STRING), ',"role":',
-         CAST(r.role AS STRING), '}}') AS prices
-FROM {part} JOIN (SELECT 1 AS role UNION ALL SELECT 2 AS role) r ON p_partkey % 7 <> r.role
+SELECT concat('m', CAST(p_partkey AS STRING)) AS product_key,
+  CASE WHEN p_partkey % 7 <> 1 THEN concat('{{"currency":"EUR","price":', CAST(CAST(p_retailprice AS DECIMAL(18,2))
+    AS STRING), ',"role":1}}') END AS prices
+FROM {part}
+UNION ALL
+SELECT concat('h', CAST(p_partkey AS STRING)) AS product_key,
+  CASE WHEN p_partkey % 7 <> 2 THEN concat('{{"currency":"EUR","price":', CAST(CAST(p_retailprice AS DECIMAL(18,2))
+    AS STRING), ',"role":2}}') END AS prices
+FROM {part}
 """
 
 # an escaped double quote (backslash + quote), spelled the same way for both engines
