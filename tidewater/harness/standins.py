@@ -43,7 +43,8 @@ LEFT JOIN (SELECT page_id, url FROM {pages}) p ON p.page_id = e.page_slot
 
 PAGEVIEWS = """
 SELECT w.*,
-  CAST(row_number() OVER (PARTITION BY w.session_id ORDER BY w.original_timestamp, w.event_id) AS INT) AS session_step,
+  CAST(row_number() OVER (PARTITION BY coalesce(w.session_id, concat('~', CAST(w.event_id AS STRING)))
+                          ORDER BY w.original_timestamp, w.event_id) AS INT) AS session_step,
   concat(split_part(w.page_url, '/', 3), w.page_path) AS page_full_path
 FROM {web_events} w WHERE w.event_type = 'view'
 """
