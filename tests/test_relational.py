@@ -33,8 +33,13 @@ def brute_rank(rows):
 def test_row_number_skew_safe_matches_brute_force(spark):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "id long, k string, ts int").repartition(5)
-    got = {r.id: r.rn for r in row_number_skew_safe(df, ["k"], ["ts", "id"], "rn", num_partitions=7).collect()}
-    assert got == brute_rank(rows)
+    # min_rows_per_task=100: the hot key (~1000 rows) takes the range-partitioned path
+    hot = row_number_skew_safe(df, ["k"], ["ts", "id"], "rn", num_partitions=7, min_rows_per_task=100)
+    assert "rn" in hot.columns and {r.id: r.rn for r in hot.collect()} == brute_rank(rows)
+    # default threshold: no key is hot for a task, the plain window path
+    plain = row_number_skew_safe(df, ["k"], ["ts", "id"], "rn", num_partitions=7)
+    assert {r.id: r.rn for r in plain.collect()} == brute_rank(rows)
+    assert "RangePartitioning" not in plain._jdf.queryExecution().executedPlan().toString()
 
 
 def test_row_number_spreads_the_hot_key(spark):

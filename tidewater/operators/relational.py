@@ -45,18 +45,21 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, cols: Seq
 
 
 def row_number_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence, name: str,
-                         num_partitions: int | None = None) -> DataFrame:
+                         num_partitions: int | None = None, min_rows_per_task: int = 2_000_000) -> DataFrame:
     """Exact ``row_number() OVER (PARTITION BY keys ORDER BY order NULLS LAST)`` without a hot task.
 
-    1. range-partition on (keys, order): a key with a third of all rows spans many partitions;
-    2. rank inside (partition, key) with a window (each group is at most one range partition);
-    3. a key continuing from earlier partitions is the first key of its partition, so the offsets
-       to add form a table of at most ``num_partitions`` rows: broadcast by construction.
-    Range partitioning samples its input in a pass of its own, so the input is first written
-    once as a table in the shared checkpoint folder (the upstream plan is not computed twice).
-    The ranked frame is read twice (ranks, offsets) and partition ids must agree between the two
-    reads, so it is materialised once with a reliable checkpoint; both also cut the lineage for
-    executor loss. ``order`` must end with a unique tie-breaker (ties are arbitrary in the reference).
+    The input is written once as a table in the shared checkpoint folder (both paths below read it
+    more than once, and the lineage is cut for executor loss). One bounded statistic then decides:
+    * no key larger than a task's fair share (``max(total / partitions, min_rows_per_task)``):
+      a plain window, one shuffle, exact;
+    * otherwise (a key holding, say, a third of all rows):
+      1. range-partition on (keys, order), so the hot key spans many partitions;
+      2. rank inside (partition, key) with a window (each group is at most one range partition);
+      3. a key continuing from earlier partitions is the first key of its partition, so the offsets
+         to add form a table of at most ``num_partitions`` rows: broadcast by construction.
+      The ranked frame is read twice (ranks, offsets) and its partition ids must agree, so it is
+      materialised with a reliable checkpoint.
+    ``order`` must end with a unique tie-breaker (ties are arbitrary in the reference).
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -64,6 +67,11 @@ def row_number_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence, na
     key_sort = [F.col(k).asc_nulls_last() for k in keys]
     ord_sort = [col_(o).asc_nulls_last() for o in order]
     src = write_table(df, "rank-input")
+    stats = src.groupBy(*keys).count().agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
+    largest, total = (stats["largest"] or 0), (stats["total"] or 0)
+    if largest <= max(total / n, min_rows_per_task):
+        return src.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*ord_sort)))
+
     ranged = src.repartitionByRange(n, *key_sort, *ord_sort).withColumn("_rp", F.spark_partition_id())
     w = Window.partitionBy("_rp", *keys).orderBy(*ord_sort)
     local = ranged.withColumn("_lr", F.row_number().over(w)).checkpoint(eager=True)
