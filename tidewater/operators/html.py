@@ -268,10 +268,7 @@ def spec_rows(elements: DataFrame) -> DataFrame:
 
 def expand_cells(cells: Column, n: Column) -> Column:
     """X1 + X2: repeat each cell ``max(1, colspan)`` times (bad colspan → 1), pad with '' or cut to n."""
-    spans = F.transform(cells, lambda c: F.array_repeat(
-        c["text"], F.greatest(F.lit(1), F.coalesce(c["colspan"].try_cast("int"), F.lit(1)))))
-    flat = F.coalesce(F.flatten(spans), F.array().cast("array<string>"))
-    return F.slice(F.concat(flat, F.array_repeat(F.lit(""), n)), 1, n)
+    return F.slice(F.concat(spans(cells), F.array_repeat(F.lit(""), n)), 1, n)
 
 
 def _ustrip(c: Column) -> Column:
@@ -291,15 +288,22 @@ CARD_FIELDS = ["cpu_model", "cores_count", "cpu_arch", "cpu_detail_raw", "ram",
                "gpu", "gpu_vram", "gpu_tflops", "cpu_cores_raw"]
 
 
-def positional_values(specs: DataFrame, n_per_page: DataFrame) -> DataFrame:
-    """X1–X3 once per page: expand every assigned row to exactly n values (n = the page's card
-    count) and turn position i into a row (page_id, position, <attribute values>)."""
+def spans(cells: Column) -> Column:
+    """Repeat each cell's text ``max(1, colspan)`` times (a bad colspan counts as 1)."""
+    rep = F.transform(cells, lambda c: F.array_repeat(
+        c["text"], F.greatest(F.lit(1), F.coalesce(c["colspan"].try_cast("int"), F.lit(1)))))
+    return F.coalesce(F.flatten(rep), F.array().cast("array<string>"))
+
+
+def positional_values(specs: DataFrame) -> DataFrame:
+    """X1–X3 once per page: every assigned row expanded by colspan and turned into rows
+    (page_id, position, <attribute values>). Joined to cards on (page_id, position), a missing
+    position reads as '' and positions beyond the last card never join: the pad / cut to n of X2."""
     empty = F.array().cast(CELL_T)
-    expanded = specs.join(n_per_page, "page_id").select(
-        "page_id", *[expand_cells(F.coalesce(F.col(a)["cells"], empty), F.col("n_cards")).alias(a) for a in ATTRIBUTES])
-    zipped = F.arrays_zip(*[F.col(a) for a in ATTRIBUTES])
-    return expanded.select("page_id", F.posexplode(zipped).alias("position", "v")).select(
-        "page_id", F.col("position").cast("int").alias("position"), *[F.col(f"v.{a}").alias(f"t_{a}") for a in ATTRIBUTES])
+    zipped = F.arrays_zip(*[spans(F.coalesce(F.col(a)["cells"], empty)).alias(a) for a in ATTRIBUTES])
+    return specs.select("page_id", F.posexplode(zipped).alias("position", "v")).select(
+        "page_id", F.col("position").cast("int").alias("position"),
+        *[F.col(f"v.{a}").alias(f"t_{a}") for a in ATTRIBUTES])
 
 
 def _table_fields() -> dict[str, Column]:
@@ -347,14 +351,10 @@ def _with_last_flag(cards: DataFrame) -> DataFrame:
         Window.partitionBy("page_id", "plan_name")))
 
 
-def _n_per_page(cards: DataFrame) -> DataFrame:
-    return cards.groupBy("page_id").agg(F.max("n_cards").alias("n_cards"))
-
-
 def enrich_from_table(cards: DataFrame, specs: DataFrame) -> DataFrame:
     """H6 for cards of table pages: positional values joined on (page_id, position)."""
     f = _table_fields()
-    vals = positional_values(specs, _n_per_page(cards))
+    vals = positional_values(specs)
     return (cards.join(vals, ["page_id", "position"], "left")
             .select(*cards.columns, *[f[c].alias(c) for c in CARD_FIELDS]))
 
@@ -372,7 +372,7 @@ def enriched_cards(elements: DataFrame) -> DataFrame:
     table picks the fields. No branch is computed twice and nothing is re-expanded per card."""
     looked = anchor_lookups(elements)
     cards = product_cards(elements, looked)
-    vals = positional_values(spec_rows(elements), _n_per_page(cards))
+    vals = positional_values(spec_rows(elements))
     c = (cards.join(page_has_table(elements), "page_id", "left")
               .withColumn("has_table", F.coalesce("has_table", F.lit(False)))
               .join(vals, ["page_id", "position"], "left"))
