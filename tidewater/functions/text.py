@@ -139,8 +139,7 @@ def cpu_arch(detail) -> Column:
 
 def join_nonblank(items, sep: str = ", ") -> Column:
     """Join the non-NULL items of a list of string columns (``", ".join(parts) or None``)."""
-    arr = F.filter(F.array(*items), lambda x: x.isNotNull())
-    return blank_to_null(F.array_join(arr, sep))
+    return blank_to_null(F.array_join(F.array_compact(F.array(*items)), sep))
 
 
 def key_fallback(a, b) -> tuple[Column, Column]:

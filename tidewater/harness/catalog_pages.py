@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.embedded_json import embedded_arrays, embedded_object, explode_payload, to_json_doc
-from ..operators.html import (ATTRIBUTES, enrich_from_gpu_grid, enrich_from_table, expand_cells, gpu_grids,
+from ..operators.html import (ATTRIBUTES, enrich_from_gpu_grid, enrich_from_table, expand_cells_sql, gpu_grids,
                               html_elements, page_has_table, product_cards, spec_rows)
 from ..plans.ingest import attach_prices, distinct_price_keys, ingest, matrix_cards
 from ..sources.pages import catalog_ok, page_ok, payload_rows, upsert_latest
@@ -104,7 +104,7 @@ def array_expand_pad(spark, sf):
     cards = _cards_with_table(i).filter("has_table")
     n = cards.groupBy("page_id").agg(F.max("n_cards").alias("n"))
     specs = spec_rows(_elements(i)).join(n, "page_id")
-    return specs.select("page_id", F.array_join(expand_cells(F.col("traffic")["cells"], F.col("n")), "|")
+    return specs.select("page_id", F.array_join(F.expr(expand_cells_sql("traffic.cells", "n")), "|")
                         .alias("traffic_cells"))
 
 

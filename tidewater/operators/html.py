@@ -208,17 +208,17 @@ def gpu_grids(elements: DataFrame, looked: DataFrame | None = None) -> DataFrame
 ATTRIBUTES = ["cpu", "cpu_detail", "ram", "nvme", "ssd", "hdd", "bandwidth", "traffic"]
 
 
-def _label_rules(label: Column) -> list[Column]:
-    """Conditions of the ordered label rules (a rule already used is skipped)."""
+def _label_rules_sql(label: str) -> list[str]:
+    """Conditions of the ordered label rules (a rule already used is skipped), one per attribute."""
     return [
-        label.startswith("cpu") & ~label.contains("detail"),
-        label.contains("cpu") & label.contains("detail"),
-        label.startswith("ram"),
-        label.contains("nvme"),
-        label.contains("sata ssd") | label.startswith("ssd ") | (label == "ssd"),
-        label.contains("hdd") & ~label.contains("ssd"),
-        label.contains("guaranteed bandwidth") | (label == "connection"),
-        label.startswith("traffic"),
+        f"startswith({label}, 'cpu') AND NOT contains({label}, 'detail')",
+        f"contains({label}, 'cpu') AND contains({label}, 'detail')",
+        f"startswith({label}, 'ram')",
+        f"contains({label}, 'nvme')",
+        f"(contains({label}, 'sata ssd') OR startswith({label}, 'ssd ') OR {label} = 'ssd')",
+        f"contains({label}, 'hdd') AND NOT contains({label}, 'ssd')",
+        f"(contains({label}, 'guaranteed bandwidth') OR {label} = 'connection')",
+        f"startswith({label}, 'traffic')",
     ]
 
 
@@ -244,33 +244,28 @@ CELL_T = "array<struct<ord:int,text:string,colspan:string>>"
 ROW_T = f"struct<label:string,cells:{CELL_T}>"
 
 
+def _fold_sql(rows: str) -> str:
+    """``aggregate()`` over a page's ordered rows: state = (label, cells) per attribute, NULL until a
+    row is assigned; a row goes to the first rule it matches whose attribute is still unassigned."""
+    init = "named_struct(" + ", ".join(f"'{a}', CAST(NULL AS {ROW_T})" for a in ATTRIBUTES) + ")"
+    picked = "named_struct('label', r.label, 'cells', r.cells)"
+    branches = []
+    for a, cond in zip(ATTRIBUTES, _label_rules_sql("r.label")):
+        new_state = ", ".join(f"'{b}', {picked if b == a else 'st.' + b}" for b in ATTRIBUTES)
+        branches.append(f"WHEN st.{a} IS NULL AND {cond} THEN named_struct({new_state})")
+    return f"aggregate({rows}, {init}, (st, r) -> CASE {' '.join(branches)} ELSE st END)"
+
+
 def spec_rows(elements: DataFrame) -> DataFrame:
     """One row per page: for each attribute the (label, value cells) of the first table row
     assigned to it; NULL when no row was assigned."""
     rows = table_rows(elements)
     per_page = (rows.groupBy("page_id")
                 .agg(F.array_sort(F.collect_list(F.struct("table_ord", "tr_ord", "label", "cells"))).alias("rows")))
-    init = F.struct(*[F.lit(None).cast(ROW_T).alias(a) for a in ATTRIBUTES])
-
-    def step(state, r):
-        conds = _label_rules(r["label"])
-        picked = F.struct(r["label"].alias("label"), r["cells"].alias("cells"))
-        branches = None
-        for i, a in enumerate(ATTRIBUTES):
-            new_state = F.struct(*[(picked if b == a else state[b]).alias(b) for b in ATTRIBUTES])
-            c = state[a].isNull() & conds[i]
-            branches = F.when(c, new_state) if branches is None else branches.when(c, new_state)
-        return branches.otherwise(state)
-
-    folded = per_page.select("page_id", F.aggregate("rows", init, step).alias("s"))
+    folded = per_page.select("page_id", F.expr(_fold_sql("rows")).alias("s"))
     return folded.select("page_id", *[F.col(f"s.{a}").alias(a) for a in ATTRIBUTES])
 
 
-def expand_cells(cells: Column, n: Column) -> Column:
-    """X1 + X2: repeat each cell ``max(1, colspan)`` times (bad colspan → 1), pad with '' or cut to n."""
-    return F.slice(F.concat(spans(cells), F.array_repeat(F.lit(""), n)), 1, n)
-
-
 def _ustrip(c: Column) -> Column:
     return F.regexp_replace(c, r"^(?U)\s+|(?U)\s+$", "")
 
@@ -288,20 +283,25 @@ CARD_FIELDS = ["cpu_model", "cores_count", "cpu_arch", "cpu_detail_raw", "ram",
                "gpu", "gpu_vram", "gpu_tflops", "cpu_cores_raw"]
 
 
-def spans(cells: Column) -> Column:
-    """Repeat each cell's text ``max(1, colspan)`` times (a bad colspan counts as 1)."""
-    rep = F.transform(cells, lambda c: F.array_repeat(
-        c["text"], F.greatest(F.lit(1), F.coalesce(c["colspan"].try_cast("int"), F.lit(1)))))
-    return F.coalesce(F.flatten(rep), F.array().cast("array<string>"))
+def spans_sql(cells: str) -> str:
+    """X1 (SQL text): repeat each cell's text ``max(1, colspan)`` times (a bad colspan counts as 1)."""
+    return (f"coalesce(flatten(transform({cells}, c -> array_repeat(c.text, "
+            f"greatest(1, coalesce(try_cast(c.colspan AS INT), 1))))), CAST(array() AS array<string>))")
+
+
+def expand_cells_sql(cells: str, n: str) -> str:
+    """X1 + X2 (SQL text): the expanded cells padded with '' or cut to exactly n values."""
+    return f"slice(concat({spans_sql(cells)}, array_repeat('', {n})), 1, {n})"
 
 
 def positional_values(specs: DataFrame) -> DataFrame:
     """X1–X3 once per page: every assigned row expanded by colspan and turned into rows
     (page_id, position, <attribute values>). Joined to cards on (page_id, position), a missing
     position reads as '' and positions beyond the last card never join: the pad / cut to n of X2."""
-    empty = F.array().cast(CELL_T)
-    zipped = F.arrays_zip(*[spans(F.coalesce(F.col(a)["cells"], empty)).alias(a) for a in ATTRIBUTES])
-    return specs.select("page_id", F.posexplode(zipped).alias("position", "v")).select(
+    expanded = specs.select("page_id", *[
+        F.expr(spans_sql(f"coalesce(`{a}`.cells, CAST(array() AS {CELL_T}))")).alias(a) for a in ATTRIBUTES])
+    zipped = F.arrays_zip(*[F.col(a) for a in ATTRIBUTES])
+    return expanded.select("page_id", F.posexplode(zipped).alias("position", "v")).select(
         "page_id", F.col("position").cast("int").alias("position"),
         *[F.col(f"v.{a}").alias(f"t_{a}") for a in ATTRIBUTES])
 
@@ -309,8 +309,7 @@ def positional_values(specs: DataFrame) -> DataFrame:
 def _table_fields() -> dict[str, Column]:
     """H6 field expressions for a card joined with its row of positional values (t_<attribute>)."""
     at = {a: F.coalesce(F.col(f"t_{a}"), F.lit("")) for a in ATTRIBUTES}
-    storage = F.array_join(F.filter(F.array(*[storage_part(at[k], lbl) for k, lbl in R.STORAGE_KINDS]),
-                                    lambda x: x.isNotNull()), ", ")
+    storage = F.array_join(F.array_compact(F.array(*[storage_part(at[k], lbl) for k, lbl in R.STORAGE_KINDS])), ", ")
     null = F.lit(None).cast("string")
     return {
         "cpu_model": clean_or_null(at["cpu"]),
