@@ -109,3 +109,29 @@ def test_to_utc_from_zone(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 7, 1, 12, 0),)], "t timestamp_ntz")
     assert one(df, T.to_utc("t", "Europe/Vilnius")) == dt.datetime(2024, 7, 1, 9, 0)
     assert one(df, T.to_utc("t")) == dt.datetime(2024, 7, 1, 12, 0)
+
+
+def test_t11_not_in_drops_null(spark):
+    df = spark.createDataFrame([("add_to_cart",), (None,), ("configure",)], "t string")
+    assert [r.t for r in df.filter(~F.col("t").isin("add_to_cart")).collect()] == ["configure"]
+
+
+def test_t17_int_cast_raises_on_overflow(spark):
+    import pytest
+    df = spark.createDataFrame([("99999999999",)], "s string")
+    with pytest.raises(Exception) as err:                      # ANSI cast, like ::INT
+        df.select(T.regex_group("s", "([0-9]+)").cast("int")).collect()
+    assert "OVERFLOW" in str(err.value).upper()
+
+
+def test_t19_sum_all_null_then_coalesce(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, 5)], "g int, v int")
+    out = {r.g: r.s for r in df.groupBy("g").agg(F.coalesce(F.sum("v"), F.lit(0)).alias("s")).collect()}
+    assert out == {1: 0, 2: 5}
+
+
+def test_t23_alternatives_exclude_each_other(spark):
+    # capture patterns whose alternatives could differ between leftmost-longest and first-match
+    df = spark.createDataFrame([("Xeon E-2288G",), ("Intel Xeon E 2386G",), ("E3-1270v6",)], "m string")
+    got = [r[0] for r in df.select(T.regex_group("m", r"(?:Xeon[\s-]E\M[\s-]+|\mE-)([0-9]+[A-Z]*)", ci=True)).collect()]
+    assert got == ["2288G", "2386G", None]
