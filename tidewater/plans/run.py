@@ -15,6 +15,7 @@ import json
 from pyspark.sql import SparkSession
 
 from ..functions import rules as R
+from ..session import build_session
 from ..sources.pages import Tables, write_model
 from .funnel import lead_model
 from .price_plans import price_plan_model
@@ -44,7 +45,7 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--since", default=R.ROI_SINCE)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("tidewater-models").getOrCreate()
+    spark = build_session(app="tidewater-models")
     for name, df in build_models(spark, json.load(open(a.tables)), a.since).items():
         write_model(df, f"{a.out.rstrip('/')}/{name}")
 

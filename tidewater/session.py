@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128MB",
+    # AQE sizes shuffle partitions from the data; on a cluster set spark.sql.shuffle.partitions (or
+    # spark.sql.adaptive.coalescePartitions.initialPartitionNum) high and let AQE coalesce to this size
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
