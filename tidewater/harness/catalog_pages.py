@@ -94,7 +94,8 @@ def html_spec_rows(spark, sf):
     specs = spec_rows(_elements(Inputs(spark, sf)))
     items = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a)["label"].alias("label"),
                                F.size(F.col(a)["cells"]).alias("n_cells"),
-                               F.col(a)["cells"][0]["text"].alias("first_cell")) for a in ATTRIBUTES])
+                               F.try_element_at(F.col(a)["cells"], F.lit(1))["text"].alias("first_cell"))
+                     for a in ATTRIBUTES])
     return specs.select("page_id", F.inline(items))
 
 

@@ -236,7 +236,7 @@ def table_rows(elements: DataFrame) -> DataFrame:
              .groupBy("page_id", "tr_ord").agg(F.array_sort(F.collect_list("cell")).alias("cells")))
     return (trs.join(cells, ["page_id", "tr_ord"])
             .select("page_id", "table_ord", "tr_ord",
-                    F.lower(F.col("cells")[0]["text"]).alias("label"),
+                    F.lower(F.try_element_at("cells", F.lit(1))["text"]).alias("label"),
                     F.slice("cells", 2, 1 << 30).alias("cells")))
 
 

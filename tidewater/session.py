@@ -79,18 +79,25 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``tidewater`` importable in Python workers (needed by the Arrow UDF / mapInPandas
-    operators): the package is zipped once per application into the shared checkpoint folder and
-    added with ``addPyFile``. On a cluster this is what ``--py-files`` does."""
+    operators). On a cluster the package is shipped with ``--py-files``; when the shared checkpoint
+    folder is a local path (local runs, tests, a mounted shared volume) the package is zipped there
+    once per application and added with ``addPyFile``. Remote folders (hdfs://, s3a://) are left to
+    ``--py-files``."""
     import hashlib
     import zipfile
 
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
+    root = checkpoint_dir(spark)
+    if "://" in root and not root.startswith("file:"):
+        _SHIPPED.add(sc.applicationId)
+        return
+    root = root[len("file:"):] if root.startswith("file:") else root
     pkg = os.path.dirname(os.path.abspath(__file__))
     files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
     digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
-    out_dir = os.path.join(checkpoint_dir(spark), "pyfiles")
+    out_dir = os.path.join(root, "pyfiles")
     os.makedirs(out_dir, exist_ok=True)
     path = os.path.join(out_dir, f"tidewater-{digest}.zip")
     if not os.path.exists(path):
