@@ -22,6 +22,15 @@ HEADLINE = ["model_sessions", "model_leads", "model_roi_monthly", "model_price_p
             "upsert_latest", "ingest_status"]
 
 
+def cpu_calibration() -> float:
+    """Seconds for a fixed pure-Python loop: tells machine slowdowns apart from code changes."""
+    t0 = time.perf_counter()
+    s = 0
+    for i in range(5_000_000):
+        s += i
+    return round(time.perf_counter() - t0, 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -48,7 +57,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_median_sec", "value": round(sum(timings.values()), 3), "unit": "sec",
                       "queries": timings, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": cpus, "reps": reps}))
+                      "cpus": cpus, "reps": reps, "cpu_calibration_sec": cpu_calibration()}))
 
 
 if __name__ == "__main__":
