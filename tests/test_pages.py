@@ -168,3 +168,12 @@ def test_guards_and_payload_rows(spark):
 def test_text_filter_on_elements(spark):
     el = html_elements(pages_df(spark, [CARD_PAGE]))
     assert el.filter(F.col("tag") == "tr").count() == 6
+
+
+def test_restricted_text_gives_the_same_cards(spark):
+    from tidewater.operators.html import EXTRACTION_TEXT_CLASSES, EXTRACTION_TEXT_TAGS
+    pages = pages_df(spark, [CARD_PAGE, GPU_PAGE])
+    full = sorted(enriched_cards(html_elements(pages)).collect())
+    lean_el = html_elements(pages, text_tags=EXTRACTION_TEXT_TAGS, text_classes=EXTRACTION_TEXT_CLASSES)
+    assert sorted(enriched_cards(lean_el).collect()) == full
+    assert lean_el.filter(F.col("tag") == "body").first().text is None      # containers carry no text

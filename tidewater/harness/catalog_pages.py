@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.embedded_json import embedded_arrays, embedded_object, explode_payload, to_json_doc
-from ..operators.html import (ATTRIBUTES, enrich_from_gpu_grid, enrich_from_table, expand_cells_sql, gpu_grids,
-                              html_elements, page_has_table, product_cards, spec_rows)
+from ..operators.html import (ATTRIBUTES, enrich_from_gpu_grid, enrich_from_table, expand_cells_sql,
+                              extraction_elements, gpu_grids, html_elements, page_has_table, product_cards,
+                              spec_rows)
 from ..plans.ingest import attach_prices, distinct_price_keys, ingest, matrix_cards
 from ..sources.pages import catalog_ok, page_ok, payload_rows, upsert_latest
 from . import oracle_pages as P
@@ -19,7 +20,7 @@ RUN_DATE = "2026-05-04"
 def _elements(i: Inputs):
     if "_elements" not in i._cache:
         pages = i["matrix_pages"].select("page_id", "line", "html")
-        i._cache["_elements"] = html_elements(pages, materialise=True)
+        i._cache["_elements"] = extraction_elements(pages)
     return i._cache["_elements"]
 
 

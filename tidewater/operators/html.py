@@ -71,7 +71,11 @@ class _TreeBuilder(HTMLParser):
         if data and data.strip():
             self.texts.append(data)
 
-    def rows(self):
+    def rows(self, text_tags=None, text_classes=None):
+        """Element rows; with ``text_tags`` / ``text_classes`` the descendant text is kept only for
+        elements of those tags or classes (NULL elsewhere)."""
+        keep_all = text_tags is None and text_classes is None
+        text_tags, text_classes = frozenset(text_tags or ()), frozenset(text_classes or ())
         self.close()
         for j in self.stack:
             self.nodes[j][5] = len(self.texts)
@@ -82,30 +86,41 @@ class _TreeBuilder(HTMLParser):
             del path[max(depth - 2, 0):]          # keep the ancestors above the parent
             if depth >= 2:
                 path.append(parent)
-            text = " ".join(" ".join(self.texts[a:b]).split())
             cls = (attrs.get("class", "") or "").split()
+            wanted = keep_all or tag in text_tags or not text_classes.isdisjoint(cls)
+            text = " ".join(" ".join(self.texts[a:b]).split()) if wanted else None
             yield i, parent, depth, tag, cls, attrs, text, [0] + list(path)
 
 
-def _explode_pages(batches):
-    for pdf in batches:
-        out = []
-        for page_id, html in zip(pdf["page_id"], pdf["html"]):
-            if html is None:
-                continue
-            tb = _TreeBuilder()
-            tb.feed(html)
-            for ord_, parent, depth, tag, cls, attrs, text, path in tb.rows():
-                out.append((int(page_id), ord_, parent, depth, tag, cls, attrs, text, path))
-        yield pd.DataFrame(out, columns=["page_id", "ord", "parent", "depth", "tag", "class", "attrs", "text", "path"])
+def _exploder(text_tags=None, text_classes=None):
+    def explode_pages(batches):
+        for pdf in batches:
+            out = []
+            for page_id, html in zip(pdf["page_id"], pdf["html"]):
+                if html is None:
+                    continue
+                tb = _TreeBuilder()
+                tb.feed(html)
+                for ord_, parent, depth, tag, cls, attrs, text, path in tb.rows(text_tags, text_classes):
+                    out.append((int(page_id), ord_, parent, depth, tag, cls, attrs, text, path))
+            yield pd.DataFrame(out, columns=["page_id", "ord", "parent", "depth", "tag", "class", "attrs", "text",
+                                             "path"])
+    return explode_pages
+
+
+# Text the card extraction reads: table cells and the classed name / grid elements. Containers (html,
+# body, tables, cards) would otherwise repeat the page's text once per nesting level.
+EXTRACTION_TEXT_TAGS = ("th", "td")
+EXTRACTION_TEXT_CLASSES = (R.CARD_NAME_CLASS, R.GPU_GRID_NAME_CLASS, *[k for k, _ in R.GPU_GRID_CELLS])
 
 
 def html_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                  materialise: bool = False) -> DataFrame:
+                  materialise: bool = False, text_tags=None, text_classes=None) -> DataFrame:
     """H1: one row per element of every page (page-local work, no shuffle).
 
-    The extractors read the element table about ten times; with ``materialise`` it is parsed
-    once and written as a Parquet table in the shared checkpoint folder (later reads are
+    ``text_tags`` / ``text_classes`` limit the descendant text to the elements a job reads (all by
+    default). The extractors read the element table about ten times; with ``materialise`` it is
+    parsed once and written as a Parquet table in the shared checkpoint folder (later reads are
     columnar with filter pushdown, and the lineage back to the Python stage is cut)."""
     spark = pages.sparkSession
     ship_package(spark)
@@ -116,7 +131,7 @@ def html_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
             spark.sparkContext.defaultParallelism)
     # (a hash of the key: a plain ``repartition(n, page_id)`` over data already hashed on page_id
     # would be dropped as redundant, leaving whatever partitions AQE coalesced)
-    el = src.repartition(n, F.xxhash64("page_id")).mapInPandas(_explode_pages, ELEMENT_SCHEMA)
+    el = src.repartition(n, F.xxhash64("page_id")).mapInPandas(_exploder(text_tags, text_classes), ELEMENT_SCHEMA)
     return write_table(el, "elements") if materialise else el
 
 
@@ -379,3 +394,9 @@ def enriched_cards(elements: DataFrame) -> DataFrame:
     tf, gf = _table_fields(), _gpu_fields()
     fields = [F.when(F.col("has_table"), tf[n]).otherwise(gf[n]).alias(n) for n in CARD_FIELDS]
     return c.select(*cards.columns, *fields)
+
+
+def extraction_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """The element table as the card extraction needs it: text only where it is read, written once."""
+    return html_elements(pages, id_col, html_col, materialise=True, text_tags=EXTRACTION_TEXT_TAGS,
+                         text_classes=EXTRACTION_TEXT_CLASSES)

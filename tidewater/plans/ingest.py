@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.embedded_json import embedded_arrays, embedded_object
-from ..operators.html import enriched_cards, html_elements
+from ..operators.html import enriched_cards, extraction_elements
 from ..sources.pages import catalog_ok, ingest_status, page_ok
 
 CARD_JSON_FIELDS = ["line", "plan_name", "plan_id", "cpu_count", "cpu_model", "cores_count", "cpu_arch",
@@ -27,7 +27,7 @@ CARD_JSON_FIELDS = ["line", "plan_name", "plan_id", "cpu_count", "cpu_model", "c
 
 def matrix_cards(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Plan cards of matrix pages (page_id, position, the 19 card fields)."""
-    el = html_elements(pages, id_col, html_col, materialise=True)
+    el = extraction_elements(pages, id_col, html_col)
     cards = enriched_cards(el)
     lines = pages.select(F.col(id_col).cast("long").alias("page_id"), "line")
     return (cards.join(lines, "page_id")
