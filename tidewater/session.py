@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # reliable checkpoints of the exact ranking are removed once their DataFrames are collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128MB",
     # AQE sizes shuffle partitions from the data; on a cluster set spark.sql.shuffle.partitions (or
