@@ -8,10 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .mixing import mix
 from .sharding import shard
+from .token_counts import count_tokens
+from .topk import top_inner_products
 from .url_filter import judge_urls
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op5_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages against the rules and their hosts' reputation. A page's outcome is the label of the
     document with its id: bad where its quality is 0 or it is toxic."""
@@ -26,7 +43,7 @@ def op9_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_host_reputation, op9_interleaved_shards)
+    f.__name__: f for f in (op2_token_counts, op3_entropy_mix, op5_top_inner_products, op8_host_reputation, op9_interleaved_shards)
 }
 
 ORACLES: dict[str, str] = {}

@@ -13,7 +13,7 @@ one row after map-side aggregation; the verdict goes back to pages by host.
 Defined results: a null url, or one without ``://``, has an empty host and path, takes no part in
 the counts and is allowed; a host with fewer than three labels is its own registered domain where
 it is a bare suffix; repeated pages count as often as they occur; unlabelled hosts get their
-prior's verdict; an empty table gives no rows.
+prior's verdict, and without any label no host is blocked; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -85,7 +85,7 @@ def host_reputation(outcomes: DataFrame, floor: float = 2.0, ceiling: float = 20
     hosts = outcomes.withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", name_suffix(F.col("host")))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    overall = suffixes.agg(((F.sum("bad") + 0.5) / (F.sum("n") + 1)).alias("rate"))
+    overall = suffixes.agg(F.when(F.sum("n") > 0, F.sum("bad") / F.sum("n")).otherwise(F.lit(0.0)).alias("rate"))
 
     s = suffixes.withColumn("prior", overall.select("rate").scalar())
     s = s.withColumn("k", one(strength(s, "n", "bad", "prior", floor, ceiling), "strength"))
