@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .fm_dedup import remove_repeated_passages
 from .mixing import mix
 from .sharding import shard
+from .suffix_dedup import remove_repeated_bytes
 from .token_counts import count_tokens
 from .topk import top_inner_products
 from .url_filter import judge_urls
@@ -25,6 +27,11 @@ def op3_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op4_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeated_passages(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op5_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -42,8 +49,14 @@ def op9_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_entropy_mix, op5_top_inner_products, op8_host_reputation, op9_interleaved_shards)
+    f.__name__: f for f in (op2_token_counts, op3_entropy_mix, op4_fm_index_dedup, op5_top_inner_products, op8_host_reputation,
+                            op9_interleaved_shards, op10_suffix_dedup)
 }
 
 ORACLES: dict[str, str] = {}
