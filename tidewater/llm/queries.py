@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .fm_dedup import remove_repeated_passages
+from .jaccard import near_duplicates
 from .mixing import mix
 from .sharding import shard
 from .suffix_dedup import remove_repeated_bytes
@@ -36,6 +37,10 @@ def op5_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages against the rules and their hosts' reputation. A page's outcome is the label of the
     document with its id: bad where its quality is 0 or it is toxic."""
@@ -55,8 +60,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_entropy_mix, op4_fm_index_dedup, op5_top_inner_products, op8_host_reputation,
-                            op9_interleaved_shards, op10_suffix_dedup)
+    f.__name__: f for f in (op2_token_counts, op3_entropy_mix, op4_fm_index_dedup, op5_top_inner_products,
+                            op7_jaccard_components, op8_host_reputation, op9_interleaved_shards, op10_suffix_dedup)
 }
 
 ORACLES: dict[str, str] = {}
