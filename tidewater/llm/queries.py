@@ -11,6 +11,8 @@ from .common import table
 from .fm_dedup import remove_repeated_passages
 from .jaccard import near_duplicates
 from .mixing import mix
+from .packing import pack
+from .quality import judge_quality
 from .sharding import shard
 from .suffix_dedup import remove_repeated_bytes
 from .token_counts import count_tokens
@@ -18,6 +20,13 @@ from .topk import top_inner_products
 from .url_filter import judge_urls
 
 
+def op1_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of 4096 tokens, every window in the proportions of the whole table."""
+    import public_tokenizers
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -37,6 +46,10 @@ def op5_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -60,8 +73,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_entropy_mix, op4_fm_index_dedup, op5_top_inner_products,
-                            op7_jaccard_components, op8_host_reputation, op9_interleaved_shards, op10_suffix_dedup)
+    f.__name__: f for f in (op1_mixture_packing, op2_token_counts, op3_entropy_mix, op4_fm_index_dedup, op5_top_inner_products,
+                            op6_quality_rules, op7_jaccard_components, op8_host_reputation, op9_interleaved_shards, op10_suffix_dedup)
 }
 
 ORACLES: dict[str, str] = {}
