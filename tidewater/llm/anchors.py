@@ -170,7 +170,7 @@ class Group:
 
 
 def group_of(t: pa.Table) -> Group:
-    """Columns: __g, doc_id, text, then any others."""
+    """Columns: group, id, text, then any others."""
     ids = t.column(1).combine_chunks().fill_null(LAST_ID).to_numpy(zero_copy_only=False).astype(np.int64)
     order = np.argsort(ids, kind="stable")
     srt = ids[order]
@@ -191,11 +191,11 @@ def elements(g: Group, words: bool) -> tuple[np.ndarray, np.ndarray, tuple | Non
 
 
 def deal(docs: DataFrame, id_col: str, text: str, carry: list[str]) -> tuple[DataFrame, int]:
-    """__g, doc_id, text and the carried columns, and the bytes of all texts."""
+    """__g, id, text and the carried columns, and the bytes of all texts."""
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     n = max(1, -(-total // GROUP_BYTES))
     return docs.select(F.pmod(F.xxhash64(F.col(id_col), F.col(text)), F.lit(n)).cast("int").alias("__g"),
-                       F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"), *carry), total
+                       F.col(id_col).cast("long").alias("__id"), F.col(text).alias("__text"), *carry), total
 
 
 def packed(rows: list[tuple], schema: pa.Schema) -> pa.Table:
