@@ -174,7 +174,7 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 10, scale:
     queries = materialise(dealt.select("qb", "vec_id", "v").mapInArrow(
         with_start, "qb int, dim int, ids binary, block binary, start binary"), "topk-queries")
     ordered = rows.repartitionByRange(shuffle_width(spark), F.desc("norm")).sortWithinPartitions(F.desc("norm"))
-    salts = 64
+    salts = 16
     blocks = pack(ordered, block).withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int")) \
         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     q = queries.withColumnsRenamed({"ids": "q_ids", "block": "q_block"}).withColumn(
