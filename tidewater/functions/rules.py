@@ -155,3 +155,22 @@ GPU_GRID_NAME_CLASS = "grid-header-name"
 GPU_GRID_CELLS = [("item-a", "cpu_model"), ("item-b", "cpu_cores_raw"), ("item-c", "ram"),
                   ("item-d", "gpu"), ("item-e", "gpu_tflops"), ("item-f", "gpu_vram")]
 STORAGE_KINDS = [("nvme", "NVMe"), ("ssd", "SSD"), ("hdd", "HDD")]
+OPTIONALLY_WORD = r"(?iU)\boptionally\b"
+UPGRADE_CLAUSE = r"(?is)\s*Upgradeable.*\z"
+CORE_WORD = r"(?iU)^\s*([A-Za-z]+)\s*-\s*Core\b"
+CORE_DIGITS = r"(?iU)^\s*(\d+)\s*[-\s]*Core\b"
+GPU_CORES_PE = r"(?iU)^(\d+)\s+Performance\s+Cores\s+(\d+)\s+Efficient\s+Cores"
+GPU_CORES_PLAIN = r"(?iU)^\s*(\d+)\s*[-\s]*Cores?\b"
+GPU_CORES_LEADING = r"(?U)^\s*(\d+)\b"
+IN_PARENTHESES = r"\(([^)]+)\)"
+# table row labels (lower case) in rule order; a rule whose attribute is taken is skipped
+SPEC_LABEL_RULES = [
+    ("cpu", "startswith({label}, 'cpu') AND NOT contains({label}, 'detail')"),
+    ("cpu_detail", "contains({label}, 'cpu') AND contains({label}, 'detail')"),
+    ("ram", "startswith({label}, 'ram')"),
+    ("nvme", "contains({label}, 'nvme')"),
+    ("ssd", "(contains({label}, 'sata ssd') OR startswith({label}, 'ssd ') OR {label} = 'ssd')"),
+    ("hdd", "contains({label}, 'hdd') AND NOT contains({label}, 'ssd')"),
+    ("bandwidth", "(contains({label}, 'guaranteed bandwidth') OR {label} = 'connection')"),
+    ("traffic", "startswith({label}, 'traffic')"),
+]

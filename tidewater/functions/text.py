@@ -100,31 +100,29 @@ def clean_or_null(c) -> Column:
 
 def cut_upgradeable(c) -> Column:
     """Drop a trailing ``Upgradeable...`` clause (case-insensitive, to the end)."""
-    return F.regexp_replace(col_(c), r"(?is)\s*Upgradeable.*\z", "")
+    return F.regexp_replace(col_(c), rules.UPGRADE_CLAUSE, "")
 
 
 def before_optionally(c) -> Column:
     """Text before the first word ``optionally`` (case-insensitive)."""
-    return F.element_at(F.split(col_(c), r"(?iU)\boptionally\b", 2), 1)
+    return F.element_at(F.split(col_(c), rules.OPTIONALLY_WORD, 2), 1)
 
 
 def core_count(detail) -> Column:
     """Core count of a CPU detail cell: ``Quad-Core`` → 4, ``16 Core`` → 16, else NULL."""
     d = col_(detail)
     words = F.create_map(*[x for w, n in rules.CORE_WORDS for x in (F.lit(w), F.lit(n))])
-    word = F.lower(F.regexp_extract(d, r"(?iU)^\s*([A-Za-z]+)\s*-\s*Core\b", 1))
-    digits = F.regexp_extract(d, r"(?iU)^\s*(\d+)\s*[-\s]*Core\b", 1)
+    word = F.lower(F.regexp_extract(d, rules.CORE_WORD, 1))
+    digits = F.regexp_extract(d, rules.CORE_DIGITS, 1)
     return F.coalesce(F.try_element_at(words, word), F.when(digits != "", digits.try_cast("int")))
 
 
 def gpu_core_count(raw) -> Column:
     """``8 Performance Cores 12 Efficient Cores`` → 20, ``24 Cores`` → 24, ``24`` → 24."""
     r = col_(raw)
-    pe = r"(?iU)^(\d+)\s+Performance\s+Cores\s+(\d+)\s+Efficient\s+Cores"
-    p = F.regexp_extract(r, pe, 1)
-    e = F.regexp_extract(r, pe, 2)
-    plain = F.regexp_extract(r, r"(?iU)^\s*(\d+)\s*[-\s]*Cores?\b", 1)
-    lead = F.regexp_extract(r, r"(?U)^\s*(\d+)\b", 1)
+    p, e = (F.regexp_extract(r, rules.GPU_CORES_PE, k) for k in (1, 2))
+    plain = F.regexp_extract(r, rules.GPU_CORES_PLAIN, 1)
+    lead = F.regexp_extract(r, rules.GPU_CORES_LEADING, 1)
     return (F.when(p != "", p.try_cast("int") + e.try_cast("int"))
             .when(plain != "", plain.try_cast("int"))
             .when(lead != "", lead.try_cast("int")))
@@ -132,7 +130,7 @@ def gpu_core_count(raw) -> Column:
 
 def cpu_arch(detail) -> Column:
     """First parenthesised text of a CPU detail cell unless it is a virtualisation flag."""
-    a = F.trim(F.regexp_extract(col_(detail), r"\(([^)]+)\)", 1))
+    a = F.trim(F.regexp_extract(col_(detail), rules.IN_PARENTHESES, 1))
     return F.when(F.upper(a).isin(*rules.VIRTUALISATION_FLAGS), F.lit(None).cast("string")) \
         .otherwise(blank_to_null(a))
 
@@ -149,21 +147,25 @@ def key_fallback(a, b) -> tuple[Column, Column]:
 
 
 def to_utc(c, source_tz: str = "UTC") -> Column:
-    """``x AT TIME ZONE 'UTC'`` for a wall-clock (NTZ) timestamp recorded in ``source_tz``."""
-    ts = col_(c).cast("timestamp_ntz")
-    if source_tz == "UTC":
-        return ts
-    return F.convert_timezone(F.lit(source_tz), F.lit("UTC"), ts)
+    """``x AT TIME ZONE 'UTC'`` as wall clock: an instant (TIMESTAMP) is read in UTC whatever the session's
+    zone, a wall clock (TIMESTAMP_NTZ) recorded in ``source_tz`` is converted, a date is its midnight."""
+    ts = col_(c)
+    instant = F.timestamp_add("MICROSECOND", F.unix_micros(ts.cast("timestamp")), F.lit("1970-01-01").cast("timestamp_ntz"))
+    wall = ts.cast("timestamp_ntz")
+    if source_tz != "UTC":
+        wall = F.convert_timezone(F.lit(source_tz), F.lit("UTC"), wall)
+    return F.when(F.typeof(ts) == "timestamp", instant).otherwise(wall)    # decided when the plan is analysed
 
 
 def month_start(c) -> Column:
     """``date_trunc('month', x)`` as a UTC wall-clock timestamp, independent of the session zone."""
-    return F.trunc(col_(c).cast("date"), "month").cast("timestamp_ntz")
+    return F.trunc(to_utc(c).cast("date"), "month").cast("timestamp_ntz")
 
 
 def add_months_ts(c, months: int) -> Column:
-    """``x + INTERVAL 'n months'`` on a date, as a timestamp (T14); the day is clamped."""
-    return F.add_months(col_(c).cast("date"), months).cast("timestamp_ntz")
+    """``x + INTERVAL 'n months'`` on a date or timestamp, as a timestamp (T14); the day is clamped and
+    the time of day stays."""
+    return to_utc(c) + F.make_ym_interval(F.lit(0), F.lit(months))
 
 
 def guarded_ratio(gain, cost) -> Column:

@@ -2,32 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators.embedded_json import embedded_arrays, embedded_object, explode_payload, to_json_doc
-from ..operators.html import (ATTRIBUTES, enrich_from_gpu_grid, enrich_from_table, expand_cells_sql,
-                              extraction_elements, gpu_grids, html_elements, page_has_table, product_cards,
-                              spec_rows)
+from ..operators.html import ATTRIBUTES, card_rows, expand_cells_sql, html_elements, page_facts, read_pages
 from ..plans.ingest import attach_prices, distinct_price_keys, ingest, matrix_cards
-from ..sources.pages import catalog_ok, page_ok, payload_rows, upsert_latest
+from ..session import tables_dir
+from ..sources.pages import (RAW_COLS, Tables, catalog_ok, page_ok, payload_rows, upsert_latest, upsert_raw_table,
+                             valid_pages, write_model)
 from . import oracle_pages as P
 from .catalog import register, with_inputs
 from .standins import Inputs
 
-RUN_DATE = "2026-05-04"
-
 
-def _elements(i: Inputs):
-    if "_elements" not in i._cache:
-        pages = i["matrix_pages"].select("page_id", "line", "html")
-        i._cache["_elements"] = extraction_elements(pages)
-    return i._cache["_elements"]
+def _facts(spark, sf):
+    pages = Inputs(spark, sf)["matrix_pages"].select("page_id", "line", "html")
+    return page_facts(read_pages(pages, "html", ["page_id", "line"]))
 
 
-def _cards_with_table(i: Inputs):
-    el = _elements(i)
-    return product_cards(el).join(page_has_table(el), "page_id", "left").withColumn(
-        "has_table", F.coalesce("has_table", F.lit(False)))
+def _cards(spark, sf):
+    return card_rows(_facts(spark, sf))
 
 
 def matrix_sql(final: str, extra_inputs=()) -> str:
@@ -36,49 +32,40 @@ def matrix_sql(final: str, extra_inputs=()) -> str:
 
 @register("html_cards", matrix_sql(P.CARDS_SQL_FINAL))
 def html_cards(spark, sf):
-    return product_cards(_elements(Inputs(spark, sf))).select("page_id", "position", "plan_name", "monthly_key",
-                                                              "hourly_key")
+    cards = _facts(spark, sf).select("page_id", F.posexplode("cards").alias("position", "c"))
+    return cards.select("page_id", "position", "c.plan_name", "c.monthly_key", "c.hourly_key")
 
 
 @register("html_cards_enriched", matrix_sql(P.ENRICHED_FINAL))
 def html_cards_enriched(spark, sf):
-    i = Inputs(spark, sf)
-    return matrix_cards(i["matrix_pages"].select("page_id", "line", "html"))
+    return matrix_cards(Inputs(spark, sf)["matrix_pages"].select("page_id", "line", "html"))
 
 
 @register("array_positional_join", matrix_sql(P.POSITIONAL_FINAL))
 def array_positional_join(spark, sf):
-    i = Inputs(spark, sf)
-    cards = _cards_with_table(i).filter("has_table")
-    return enrich_from_table(cards, spec_rows(_elements(i))).select("page_id", "position", "cpu_model", "bandwidth")
-
-
-def _gpu_cards(i: Inputs):
-    cards = _cards_with_table(i).filter(~F.col("has_table"))
-    return enrich_from_gpu_grid(cards, gpu_grids(_elements(i)))
+    return _cards(spark, sf).filter("has_table").select("page_id", "position", "cpu_model", "bandwidth")
 
 
 @register("html_gpu_grid", matrix_sql(P.GPU_FINAL))
 def html_gpu_grid(spark, sf):
-    return _gpu_cards(Inputs(spark, sf)).select("page_id", "position", "plan_name", "cpu_model", "cores_count",
-                                                "cpu_cores_raw", "ram", "gpu", "gpu_vram", "gpu_tflops")
+    return _cards(spark, sf).filter("NOT has_table").select(
+        "page_id", "position", "plan_name", "cpu_model", "cores_count", "cpu_cores_raw", "ram", "gpu", "gpu_vram", "gpu_tflops")
 
 
 @register("join_last_wins", matrix_sql(P.LAST_WINS_FINAL))
 def join_last_wins(spark, sf):
-    return _gpu_cards(Inputs(spark, sf)).select("page_id", "position", "plan_name",
-                                                F.col("gpu").isNotNull().alias("enriched"))
+    return _cards(spark, sf).filter("NOT has_table").select("page_id", "position", "plan_name",
+                                                            F.col("gpu").isNotNull().alias("enriched"))
 
 
 @register("distinct_keys", matrix_sql(P.KEYS_FINAL))
 def distinct_keys(spark, sf):
-    return distinct_price_keys(product_cards(_elements(Inputs(spark, sf))))
+    return distinct_price_keys(_cards(spark, sf))
 
 
 @register("join_two_roles", matrix_sql(P.TWO_ROLES_FINAL, ["prices"]))
 def join_two_roles(spark, sf):
-    i = Inputs(spark, sf)
-    return attach_prices(product_cards(_elements(i)), i["prices"]).select(
+    return attach_prices(_cards(spark, sf), Inputs(spark, sf)["prices"]).select(
         "page_id", "position", "monthly_key", "hourly_key", "monthly_prices", "hourly_prices")
 
 
@@ -92,22 +79,18 @@ def json_roundtrip(spark, sf):
 
 @register("html_spec_rows", with_inputs(["matrix_parts"], final=P.SPEC_ROWS_FINAL))
 def html_spec_rows(spark, sf):
-    specs = spec_rows(_elements(Inputs(spark, sf)))
+    specs = _facts(spark, sf).select("page_id", "specs.*")
     items = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a)["label"].alias("label"),
                                F.size(F.col(a)["cells"]).alias("n_cells"),
                                F.try_element_at(F.col(a)["cells"], F.lit(1))["text"].alias("first_cell"))
                      for a in ATTRIBUTES])
-    return specs.select("page_id", F.inline(items))
+    return specs.select("page_id", F.inline(items)).filter(F.col("label").isNotNull())
 
 
 @register("array_expand_pad", matrix_sql(P.EXPAND_FINAL))
 def array_expand_pad(spark, sf):
-    i = Inputs(spark, sf)
-    cards = _cards_with_table(i).filter("has_table")
-    n = cards.groupBy("page_id").agg(F.max("n_cards").alias("n"))
-    specs = spec_rows(_elements(i)).join(n, "page_id")
-    return specs.select("page_id", F.array_join(F.expr(expand_cells_sql("traffic.cells", "n")), "|")
-                        .alias("traffic_cells"))
+    facts = _facts(spark, sf).filter("has_table AND size(cards) > 0").withColumn("n", F.size("cards"))
+    return facts.select("page_id", F.array_join(F.expr(expand_cells_sql("specs.traffic.cells", "n")), "|").alias("traffic_cells"))
 
 
 @register("html_elements", with_inputs([], final=P.ELEMENTS_FINAL))
@@ -116,9 +99,39 @@ def html_elements_q(spark, sf):
     return (html_elements(pages).groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n_elements")))
 
 
+@register("html_texts", with_inputs([], final=P.TEXTS_FINAL))
+def html_texts(spark, sf):
+    """Text and attributes of titles and links."""
+    el = html_elements(Inputs(spark, sf)["pages"]).filter(F.col("tag").isin("title", "a"))
+    return el.groupBy("page_id", "tag", F.try_element_at("attrs", F.lit("href")).alias("href"), "text") \
+        .agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@register("scan_named_model", "SELECT event_id, event_type FROM events WHERE event_type = 'click'")
+def scan_named_model(spark, sf):
+    """A table by its model name and one by its path, through the same door."""
+    named = Tables(spark, {"FactEvents": f"{sf}/events.parquet"})["FactEvents"]
+    direct = Tables(spark, {})[f"{sf}/events.parquet"]
+    clicks = named.filter("event_type = 'click'").select("event_id", "event_type")
+    return clicks.join(direct.select("event_id"), "event_id", "left_semi")
+
+
+@register("write_partitioned", """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 0.0 ELSE o_totalprice END AS o_totalprice
+FROM orders""")
+def write_partitioned(spark, sf):
+    """A partitioned model of which one partition is written again; the others stay."""
+    orders = Inputs(spark, sf)["orders"].select("o_orderkey", "o_orderstatus", "o_totalprice")
+    path = f"{tables_dir(spark)}/write-partitioned-{uuid.uuid4().hex}"
+    write_model(orders, path, partition_by=["o_orderstatus"])
+    again = orders.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.lit(0.0))
+    write_model(again, path, partition_by=["o_orderstatus"])
+    return spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 @register("scan_valid_pages", with_inputs([], final=P.VALID_PAGES_FINAL))
 def scan_valid_pages(spark, sf):
-    return Inputs(spark, sf)["pages"].select("page_id", F.length("html").alias("n_chars"), page_ok("html").alias("ok"))
+    ok, rejected = valid_pages(Inputs(spark, sf)["pages"])
+    return ok.unionByName(rejected).select("page_id", F.length("html").alias("n_chars"), page_ok("html").alias("ok"))
 
 
 def _responses(i: Inputs, kind: str):
@@ -165,8 +178,30 @@ def upsert_latest_q(spark, sf):
     return upsert_latest(i["raw_existing"], i["raw_incoming"])
 
 
-@register("ingest_status", with_inputs(["stored_responses"], P.GROUPS_CTE, P.ARRAYS_CTE, final=P.STATUS_FINAL))
-def ingest_status_q(spark, sf):
+@register("upsert_raw_rows", with_inputs(["raw_existing", "raw_incoming"], final=P.UPSERT_FINAL))
+def upsert_raw_rows(spark, sf):
+    """The table is written, upserted and read back."""
+    i = Inputs(spark, sf)
+    path = f"{tables_dir(spark)}/raw-responses-{uuid.uuid4().hex}"
+    upsert_raw_table(spark, path, i["raw_existing"])
+    upsert_raw_table(spark, path, i["raw_incoming"])
+    return spark.read.parquet(path).select(*RAW_COLS)
+
+
+def ingest_sql(final: str) -> str:
+    return with_inputs([*P.MATRIX_INPUTS, "stored_responses", "prices"], P.MATRIX_CTES, P.GROUPS_CTE, P.ARRAYS_CTE, P.RESULTS_CTES, final=final)
+
+
+def _ingest(spark, sf):
     i = Inputs(spark, sf)
-    _, status = ingest(i["stored_responses"], i["prices"], RUN_DATE)
-    return status
+    return ingest(i["stored_responses"], i["prices"])
+
+
+@register("ingest_raw_rows", ingest_sql(P.RAW_ROWS_FINAL))
+def ingest_raw_rows(spark, sf):
+    return _ingest(spark, sf)[0]
+
+
+@register("ingest_status", ingest_sql(P.STATUS_FINAL))
+def ingest_status_q(spark, sf):
+    return _ingest(spark, sf)[1]

@@ -41,7 +41,7 @@ mp_table_cards AS (
     CAST(NULL AS VARCHAR) AS gpu, CAST(NULL AS VARCHAR) AS gpu_vram, CAST(NULL AS VARCHAR) AS gpu_tflops,
     CAST(NULL AS VARCHAR) AS cpu_cores_raw,
     CASE WHEN v.k % 2 = 0 THEN '1 Gbit/s' ELSE '10 Gbit/s' END AS bandwidth,
-    CASE WHEN c.position < 3 THEN 'unlimited' WHEN c.position = 3 THEN '20 TB' END AS traffic,
+    CASE WHEN c.position < 3 THEN 'unlimited' WHEN c.position = 3 OR c.page_id % 3 = 1 THEN '20 TB' END AS traffic,
     c.monthly_key, c.hourly_key
   FROM mp_cards c JOIN mp_cols v ON v.page_id = c.page_id AND v.col = c.position
   WHERE c.line <> 'gpu'),
@@ -76,9 +76,12 @@ GPU_FINAL = ("SELECT page_id, position, plan_name, cpu_model, cores_count, cpu_c
 LAST_WINS_FINAL = "SELECT page_id, position, plan_name, gpu IS NOT NULL AS enriched FROM mp_gpu_cards"
 KEYS_FINAL = ("SELECT DISTINCT product_key FROM (SELECT monthly_key AS product_key FROM mp_cards "
               "UNION ALL SELECT hourly_key FROM mp_cards)")
-TWO_ROLES_FINAL = """SELECT c.page_id, c.position, c.monthly_key, c.hourly_key, pm.prices AS monthly_prices,
+_LATEST = """(SELECT product_key, prices FROM prices WHERE priced_at <= TIMESTAMP '{until}'
+  QUALIFY row_number() OVER (PARTITION BY product_key ORDER BY priced_at DESC) = 1)"""
+TWO_ROLES_FINAL = f"""SELECT c.page_id, c.position, c.monthly_key, c.hourly_key, pm.prices AS monthly_prices,
   ph.prices AS hourly_prices
-FROM mp_cards c LEFT JOIN prices pm ON pm.product_key = c.monthly_key LEFT JOIN prices ph ON ph.product_key = c.hourly_key"""
+FROM mp_cards c LEFT JOIN {_LATEST.format(until='9999-01-01')} pm ON pm.product_key = c.monthly_key
+LEFT JOIN {_LATEST.format(until='9999-01-01')} ph ON ph.product_key = c.hourly_key"""
 JSON_ROUNDTRIP_FINAL = """SELECT page_id, position, CAST(json_object('plan_name', plan_name, 'monthly_key', monthly_key,
   'hourly_key', hourly_key, 'cores_count', cores_count, 'cpu_model', cpu_model) AS VARCHAR) AS doc FROM mp_enriched"""
 
@@ -93,8 +96,8 @@ SPEC_ROWS_FINAL = " UNION ALL ".join(
 FROM matrix_parts WHERE line <> 'gpu' GROUP BY page_id""" for a, label, col in _ATTR_ROWS
 ) + """ UNION ALL SELECT DISTINCT page_id, 'traffic', 'traffic', 2, 'unlimited™' FROM matrix_parts WHERE line <> 'gpu'"""
 
-EXPAND_FINAL = """SELECT page_id, string_agg(CASE WHEN position < 3 THEN 'unlimited™' WHEN position = 3 THEN '20 TB'
-  ELSE '' END, '|' ORDER BY position) AS traffic_cells
+EXPAND_FINAL = """SELECT page_id, string_agg(CASE WHEN position < 3 THEN 'unlimited™' WHEN position = 3 OR page_id % 3 = 1
+  THEN '20 TB' ELSE '' END, '|' ORDER BY position) AS traffic_cells
 FROM mp_cards WHERE line <> 'gpu' GROUP BY page_id"""
 
 # ------------------------------------------------------------------------------------------------
@@ -111,10 +114,9 @@ g_obj AS (
   FROM g_resp),
 g_out AS (
   SELECT response_id, body,
-    COALESCE(json_valid(obj) AND json_array_length(obj, '$.plansGroups') > 0, FALSE) AS ok,
-    CASE WHEN json_valid(obj) AND json_array_length(obj, '$.plansGroups') > 0
-      THEN CAST(json_extract(obj, '$.plansGroups') AS VARCHAR) END AS payload
-  FROM g_obj)"""
+    COALESCE(json_valid(obj) AND json_array_length(last_groups) > 0, FALSE) AS ok,
+    CASE WHEN json_valid(obj) AND json_array_length(last_groups) > 0 THEN CAST(json(last_groups) AS VARCHAR) END AS payload
+  FROM (SELECT *, NULLIF(regexp_extract(obj, '.*"plansGroups":(\\[[^\\]]*\\])', 1), '') AS last_groups FROM g_obj))"""
 GROUPS_FINAL = "SELECT response_id, ok, payload FROM g_out"
 
 ARRAYS_CTE = """
@@ -122,7 +124,7 @@ a_resp AS (
   SELECT response_id, body, replace(body, '\\"', '"') AS u FROM stored_responses WHERE kind = 'arrays'),
 a_parts AS (
   SELECT response_id, body,
-    NULLIF(regexp_extract(u, '"servers":(\\[[^\\]]*\\])', 1), '') AS a1,
+    CASE WHEN response_id % 8 <> 7 THEN NULLIF(regexp_extract(u, '"servers":(\\[[^\\]]*\\])', 1), '') END AS a1,
     NULLIF(regexp_extract(u, '"virtualMachines":(\\[[^\\]]*\\])', 1), '') AS a2
   FROM a_resp),
 a_inner AS (
@@ -136,7 +138,8 @@ a_out AS (
   FROM a_inner)"""
 ARRAYS_FINAL = "SELECT response_id, ok, payload FROM a_out"
 
-CATALOG_OK = "COALESCE(json_valid(body) AND json_type(body) = 'OBJECT' AND list_contains(json_keys(body), 'plans'), FALSE)"
+CATALOG_OK = ("CASE WHEN json_valid(body) THEN COALESCE(json_type(body) = 'OBJECT' AND list_contains(json_keys(body), 'plans'), FALSE) "
+              "ELSE FALSE END")
 SHAPE_FINAL = f"SELECT response_id, {CATALOG_OK} AS ok FROM stored_responses WHERE kind = 'catalog'"
 PAYLOAD_ROWS_FINAL = """SELECT response_id, CAST(CASE WHEN json_type(body) = 'ARRAY' THEN json_array_length(body)
   WHEN json_type(body) = 'OBJECT' AND json_type(body, '$.plans') = 'ARRAY' THEN json_array_length(body, '$.plans')
@@ -147,19 +150,55 @@ EXPLODE_FINAL = """SELECT response_id, CAST(i AS INTEGER) AS item_pos,
 FROM (SELECT response_id, body, unnest(range(CAST(json_array_length(body, '$.plans') AS BIGINT))) AS i
       FROM stored_responses WHERE kind = 'catalog' AND {ok})""".format(ok=CATALOG_OK)
 
-STATUS_FINAL = f"""SELECT provider, CAST(count_if(ok) AS BIGINT) AS n_ok, CAST(count_if(NOT ok) AS BIGINT) AS n_failed,
-  count_if(ok) = 0 AS failed
-FROM (
-  SELECT 'Cherry Servers' AS provider, ok AND length(body) >= {R.MIN_PAGE_CHARS} AS ok FROM g_out
-  UNION ALL SELECT 'Latitude', ok AND length(body) >= {R.MIN_PAGE_CHARS} FROM a_out
-  UNION ALL SELECT 'OVH', {CATALOG_OK} FROM stored_responses WHERE kind = 'catalog'
-  UNION ALL SELECT 'Hetzner', length(body) >= {R.MIN_PAGE_CHARS} FROM stored_responses WHERE kind = 'matrix')
-GROUP BY provider"""
+_FINE = f"length(body) >= {R.MIN_PAGE_CHARS}"
+# every distinct response with its verdict and, where it is fine, its payload
+RESULTS_CTES = f"""
+known_prices AS {_LATEST.format(until='2026-05-04 06:00:00')},
+card_json AS (
+  SELECT page_id, position, CAST(to_json(struct_pack({', '.join(f'{f} := {f}' for f in (
+      'line', 'plan_name', 'plan_id', 'cpu_count', 'cpu_model', 'cores_count', 'cpu_arch', 'cpu_detail_raw', 'frequency', 'ram', 'storage',
+      'gpu', 'gpu_vram', 'gpu_tflops', 'cpu_cores_raw', 'bandwidth', 'traffic', 'monthly_key', 'hourly_key'))})) AS VARCHAR) AS plain,
+    coalesce(pm.prices, 'null') AS pm, coalesce(ph.prices, 'null') AS ph
+  FROM mp_enriched LEFT JOIN known_prices pm ON pm.product_key = monthly_key LEFT JOIN known_prices ph ON ph.product_key = hourly_key),
+page_json AS (
+  SELECT page_id, '[' || string_agg(left(plain, length(plain) - 1) || ',"monthly_prices":' || pm || ',"hourly_prices":' || ph || '}}', ','
+    ORDER BY position) || ']' AS payload
+  FROM card_json GROUP BY page_id),
+results AS (
+  SELECT provider, source_url, fetched_at, g.ok AND length(s.body) >= {R.MIN_PAGE_CHARS} AS ok, payload
+  FROM stored_responses s JOIN g_out g USING (response_id) WHERE kind = 'groups'
+  UNION ALL
+  SELECT provider, source_url, fetched_at, a.ok AND length(s.body) >= {R.MIN_PAGE_CHARS}, payload
+  FROM stored_responses s JOIN a_out a USING (response_id) WHERE kind = 'arrays'
+  UNION ALL
+  SELECT provider, source_url, fetched_at, {CATALOG_OK}, body FROM stored_responses WHERE kind = 'catalog'
+  UNION ALL
+  SELECT DISTINCT provider, source_url, fetched_at, {_FINE}, coalesce(payload, '[]')
+  FROM stored_responses LEFT JOIN page_json ON response_id = 100000000 + page_id WHERE kind = 'matrix'
+  UNION ALL
+  SELECT provider, source_url, fetched_at, FALSE, NULL FROM stored_responses WHERE kind = 'rss' OR kind IS NULL)"""
+STATUS_FINAL = """SELECT provider, CAST(count_if(ok) AS BIGINT) AS n_ok, CAST(count_if(NOT ok) AS BIGINT) AS n_failed,
+  count_if(ok) = 0 AS failed FROM results GROUP BY provider"""
+RAW_ROWS_FINAL = """SELECT provider, CAST(fetched_at AS DATE) AS extracted_date, source_url, payload, fetched_at
+FROM results WHERE ok"""
 
-UPSERT_FINAL = """SELECT arg_min(provider, fetched_at) AS provider, extracted_date, source_url,
-  arg_max(payload, fetched_at) AS payload, max(fetched_at) AS fetched_at
-FROM (SELECT * FROM raw_existing UNION ALL SELECT * FROM raw_incoming) GROUP BY extracted_date, source_url"""
+UPSERT_FINAL = """SELECT first_provider AS provider, extracted_date, source_url, payload, fetched_at
+FROM (
+  SELECT *, first_value(provider) OVER (PARTITION BY extracted_date, source_url
+      ORDER BY is_new, fetched_at NULLS FIRST, provider NULLS LAST) AS first_provider
+  FROM (SELECT *, 0 AS is_new FROM raw_existing UNION ALL SELECT *, 1 FROM raw_incoming))
+QUALIFY row_number() OVER (PARTITION BY extracted_date, source_url
+  ORDER BY fetched_at DESC NULLS LAST, is_new DESC, payload DESC NULLS LAST) = 1"""
 
+# texts and links of the element table, read off the raw pages
+TEXTS_FINAL = """SELECT page_id, tag, href, n, trim(regexp_replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'),
+  '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) AS text
+FROM (
+  SELECT page_id, 'title' AS tag, CAST(NULL AS VARCHAR) AS href, 1 AS n, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t FROM pages
+  UNION ALL
+  SELECT page_id, 'a', x[1], CAST(count(*) AS INTEGER), x[2]
+  FROM (SELECT page_id, unnest(list_zip(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1),
+    regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2))) AS x FROM pages) GROUP BY ALL)"""
 ELEMENTS_FINAL = """SELECT page_id, lower(t) AS tag, count(*) AS n_elements
 FROM (SELECT page_id, unnest(regexp_extract_all(html, '<([a-zA-Z][^\\s/>]*)', 1)) AS t FROM pages)
 GROUP BY 1, 2"""

@@ -15,7 +15,7 @@ from __future__ import annotations
 WEB_EVENTS = """
 SELECT e.event_id, e.ts AS original_timestamp, e.event_type,
   CASE WHEN e.event_id % 11 = 0 THEN NULL ELSE concat('a', CAST(e.user_id AS STRING)) END AS anonymous_id,
-  CASE WHEN e.user_id % 3 = 0 THEN concat('u', CAST(e.user_id % 40 AS STRING)) END AS user_id,
+  CASE WHEN e.user_id % 3 = 0 THEN concat('u', CAST(e.user_id AS STRING)) END AS user_id,
   CASE WHEN e.event_id % 13 = 0 THEN NULL
        ELSE concat(CAST(e.user_id AS STRING), '-', CAST(dayofyear(e.ts) AS STRING)) END AS session_id,
   p.url AS page_url,
@@ -32,7 +32,7 @@ SELECT e.event_id, e.ts AS original_timestamp, e.event_type,
        WHEN 3 THEN 'youtube.com' WHEN 4 THEN 'acs.bank.com' WHEN 5 THEN 'blog.example.org'
        WHEN 6 THEN 'accounts.google.com' WHEN 7 THEN 'korys.cherryservers.com'
        WHEN 8 THEN split_part(p.url, '/', 3) END AS page_initial_referrer_domain,
-  CASE e.event_id % 23 WHEN 0 THEN concat('g', CAST(e.event_id % 97 AS STRING)) END AS gclid,
+  CASE e.event_id % 23 WHEN 0 THEN concat('g', CAST(CAST((e.event_id - e.event_id % 30) / 30 AS BIGINT) AS STRING)) END AS gclid,
   CASE e.event_id % 29 WHEN 0 THEN concat('aff', CAST(e.user_id % 5 AS STRING)) END AS affiliate_code,
   CASE e.event_id % 6 WHEN 0 THEN 'Mozilla/5.0 (Windows NT 10.0; Win64)' WHEN 1 THEN 'X11; compatible; bot'
        WHEN 2 THEN 'Mozilla/5.0 (iPhone; CPU iPhone OS 17)' WHEN 3 THEN 'Googlebot (compatible)'
@@ -57,23 +57,27 @@ FROM {web_events} WHERE event_type = 'signup'
 """
 
 GADS = """
-SELECT concat('g', CAST(event_id % 97 AS STRING)) AS gclid,
-  CAST(CASE WHEN event_id % 97 < 50 THEN (event_id % 97) * 10 ELSE (event_id % 97) * 10 + event_id % 2 END AS BIGINT)
-    AS ad_group_id,
-  CASE WHEN event_id % 97 % 4 = 0 THEN NULL ELSE concat('kw', CAST(event_id % 97 AS STRING)) END AS keyword_info_text
-FROM {events} WHERE event_type = 'purchase'
+SELECT concat('g', CAST(block AS STRING)) AS gclid,
+  CASE WHEN block % 97 < 50 THEN block * 10 ELSE block * 10 + event_id % 2 END AS ad_group_id,
+  CASE WHEN block % 4 = 0 THEN NULL ELSE concat('kw', CAST(block AS STRING)) END AS keyword_info_text
+FROM (SELECT event_id, CAST((event_id - event_id % 30) / 30 AS BIGINT) AS block FROM {events} WHERE event_type = 'purchase') x
 """
 
 CLIENTS = """
-SELECT DISTINCT concat('u', CAST(c_custkey % 60 AS STRING)) AS korys_client_id,
-  CASE WHEN c_custkey % 60 % 5 = 0 THEN NULL ELSE c_custkey % 60 % 7 = 0 END AS is_company_partner
+SELECT concat('u', CAST(c_custkey AS STRING)) AS korys_client_id,
+  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_custkey % 7 = 0 END AS is_company_partner
 FROM {customer}
 """
 
+# one row per ordering client, some clients twice, and rows without a key
 DIM_CLIENTS = """
-SELECT concat('u', CAST(o_custkey % 60 AS STRING)) AS korys_client_id,
+SELECT concat('u', CAST(o_custkey AS STRING)) AS korys_client_id,
   min(CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE o_orderdate + INTERVAL 28 YEAR END) AS korys_contact_created_date
-FROM {orders} GROUP BY concat('u', CAST(o_custkey % 60 AS STRING))
+FROM {orders} GROUP BY o_custkey
+UNION ALL
+SELECT concat('u', CAST(o_custkey AS STRING)), max(o_orderdate + INTERVAL 28 YEAR) FROM {orders} WHERE o_custkey % 9 = 1 GROUP BY o_custkey
+UNION ALL
+SELECT CAST(NULL AS STRING), o_orderdate + INTERVAL 28 YEAR FROM {orders} WHERE o_orderkey % 50 = 0
 """
 
 WEB_ORDERS = """
@@ -94,21 +98,21 @@ FROM {web_events} WHERE event_type = 'error'
 """
 
 SALES = """
-SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE concat('u', CAST(o_custkey % 60 AS STRING)) END AS korys_client_id,
+SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE concat('u', CAST(o_custkey AS STRING)) END AS korys_client_id,
   CASE o_orderkey % 4 WHEN 0 THEN 'new_new' WHEN 1 THEN 'new_old' WHEN 2 THEN 'renewal' END AS order_state,
   CAST(o_orderdate + INTERVAL 28 YEAR AS DATE) AS resource_date_start,
   CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderdate + INTERVAL 28 YEAR AS DATE) - CAST(o_orderkey % 20 AS INT) END
     AS resource_value_date,
   o_custkey AS partner_id,
-  concat('att', CAST(o_orderkey % 50 AS STRING)) AS attribution_id,
-  CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
+  concat('att', CAST(CAST((o_orderkey - o_orderkey % 8) / 8 AS BIGINT) AS STRING)) AS attribution_id,
+  CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.37 AS DECIMAL(3,2)) AS amount,
   CASE o_orderkey % 5 WHEN 0 THEN 'paid' WHEN 1 THEN 'confirm' WHEN 2 THEN 'invoice' WHEN 3 THEN 'draft' END
     AS invoice_state
 FROM {orders}
 """
 
 TEAMS = """
-SELECT c.c_custkey AS odoo_partner_id, concat('u', CAST(c.c_custkey % 60 AS STRING)) AS team_owner_client_id,
+SELECT c.c_custkey AS odoo_partner_id, concat('u', CAST(c.c_custkey - c.c_custkey % 3 AS STRING)) AS team_owner_client_id,
   f.first_order_date
 FROM {customer} c
 LEFT JOIN (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS first_order_date FROM {orders} GROUP BY o_custkey) f
@@ -125,17 +129,16 @@ FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
 """
 
 ATTRIBUTION = """
-SELECT DISTINCT concat('att', CAST(o_orderkey % 50 AS STRING)) AS attribution_id,
-  CASE o_orderkey % 50 % 4 WHEN 0 THEN 'cpc' WHEN 1 THEN 'ppc' WHEN 2 THEN 'email' END AS medium,
-  CASE o_orderkey % 50 % 3 WHEN 0 THEN 'Affiliate' WHEN 1 THEN 'Direct' ELSE 'Paid Search' END
-    AS default_channel_grouping
-FROM {orders}
+SELECT concat('att', CAST(block AS STRING)) AS attribution_id,
+  CASE block % 4 WHEN 0 THEN 'cpc' WHEN 1 THEN 'ppc' WHEN 2 THEN 'email' END AS medium,
+  CASE block % 3 WHEN 0 THEN 'Affiliate' WHEN 1 THEN 'Direct' ELSE 'Paid Search' END AS default_channel_grouping
+FROM (SELECT DISTINCT CAST((o_orderkey - o_orderkey % 8) / 8 AS BIGINT) AS block FROM {orders}) x
 """
 
-AD_COST = "SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_extendedprice AS DECIMAL(18,2)) AS cost FROM {lineitem}"
+AD_COST = "SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.0101 AS DECIMAL(5,4)) AS cost FROM {lineitem}"
 
 AFFILIATE_COST = """
-SELECT CAST(o_orderdate AS DATE) AS date_invoice, CAST(o_totalprice AS DECIMAL(18,2)) AS commission_amt,
+SELECT CAST(o_orderdate AS DATE) AS date_invoice, CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.0003 AS DECIMAL(5,4)) AS commission_amt,
   CASE o_orderkey % 4 WHEN 0 THEN 'paid' WHEN 1 THEN 'confirm' WHEN 2 THEN 'cancel' END AS state
 FROM {orders}
 """
@@ -330,64 +333,69 @@ SELECT page_id, max(line) AS line, concat('https://example.test/matrix-', CAST(p
       '<tr><th>HDD</th>', AGG('<td>9 TB</td>'), '</tr>',
       '<tr><th>SATA SSD</th>', AGG(concat('<td>', ssd_text, '</td>')), '</tr>',
       '<tr><th>Connection</th>', AGG(concat('<td colspan="x">', conn_text, '</td>')), '</tr>',
-      '<tr><th>Traffic</th><td colspan="3">unlimited&trade;</td><td colspan="-2">20 TB</td></tr>',
+      '<tr><th>Traffic</th><td colspan="3">unlimited&trade;</td><td colspan="', CASE WHEN page_id % 3 = 1 THEN '2000000000' ELSE '-2' END,
+      '">20 TB</td></tr>',
       '</table>') END,
     '</body></html>') AS html
 FROM {matrix_parts} GROUP BY page_id
 """
 
-PRICES = """
-SELECT concat('m', CAST(p_partkey AS STRING)) AS product_key,
-  CASE WHEN p_partkey % 7 <> 1 THEN concat('{{"currency":"EUR","price":', CAST(CAST(p_retailprice AS DECIMAL(18,2))
-    AS STRING), ',"role":1}}') END AS prices
-FROM {part}
-UNION ALL
-SELECT concat('h', CAST(p_partkey AS STRING)) AS product_key,
-  CASE WHEN p_partkey % 7 <> 2 THEN concat('{{"currency":"EUR","price":', CAST(CAST(p_retailprice AS DECIMAL(18,2))
-    AS STRING), ',"role":2}}') END AS prices
-FROM {part}
-"""
+# three prices per key: an old one, the one that holds when the pages are fetched, and a later one
+PRICES = " UNION ALL ".join(f"""
+SELECT concat('{role}', CAST(p_partkey AS STRING)) AS product_key,
+  CASE WHEN p_partkey % 7 <> {slot} THEN concat('{{{{"currency":"EUR","price":', CAST(p_size * {factor} AS STRING), ',"role":"{role}"}}}}') END
+    AS prices, CAST('{priced} 00:00:00' AS TIMESTAMP) AS priced_at
+FROM {{part}}""" for role, slot in (("m", 1), ("h", 2)) for priced, factor in (("2026-04-01", 11), ("2026-05-01", 9), ("2026-05-05", 8)))
 
 # an escaped double quote (backslash + quote), spelled the same way for both engines
 _BQ = "concat(chr(92), '\"')"
 STORED_RESPONSES = """
-SELECT event_id AS response_id, 'Cherry Servers' AS provider, 'groups' AS kind, CAST(NULL AS STRING) AS line,
-  concat('https://example.test/pricing/', CAST(event_id AS STRING)) AS source_url, ts AS fetched_at,
+SELECT event_id AS response_id, 'provider-a' AS provider, 'groups' AS kind, CAST(NULL AS STRING) AS line,
+  concat('https://example.test/pricing/', CAST(user_id AS STRING)) AS source_url, ts AS fetched_at,
   concat('<html><head><script>',
-    CASE event_id % 5 WHEN 0 THEN 'window.OTHER_DATA = {{"plansGroups":[' ELSE 'window.PLANS_PRICING_DATA = {{"plansGroups":[' END,
+    CASE event_id % 5 WHEN 0 THEN 'window.OTHER_DATA = {{"plansGroups":[' WHEN 3 THEN 'window.PLANS_PRICING_DATA = {{"plansGroups":[0],"plansGroups":['
+      ELSE 'window.PLANS_PRICING_DATA = {{"plansGroups":[' END,
     CASE event_id % 5 WHEN 1 THEN '' ELSE props END,
     CASE event_id % 5 WHEN 2 THEN ' </script>' ELSE '],"currency":"EUR"}};</script>' END,
     '</head><body>', CASE WHEN event_id % 13 = 0 THEN '' ELSE repeat('<p>plans</p>', 90) END, '</body></html>') AS body
 FROM {events} WHERE event_type = 'view'
 UNION ALL
-SELECT event_id, 'Latitude', 'arrays', CAST(NULL AS STRING),
+SELECT event_id, 'provider-b', 'arrays', CAST(NULL AS STRING),
   concat('https://example.test/lat/', CAST(event_id AS STRING)), ts,
   concat('<html><body>', repeat('<div>plan</div>', 80), '<script>self.__next_f.push([1,"{{',
-    CASE WHEN event_id % 4 IN (1, 2) THEN '' ELSE concat(BQ, 'servers', BQ, ':[', replace(props, '"', BQ), '],') END,
+    CASE WHEN event_id % 4 IN (1, 2) THEN '' ELSE concat(BQ, 'servers', BQ, ':[', replace(props, '"', BQ),
+      CASE WHEN event_id % 8 = 7 THEN ',' ELSE '],' END) END,
     CASE WHEN event_id % 4 IN (0, 2) THEN '' ELSE concat(BQ, 'virtualMachines', BQ, ':[', replace(props, '"', BQ), ',',
       replace(props, '"', BQ), ']') END,
     '}}"])</script></body></html>')
 FROM {events} WHERE event_type = 'click'
 UNION ALL
-SELECT event_id, 'OVH', 'catalog', CAST(NULL AS STRING),
-  concat('https://example.test/catalog?ovhSubsidiary=', CAST(event_id % 7 AS STRING)), ts,
+SELECT event_id, 'provider-c', 'catalog', CAST(NULL AS STRING),
+  concat('https://example.test/catalog?subsidiary=', CAST(event_id AS STRING)), ts,
   CASE event_id % 3 WHEN 0 THEN concat('{{"catalogId":1,"plans":[', props, ',', props, ']}}')
        WHEN 1 THEN concat('[', props, ']') ELSE props END
 FROM {events} WHERE event_type = 'signup'
 UNION ALL
-SELECT 100000000 + page_id, 'Hetzner', 'matrix', line, url, CAST('2026-05-04 06:00:00' AS TIMESTAMP), html
+SELECT 100000000 + page_id, 'provider-d', 'matrix', line, url, CAST('2026-05-04 06:00:00' AS TIMESTAMP), html
 FROM {matrix_pages}
 UNION ALL
-SELECT 200000000 + page_id, 'Hetzner', 'matrix', 'ex', url, CAST('2026-05-04 06:00:00' AS TIMESTAMP), html
+SELECT 100000000 + page_id, 'provider-d', 'matrix', line, url, CAST('2026-05-04 06:00:00' AS TIMESTAMP), html
+FROM {matrix_pages} WHERE page_id % 3 = 0
+UNION ALL
+SELECT 200000000 + page_id, 'provider-d', 'matrix', 'ex', url, CAST('2026-05-04 06:00:00' AS TIMESTAMP), html
 FROM {pages}
+UNION ALL
+SELECT event_id, 'provider-e', CASE WHEN event_id % 2 = 0 THEN 'rss' END, CAST(NULL AS STRING), 'https://example.test/feed', ts, props
+FROM {events} WHERE event_type = 'purchase'
 """
 
 STORED_RESPONSES = STORED_RESPONSES.replace("BQ", _BQ)
 
+# versions of a key: several, equal ones, and (mostly) NULL ones
 RAW_EXISTING = """
-SELECT CASE event_id % 3 WHEN 0 THEN 'Cherry Servers' WHEN 1 THEN 'Latitude' ELSE 'OVH' END AS provider,
-  CAST(ts AS DATE) AS extracted_date, concat('https://example.test/src/', CAST(user_id % 25 AS STRING)) AS source_url,
-  props AS payload, ts AS fetched_at
+SELECT CASE event_id % 3 WHEN 0 THEN 'provider-a' WHEN 1 THEN 'provider-b' ELSE 'provider-c' END AS provider,
+  CAST(ts AS DATE) AS extracted_date, concat('https://example.test/src/', CAST(user_id AS STRING)) AS source_url,
+  props AS payload, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE ts END AS fetched_at
 FROM {events} WHERE event_type IN ('view', 'click', 'error')
 """
 RAW_INCOMING = RAW_EXISTING.replace("('view', 'click', 'error')", "('purchase', 'signup')")

@@ -1,90 +1,116 @@
 """JSON embedded in stored pages (H2, H3) and JSON payload helpers.
 
-No character scanner is needed for H2: ``try_parse_json`` on the text after the marker parses the
-first complete JSON value and ignores what follows (``;</script>...``); an unterminated or junk
-object gives NULL. The payload text is taken with ``get_json_object``, which keeps key order
-(VARIANT re-serialisation would sort keys).
-H3 needs the end offset of the first array to continue the search after it: a vectorised
-(Arrow) helper returns it with the standard-library JSON decoder.
+Both extractions need the end of a JSON value inside a page, which may hold anything behind it, so
+they run in one vectorised (Arrow) pass over the pages that need it: the body reaches Python once and
+comes back as (payload, error). A value ends where its brackets balance outside strings; an
+unterminated object is an error, an unterminated array counts as absent, a balanced value that is not
+JSON is an error. Of a repeated key the last value counts, as in Python's decoder.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import IntegerType
 
 from ..functions import rules as R
 from ..session import ship_package
 
-# Python treats these member values as empty (``if not groups``)
-FALSY_JSON = ["[]", "{}", '""', "0", "0.0", "false", "null"]
-
-
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def embedded_object(df: DataFrame, html: str = "html", marker: str = R.GROUPS_MARKER,
-                    member: str = R.GROUPS_KEY) -> DataFrame:
-    """H2: the ``member`` of the JSON object after ``marker``; adds ``payload`` (JSON text) and
-    ``error`` (NULL when usable): marker missing, object unterminated/invalid, or member empty."""
-    m = _sql_str(marker)
-    pos = F.expr(f"locate({m}, `{html}`)")
-    tail = F.when(pos > 0, F.expr(f"substr(`{html}`, locate({m}, `{html}`) + {len(marker)})"))
-    doc_ok = F.try_parse_json(tail).isNotNull()
-    value = F.get_json_object(tail, f"$.{member}")
-    err = (F.when(pos == 0, F.lit("marker not found"))
-           .when(~doc_ok, F.lit("end of JSON object not found"))
-           .when(value.isNull() | value.isin(*FALSY_JSON), F.lit(f"{member} is empty")))
-    return df.withColumn("error", err).withColumn("payload", F.when(F.col("error").isNull(), value))
-
-
-@pandas_udf(IntegerType())
-def json_value_end(text: pd.Series, start: pd.Series) -> pd.Series:
-    """1-based position just after the JSON value starting at 1-based ``start``;
-    0 when there is no start, -1 when the value is not valid JSON."""
-    dec = json.JSONDecoder()
-    out = []
-    for t, s in zip(text, start):
-        if t is None or pd.isna(s) or s <= 0:
-            out.append(0)
+_TOKEN = {"{": re.compile(r'\\.|["{}]', re.S), "[": re.compile(r'\\.|["\[\]]', re.S)}
+
+
+def value_end(text: str, start: int, opener: str) -> int:
+    """Offset behind the bracket that balances the first ``opener`` from ``start`` on; -1 where none does."""
+    depth, quoted = 0, False
+    for t in _TOKEN[opener].finditer(text, start):
+        mark = t.group()
+        if mark == '"':
+            quoted = not quoted
+        elif quoted or len(mark) == 2:
+            continue
+        elif mark == opener:
+            depth += 1
+        else:
+            depth -= 1
+            if depth == 0:
+                return t.end()
+    return -1
+
+
+def compact(value) -> str:
+    return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+
+
+def object_member(text: str, marker: str = R.GROUPS_MARKER, member: str = R.GROUPS_KEY) -> tuple[str | None, str | None]:
+    """H2: (payload, error) of the member of the JSON object behind ``marker``."""
+    at = text.find(marker)
+    if at < 0:
+        return None, "marker not found"
+    start = at + len(marker)
+    end = value_end(text, start, "{")
+    if end < 0:
+        return None, "end of JSON object not found"
+    try:
+        value = json.loads(text[start:end])
+    except ValueError:
+        return None, "object is not valid JSON"
+    found = value.get(member) if isinstance(value, dict) else None
+    return (compact(found), None) if found else (None, f"{member} is empty")
+
+
+def escaped_arrays(text: str, markers=R.ARRAY_MARKERS) -> tuple[str | None, str | None]:
+    """H3: (payload, error) of the arrays behind the markers, each searched behind the one before."""
+    text, items, behind = text.replace('\\"', '"'), [], 0
+    for marker in markers:
+        at = text.find(marker, behind)
+        end = value_end(text, at + len(marker) - 1, "[") if at >= 0 else -1
+        if end < 0:         # absent, or never closed
+            behind = 0
             continue
         try:
-            _, end = dec.raw_decode(t, int(s) - 1)
-            out.append(end + 1)
+            items += json.loads(text[at + len(marker) - 1:end])
         except ValueError:
-            out.append(-1)
-    return pd.Series(out, dtype="int32")
+            return None, "array is not valid JSON"
+        behind = end
+    return (compact(items), None) if items else (None, "0 plans extracted")
+
+
+_EXTRACTORS = {"groups": object_member, "arrays": escaped_arrays}
+
+
+@pandas_udf(T.StructType([T.StructField("payload", T.StringType()), T.StructField("error", T.StringType())]))
+def extract_json(kind: pd.Series, body: pd.Series) -> pd.DataFrame:
+    """Payload and error of every body by its kind; nothing for other kinds and NULL bodies."""
+    out = [_EXTRACTORS[k](b) if k in _EXTRACTORS and b is not None else (None, None) for k, b in zip(kind, body, strict=True)]
+    return pd.DataFrame(out, columns=["payload", "error"])
 
 
-def embedded_arrays(df: DataFrame, html: str = "html", markers=R.ARRAY_MARKERS) -> DataFrame:
-    """H3: two arrays after ``"servers":[`` and ``"virtualMachines":[`` (the second searched after
-    the end of the first) in a page whose quotes are escaped; concatenated into ``payload``.
-    ``error``: an array that cannot be parsed, or no element in either."""
-    first, second = markers
+def embedded_payload(df: DataFrame, kind: str | Column, body: str | Column) -> Column:
+    """Struct (payload, error); bodies of other kinds than ``groups`` and ``arrays`` are not sent to Python."""
     ship_package(df.sparkSession)
-    d = (df.withColumn("_u", F.replace(F.col(html), F.lit('\\"'), F.lit('"')))
-           .withColumn("_p1", F.expr(f"locate({_sql_str(first)}, _u)"))
-           .withColumn("_s1", F.when(F.col("_p1") > 0, F.col("_p1") + len(first) - 1))   # the '['
-           .withColumn("_e1", F.coalesce(json_value_end(F.col("_u"), F.col("_s1")), F.lit(0)))
-           .withColumn("_from", F.when(F.col("_e1") > 0, F.col("_e1")).otherwise(F.lit(1)))
-           .withColumn("_p2", F.expr(f"locate({_sql_str(second)}, _u, _from)"))
-           .withColumn("_s2", F.when(F.col("_p2") > 0, F.col("_p2") + len(second) - 1))
-           .withColumn("_e2", F.coalesce(json_value_end(F.col("_u"), F.col("_s2")), F.lit(0)))
-           .withColumn("_a1", F.when(F.col("_e1") > 0, F.get_json_object(F.expr("substr(_u, _s1)"), "$")))
-           .withColumn("_a2", F.when(F.col("_e2") > 0, F.get_json_object(F.expr("substr(_u, _s2)"), "$"))))
-    inner1 = F.when(F.length("_a1") > 2, F.expr("substr(_a1, 2, length(_a1) - 2)"))
-    inner2 = F.when(F.length("_a2") > 2, F.expr("substr(_a2, 2, length(_a2) - 2)"))
-    payload = F.concat(F.lit("["), F.concat_ws(",", inner1, inner2), F.lit("]"))
-    err = (F.when((F.col("_e1") < 0) | (F.col("_e2") < 0), F.lit("array is not valid JSON"))
-           .when(payload == "[]", F.lit("0 plans extracted")))
-    d = d.withColumn("error", err).withColumn("payload", F.when(F.col("error").isNull(), payload))
-    return d.drop("_u", "_p1", "_s1", "_e1", "_from", "_p2", "_s2", "_e2", "_a1", "_a2")
+    k, b = (F.col(c) if isinstance(c, str) else c for c in (kind, body))
+    return extract_json(k, F.when(k.isin(*_EXTRACTORS), b))
+
+
+def _embedded(df: DataFrame, kind: str, html: str) -> DataFrame:
+    out = df.withColumn("_x", embedded_payload(df, F.lit(kind), html))
+    missing = F.when(F.col(html).isNull(), F.lit("no body"))
+    return out.withColumn("payload", F.col("_x.payload")).withColumn("error", F.coalesce(F.col("_x.error"), missing)).drop("_x")
+
+
+def embedded_object(df: DataFrame, html: str = "html") -> DataFrame:
+    """H2: adds ``payload`` (JSON text) and ``error`` (NULL when usable)."""
+    return _embedded(df, "groups", html)
+
+
+def embedded_arrays(df: DataFrame, html: str = "html") -> DataFrame:
+    """H3: adds ``payload`` (JSON text) and ``error`` (NULL when usable)."""
+    return _embedded(df, "arrays", html)
 
 
 def explode_payload(df: DataFrame, payload: str = "payload", schema: str = "map<string,string>") -> DataFrame:

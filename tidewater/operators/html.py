@@ -1,286 +1,268 @@
-"""Stored pages → element table → plan cards (H1, H4–H7).
+"""Stored pages → plan cards (H1, H4–H7), page-local from end to end.
 
-H1 is the only per-row Python: a small tree builder on the standard-library HTML parser turns each
-page into rows of an element table, inside an Arrow-batched ``mapInPandas`` (one page never leaves
-its task). Everything after it is relational:
+HTML parsing is the only Python: an Arrow-batched ``mapInArrow`` around the standard-library parser.
+``html_elements`` (H1) yields one row per element; the card extraction uses ``read_pages``, which yields
+one row per page with just the elements the rules look at, by role, and the table rows with their cells.
+Everything after that is array expressions on that row in the JVM:
 
-* "first descendant of X matching P" = elements matching P, exploded over their ancestor path,
-  equi-joined to X on (page_id, ancestor ord), minimum ord per X. Work is linear in
-  (matching elements × depth); no pairs of cards × elements are formed.
-* spec rows (H5) are folded per page with ``aggregate()`` over the page's ordered table rows, which
-  reproduces "first matching row wins, a used rule is skipped" exactly.
+* a "first descendant of X matching P" is the first part that matches P and has X among its ancestors;
+* spec rows (H5) are folded with ``aggregate()`` over the page's ordered table rows, which reproduces
+  "first matching row wins, a used rule is skipped" exactly;
+* spec values meet their card by position: cells repeated by colspan, padded or cut to the cards.
 
-Element table: page_id, ord (pre-order, root = 0), parent, depth, tag, class array<string>,
-attrs map<string,string>, text (all descendant text, whitespace collapsed), path array<int>
-(ords of all ancestors, root first).
+No join or shuffle is needed after the pages are spread over the cores, a page stored twice cannot mix
+with itself, and Python yields every ``CHUNK_CHARS`` of pages, so its memory does not grow with the batch.
+
+Element: ord (pre-order, root = 0), parent, depth, tag, class array<string>, attrs map<string,string>,
+text (all descendant text, whitespace collapsed), path (ords of all ancestors, root first).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..session import ship_package, write_table
 from ..functions.text import blank_to_null, clean_or_null, clean_text, core_count, cpu_arch, cut_upgradeable, \
     gpu_core_count, key_fallback
+from ..session import ship_package
 
 ELEMENT_SCHEMA = ("page_id long, ord int, parent int, depth int, tag string, class array<string>, "
                   "attrs map<string,string>, text string, path array<int>")
+CELL_T = "struct<text:string,colspan:string>"
+ROW_T = f"struct<up:array<int>,label:string,cells:array<{CELL_T}>>"
+#: What the card rules look at, by role, in document order. ``up``: ords of all ancestors.
+PARTS = {"cards": "array<int>", "names": "array<struct<up:array<int>,text:string>>",
+         "prices": "array<struct<up:array<int>,tag:string,key:string,price_type:string>>", "grids": "array<int>",
+         "items": "array<struct<up:array<int>,tag:string,class:array<string>,text:string>>", "tables": "array<int>",
+         "rows": f"array<{ROW_T}>"}
+CHUNK_CHARS = 1 << 21
 _VOID = frozenset(R.HTML_VOID_TAGS)
+PARENT, FIRST_TEXT, LAST_TEXT = 2, 4, 5
 
 
-class _TreeBuilder(HTMLParser):
-    """Element rows in document order; tolerant end tags, void tags never opened."""
+class PageReader(HTMLParser):
+    """Elements of one page in document order. An end tag closes the innermost open element of its name
+    and all that is open inside it; one without an open element is ignored; void tags hold nothing."""
 
-    def __init__(self):
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        # per element: [tag, attrs, parent, depth, first_text_index, end_text_index]
-        self.nodes = [["__root__", {}, -1, 0, 0, None]]
-        self.stack = [0]
-        self.texts: list[str] = []
+        # tag, attributes, parent, depth, and the slice of ``words`` that is the element's text
+        self.elements: list[list] = [["__root__", {}, -1, 0, 0, None]]
+        self.open = [0]
+        self.words: list[str] = []
+        self.feed(html)
+        self.close()
+        self.shut(0)
 
-    def _add(self, tag, attrs):
-        parent = self.stack[-1]
-        self.nodes.append([tag, dict(attrs), parent, len(self.stack), len(self.texts), None])
-        return len(self.nodes) - 1
+    def shut(self, level: int) -> None:
+        """Close the open elements from ``level`` on."""
+        for i in self.open[level:]:
+            self.elements[i][LAST_TEXT] = len(self.words)
+        del self.open[level:]
 
     def handle_starttag(self, tag, attrs):
-        i = self._add(tag, attrs)
+        self.open.append(len(self.elements))
+        self.elements.append([tag, dict(attrs), self.open[-2], len(self.open) - 1, len(self.words), None])
         if tag in _VOID:
-            self.nodes[i][5] = len(self.texts)
-        else:
-            self.stack.append(i)
+            self.shut(len(self.open) - 1)
 
     def handle_startendtag(self, tag, attrs):
-        i = self._add(tag, attrs)
-        self.nodes[i][5] = len(self.texts)
+        self.handle_starttag(tag, attrs)
+        if tag not in _VOID:
+            self.shut(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.nodes[self.stack[k]][0] == tag:
-                for j in self.stack[k:]:
-                    self.nodes[j][5] = len(self.texts)
-                del self.stack[k:]
-                return
+        names = [self.elements[i][0] for i in self.open]
+        if tag in names[1:]:
+            self.shut(len(names) - 1 - names[::-1].index(tag))
 
     def handle_data(self, data):
-        if data and data.strip():
-            self.texts.append(data)
-
-    def rows(self, text_tags=None, text_classes=None):
-        """Element rows; with ``text_tags`` / ``text_classes`` the descendant text is kept only for
-        elements of those tags or classes (NULL elsewhere)."""
-        keep_all = text_tags is None and text_classes is None
-        text_tags, text_classes = frozenset(text_tags or ()), frozenset(text_classes or ())
-        self.close()
-        for j in self.stack:
-            self.nodes[j][5] = len(self.texts)
-        path: list[int] = []
-        for i, (tag, attrs, parent, depth, a, b) in enumerate(self.nodes):
-            if i == 0:
-                continue
-            del path[max(depth - 2, 0):]          # keep the ancestors above the parent
-            if depth >= 2:
-                path.append(parent)
-            cls = (attrs.get("class", "") or "").split()
-            wanted = keep_all or tag in text_tags or not text_classes.isdisjoint(cls)
-            text = " ".join(" ".join(self.texts[a:b]).split()) if wanted else None
-            yield i, parent, depth, tag, cls, attrs, text, [0] + list(path)
-
-
-def _exploder(text_tags=None, text_classes=None):
-    def explode_pages(batches):
-        for pdf in batches:
-            out = []
-            for page_id, html in zip(pdf["page_id"], pdf["html"]):
-                if html is None:
-                    continue
-                tb = _TreeBuilder()
-                tb.feed(html)
-                for ord_, parent, depth, tag, cls, attrs, text, path in tb.rows(text_tags, text_classes):
-                    out.append((int(page_id), ord_, parent, depth, tag, cls, attrs, text, path))
-            yield pd.DataFrame(out, columns=["page_id", "ord", "parent", "depth", "tag", "class", "attrs", "text",
-                                             "path"])
-    return explode_pages
-
-
-# Text the card extraction reads: table cells and the classed name / grid elements. Containers (html,
-# body, tables, cards) would otherwise repeat the page's text once per nesting level.
-EXTRACTION_TEXT_TAGS = ("th", "td")
-EXTRACTION_TEXT_CLASSES = (R.CARD_NAME_CLASS, R.GPU_GRID_NAME_CLASS, *[k for k, _ in R.GPU_GRID_CELLS])
-
-
-def html_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                  materialise: bool = False, text_tags=None, text_classes=None) -> DataFrame:
-    """H1: one row per element of every page (page-local work, no shuffle).
-
-    ``text_tags`` / ``text_classes`` limit the descendant text to the elements a job reads (all by
-    default). The extractors read the element table about ten times; with ``materialise`` it is
-    parsed once and written as a Parquet table in the shared checkpoint folder (later reads are
-    columnar with filter pushdown, and the lineage back to the Python stage is cut)."""
+        if data.strip():
+            self.words.append(data)
+
+    def text(self, i: int) -> str:
+        _, _, _, _, a, b = self.elements[i]
+        return " ".join(" ".join(self.words[a:b]).split())
+
+    def ancestors(self) -> list[list[int]]:
+        """The ancestors of every element, root first."""
+        up: list[list[int]] = [[]]
+        for e in self.elements[1:]:
+            up.append([*up[e[PARENT]], e[PARENT]])
+        return up
+
+
+def classes(attrs: dict) -> list[str]:
+    return (attrs.get("class") or "").split()
+
+
+def element_rows(html: str) -> list[tuple]:
+    page = PageReader(html)
+    up = page.ancestors()
+    return [(i, parent, depth, tag, classes(attrs), list(attrs.items()), page.text(i), up[i])
+            for i, (tag, attrs, parent, depth, _, _) in enumerate(page.elements) if i]
+
+
+ITEM_CLASSES = frozenset([R.GPU_GRID_NAME_CLASS, *[k for k, _ in R.GPU_GRID_CELLS]])
+
+
+def page_parts(html: str) -> dict[str, list]:
+    """The elements of a page that the card rules look at, by role; text only where a rule reads it."""
+    page = PageReader(html)
+    up, out, rows = page.ancestors(), {k: [] for k in PARTS}, {}
+    for i, (tag, attrs, parent, _, _, _) in enumerate(page.elements):
+        names = classes(attrs)
+        if tag == "div" and set(R.CARD_CLASSES) <= set(names):
+            out["cards"].append(i)
+        if tag == "div" and R.GPU_GRID_CLASS in names:
+            out["grids"].append(i)
+        if R.CARD_NAME_CLASS in names:
+            out["names"].append({"up": up[i], "text": page.text(i)})
+        if tag in (R.MONTHLY_PRICE_TAG, R.HOURLY_PRICE_TAG):
+            out["prices"].append({"up": up[i], "tag": tag, "key": attrs.get(R.PRODUCT_KEY_ATTR), "price_type": attrs.get("price-type")})
+        if not ITEM_CLASSES.isdisjoint(names):
+            out["items"].append({"up": up[i], "tag": tag, "class": names, "text": page.text(i)})
+        if tag == "table":
+            out["tables"].append(i)
+        elif tag == "tr":
+            rows[i] = (up[i], [])
+        elif tag in ("th", "td") and parent in rows:
+            rows[parent][1].append({"text": page.text(i), "colspan": attrs.get("colspan")})
+    out["rows"] = [{"up": u, "label": c[0]["text"].lower(), "cells": c[1:]} for u, c in rows.values() if c]
+    return out
+
+
+def _spread(pages: DataFrame, key: Column) -> DataFrame:
+    """Pages over at least the configured parallelism: parsing runs at about 1 MB/s per core, shuffling bytes far faster."""
     spark = pages.sparkSession
-    ship_package(spark)
-    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"))
-    # Python parsing runs at ~1 MB/s per core, shuffling bytes ~100x faster: spread the pages over
-    # at least the configured parallelism instead of inheriting a few coalesced partitions.
-    n = max(src.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")),
-            spark.sparkContext.defaultParallelism)
-    # (a hash of the key: a plain ``repartition(n, page_id)`` over data already hashed on page_id
-    # would be dropped as redundant, leaving whatever partitions AQE coalesced)
-    el = src.repartition(n, F.xxhash64("page_id")).mapInPandas(_exploder(text_tags, text_classes), ELEMENT_SCHEMA)
-    return write_table(el, "elements") if materialise else el
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return pages.repartition(n, key)
+
+
+def _parsed(pages: DataFrame, parse: Callable[[str | None], list], schema: str) -> DataFrame:
+    """One output record list per page: all columns but the last (the body) are repeated beside ``parse(body)``."""
+    ship_package(pages.sparkSession)
+    keep = pages.columns[:-1]
+    full = pages.select(*keep).limit(0).selectExpr("*", *[f"CAST(NULL AS {t}) AS `{n}`" for n, t in
+                                                          (x.split(" ", 1) for x in schema.split(", "))]).schema
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+        target = to_arrow_schema(full)
+        new = pa.schema([target.field(i) for i in range(len(keep), len(target))])
+        for b in batches:
+            bodies, at = b.column(b.num_columns - 1), 0
+            while at < b.num_rows:
+                start, size, source, out = at, 0, [], []
+                while at < b.num_rows and size < CHUNK_CHARS:
+                    body = bodies[at].as_py()
+                    records = parse(body)
+                    out += records
+                    source += [at] * len(records)
+                    size += len(body or "") + 1
+                    at += 1
+                kept = [c.take(pa.array(source, pa.int64())) for c in b.columns[:-1]]
+                made = pa.Table.from_pylist(out, schema=new).combine_chunks()
+                cols = kept + [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in made.columns]
+                if at > start and source:
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, target, strict=True)], schema=target)
+
+    return pages.mapInArrow(run, full)
+
+
+def html_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """H1: one row per element of every page."""
+    names = ["ord", "parent", "depth", "tag", "class", "attrs", "text", "path"]
+    src = pages.filter(F.col(html_col).isNotNull()).select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"))
+    return _parsed(_spread(src, F.xxhash64("page_id")), lambda html: [dict(zip(names, r, strict=True)) for r in element_rows(html)],
+                   ELEMENT_SCHEMA.removeprefix("page_id long, "))
+
+
+def read_pages(pages: DataFrame, html_col: str = "html", carry: Sequence[str] = ("page_id",), spread: bool = True) -> DataFrame:
+    """One row per page: the carried columns and its parts (NULL where the body is NULL)."""
+    src = pages.select(*carry, F.col(html_col).alias("_html"))
+    if spread:
+        src = _spread(src, F.xxhash64(*carry))
+    return _parsed(src, lambda html: [dict.fromkeys(PARTS) if html is None else page_parts(html)],
+                   ", ".join(f"{k} {t}" for k, t in PARTS.items()))
 
 
 # ------------------------------------------------------------------------------------------------
-# relational helpers over the element table
+# H4 + H7: product cards and GPU grids
 # ------------------------------------------------------------------------------------------------
-def has_class(name: str) -> Column:
-    return F.array_contains(F.col("class"), name)
+def first_inside(parts: str, anchor: Column, test: Callable[[Column], Column], field: str) -> Column:
+    """The field of the anchor's first descendant, in document order, among the parts that pass; NULL without one."""
+    return F.get(F.filter(parts, lambda e: F.array_contains(e["up"], anchor) & test(e)), F.lit(0))[field]
 
 
-def attr(name: str) -> Column:
-    return F.try_element_at(F.col("attrs"), F.lit(name))
+def product_cards() -> Column:
+    """H4: the page's cards with a name and a price key, in document order: plan_name, monthly_key, hourly_key."""
+    def found(c):
+        return F.struct(
+            clean_text(first_inside("names", c, lambda e: F.lit(True), "text")).alias("plan_name"),
+            blank_to_null(first_inside("prices", c, lambda e: e["tag"] == R.MONTHLY_PRICE_TAG, "key")).alias("m"),
+            blank_to_null(first_inside("prices", c, lambda e: (e["tag"] == R.HOURLY_PRICE_TAG) & F.coalesce(
+                e["price_type"] == R.HOURLY_PRICE_TYPE, F.lit(False)), "key")).alias("h"))
 
+    def card(c):
+        monthly, hourly = key_fallback(c["m"], c["h"])
+        return F.struct(c["plan_name"].alias("plan_name"), monthly.alias("monthly_key"), hourly.alias("hourly_key"))
 
-def page_has_table(elements: DataFrame) -> DataFrame:
-    """Pages with at least one ``<table>`` (the extractor branch is chosen per page)."""
-    return (elements.filter(F.col("tag") == "table").select("page_id").distinct()
-            .withColumn("has_table", F.lit(True)))
+    cards = F.transform(F.transform("cards", found), card)
+    return F.filter(cards, lambda c: (c["plan_name"] != "") & c["monthly_key"].isNotNull())
 
 
-# ------------------------------------------------------------------------------------------------
-# H4 + H7 anchors: product cards and GPU grids, with their first-descendant lookups in one pass
-# ------------------------------------------------------------------------------------------------
 GRID_FIELDS = [f for _, f in R.GPU_GRID_CELLS]
 
 
-def _lookups() -> list[tuple[str, Column, Column]]:
-    """(name, predicate, value) of every "first descendant matching P" the extractors need."""
-    key = F.coalesce(attr(R.PRODUCT_KEY_ATTR), F.lit(""))
-    text = F.col("text")
-    out = [
-        ("name_text", has_class(R.CARD_NAME_CLASS), text),
-        ("m_key", F.col("tag") == R.MONTHLY_PRICE_TAG, key),
-        ("h_key", (F.col("tag") == R.HOURLY_PRICE_TAG)
-         & (F.coalesce(attr("price-type"), F.lit("")) == R.HOURLY_PRICE_TYPE), key),
-        ("grid_name", has_class(R.GPU_GRID_NAME_CLASS), text),
-    ]
-    out += [(f, (F.col("tag") == "div") & has_class(klass), text) for klass, f in R.GPU_GRID_CELLS]
-    return out
-
+def gpu_grids() -> Column:
+    """H7 grids, the last first: cleaned name and the six cleaned cells."""
+    def grid(g):
+        cells = [clean_text(F.coalesce(first_inside("items", g, lambda e, k=klass: (e["tag"] == "div") & F.array_contains(e["class"], k),
+                                                    "text"), F.lit(""))).alias(f) for klass, f in R.GPU_GRID_CELLS]
+        name = first_inside("items", g, lambda e: F.array_contains(e["class"], R.GPU_GRID_NAME_CLASS), "text")
+        return F.struct(clean_text(name).alias("plan_name"), *cells)
 
-def anchor_lookups(elements: DataFrame) -> DataFrame:
-    """For every card and grid anchor: the value of its first descendant (document order) for each
-    lookup. Candidates are exploded over their ancestor path and equi-joined to the anchors on
-    (page_id, ancestor ord) once; work is linear in candidates × depth."""
-    a, b = R.CARD_CLASSES
-    is_card = (F.col("tag") == "div") & has_class(a) & has_class(b)
-    is_grid = (F.col("tag") == "div") & has_class(R.GPU_GRID_CLASS)
-    anchors = elements.filter(is_card | is_grid).select(
-        "page_id", F.col("ord").alias("anchor_ord"), is_card.alias("is_card"), is_grid.alias("is_grid"))
-    lk = _lookups()
-    any_match = lk[0][1]
-    for _, pred, _ in lk[1:]:
-        any_match = any_match | pred
-    cand = elements.filter(any_match).select(
-        "page_id", *[F.when(pred, F.struct(F.col("ord"), val.alias("v"))).alias(f"_{name}") for name, pred, val in lk],
-        F.explode("path").alias("anchor_ord"))
-    j = cand.join(anchors, ["page_id", "anchor_ord"])
-    return (j.groupBy("page_id", "anchor_ord", "is_card", "is_grid")
-            .agg(*[F.min(f"_{name}")["v"].alias(name) for name, _, _ in lk]))
-
-
-def product_cards(elements: DataFrame, looked: DataFrame | None = None) -> DataFrame:
-    """H4: cards with a name and a price key; ``position`` is the document-order number among
-    the page's valid cards (0-based) and ``n_cards`` their count."""
-    v = (looked if looked is not None else anchor_lookups(elements)).filter("is_card")
-    mk, hk = key_fallback(F.coalesce("m_key", F.lit("")), F.coalesce("h_key", F.lit("")))
-    cards = (v.filter(F.col("name_text").isNotNull())
-             .select("page_id", "anchor_ord", clean_text("name_text").alias("plan_name"), mk.alias("monthly_key"),
-                     hk.alias("hourly_key"))
-             .filter((F.col("plan_name") != "") & F.col("monthly_key").isNotNull()))
-    page = Window.partitionBy("page_id")                      # one page's cards: bounded by page size
-    return (cards.withColumn("position", (F.row_number().over(page.orderBy("anchor_ord")) - 1).cast("int"))
-                 .withColumn("n_cards", F.count(F.lit(1)).over(page).cast("int")))
-
-
-def gpu_grids(elements: DataFrame, looked: DataFrame | None = None) -> DataFrame:
-    """H7 grids: cleaned name and the six cells; of several grids with one name the last wins."""
-    v = (looked if looked is not None else anchor_lookups(elements)).filter("is_grid")
-    v = v.filter(F.col("grid_name").isNotNull()).withColumn("plan_name", clean_text("grid_name"))
-    cells = F.struct(*[clean_text(F.coalesce(F.col(f), F.lit(""))).alias(f) for f in GRID_FIELDS])
-    return (v.groupBy("page_id", "plan_name").agg(F.max_by(cells, F.col("anchor_ord")).alias("g"))
-            .select("page_id", "plan_name", *[F.col(f"g.{f}").alias(f"g_{f}") for f in GRID_FIELDS]))
+    return F.reverse(F.filter(F.transform("grids", grid), lambda g: g["plan_name"].isNotNull()))
 
 
 # ------------------------------------------------------------------------------------------------
 # H5: hardware table rows, first matching row per attribute
 # ------------------------------------------------------------------------------------------------
 ATTRIBUTES = ["cpu", "cpu_detail", "ram", "nvme", "ssd", "hdd", "bandwidth", "traffic"]
-
-
-def _label_rules_sql(label: str) -> list[str]:
-    """Conditions of the ordered label rules (a rule already used is skipped), one per attribute."""
-    return [
-        f"startswith({label}, 'cpu') AND NOT contains({label}, 'detail')",
-        f"contains({label}, 'cpu') AND contains({label}, 'detail')",
-        f"startswith({label}, 'ram')",
-        f"contains({label}, 'nvme')",
-        f"(contains({label}, 'sata ssd') OR startswith({label}, 'ssd ') OR {label} = 'ssd')",
-        f"contains({label}, 'hdd') AND NOT contains({label}, 'ssd')",
-        f"(contains({label}, 'guaranteed bandwidth') OR {label} = 'connection')",
-        f"startswith({label}, 'traffic')",
-    ]
-
-
-def table_rows(elements: DataFrame) -> DataFrame:
-    """(page_id, table_ord, tr_ord, label, cells) for every row of every table, in document order.
-
-    A row inside nested tables is listed once per enclosing table, as a per-table scan does."""
-    tables = elements.filter(F.col("tag") == "table").select("page_id", F.col("ord").alias("table_ord"))
-    trs = (elements.filter(F.col("tag") == "tr")
-           .select("page_id", F.col("ord").alias("tr_ord"), F.explode("path").alias("table_ord"))
-           .join(tables, ["page_id", "table_ord"]))
-    cells = (elements.filter(F.col("tag").isin("th", "td"))
-             .select("page_id", F.col("parent").alias("tr_ord"),
-                     F.struct("ord", "text", attr("colspan").alias("colspan")).alias("cell"))
-             .groupBy("page_id", "tr_ord").agg(F.array_sort(F.collect_list("cell")).alias("cells")))
-    return (trs.join(cells, ["page_id", "tr_ord"])
-            .select("page_id", "table_ord", "tr_ord",
-                    F.lower(F.try_element_at("cells", F.lit(1))["text"]).alias("label"),
-                    F.slice("cells", 2, 1 << 30).alias("cells")))
-
-
-CELL_T = "array<struct<ord:int,text:string,colspan:string>>"
-ROW_T = f"struct<label:string,cells:{CELL_T}>"
+PICKED_T = f"struct<label:string,cells:array<{CELL_T}>>"
 
 
 def _fold_sql(rows: str) -> str:
     """``aggregate()`` over a page's ordered rows: state = (label, cells) per attribute, NULL until a
     row is assigned; a row goes to the first rule it matches whose attribute is still unassigned."""
-    init = "named_struct(" + ", ".join(f"'{a}', CAST(NULL AS {ROW_T})" for a in ATTRIBUTES) + ")"
+    init = "named_struct(" + ", ".join(f"'{a}', CAST(NULL AS {PICKED_T})" for a in ATTRIBUTES) + ")"
     picked = "named_struct('label', r.label, 'cells', r.cells)"
     branches = []
-    for a, cond in zip(ATTRIBUTES, _label_rules_sql("r.label")):
+    for a, cond in R.SPEC_LABEL_RULES:
         new_state = ", ".join(f"'{b}', {picked if b == a else 'st.' + b}" for b in ATTRIBUTES)
-        branches.append(f"WHEN st.{a} IS NULL AND {cond} THEN named_struct({new_state})")
+        branches.append(f"WHEN st.{a} IS NULL AND {cond.format(label='r.label')} THEN named_struct({new_state})")
     return f"aggregate({rows}, {init}, (st, r) -> CASE {' '.join(branches)} ELSE st END)"
 
 
-def spec_rows(elements: DataFrame) -> DataFrame:
-    """One row per page: for each attribute the (label, value cells) of the first table row
-    assigned to it; NULL when no row was assigned."""
-    rows = table_rows(elements)
-    per_page = (rows.groupBy("page_id")
-                .agg(F.array_sort(F.collect_list(F.struct("table_ord", "tr_ord", "label", "cells"))).alias("rows")))
-    folded = per_page.select("page_id", F.expr(_fold_sql("rows")).alias("s"))
-    return folded.select("page_id", *[F.col(f"s.{a}").alias(a) for a in ATTRIBUTES])
+def page_facts(read: DataFrame) -> DataFrame:
+    """``read_pages`` rows with has_table, cards, grids and specs (per attribute the (label, value cells) of the
+    first table row assigned to it, NULL without one) in place of the parts.
+
+    A row inside nested tables is listed once per enclosing table, as a per-table scan does."""
+    listed = "flatten(transform(tables, t -> filter(rows, r -> array_contains(r.up, t))))"
+    return read.select(*[c for c in read.columns if c not in PARTS], (F.size("tables") > 0).alias("has_table"),
+                       product_cards().alias("cards"), gpu_grids().alias("grids"), F.expr(_fold_sql(listed)).alias("specs"))
 
 
+# ------------------------------------------------------------------------------------------------
+# H6: values by position
+# ------------------------------------------------------------------------------------------------
 def _ustrip(c: Column) -> Column:
     return F.regexp_replace(c, r"^(?U)\s+|(?U)\s+$", "")
 
@@ -288,42 +270,27 @@ def _ustrip(c: Column) -> Column:
 def storage_part(v: Column, label: str) -> Column:
     """``"<value> <label>"`` for a storage cell, NULL for blank, ``-`` or digit-less values."""
     v0 = _ustrip(v)
-    head = _ustrip(F.element_at(F.split(v0, r"(?iU)\boptionally\b", 2), 1))
+    head = _ustrip(F.element_at(F.split(v0, R.OPTIONALLY_WORD, 2), 1))
     v1 = F.regexp_replace(head, r"(?U)\s+", " ")
     ok = (v0 != "") & (v0 != "-") & (v1 != "") & v1.rlike(r"(?U)\d")
     return F.when(ok, F.concat(v1, F.lit(" " + label)))
 
 
-CARD_FIELDS = ["cpu_model", "cores_count", "cpu_arch", "cpu_detail_raw", "ram", "storage", "bandwidth", "traffic",
-               "gpu", "gpu_vram", "gpu_tflops", "cpu_cores_raw"]
-
-
-def spans_sql(cells: str) -> str:
-    """X1 (SQL text): repeat each cell's text ``max(1, colspan)`` times (a bad colspan counts as 1)."""
-    return (f"coalesce(flatten(transform({cells}, c -> array_repeat(c.text, "
-            f"greatest(1, coalesce(try_cast(c.colspan AS INT), 1))))), CAST(array() AS array<string>))")
-
-
 def expand_cells_sql(cells: str, n: str) -> str:
-    """X1 + X2 (SQL text): the expanded cells padded with '' or cut to exactly n values."""
-    return f"slice(concat({spans_sql(cells)}, array_repeat('', {n})), 1, {n})"
+    """X1 + X2 (SQL text): each cell's text repeated ``max(1, colspan)`` times (a bad colspan counts as 1), padded with ''
+    or cut to exactly n values. No cell is repeated more than n times: what is beyond is cut anyway."""
+    span = (f"least({n}, greatest(1, coalesce(try_cast(trim(c.colspan) AS BIGINT), "
+            f"CASE WHEN c.colspan RLIKE '^\\\\s*[+]?[0-9]+\\\\s*$' THEN {n} ELSE 1 END)))")
+    repeated = f"flatten(transform({cells}, c -> array_repeat(c.text, CAST({span} AS INT))))"
+    return f"slice(concat(coalesce({repeated}, CAST(array() AS array<string>)), array_repeat('', {n})), 1, {n})"
 
 
-def positional_values(specs: DataFrame) -> DataFrame:
-    """X1–X3 once per page: every assigned row expanded by colspan and turned into rows
-    (page_id, position, <attribute values>). Joined to cards on (page_id, position), a missing
-    position reads as '' and positions beyond the last card never join: the pad / cut to n of X2."""
-    expanded = specs.select("page_id", *[
-        F.expr(spans_sql(f"coalesce(`{a}`.cells, CAST(array() AS {CELL_T}))")).alias(a) for a in ATTRIBUTES])
-    zipped = F.arrays_zip(*[F.col(a) for a in ATTRIBUTES])
-    return expanded.select("page_id", F.posexplode(zipped).alias("position", "v")).select(
-        "page_id", F.col("position").cast("int").alias("position"),
-        *[F.col(f"v.{a}").alias(f"t_{a}") for a in ATTRIBUTES])
+CARD_FIELDS = ["cpu_model", "cores_count", "cpu_arch", "cpu_detail_raw", "ram", "storage", "bandwidth", "traffic",
+               "gpu", "gpu_vram", "gpu_tflops", "cpu_cores_raw"]
 
 
-def _table_fields() -> dict[str, Column]:
-    """H6 field expressions for a card joined with its row of positional values (t_<attribute>)."""
-    at = {a: F.coalesce(F.col(f"t_{a}"), F.lit("")) for a in ATTRIBUTES}
+def _table_fields(at: dict[str, Column]) -> dict[str, Column]:
+    """H6 field expressions over a card's value of every attribute ('' where there is none)."""
     storage = F.array_join(F.array_compact(F.array(*[storage_part(at[k], lbl) for k, lbl in R.STORAGE_KINDS])), ", ")
     null = F.lit(None).cast("string")
     return {
@@ -339,64 +306,34 @@ def _table_fields() -> dict[str, Column]:
     }
 
 
-def _gpu_fields() -> dict[str, Column]:
-    """H7 field expressions for a card joined with its grid (only the last card of a name)."""
-    hit = F.col("_is_last") & F.col("g_cpu_model").isNotNull()
+def _gpu_fields(grid: Column) -> dict[str, Column]:
+    """H7 field expressions over a card's grid (NULL: none, or not the last card of its name)."""
     null = F.lit(None).cast("string")
-
-    def pick(c: Column) -> Column:
-        return F.when(hit, blank_to_null(c))
-
-    raw = F.col("g_cpu_cores_raw")
+    raw = grid["cpu_cores_raw"]
     return {
-        "cpu_model": pick(F.col("g_cpu_model")),
-        "cores_count": F.when(hit & (raw != ""), gpu_core_count(raw)),
+        "cpu_model": blank_to_null(grid["cpu_model"]),
+        "cores_count": F.when(raw != "", gpu_core_count(raw)),
         "cpu_arch": null, "cpu_detail_raw": null,
-        "ram": pick(F.col("g_ram")),
+        "ram": blank_to_null(grid["ram"]),
         "storage": null, "bandwidth": null, "traffic": null,
-        "gpu": pick(F.col("g_gpu")), "gpu_vram": pick(F.col("g_gpu_vram")),
-        "gpu_tflops": pick(F.col("g_gpu_tflops")), "cpu_cores_raw": pick(raw),
+        "gpu": blank_to_null(grid["gpu"]), "gpu_vram": blank_to_null(grid["gpu_vram"]),
+        "gpu_tflops": blank_to_null(grid["gpu_tflops"]), "cpu_cores_raw": blank_to_null(raw),
     }
 
 
-def _with_last_flag(cards: DataFrame) -> DataFrame:
-    """A name lookup finds the last card with that name (dict overwrite, J11)."""
-    return cards.withColumn("_is_last", F.col("position") == F.max("position").over(
-        Window.partitionBy("page_id", "plan_name")))
-
-
-def enrich_from_table(cards: DataFrame, specs: DataFrame) -> DataFrame:
-    """H6 for cards of table pages: positional values joined on (page_id, position)."""
-    f = _table_fields()
-    vals = positional_values(specs)
-    return (cards.join(vals, ["page_id", "position"], "left")
-            .select(*cards.columns, *[f[c].alias(c) for c in CARD_FIELDS]))
-
-
-def enrich_from_gpu_grid(cards: DataFrame, grids: DataFrame) -> DataFrame:
-    """H7 for cards of pages without a table."""
-    f = _gpu_fields()
-    j = _with_last_flag(cards).join(grids, ["page_id", "plan_name"], "left")
-    return j.select(*cards.columns, *[f[c].alias(c) for c in CARD_FIELDS])
-
-
-def enriched_cards(elements: DataFrame) -> DataFrame:
-    """Cards with hardware fields in one plan: every card meets the positional values of its
-    page's table (page, position key) and its name's grid (page, name key); whether the page has a
-    table picks the fields. No branch is computed twice and nothing is re-expanded per card."""
-    looked = anchor_lookups(elements)
-    cards = product_cards(elements, looked)
-    vals = positional_values(spec_rows(elements))
-    c = (cards.join(page_has_table(elements), "page_id", "left")
-              .withColumn("has_table", F.coalesce("has_table", F.lit(False)))
-              .join(vals, ["page_id", "position"], "left"))
-    c = _with_last_flag(c).join(gpu_grids(elements, looked), ["page_id", "plan_name"], "left")
-    tf, gf = _table_fields(), _gpu_fields()
-    fields = [F.when(F.col("has_table"), tf[n]).otherwise(gf[n]).alias(n) for n in CARD_FIELDS]
-    return c.select(*cards.columns, *fields)
-
-
-def extraction_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """The element table as the card extraction needs it: text only where it is read, written once."""
-    return html_elements(pages, id_col, html_col, materialise=True, text_tags=EXTRACTION_TEXT_TAGS,
-                         text_classes=EXTRACTION_TEXT_CLASSES)
+def card_rows(facts: DataFrame) -> DataFrame:
+    """One row per card: the page's other columns, position, n_cards, has_table, name, keys and the hardware fields, by
+    table position on pages with a table, else from the last grid of the name, which only the last card of that name
+    gets (J11). The fields are plain columns above the explode: what belongs to the page is computed once per page."""
+    keep = [c for c in facts.columns if c not in ("cards", "grids", "specs", "has_table")]
+    d = facts.withColumn("n_cards", F.size("cards"))
+    page = d.select(*keep, "has_table", "n_cards", "grids", F.reverse("cards.plan_name").alias("_names"), "cards",
+                    *[F.expr(expand_cells_sql(f"specs.{a}.cells", "n_cards")).alias(f"_v_{a}") for a in ATTRIBUTES])
+    one = page.select("*", F.posexplode("cards").alias("position", "c")).select(
+        *keep, "position", "n_cards", "has_table", "c.plan_name", "c.monthly_key", "c.hourly_key",
+        F.when(F.array_position("_names", F.col("c.plan_name")) == F.col("n_cards") - F.col("position"),
+               F.get(F.filter("grids", lambda g: g["plan_name"] == F.col("c.plan_name")), F.lit(0))).alias("_grid"),
+        *[F.coalesce(F.get(F.col(f"_v_{a}"), F.col("position")), F.lit("")).alias(f"_at_{a}") for a in ATTRIBUTES])
+    tf, gf = _table_fields({a: F.col(f"_at_{a}") for a in ATTRIBUTES}), _gpu_fields(F.col("_grid"))
+    fields = [F.when(F.col("has_table"), tf[f]).otherwise(gf[f]).alias(f) for f in CARD_FIELDS]
+    return one.select(*keep, "position", "n_cards", "has_table", "plan_name", "monthly_key", "hourly_key", *fields)

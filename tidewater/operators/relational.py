@@ -3,9 +3,8 @@
 Design rules (100 TB, 1000 executors):
 * "first row per key" is an aggregation (``min_by`` on a NULLS-LAST order struct), never a window:
   partial aggregation runs map-side, so a key holding a third of all rows costs no hot task.
-* exact ranks (``row_number``) that are output columns use ``row_number_skew_safe``: range
-  partitioning spreads a hot key over many tasks, per-key offsets come from a table bounded by
-  the number of partitions.
+* exact ranks (``row_number``) that are output columns use ``row_number_skew_safe``: slices of the
+  order spread a hot key over many tasks, offsets come from counts per (key, slice).
 * outer joins on a nullable key spread the NULL keys (which can never match) over all partitions
   instead of hashing them all into one task.
 * nothing is broadcast unless its size is bounded by construction; everything else is left to
@@ -20,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col_
-from ..session import checkpoint_dir, write_table
 
 NULL_KEY_PREFIX = "\u0000null:"
 
@@ -44,48 +42,26 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, cols: Seq
     return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in cols])
 
 
-def row_number_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence, name: str,
-                         num_partitions: int | None = None, min_rows_per_task: int = 2_000_000) -> DataFrame:
-    """Exact ``row_number() OVER (PARTITION BY keys ORDER BY order NULLS LAST)`` without a hot task.
-
-    The input is written once as a table in the shared checkpoint folder (both paths below read it
-    more than once, and the lineage is cut for executor loss). One bounded statistic then decides:
-    * no key larger than a task's fair share (``max(total / partitions, min_rows_per_task)``):
-      a plain window, one shuffle, exact;
-    * otherwise (a key holding, say, a third of all rows):
-      1. range-partition on (keys, order), so the hot key spans many partitions;
-      2. rank inside (partition, key) with a window (each group is at most one range partition);
-      3. a key continuing from earlier partitions is the first key of its partition, so the offsets
-         to add form a table of at most ``num_partitions`` rows: broadcast by construction.
-      The ranked frame is read twice (ranks, offsets) and its partition ids must agree, so it is
-      materialised with a reliable checkpoint.
+def row_number_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence, name: str, slice_by: Column | None = None) -> DataFrame:
+    """Exact ``row_number() OVER (PARTITION BY keys ORDER BY order NULLS LAST)`` (bigint) without a hot task.
+
+    One path for all sizes. ``slice_by`` is a coarse, monotone function of the first order column (by
+    default the hour of a timestamp; NULL slices last). A row's number is its number inside (key,
+    slice), plus the rows of the key's earlier slices, which come from an aggregation reduced map-side.
+    A key that holds a third of all rows is spread over its slices; a window over a key only ever sees
+    one row per slice. The ranked frame is shuffled once: the window and the join share their key.
     ``order`` must end with a unique tie-breaker (ties are arbitrary in the reference).
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key_sort = [F.col(k).asc_nulls_last() for k in keys]
     ord_sort = [col_(o).asc_nulls_last() for o in order]
-    src = write_table(df, "rank-input")
-    stats = src.groupBy(*keys).count().agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
-    largest, total = (stats["largest"] or 0), (stats["total"] or 0)
-    if largest <= max(total / n, min_rows_per_task):
-        return src.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*ord_sort)))
-
-    ranged = src.repartitionByRange(n, *key_sort, *ord_sort).withColumn("_rp", F.spark_partition_id())
-    w = Window.partitionBy("_rp", *keys).orderBy(*ord_sort)
-    local = ranged.withColumn("_lr", F.row_number().over(w)).checkpoint(eager=True)
-    counts = local.groupBy("_rp", *keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (counts.withColumn("_off", F.sum("_n").over(before))
-               .filter(F.col("_off") > 0).drop("_n"))
-    cond = F.col("l._rp") == F.col("o._rp")
-    for k in keys:
-        cond = cond & F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}"))
-    out = (local.alias("l").join(F.broadcast(offsets.alias("o")), cond, "left")
-           .select("l.*", F.col("o._off").alias("_off")))
-    return out.withColumn(name, (F.col("_lr") + F.coalesce(F.col("_off"), F.lit(0))).cast("int")) \
-              .drop("_rp", "_lr", "_off")
+    piece = F.date_trunc("hour", col_(order[0])) if slice_by is None else slice_by
+    # a struct compares NULL fields as equal, so a NULL key is one group in the window and in the join alike
+    cells = df.withColumn("_cell", F.struct(*[F.col(k) for k in keys], piece.isNull().alias("_late"), piece.alias("_slice")))
+    counts = cells.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*[F.col(f"_cell.{k}") for k in keys]).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("_cell").orderBy(*ord_sort))
+    out = cells.withColumn("_i", inside).join(offsets, "_cell")
+    return out.withColumn(name, F.col("_off") + F.col("_i")).drop("_cell", "_i", "_off")
 
 
 def spread_null_key(key, salt) -> Column:
@@ -129,12 +105,6 @@ def left_join_or_keys(left: DataFrame, dim: DataFrame, left_key: str, dim_keys:
     return left.join(keyed, left[left_key] == keyed["_dk"], "left").drop("_dk")
 
 
-def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, cols: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``order`` per key (dict overwrite semantics: last one wins)."""
-    picked = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[col_(o) for o in order])).alias("_last")
-    return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in cols])
-
-
 def least_chain(cols: Sequence) -> list[Column]:
     """Monotone back-fill: stage i becomes ``least(stage_i, ..., stage_n)``."""
     cs = [col_(c) for c in cols]

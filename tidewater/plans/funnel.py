@@ -2,16 +2,17 @@
 
 Inputs (contracts, FIXTURES.md §1): sessions (the sessions model), clients (DimClients),
 orders (FactWebOrders), forms (FactWebForms), sales (FactSales), resources (FactResources),
-teams (DimTeams). ``korys_client_id`` is unique in ``clients`` (it is the dimension key).
+teams (DimTeams). ``clients`` may repeat a ``korys_client_id`` or hold NULL ones.
 
 Plan shape at scale (R3, R16): every touch source is reduced to ONE row per key before any join:
 * visitor touches: orders and forms are unioned and aggregated once per ``anonymous_id``
   (four conditional minima, partial aggregation map-side);
-* client touches: contact creation, sales and churn are unioned and aggregated once per client;
+* client touches: sales and churn are unioned and aggregated once per client;
 * churn: resources are reduced to one row per partner before meeting the teams dimension.
-The See set has at most one row per visitor and per client, so every later join is 1:1. The full
-outer join with clients is written as left join + anti join (AQE can split a skewed left join,
-not a full one), and NULL client keys are spread instead of hashed into one task.
+The See set has at most one row per visitor and per client; only contact rows that repeat a key
+multiply it, as the reference does. The full outer join with clients is written as left join + anti
+join (AQE can split a skewed left join, not a full one), and NULL client keys are spread instead of
+hashed into one task.
 """
 
 from __future__ import annotations
@@ -59,41 +60,35 @@ def visitor_touches(orders: DataFrame, forms: DataFrame) -> DataFrame:
         "form_name")
     ts, ot, fn = F.col("ts"), F.col("order_type"), F.col("form_name")
     return o.unionByName(f).groupBy("anonymous_id").agg(
-        F.min(F.when(~ot.isin(*R.DO_ORDER_TYPES), ts)).alias("first_order_page_visit"),   # NULL type: neither
-        F.min(F.when(ot.isin(*R.DO_ORDER_TYPES), ts)).alias("first_order_attempt"),
-        F.min(F.when(rx(fn, R.THINK_FORM_PATTERN), ts)).alias("first_think_form"),
-        F.min(F.when(fn.isin(*R.DO_FORMS), ts)).alias("first_do_form"),
+        F.min(F.when(~ot.isin(*R.DO_ORDER_TYPES), ts)).alias("order_page_at"),   # NULL type: neither
+        F.min(F.when(ot.isin(*R.DO_ORDER_TYPES), ts)).alias("order_try_at"),
+        F.min(F.when(rx(fn, R.THINK_FORM_PATTERN), ts)).alias("think_form_at"),
+        F.min(F.when(fn.isin(*R.DO_FORMS), ts)).alias("do_form_at"),
     )
 
 
 def churn_dates(resources: DataFrame, teams: DataFrame) -> DataFrame:
-    """``max(least(date_cancel, value_date) + 6 months)`` per team owner.
+    """``max(least(date_cancel, value_date) + 6 months)`` per team owner (D14, A6), per partner before the join.
 
-    Adding months is monotone, so the maximum is taken first, per partner, before the join."""
+    The months are added first: with times of day, clamped month ends need not keep their order."""
     per_partner = (resources.groupBy("partner_id")
-                   .agg(F.max(F.least("date_cancel", "resource_value_date")).alias("_end")))
+                   .agg(F.max(add_months_ts(F.least("date_cancel", "resource_value_date"), R.CHURN_GRACE_MONTHS)).alias("_end")))
     owners = teams.select(F.col("odoo_partner_id").alias("partner_id"),
                           F.col("team_owner_client_id").alias("korys_client_id"))
-    return (per_partner.join(owners, "partner_id").groupBy("korys_client_id")
-            .agg(add_months_ts(F.max("_end"), R.CHURN_GRACE_MONTHS).alias("churn_date")))
+    return per_partner.join(owners, "partner_id").groupBy("korys_client_id").agg(F.max("_end").alias("churn_date"))
 
 
-def client_touches(clients: DataFrame, sales: DataFrame, resources: DataFrame, teams: DataFrame) -> DataFrame:
-    """Contact creation, first new sale, first renewal and churn date per client, one aggregation."""
+def client_touches(sales: DataFrame, resources: DataFrame, teams: DataFrame) -> DataFrame:
+    """First new sale, first renewal and churn date per client, one aggregation."""
     null_ts, null_d, null_s = (F.lit(None).cast(NTZ), F.lit(None).cast("date"), F.lit(None).cast("string"))
-    c = clients.filter(F.col("korys_contact_created_date").isNotNull()).select(
-        "korys_client_id", to_utc("korys_contact_created_date").alias("created"), null_d.alias("d"),
-        null_s.alias("order_state"), null_ts.alias("churn_date"))
     s = sales.filter(F.col("korys_client_id").isNotNull()).select(
-        "korys_client_id", null_ts.alias("created"),
-        F.least("resource_date_start", "resource_value_date").alias("d"), "order_state", null_ts.alias("churn_date"))
-    ch = churn_dates(resources, teams).select("korys_client_id", null_ts.alias("created"), null_d.alias("d"),
-                                              null_s.alias("order_state"), "churn_date")
+        "korys_client_id", F.least("resource_date_start", "resource_value_date").alias("d"), "order_state", null_ts.alias("churn_date"))
+    ch = churn_dates(resources, teams).filter(F.col("korys_client_id").isNotNull()).select(
+        "korys_client_id", null_d.alias("d"), null_s.alias("order_state"), "churn_date")
     d, st = F.col("d"), F.col("order_state")
-    return c.unionByName(s).unionByName(ch).groupBy("korys_client_id").agg(
-        F.min("created").alias("korys_contact_created_date"),
-        F.min(F.when(st.isin(*R.DO_SALE_STATES), d)).alias("first_new_order"),
-        F.min(F.when(st.isin(*R.CARE_SALE_STATES), d)).alias("first_old_order"),
+    return s.unionByName(ch).groupBy("korys_client_id").agg(
+        F.min(F.when(st.isin(*R.DO_SALE_STATES), d)).alias("new_sale"),
+        F.min(F.when(st.isin(*R.CARE_SALE_STATES), d)).alias("renewal"),
         F.max("churn_date").alias("churn_date"),
     )
 
@@ -102,30 +97,27 @@ def lead_stages(sessions: DataFrame, clients: DataFrame, orders: DataFrame, form
                 resources: DataFrame, teams: DataFrame) -> DataFrame:
     """Stage entry times before the back-fill (D11–D13): one row per lead."""
     see = see_stage(sessions)
-    visitors = visitor_touches(orders, forms)
-    touches = client_touches(clients, sales, resources, teams)
-
-    # See FULL JOIN clients = (See LEFT JOIN client touches) UNION ALL (clients without a See row)
-    see_side = left_join_nullable(see, touches.withColumnRenamed("korys_client_id", "t_client"),
-                                  "korys_client_id", "t_client", salt="anonymous_id")
-    see_side = see_side.join(visitors, "anonymous_id", "left")
-    contact = clients.filter(F.col("korys_contact_created_date").isNotNull()).select("korys_client_id")
-    only_clients = (contact.join(see.select("korys_client_id").filter(F.col("korys_client_id").isNotNull()),
-                                 "korys_client_id", "left_anti")
-                    .join(touches, "korys_client_id", "left"))
-    null_ts, null_s = F.lit(None).cast(NTZ), F.lit(None).cast("string")
-    only_clients = only_clients.select(
-        null_s.alias("anonymous_id"), "korys_client_id", null_s.alias("attribution_id"),
-        null_ts.alias("see_entered_at"), *[c for c in touches.columns if c != "korys_client_id"],
-        *[null_ts.alias(c) for c in ("first_order_page_visit", "first_order_attempt", "first_think_form",
-                                      "first_do_form")])
-    leads = see_side.unionByName(only_clients)
-
-    think = F.least(F.col("korys_contact_created_date"), F.col("first_order_page_visit"), F.col("first_think_form"))
-    do = F.least(F.col("first_new_order").cast(NTZ), F.col("first_order_attempt"), F.col("first_do_form"))
+    contacts = clients.filter(F.col("korys_contact_created_date").isNotNull()).select(
+        "korys_client_id", to_utc("korys_contact_created_date").alias("contact_at"))
+
+    # See FULL JOIN contact rows = (See LEFT JOIN contacts) UNION ALL (contacts without a See row). Contact rows are joined
+    # as they are: a client stored twice makes two leads, one without a key is a lead of its own.
+    see_side = left_join_nullable(see, contacts.withColumnRenamed("korys_client_id", "c_client"),
+                                  "korys_client_id", "c_client", salt="anonymous_id")
+    see_side = see_side.join(visitor_touches(orders, forms), "anonymous_id", "left")
+    seen = see.select("korys_client_id").filter(F.col("korys_client_id").isNotNull())
+    only_contacts = contacts.filter(F.col("korys_client_id").isNotNull()).join(seen, "korys_client_id", "left_anti") \
+        .unionByName(contacts.filter(F.col("korys_client_id").isNull()))
+    leads = see_side.withColumn("_salt", F.col("anonymous_id")).unionByName(
+        only_contacts.withColumn("_salt", F.col("contact_at").cast("string")), allowMissingColumns=True)
+    leads = left_join_nullable(leads, client_touches(sales, resources, teams).withColumnRenamed("korys_client_id", "t_client"),
+                               "korys_client_id", "t_client", salt="_salt")
+
+    think = F.least("contact_at", "order_page_at", "think_form_at")
+    do = F.least(F.col("new_sale").cast(NTZ), F.col("order_try_at"), F.col("do_form_at"))
     return leads.select("anonymous_id", "korys_client_id", "attribution_id", "see_entered_at",
                         think.alias("think_entered_at"), do.alias("do_entered_at"),
-                        F.col("first_old_order").alias("care_entered_at"), "churn_date")
+                        F.col("renewal").alias("care_entered_at"), "churn_date")
 
 
 def backfill_funnel(staged: DataFrame) -> DataFrame:

@@ -5,36 +5,43 @@ Stored responses: provider, kind, source_url, fetched_at, body, plus ``line`` fo
   groups  – object after a script marker (H2)      catalog – JSON catalog object with ``plans`` (S4)
   arrays  – two escaped arrays in page data (H3)   matrix  – HTML product matrix → plan cards (H1, H4–H7)
 HTML kinds pass the block-page guard first (S3). Each response is independent: a failure becomes an
-error row, never a failed job; a provider fails only when all of its responses failed (A9).
+error row, never a failed job, and so does a kind that is NULL or unknown; a provider fails only when
+all of its responses failed (A9).
+
+A response stored more than once (at-least-once landing) counts once: responses are reduced by a 128-bit
+key over all their columns, which also spreads the bodies over the cores. Bodies are then read in one
+pass and the extracted rows written once; prices, dates, the upsert and the status read that table.
 
 Network fetching, pacing and scheduling are outside the data work: responses and prices arrive as
-tables (``run_date`` replaces CURRENT_DATE).
+tables. A response belongs to the UTC day it was fetched on (``run_date`` overrides it), and a card gets
+the latest price known at that time: prices (product_key, prices, priced_at).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.embedded_json import embedded_arrays, embedded_object
-from ..operators.html import enriched_cards, extraction_elements
+from ..functions.text import to_utc
+from ..operators.embedded_json import embedded_payload
+from ..operators.html import card_rows, page_facts, read_pages
+from ..session import write_table
 from ..sources.pages import catalog_ok, ingest_status, page_ok
 
 CARD_JSON_FIELDS = ["line", "plan_name", "plan_id", "cpu_count", "cpu_model", "cores_count", "cpu_arch",
                     "cpu_detail_raw", "frequency", "ram", "storage", "gpu", "gpu_vram", "gpu_tflops",
                     "cpu_cores_raw", "bandwidth", "traffic", "monthly_key", "hourly_key"]
+RESPONSE_COLS = ["provider", "kind", "source_url", "line", "fetched_at"]
+HTML_KINDS = ["groups", "arrays", "matrix"]
+KINDS = [*HTML_KINDS, "catalog"]
 
 
 def matrix_cards(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Plan cards of matrix pages (page_id, position, the 19 card fields)."""
-    el = extraction_elements(pages, id_col, html_col)
-    cards = enriched_cards(el)
-    lines = pages.select(F.col(id_col).cast("long").alias("page_id"), "line")
-    return (cards.join(lines, "page_id")
-            .select("page_id", F.col("position"), "line", "plan_name", F.col("monthly_key").alias("plan_id"),
-                    F.lit(None).cast("int").alias("cpu_count"), "cpu_model", "cores_count", "cpu_arch",
-                    "cpu_detail_raw", F.lit(None).cast("string").alias("frequency"), "ram", "storage", "gpu",
-                    "gpu_vram", "gpu_tflops", "cpu_cores_raw", "bandwidth", "traffic", "monthly_key", "hourly_key"))
+    src = pages.select(F.col(id_col).cast("long").alias("page_id"), "line", F.col(html_col).alias("html"))
+    rows = card_rows(page_facts(read_pages(src, "html", ["page_id", "line"])))
+    return rows.withColumns({"plan_id": F.col("monthly_key"), "cpu_count": F.lit(None).cast("int"),
+                             "frequency": F.lit(None).cast("string")}).select("page_id", "position", *CARD_JSON_FIELDS)
 
 
 def distinct_price_keys(cards: DataFrame) -> DataFrame:
@@ -43,64 +50,88 @@ def distinct_price_keys(cards: DataFrame) -> DataFrame:
     return cards.select(k).filter(F.col("product_key").isNotNull() & (F.col("product_key") != "")).distinct()
 
 
+def latest_price() -> Column:
+    """Of a key's prices the latest; of equal times the greatest text."""
+    return F.max(F.struct("priced_at", "prices"))["prices"].alias("prices")
+
+
 def attach_prices(cards: DataFrame, prices: DataFrame) -> DataFrame:
-    """One price table joined in two roles; a key without a price gives NULL.
+    """One price table joined in two roles; a key without a price gives NULL, of several prices the latest counts.
 
-    Prices are first reduced to the keys the cards use and deduplicated, so both joins see a
-    table no larger than the distinct key set."""
+    Prices are first reduced to the keys the cards use, so both joins see a table no larger than the
+    distinct key set."""
     keys = distinct_price_keys(cards)
-    p = (prices.join(keys, "product_key", "left_semi")
-         .groupBy("product_key").agg(F.max("prices").alias("prices")))
+    p = prices.join(keys, "product_key", "left_semi").groupBy("product_key").agg(latest_price())
     monthly = p.select(F.col("product_key").alias("monthly_key"), F.col("prices").alias("monthly_prices"))
     hourly = p.select(F.col("product_key").alias("hourly_key"), F.col("prices").alias("hourly_prices"))
     return cards.join(monthly, "monthly_key", "left").join(hourly, "hourly_key", "left")
 
 
-def card_payloads(cards_with_prices: DataFrame) -> DataFrame:
-    """One JSON array of card objects per page, in document order (page-local collect)."""
-    doc = F.struct(*[F.col(c) for c in CARD_JSON_FIELDS],
-                   F.try_parse_json("monthly_prices").alias("monthly_prices"),
-                   F.try_parse_json("hourly_prices").alias("hourly_prices"))
-    card_json = F.to_json(doc, {"ignoreNullFields": "false"})
-    per_page = (cards_with_prices.groupBy("page_id")
-                .agg(F.array_sort(F.collect_list(F.struct("position", card_json.alias("j")))).alias("cards")))
-    return per_page.select("page_id", F.concat(F.lit("["), F.array_join(F.transform("cards", lambda x: x["j"]), ","),
-                                               F.lit("]")).alias("payload"))
-
-
-def extract_responses(responses: DataFrame, prices: DataFrame, run_date: str) -> DataFrame:
-    """Every stored response → (provider, kind, source_url, extracted_date, fetched_at, payload, ok, error)."""
-    # a stable row id (recomputation after an executor loss must give the same value)
-    rid = F.col("response_id").cast("long") if "response_id" in responses.columns else \
-        F.xxhash64("provider", "source_url", "fetched_at", "body")
-    r = responses.withColumn("_rid", rid)
-    html_ok = page_ok("body")
-    guard = F.when(~html_ok, F.lit("page shorter than the block-page limit"))
-
-    groups = embedded_object(r.filter(F.col("kind") == "groups"), html="body")
-    groups = groups.withColumn("error", F.coalesce(guard, F.col("error")))
-    arrays = embedded_arrays(r.filter(F.col("kind") == "arrays"), html="body")
-    arrays = arrays.withColumn("error", F.coalesce(guard, F.col("error")))
-    catalogs = (r.filter(F.col("kind") == "catalog")
-                .withColumn("error", F.when(~catalog_ok("body"), F.lit("unexpected payload shape")))
-                .withColumn("payload", F.when(F.col("error").isNull(), F.col("body"))))
-
-    matrix = r.filter(F.col("kind") == "matrix")
-    good_pages = matrix.filter(html_ok).select(F.col("_rid").alias("page_id"), "line", F.col("body").alias("html"))
-    payloads = card_payloads(attach_prices(matrix_cards(good_pages), prices))
-    matrix = (matrix.join(payloads.withColumnRenamed("page_id", "_rid"), "_rid", "left")
-              .withColumn("error", guard)
-              .withColumn("payload", F.when(F.col("error").isNull(), F.coalesce("payload", F.lit("[]")))))
-
+def price_maps(pages: DataFrame, prices: DataFrame) -> DataFrame:
+    """(rid, prices): for every page the latest price of each key of its cards, as known when it was fetched.
+
+    The map is bounded by the page's cards; a key that many stored pages share is split by AQE's skew join."""
+    keys = F.array_distinct(F.flatten(F.transform("cards", lambda c: F.array(c["monthly_key"], c["hourly_key"]))))
+    asked = pages.select("rid", to_utc("fetched_at").alias("at"), F.explode(keys).alias("product_key")).filter("product_key <> ''")
+    known = prices.select("product_key", "prices", to_utc("priced_at").alias("priced_at"))
+    one = asked.join(known, "product_key").filter(F.col("priced_at") <= F.col("at")) \
+        .groupBy("rid", "product_key").agg(latest_price())
+    return one.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("product_key", "prices"))).alias("prices"))
+
+
+def card_payloads(pages: DataFrame, prices: DataFrame) -> DataFrame:
+    """(rid, payload): X8, the cards of every page that has some as one JSON array, in document order. A price is set in
+    as the JSON text it is; text that is not JSON counts as no price. Cards, prices and arrays share their key."""
+    def price(key):
+        text = F.try_element_at("known", F.col(key))
+        return F.coalesce(F.when(F.try_parse_json(text).isNotNull(), text), F.lit("null"))
+
+    made = {"plan_id": F.col("monthly_key"), "cpu_count": F.lit(None).cast("int"), "frequency": F.lit(None).cast("string")}
+    plain = F.to_json(F.struct(*[made.get(f, F.col(f)).alias(f) for f in CARD_JSON_FIELDS]), {"ignoreNullFields": "false"})
+    cards = card_rows(pages.select("rid", "line", "has_table", "cards", "grids", "specs")).join(
+        price_maps(pages, prices).withColumnRenamed("prices", "known"), "rid", "left").withColumn("plain", plain)
+    whole = F.concat(F.expr("substring(plain, 1, length(plain) - 1)"), F.lit(',"monthly_prices":'), price("monthly_key"),
+                     F.lit(',"hourly_prices":'), price("hourly_key"), F.lit("}"))
+    per_page = cards.select("rid", "position", whole.alias("j")).groupBy("rid").agg(
+        F.array_sort(F.collect_list(F.struct("position", "j"))).alias("cards"))
+    return per_page.select("rid", F.concat(F.lit("["), F.array_join("cards.j", ","), F.lit("]")).alias("payload"))
+
+
+def distinct_responses(responses: DataFrame) -> DataFrame:
+    """Every response once, with its 128-bit key ``rid``; NULLs differ from all texts."""
+    text = [F.coalesce(F.concat(F.lit("s"), F.col(c).cast("string")), F.lit("n")) for c in [*RESPONSE_COLS, "body"]]
+    rid = F.md5(F.concat_ws("\u0001", *[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in text]))
+    return responses.select(rid.alias("rid"), *RESPONSE_COLS, "body").dropDuplicates(["rid"])
+
+
+def extract_responses(responses: DataFrame, prices: DataFrame, run_date: str | None = None) -> DataFrame:
+    """Every distinct response → (provider, kind, source_url, extracted_date, fetched_at, payload, ok, error)."""
+    kind, body = F.col("kind"), F.col("body")
+    guard = F.when(kind.isin(*HTML_KINDS) & ~page_ok("body"), F.lit("page shorter than the block-page limit"))
+    bad_shape = F.when((kind == "catalog") & ~catalog_ok("body"), F.lit("unexpected payload shape"))
+    unknown = F.when(~F.coalesce(kind.isin(*KINDS), F.lit(False)), F.lit("unknown response kind"))
+    one = distinct_responses(responses).withColumn("error", F.coalesce(guard, bad_shape, unknown))
+    fine = F.col("error").isNull()
+    one = one.withColumn("_x", embedded_payload(one, "kind", F.when(fine, body)))
+    one = one.select("rid", *RESPONSE_COLS, F.coalesce("error", F.col("_x.error")).alias("error"),
+                     F.coalesce("_x.payload", F.when(fine & (kind == "catalog"), body)).alias("payload"),
+                     F.when(fine & (kind == "matrix"), body).alias("html"))
+    read = read_pages(one, "html", ["rid", *RESPONSE_COLS, "error", "payload"], spread=False)
+    rows = write_table(page_facts(read), "ingest-extracted")
+
+    matrix = rows.filter((F.col("kind") == "matrix") & F.col("error").isNull())
+    cards = matrix.drop("payload").join(card_payloads(matrix, prices), "rid", "left") \
+        .withColumn("payload", F.coalesce("payload", F.lit("[]")))
+    rest = rows.filter(~F.coalesce((F.col("kind") == "matrix") & F.col("error").isNull(), F.lit(False)))
     cols = ["provider", "kind", "source_url", "fetched_at", "payload", "error"]
-    out = groups.select(*cols).unionByName(arrays.select(*cols)).unionByName(catalogs.select(*cols)) \
-        .unionByName(matrix.select(*cols))
-    return out.select("provider", "kind", "source_url", F.lit(run_date).cast("date").alias("extracted_date"),
-                      "fetched_at", "payload", F.col("error").isNull().alias("ok"), "error")
+    day = F.lit(run_date).cast("date") if run_date else to_utc("fetched_at").cast("date")
+    return rest.select(*cols).unionByName(cards.select(*cols)).select(
+        "provider", "kind", "source_url", day.alias("extracted_date"), "fetched_at",
+        F.when(F.col("error").isNull(), F.col("payload")).alias("payload"), F.col("error").isNull().alias("ok"), "error")
 
 
-def ingest(responses: DataFrame, prices: DataFrame, run_date: str) -> tuple[DataFrame, DataFrame]:
-    """(raw rows to upsert, status per provider)."""
-    results = extract_responses(responses, prices, run_date)
+def ingest(responses: DataFrame, prices: DataFrame, run_date: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(raw rows to upsert, status per provider), both read from the extracted rows, which are written once."""
+    results = write_table(extract_responses(responses, prices, run_date), "ingest-results")
     raw = results.filter("ok").select("provider", "extracted_date", "source_url", "payload", "fetched_at")
     return raw, ingest_status(results)

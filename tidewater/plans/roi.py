@@ -4,9 +4,11 @@ Inputs (contracts, FIXTURES.md §1): sales(partner_id, attribution_id, amount, i
 teams(odoo_partner_id, first_order_date), attribution(attribution_id, medium, default_channel_grouping),
 ad_cost(date, cost), affiliate_cost(date_invoice, commission_amt, state).
 
+Money keeps the scale of its input: nothing is rounded before the ratio.
+
 Plan shape at scale: the sales fact is pre-aggregated per (partner, attribution) before any join
-(map-side partial sums, R3), so the joins see one row per pair instead of one per invoice and a
-hot partner costs nothing; both cost facts collapse to one row per month before their joins.
+(map-side partial sums, R3) and again per (month, attribution) before the attribution join, so neither
+a hot partner nor a hot attribution meets a join; both cost facts collapse to one row per month first.
 """
 
 from __future__ import annotations
@@ -17,8 +19,6 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.text import guarded_ratio, month_start, rx
 
-MONEY = "decimal(38,2)"
-
 
 def cohort_ltv(sales: DataFrame, teams: DataFrame, attribution: DataFrame) -> DataFrame:
     """LTV by first-order month of the customer, split into paid-search and affiliate revenue."""
@@ -28,7 +28,8 @@ def cohort_ltv(sales: DataFrame, teams: DataFrame, attribution: DataFrame) -> Da
     cohort = teams.select(F.col("odoo_partner_id").alias("partner_id"),
                           month_start("first_order_date").alias("month"))
     attr = attribution.select("attribution_id", "medium", "default_channel_grouping")
-    joined = per_pair.join(cohort, "partner_id").join(attr, "attribution_id")
+    per_cohort = per_pair.join(cohort, "partner_id").groupBy("month", "attribution_id").agg(F.sum("amount").alias("amount"))
+    joined = per_cohort.join(attr, "attribution_id")
     amount = F.col("amount")
     return joined.groupBy("month").agg(
         F.sum(F.when(rx("medium", R.ROI_PAID_MEDIUM), amount).otherwise(F.lit(0))).alias("gads_ltv"),
@@ -51,13 +52,10 @@ def roi_model(sales: DataFrame, teams: DataFrame, attribution: DataFrame, ad_cos
     ads = monthly_sum(ad_cost, "date", "cost", "total_ad_costs")
     aff = monthly_sum(affiliate_cost, "date_invoice", "commission_amt", "total_affiliate_costs",
                       F.col("state").isin(*R.PAID_INVOICE_STATES))
-    zero = F.lit(0).cast(MONEY)
     monthly = (ltv.join(ads, "month", "left").join(aff, "month", "left")
-               .select("month",
-                       F.coalesce(F.col("gads_ltv").cast(MONEY), zero).alias("gads_ltv"),
-                       F.coalesce(F.col("total_ad_costs").cast(MONEY), zero).alias("total_gads_costs"),
-                       F.coalesce(F.col("affiliate_ltv").cast(MONEY), zero).alias("affiliate_ltv"),
-                       F.coalesce(F.col("total_affiliate_costs").cast(MONEY), zero).alias("total_affiliate_costs")))
+               .select("month", *[F.coalesce(F.col(src), F.lit(0)).alias(out) for src, out in (
+                   ("gads_ltv", "gads_ltv"), ("total_ad_costs", "total_gads_costs"), ("affiliate_ltv", "affiliate_ltv"),
+                   ("total_affiliate_costs", "total_affiliate_costs"))]))
     return (monthly
             .withColumn("gads_ROI", guarded_ratio("gads_ltv", "total_gads_costs"))
             .withColumn("affiliate_ROI", guarded_ratio("affiliate_ltv", "total_affiliate_costs"))

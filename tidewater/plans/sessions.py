@@ -7,7 +7,7 @@ the reference, which orders by timestamp only).
 
 Shuffles of event-sized data: one aggregation per event source (pages, interactions, identifies).
 Everything after that is session-sized. No window runs over a raw key: firsts are aggregations
-and the visit number uses the range-partitioned ranking.
+and the visit number is counted in slices of time.
 """
 
 from __future__ import annotations
@@ -97,14 +97,13 @@ def first_identity(identifies: DataFrame, key: str, out: str, tiebreak: Sequence
 def internal_visitors(sessions: DataFrame, clients: DataFrame) -> DataFrame:
     """Visitors with a session from the internal host or by a partner client.
 
-    The partner test is a semi-join on non-NULL users only, so anonymous traffic never meets a
-    hot NULL key."""
-    partners = (clients.filter(F.col("is_company_partner").eqNullSafe(True))
-                .select(F.col("korys_client_id").alias("user_id")))
-    by_host = sessions.filter(rx("referrer_domain", R.INTERNAL_REFERRER)).select("anonymous_id")
-    by_partner = (sessions.filter(F.col("user_id").isNotNull()).join(partners, "user_id", "left_semi")
-                  .select("anonymous_id"))
-    return by_host.unionByName(by_partner).filter(F.col("anonymous_id").isNotNull()).distinct()
+    One pass over the sessions, reduced to (visitor, user); users that are NULL never meet a key."""
+    partners = (clients.filter(F.col("is_company_partner").eqNullSafe(True) & F.col("korys_client_id").isNotNull())
+                .select(F.col("korys_client_id").alias("p_user")).distinct().withColumn("_partner", F.lit(True)))
+    seen = (sessions.filter(F.col("anonymous_id").isNotNull()).groupBy("anonymous_id", "user_id")
+            .agg(F.max(rx("referrer_domain", R.INTERNAL_REFERRER)).alias("_host")))
+    both = left_join_nullable(seen, partners, "user_id", "p_user", salt="anonymous_id")
+    return both.filter(F.coalesce("_host", F.lit(False)) | F.coalesce("_partner", F.lit(False))).select("anonymous_id").distinct()
 
 
 def visitor_dimension(identifies: DataFrame, internal: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -120,14 +119,16 @@ def visitor_dimension(identifies: DataFrame, internal: DataFrame, tiebreak: Sequ
 
 def tag_sessions(sessions: DataFrame, identifies: DataFrame, clients: DataFrame,
                  tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Sessions with their visit number (W4), first users, internal flag, device and channel. The number needs the
+    sessions alone, so it is counted before the joins: no wide frame is built twice."""
     visitors = visitor_dimension(identifies, internal_visitors(sessions, clients), tiebreak)
     by_session = first_identity(identifies, "session_id", "first_user_by_session", tiebreak)
-    s = sessions.join(by_session, "session_id", "left")
+    s = row_number_skew_safe(sessions, ["anonymous_id"], ["session_start_time", "session_id"], "session_by_anonymous")
+    s = s.join(by_session, "session_id", "left")
     s = left_join_nullable(s, visitors, "anonymous_id", "anonymous_id", salt="session_id")
-    s = (s.withColumn("is_cherry", F.coalesce(F.col("is_cherry"), F.lit(False)))
-         .withColumn("device", C.device("user_agent"))
-         .withColumn("default_channel_grouping", C.channel()))
-    return row_number_skew_safe(s, ["anonymous_id"], ["session_start_time", "session_id"], "session_by_anonymous")
+    return (s.withColumn("is_cherry", F.coalesce(F.col("is_cherry"), F.lit(False)))
+             .withColumn("device", C.device("user_agent"))
+             .withColumn("default_channel_grouping", C.channel()))
 
 
 def attribution_id(ad_group_id="ad_group_id", keyword="keyword") -> F.Column:

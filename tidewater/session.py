@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
+import zipfile
 
+from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. Timestamps are UTC wall clock (the reference converts with
@@ -48,65 +53,98 @@ def build_session(master: str | None = None, app: str = "tidewater",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One machine runs everything (``local``, ``local[n]``); ``local-cluster`` counts as a cluster."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for cut lineage and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset (local runs, tests)
-    a private scratch folder is created and registered.
-    """
+    The cluster names it in ``spark.checkpoint.dir``. Only a local run (tests) may leave it unset: a
+    private scratch folder is then created and registered. On a cluster every executor would write to
+    its own disk, so there an unset folder is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d
-    d = tempfile.mkdtemp(prefix="tidewater-ckpt-")   # local runs only: the setting was unset
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if not is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewater-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def tables_dir(spark: SparkSession) -> str:
+    """Where this application's intermediate tables lie."""
+    return os.path.join(checkpoint_dir(spark), "tables", spark.sparkContext.applicationId)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(checkpoint_dir(spark), name)
+_SCRATCH: list[list[str]] = []
+_CLEANED: set[str] = set()
 
 
 def write_table(df, name: str):
     """Materialise ``df`` as Parquet under the shared checkpoint folder and return the re-read
-    frame: an intermediate that several branches read is computed once and its lineage is cut."""
-    import uuid
+    frame: an intermediate that several branches read is computed once and its lineage is cut.
+
+    The tables of an application are removed when its interpreter ends (``remove_tables`` does it
+    earlier), those written inside ``with scratch(spark):`` when the block ends."""
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(tables_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    if tables_dir(spark) not in _CLEANED:
+        _CLEANED.add(tables_dir(spark))
+        atexit.register(_remove_at_exit, spark, tables_dir(spark))
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    try:
+        _remove(spark, folder)
+    except Exception:       # the JVM has already ended: the cluster's own cleaning of the folder remains
+        pass
+
+
+def remove_tables(spark: SparkSession) -> None:
+    """Remove the intermediate tables this application has written so far. Frames that read them end with them."""
+    _remove(spark, tables_dir(spark))
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate tables written inside the block are removed at its end, also after an error. Results
+    must be written before that."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            _remove(spark, path)
+
+
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``tidewater`` importable in Python workers (needed by the Arrow UDF / mapInPandas
-    operators). On a cluster the package is shipped with ``--py-files``; when the shared checkpoint
-    folder is a local path (local runs, tests, a mounted shared volume) the package is zipped there
-    once per application and added with ``addPyFile``. Remote folders (hdfs://, s3a://) are left to
-    ``--py-files``."""
-    import hashlib
-    import zipfile
-
+    operators): once per application the package is zipped into Spark's own folder for added files on
+    the driver and added with ``addPyFile``, from where Spark sends it to every executor."""
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
-    root = checkpoint_dir(spark)
-    if "://" in root and not root.startswith("file:"):
-        _SHIPPED.add(sc.applicationId)
-        return
-    root = root[len("file:"):] if root.startswith("file:") else root
     pkg = os.path.dirname(os.path.abspath(__file__))
     files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
-    digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
-    out_dir = os.path.join(root, "pyfiles")
-    os.makedirs(out_dir, exist_ok=True)
-    path = os.path.join(out_dir, f"tidewater-{digest}.zip")
-    if not os.path.exists(path):
-        tmp = path + f".{os.getpid()}.part"
-        with zipfile.ZipFile(tmp, "w") as z:
-            for f in files:
-                z.write(f, os.path.join("tidewater", os.path.relpath(f, pkg)))
-        os.replace(tmp, path)
+    folder = os.path.join(SparkFiles.getRootDirectory(), "tidewater-package")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, "tidewater-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in files:
+            z.write(f, os.path.join("tidewater", os.path.relpath(f, pkg)))
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)

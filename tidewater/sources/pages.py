@@ -1,19 +1,21 @@
 """Stored pages and raw provider responses.
 
 Raw responses table: provider, extracted_date, source_url, payload (JSON text), fetched_at;
-unique on (source_url, extracted_date). Written as Parquet partitioned by ``extracted_date`` with
-dynamic partition overwrite, so an upsert rewrites only the dates it touches.
+unique on (source_url, extracted_date). Written as Parquet partitioned by ``extracted_date``; the writer
+itself asks for dynamic partition overwrite, so an upsert rewrites only the dates it touches whatever
+the session is set to.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..session import checkpoint_dir
+from ..session import write_table
 
 RAW_COLS = ["provider", "extracted_date", "source_url", "payload", "fetched_at"]
 RAW_KEYS = ["source_url", "extracted_date"]
@@ -53,11 +55,6 @@ def catalog_ok(payload: str | Column = "payload") -> Column:
     return F.coalesce(F.array_contains(F.json_object_keys(p), R.CATALOG_REQUIRED_KEY), F.lit(False))
 
 
-def valid_catalogs(raw: DataFrame, payload: str = "payload"):
-    ok = catalog_ok(payload)
-    return raw.filter(ok), raw.filter(~ok)
-
-
 def payload_rows(payload: str | Column = "payload") -> Column:
     """List length, or length of the ``plans`` list of an object, else 1."""
     p = F.col(payload) if isinstance(payload, str) else payload
@@ -70,44 +67,50 @@ def upsert_latest(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]
                   version_col: str = "fetched_at", keep_first: Sequence[str] = ("provider",)) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE SET payload, source_url, fetched_at``.
 
-    Per key the latest version's values win, except ``keep_first`` columns, which keep the value
-    of the first insert. One aggregation (partial aggregation map-side); idempotent."""
-    cols = [c for c in existing.columns]
-    both = existing.select(*cols).unionByName(incoming.select(*cols))
-    ver = F.col(version_col)
-    aggs = []
-    for c in cols:
-        if c in keys:
-            continue
-        if c == version_col:
-            aggs.append(F.max(ver).alias(c))
-        elif c in keep_first:
-            aggs.append(F.min_by(F.col(c), ver).alias(c))
-        else:
-            aggs.append(F.max_by(F.col(c), ver).alias(c))
-    return both.groupBy(*keys).agg(*aggs).select(*cols)
+    Per key one whole row wins: the latest version, on ties the incoming one, then the greatest values; a
+    NULL version is older than any other. ``keep_first`` columns keep the value of the first insert: the
+    stored row's, else the earliest version's. One aggregation (partial aggregation map-side); idempotent."""
+    cols = existing.columns
+    late = [c for c in cols if c not in keys and c not in keep_first]
+    both = existing.select(*cols, F.lit(0).alias("_new")).unionByName(incoming.select(*cols, F.lit(1).alias("_new")))
+    rank = [F.col(version_col).isNotNull(), F.col(version_col), F.col("_new")]
+    winner = F.max(F.struct(*[r.alias(f"_r{i}") for i, r in enumerate(rank)], *[F.col(c).alias(f"_v_{c}") for c in late])).alias("_w")
+    first = F.min(F.struct(F.col("_new"), *[r.alias(f"_r{i}") for i, r in enumerate(rank[:2])],
+                           *[F.struct(F.col(c).isNull(), F.col(c).alias("v")).alias(f"_v_{c}") for c in keep_first])).alias("_f")
+    merged = both.groupBy(*keys).agg(winner, first)
+    return merged.select(*[F.col(c) if c in keys else F.col(f"_w._v_{c}").alias(c) if c in late
+                           else F.col(f"_f._v_{c}.v").alias(c) for c in cols])
 
 
 def write_model(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Materialise a model as Parquet (dynamic partition overwrite when partitioned)."""
+    """Materialise a model as Parquet; with ``partition_by`` only the partitions that occur in ``df`` are replaced."""
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.parquet(path)
 
 
+def stored_rows(spark, path: str) -> DataFrame | None:
+    """The raw-response table at ``path``; None only where the path does not exist. A table of another shape is an error."""
+    try:
+        return spark.read.parquet(path).select(*RAW_COLS)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def upsert_raw_table(spark, path: str, incoming: DataFrame) -> DataFrame:
     """Merge ``incoming`` into the raw-response table at ``path``: only the partitions (dates) that
-    ``incoming`` touches are read and rewritten. The merged frame is checkpointed first, so the job
-    that overwrites the partitions no longer reads them."""
-    checkpoint_dir(spark)
-    try:
-        existing = spark.read.parquet(path)
-        dates = incoming.select("extracted_date").distinct()
-        existing = existing.join(dates, "extracted_date", "left_semi").select(*RAW_COLS)
-    except Exception:  # first run: the table does not exist yet
-        existing = spark.createDataFrame([], incoming.select(*RAW_COLS).schema)
-    merged = upsert_latest(existing.select(*RAW_COLS), incoming.select(*RAW_COLS)).checkpoint(eager=True)
+    ``incoming`` touches are read and rewritten. ``incoming`` is evaluated once, and the merged rows are
+    written to the shared folder first, so the job that overwrites the partitions no longer reads them."""
+    new = write_table(incoming.select(*RAW_COLS), "upsert-incoming")
+    old = stored_rows(spark, path)
+    if old is None:
+        old = new.limit(0)
+    else:
+        old = old.join(new.select("extracted_date").distinct(), "extracted_date", "left_semi").select(*RAW_COLS)
+    merged = write_table(upsert_latest(old, new), "upsert-merged")
     write_model(merged, path, partition_by=["extracted_date"])
     return merged
 
@@ -117,3 +120,14 @@ def ingest_status(results: DataFrame, source: str = "provider", ok: str = "ok")
     return (results.groupBy(source)
             .agg(F.count_if(F.col(ok)).alias("n_ok"), F.count_if(~F.col(ok)).alias("n_failed"))
             .withColumn("failed", F.col("n_ok") == 0))
+
+
+class ProviderFailed(RuntimeError):
+    """Every response of a provider failed."""
+
+
+def raise_on_failed(status: DataFrame, source: str = "provider") -> None:
+    """After the results are stored, fail the job for the providers of which nothing landed (one row per provider)."""
+    failed = sorted(str(r[0]) for r in status.filter("failed").select(source).distinct().collect())
+    if failed:
+        raise ProviderFailed(f"every response failed: {', '.join(failed)}")
