@@ -6,7 +6,8 @@ import random
 from pyspark.sql import functions as F
 
 from tidewater.operators.embedded_json import embedded_arrays, embedded_object
-from tidewater.operators.html import ATTRIBUTES, enriched_cards, html_elements, product_cards, spec_rows
+from tidewater.operators.html import ATTRIBUTES, card_rows, html_elements, page_facts, read_pages
+from tidewater.plans.ingest import extract_responses, matrix_cards
 from tidewater.sources.pages import catalog_ok, page_ok, payload_rows
 
 
@@ -14,6 +15,14 @@ def pages_df(spark, pages):
     return spark.createDataFrame([(i, h) for i, h in enumerate(pages)], "page_id long, html string")
 
 
+def facts(spark, pages):
+    return page_facts(read_pages(pages_df(spark, pages)))
+
+
+def cards_of(spark, pages):
+    return card_rows(facts(spark, pages))
+
+
 def test_element_table_tolerant_tree(spark):
     html = ('<div class="a  b"><p>x<b>y</b><br>z</p><span>w</div><i>q &amp; r</i>'
             '<script>var t="</p><td>";</script><img src=x/></em>')
@@ -56,7 +65,7 @@ def test_spec_rows_first_match_vs_brute_force(spark):
     rnd = random.Random(3)
     orders = [rnd.sample(LABELS, len(LABELS)) for _ in range(25)] + [list(p) for p in itertools.islice(
         itertools.permutations(["NVMe SSD", "NVMe HDD", "HDD", "SSD"]), 24)]
-    specs = spec_rows(html_elements(pages_df(spark, [table_page(o) for o in orders])))
+    specs = facts(spark, [table_page(o) for o in orders]).select("page_id", "specs.*")
     got = {r.page_id: {a: r[a]["label"] for a in ATTRIBUTES if r[a] is not None} for r in specs.collect()}
     for pid, order in enumerate(orders):
         assert got[pid] == brute_assign(order), order
@@ -83,8 +92,7 @@ CARD_PAGE = """<html><body>
 
 
 def test_cards_and_table_enrichment(spark):
-    el = html_elements(pages_df(spark, [CARD_PAGE]))
-    cards = {r.plan_name: r for r in enriched_cards(el).collect()}
+    cards = {r.plan_name: r for r in cards_of(spark, [CARD_PAGE]).collect()}
     assert set(cards) == {"AX41", "AX52"}                      # blank name and key-less card dropped
     ax41, ax52 = cards["AX41"], cards["AX52"]
     assert (ax41.monthly_key, ax41.hourly_key, ax41.position) == ("ax41", "ax41", 0)
@@ -116,14 +124,13 @@ GPU_PAGE = """<html><body>
 
 
 def test_gpu_grid_last_card_and_last_grid_win(spark):
-    el = html_elements(pages_df(spark, [GPU_PAGE]))
-    cards = {r.monthly_key: r for r in enriched_cards(el).collect()}
+    cards = {r.monthly_key: r for r in cards_of(spark, [GPU_PAGE]).collect()}
     assert cards["g1"].cpu_model is None                                # not the last card named GEX44
     g2 = cards["g2"]
     assert (g2.cpu_model, g2.cores_count, g2.ram, g2.gpu, g2.gpu_vram, g2.gpu_tflops) == \
         ("Intel Core i5-13500", 14, "64 GB", "RTX 4000", "20 GB", None)
     assert (cards["g3"].cpu_model, cards["g3"].cores_count, cards["g3"].cpu_cores_raw) == (None, 24, "24 Cores")
-    assert [r.position for r in product_cards(el).orderBy("position").collect()] == [0, 1, 2]
+    assert sorted(r.position for r in cards.values()) == [0, 1, 2]
 
 
 M = "window.PLANS_PRICING_DATA = "
@@ -140,6 +147,11 @@ def test_embedded_object_cases(spark):
     assert out[0] == ('[{"b":1,"a":"}{"}]', None)
     assert out[1][1] == "marker not found" and out[2][1] == "end of JSON object not found"
     assert out[3][1] == "plansGroups is empty" and out[4][1] == "plansGroups is empty"
+    more = [M + '{"plansGroups":[1],"plansGroups":[2,{"a":1.5}]}', M + "{oops}", None, M + '[{"plansGroups":[1]}]']
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(more)], "id int, html string")
+    out = {r.id: (r.payload, r.error) for r in embedded_object(df).collect()}
+    assert out[0] == ('[2,{"a":1.5}]', None)                                    # the last of a repeated key
+    assert out[1][1] == out[3][1] == "object is not valid JSON" and out[2][1] == "no body"
 
 
 def test_embedded_arrays_cases(spark):
@@ -147,12 +159,14 @@ def test_embedded_arrays_cases(spark):
     bodies = [f'x{e}servers{e}:[{{{e}a{e}:1}}],{e}virtualMachines{e}:[{{{e}b{e}:2}}]',
               f'{e}virtualMachines{e}:[{{{e}b{e}:2}}] then {e}servers{e}:[{{{e}a{e}:1}}]',   # VMs before servers
               f'{e}servers{e}:[{e}virtualMachines{e}:[0]]',                                    # second marker inside first
-              'nothing', f'{e}servers{e}:[1, oops]']
+              'nothing', f'{e}servers{e}:[1, oops]',
+              f'{e}servers{e}:[1, 2, {e}virtualMachines{e}:[{{{e}b{e}:2}}] x']                 # the first never ends
     df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "id int, html string")
     out = {r.id: (r.payload, r.error) for r in embedded_arrays(df).collect()}
     assert out[0] == ('[{"a":1},{"b":2}]', None)
     assert out[1] == ('[{"a":1}]', None)          # the VM array precedes the servers array: not found after it
     assert out[2][1] == "array is not valid JSON"
+    assert out[5] == ('[{"b":2}]', None)
     assert out[3][1] == "0 plans extracted" and out[4][1] == "array is not valid JSON"
 
 
@@ -170,10 +184,72 @@ def test_text_filter_on_elements(spark):
     assert el.filter(F.col("tag") == "tr").count() == 6
 
 
-def test_restricted_text_gives_the_same_cards(spark):
-    from tidewater.operators.html import EXTRACTION_TEXT_CLASSES, EXTRACTION_TEXT_TAGS
-    pages = pages_df(spark, [CARD_PAGE, GPU_PAGE])
-    full = sorted(enriched_cards(html_elements(pages)).collect())
-    lean_el = html_elements(pages, text_tags=EXTRACTION_TEXT_TAGS, text_classes=EXTRACTION_TEXT_CLASSES)
-    assert sorted(enriched_cards(lean_el).collect()) == full
-    assert lean_el.filter(F.col("tag") == "body").first().text is None      # containers carry no text
+def test_nested_tables_list_a_row_once_per_table(spark):
+    page = ("<table><tr><th>RAM</th><td>1</td></tr><tr><td><table><tr><th>RAM</th><td>2</td></tr>"
+            "<tr><th>Traffic</th><td>3 TB</td></tr></table></td></tr></table>")
+    s = facts(spark, [page]).select("specs.*").first()
+    assert s.ram["cells"][0]["text"] == "1" and s.traffic["cells"][0]["text"] == "3 TB"
+
+
+def test_huge_colspans_cost_no_more_than_the_cards(spark):
+    def page(span):
+        return CARD_PAGE.replace('<td colspan="2">Intel', f'<td colspan="{span}">Intel')
+    spans = ["100000000", "2000000000", "99999999999999999999", " 7 ", "+3", "-5", "0", "x", ""]
+    got = {}
+    for r in cards_of(spark, [page(x) for x in spans]).collect():
+        got.setdefault(r.page_id, {})[r.plan_name] = r.cpu_model
+    wide = {"AX41": "Intel Core i7-6700", "AX52": "Intel Core i7-6700"}
+    assert [got[i] for i in range(5)] == [wide] * 5
+    assert [got[i]["AX52"] for i in range(5, 9)] == [None] * 4
+
+
+def test_a_page_stored_twice_is_two_pages(spark):
+    rows = cards_of(spark, [CARD_PAGE, CARD_PAGE, None, "", GPU_PAGE]).collect()
+    per = {}
+    for r in rows:
+        per.setdefault(r.page_id, []).append((r.position, r.plan_name, r.cpu_model))
+    assert sorted(per[0]) == sorted(per[1]) and len(per[0]) == 2 and set(per) == {0, 1, 4}
+
+
+def test_chunks_keep_all_pages(spark, monkeypatch):
+    from tidewater.operators import html
+    monkeypatch.setattr(html, "CHUNK_CHARS", 10)     # (workers read their own; the driver's plan must not depend on it)
+    pages = [table_page(["CPU", "RAM"])] * 30
+    assert read_pages(pages_df(spark, pages)).count() == 30
+    assert html_elements(pages_df(spark, pages)).filter(F.col("tag") == "td").count() == 60
+
+
+RESPONSE = "provider string, kind string, source_url string, line string, fetched_at timestamp_ntz, body string"
+PRICE = "product_key string, prices string, priced_at timestamp_ntz"
+
+
+def test_ingest_cases(spark):
+    import datetime as dt
+    import json
+    day = lambda d, h=12: dt.datetime(2026, 1, d, h)
+    long = CARD_PAGE + " " * 1000
+    rows = [("p", "matrix", "u", "ax", day(1), long), ("p", "matrix", "u", "ax", day(1), long),      # stored twice
+            ("p", "matrix", "u", "ax", day(3), long),                                                  # another day
+            ("p", "matrix", "short", "ax", day(1), "<html>"), ("p", "matrix", "none", "ax", day(1), "x" * 1000),
+            ("q", None, "a", None, day(1), "{}"), ("q", "rss", "b", None, day(1), "{}"), ("q", "groups", "c", None, day(1), None),
+            ("r", "catalog", "d", None, day(2, 23), '{"plans": [1]}'), ("r", "catalog", "e", None, None, '{"plans": []}')]
+    prices = [("ax41", '{"p":9}', day(1, 1)), ("ax41", '{"p":10}', day(2)), ("ax41", '{"p":8}', day(4)), ("ax52h", "not json", day(1, 1))]
+    out = extract_responses(spark.createDataFrame(rows, RESPONSE), spark.createDataFrame(prices, PRICE)).collect()
+    got = {(r.source_url, r.extracted_date and r.extracted_date.day): r for r in out}
+    assert len(out) == len(got) == len(rows) - 1
+    first, third = (json.loads(got["u", d].payload) for d in (1, 3))
+    assert [c["plan_name"] for c in first] == ["AX41", "AX52"] and first[0]["cpu_model"] == "Intel Core i7-6700"
+    assert first[0]["monthly_prices"] == {"p": 9} and third[0]["monthly_prices"] == {"p": 10}       # as known that day
+    assert first[1]["monthly_prices"] is None and list(first[0])[:3] == ["line", "plan_name", "plan_id"]
+    assert got["none", 1].payload == "[]" and got["none", 1].ok
+    assert got["short", 1].error.startswith("page shorter") and got["c", 1].error.startswith("page shorter")
+    assert got["a", 1].error == got["b", 1].error == "unknown response kind"
+    assert got["d", 2].payload == '{"plans": [1]}' and got["e", None].ok
+    fixed = extract_responses(spark.createDataFrame(rows, RESPONSE), spark.createDataFrame(prices, PRICE), run_date="2026-05-04").collect()
+    assert {str(r.extracted_date) for r in fixed} == {"2026-05-04"}
+
+
+def test_matrix_cards_shuffle_once(spark):
+    pages = pages_df(spark, [CARD_PAGE]).withColumn("line", F.lit("ax"))
+    plan = matrix_cards(pages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan

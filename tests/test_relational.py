@@ -30,24 +30,31 @@ def brute_rank(rows):
     return out
 
 
-def test_row_number_skew_safe_matches_brute_force(spark):
+def test_row_number_matches_brute_force(spark):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "id long, k string, ts int").repartition(5)
-    # min_rows_per_task=100: the hot key (~1000 rows) takes the range-partitioned path
-    hot = row_number_skew_safe(df, ["k"], ["ts", "id"], "rn", num_partitions=7, min_rows_per_task=100)
-    assert "rn" in hot.columns and {r.id: r.rn for r in hot.collect()} == brute_rank(rows)
-    # default threshold: no key is hot for a task, the plain window path
-    plain = row_number_skew_safe(df, ["k"], ["ts", "id"], "rn", num_partitions=7)
-    assert {r.id: r.rn for r in plain.collect()} == brute_rank(rows)
-    assert "RangePartitioning" not in plain._jdf.queryExecution().executedPlan().toString()
+    for width in (1, 7, 1000):          # slices of one value, of several, of all
+        got = row_number_skew_safe(df, ["k"], ["ts", "id"], "rn", slice_by=F.floor(F.col("ts") / width))
+        assert dict(got.dtypes)["rn"] == "bigint" and {r.id: r.rn for r in got.collect()} == brute_rank(rows)
+
+
+def test_row_number_by_hours_and_two_keys(spark):
+    import datetime as dt
+    rows = [(i, "a" if i % 3 else None, i % 2, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=37 * (i % 50)) if i % 7 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, k string, j int, ts timestamp_ntz")
+    got = {r.id: r.rn for r in row_number_skew_safe(df, ["k", "j"], ["ts", "id"], "rn").collect()}
+    late = dt.datetime(9999, 1, 1)
+    for key in {(r[1], r[2]) for r in rows}:
+        mine = sorted((r for r in rows if (r[1], r[2]) == key), key=lambda r: (r[3] or late, r[0]))
+        assert [got[r[0]] for r in mine] == list(range(1, len(mine) + 1))
 
 
 def test_row_number_spreads_the_hot_key(spark):
+    """No window sees more than a slice of the key, and nothing is written on the side."""
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "id long, k string, ts int")
-    ranged = df.repartitionByRange(8, F.col("k").asc_nulls_last(), F.col("ts").asc_nulls_last(), "id")
-    parts = ranged.filter(F.col("k") == "hot").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert parts >= 2          # the hot key's rows land in several tasks, not one
+    plan = row_number_skew_safe(df, ["k"], ["ts", "id"], "rn", slice_by=F.col("ts"))._jdf.queryExecution().executedPlan().toString()
+    assert "_cell" in plan and "RangePartitioning" not in plan and "Scan parquet" not in plan
 
 
 def test_first_per_key_matches_brute_force_and_has_no_window(spark):

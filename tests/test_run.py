@@ -5,7 +5,7 @@ import sys
 import tempfile
 
 from tidewater.harness.standins import PRICE_LISTS, Inputs
-from tidewater.plans.run import build_models
+from tidewater.plans.run import run_models
 from tidewater.sources.pages import write_model
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -25,10 +25,8 @@ def test_models_from_named_tables(spark):
         write_model(i[standin], path)
         mapping[ref_name] = path
     mapping["price_lists"] = PRICE_LISTS
-    models = build_models(spark, mapping, since="1997-01-01", tiebreak=["event_id"])
-    for name, df in models.items():
-        write_model(df, os.path.join(root, "out", name))
-    out = {n: spark.read.parquet(os.path.join(root, "out", n)).count() for n in models}
+    done = run_models(spark, mapping, os.path.join(root, "out"), since="1997-01-01")
+    out = {n: spark.read.parquet(path).count() for n, path in done.items()}
     assert set(out) == {"sessions", "leads", "roi_monthly", "price_plans"}
     assert out["sessions"] > 0 and out["price_plans"] == i["part"].count()
 

@@ -135,3 +135,22 @@ def test_t23_alternatives_exclude_each_other(spark):
     df = spark.createDataFrame([("Xeon E-2288G",), ("Intel Xeon E 2386G",), ("E3-1270v6",)], "m string")
     got = [r[0] for r in df.select(T.regex_group("m", r"(?:Xeon[\s-]E\M[\s-]+|\mE-)([0-9]+[A-Z]*)", ci=True)).collect()]
     assert got == ["2288G", "2386G", None]
+
+
+def test_instants_are_read_in_utc_in_any_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.range(1).select(F.timestamp_seconds(F.lit(1704067800)).alias("t"))       # 2024-01-01 00:10 UTC
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = df.select(T.to_utc("t").cast("string").alias("u"), T.month_start("t").cast("string").alias("m"),
+                        T.add_months_ts("t", 1).cast("string").alias("p")).first()
+        fold = spark.range(2).select(T.to_utc(F.timestamp_seconds(F.lit(1730608200) + F.col("id") * 3600)).cast("string")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(got) == ("2024-01-01 00:10:00", "2024-01-01 00:00:00", "2024-02-01 00:10:00")
+    assert [r[0] for r in fold] == ["2024-11-03 04:30:00", "2024-11-03 05:30:00"]      # an hour the zone has twice
+
+
+def test_add_months_keeps_the_time_of_day(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 8, 31, 13, 30),)], "t timestamp_ntz")
+    assert one(df, T.add_months_ts("t", 6)) == dt.datetime(2025, 2, 28, 13, 30)
