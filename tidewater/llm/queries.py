@@ -17,7 +17,7 @@ from .sharding import shard
 from .suffix_dedup import remove_repeated_bytes
 from .token_counts import count_tokens
 from .topk import top_inner_products
-from .url_filter import judge_urls
+from .url_filter import TWO_PART_SUFFIXES, judge_urls
 
 
 def op1_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,4 +77,82 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op6_quality_rules, op7_jaccard_components, op8_host_reputation, op9_interleaved_shards, op10_suffix_dedup)
 }
 
-ORACLES: dict[str, str] = {}
+# ------------------------------------------------------------------------------------------------
+# DuckDB SQL. The others hold a classifier, a tokenizer, a checksum or a rounding that SQL does not
+# express; tests/llm compares them with brute force, round trips or held-out accuracy.
+# ------------------------------------------------------------------------------------------------
+_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+
+OP4_SQL = f"""WITH w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS body FROM places),
+earliest AS (SELECT body, min(doc_id) AS doc_id FROM windows GROUP BY body),
+hits AS (SELECT v.doc_id, v.i FROM windows v JOIN earliest e USING (body) WHERE e.doc_id < v.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM hits),
+each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS body, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(body, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+OP5_SQL = """WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT q.vec_id AS query_id, CAST(row_number() OVER best AS INTEGER) AS rank, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
+WINDOW best AS (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id)
+QUALIFY row_number() OVER best <= 10"""
+
+OP7_SQL = f"""WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+  FROM w),
+one AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM one a JOIN one b USING (shingle) WHERE a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, least(doc_id, coalesce(least_id, doc_id)) AS component_id
+FROM s LEFT JOIN (SELECT x, min(y) AS least_id FROM reach GROUP BY x) ON x = doc_id"""
+
+_FIT = """SELECT CASE WHEN over > 0 AND sq > bin THEN least(greatest(over / (sq - bin) - 1, 2.0), 200.0) ELSE 200.0 END AS k
+  FROM (SELECT sum((bad - n * prior) * (bad - n * prior)) AS sq, sum(n * prior * (1 - prior)) AS bin,
+    sum(n * (n - 1) * prior * (1 - prior)) AS over FROM {table} WHERE n > 0)"""
+_TWO = "('" + "', '".join(TWO_PART_SUFFIXES) + "')"
+OP8_SQL = f"""WITH p AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+known AS (
+  SELECT doc_id AS page_id, max(CAST(coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1 AS BIGINT)) AS bad
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+hosts AS (
+  SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS bad,
+    regexp_extract(host, '([^.]+\\.[^.]+)$', 1) AS two, regexp_extract(host, '([^.]+\\.[^.]+\\.[^.]+)$', 1) AS three
+  FROM p LEFT JOIN known USING (page_id) WHERE host <> '' GROUP BY host),
+named AS (
+  SELECT host, n, bad, CASE WHEN two IN {_TWO} THEN CASE WHEN three <> '' THEN three ELSE two END WHEN two <> '' THEN two ELSE host END AS domain,
+    CASE WHEN two IN {_TWO} THEN two ELSE regexp_extract(host, '([^.]*)$', 1) END AS suffix FROM hosts),
+overall AS (SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n) ELSE 0.0 END AS rate FROM named),
+s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(rate) AS prior FROM named, overall GROUP BY suffix),
+s1 AS (SELECT suffix, (bad + k * prior) / (n + k) AS prior FROM s0, ({_FIT.format(table='s0')})),
+d0 AS (SELECT domain, sum(n) AS n, sum(bad) AS bad, any_value(prior) AS prior FROM named JOIN s1 USING (suffix) GROUP BY domain),
+d1 AS (SELECT domain, (bad + k * prior) / (n + k) AS prior FROM d0, ({_FIT.format(table='d0')})),
+h0 AS (SELECT host, n, bad, prior FROM named JOIN d1 USING (domain)),
+h1 AS (SELECT host, (bad + k * prior) / (n + k) AS mean, n + k AS total FROM h0, ({_FIT.format(table='h0')})),
+judged AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (total + 1)) > 0.3 AS blocked FROM h1),
+ruled AS (
+  SELECT page_id, host, path, CASE
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM p)
+SELECT page_id, r.host, path, rule, CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN blocked THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled r LEFT JOIN judged j ON j.host = r.host"""
+
+ORACLES: dict[str, str] = {"op4_fm_index_dedup": OP4_SQL, "op5_top_inner_products": OP5_SQL, "op7_jaccard_components": OP7_SQL,
+                           "op8_host_reputation": OP8_SQL}
