@@ -13,13 +13,12 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["model_sessions", "model_leads", "model_roi_monthly", "model_price_plans", "html_cards_enriched",
-            "upsert_latest", "ingest_status"]
+            "upsert_latest", "ingest_raw_rows"]
 
 
 def cpu_calibration() -> float:
@@ -38,12 +37,10 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
 
     from tidewater.harness.catalog import QUERIES
-    from tidewater.session import build_session
+    from tidewater.session import build_session, remove_tables
 
     spark = build_session(f"local[{cpus}]", app="tidewater-bench", shuffle_partitions=max(8, 2 * cpus),
                           extra={"spark.driver.memory": "16g"})
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewater-bench-ckpt-"))
 
     def run(name: str) -> float:
         t0 = time.perf_counter()
@@ -54,6 +51,7 @@ def main() -> None:
     for name in names:
         run(name)                                   # warm-up: JIT, file listing, Python workers
         timings[name] = round(statistics.median(run(name) for _ in range(reps)), 3)
+    remove_tables(spark)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_median_sec", "value": round(sum(timings.values()), 3), "unit": "sec",
                       "queries": timings, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,

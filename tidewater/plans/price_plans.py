@@ -5,9 +5,8 @@ Inputs: any number of price-list frames with the staging columns (FIXTURES.md §
 countries dimension (iso_2_code, country, region).
 
 Plan shape: a single narrow stage. The OR-join on the country dimension is rewritten to a hash
-equi-join on exploded keys (no nested loop, R13); the dimension is broadcast because it is bounded
-by construction (one row per country of the world). The classification layers stay separate
-projections so each costly regex column is computed once (R14).
+equi-join on exploded keys (no nested loop, R13); the dimension is broadcast where Spark measures it
+small. The classification layers stay separate projections so each costly regex column is computed once (R14).
 """
 
 from __future__ import annotations
@@ -37,9 +36,9 @@ def union_price_lists(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def normalise_plans(all_plans: DataFrame, countries: DataFrame) -> DataFrame:
-    """Location lookup by ISO code or country name, cleanup and ``plan_by_loc_id``."""
-    dim = F.broadcast(countries.select("iso_2_code", F.col("country").alias("c_country"),
-                                       F.col("region").alias("c_region")))
+    """Location lookup by ISO code or country name, cleanup and ``plan_by_loc_id`` (D20). Spark broadcasts the countries
+    where it measures them small."""
+    dim = countries.select("iso_2_code", F.col("country").alias("c_country"), F.col("region").alias("c_region"))
     j = left_join_or_keys(all_plans, dim, "location", ["iso_2_code", "c_country"])
     return j.select(
         "extracted_date", "company", "product_type", "plan_name", "plan_id",
