@@ -4,9 +4,11 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import utf8_buffer
 from tidewater.llm.packing import Service, cut, pack, tokenizer
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -101,7 +103,7 @@ def test_repeated_rows(spark):
 def test_whole_texts_equal_words(spark):
     ids = reference_tokenizer()
     texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
-    got, off = tokenizer(PATH).encode([t.encode() for t in texts], 2)
+    got, off = tokenizer(PATH).encode(*utf8_buffer(pa.array(texts)), 2)
     assert all(got[off[i]:off[i + 1]].tolist() == ids(t) for i, t in enumerate(texts))
 
 
@@ -136,3 +138,15 @@ def test_service_beyond_64_bits():
     assert all(exact(int(a), int(b)) == int(r) for a, b, r in list(zip(src, t, rank, strict=True))[::97])
     doc, start, size, window, offset = cut(s, np.array([0]), np.array([6_999_999_000_000]), np.array([9000]), 4096)
     assert size.sum() == 9000 and (np.diff(window) == 1).all() and (offset + size <= 4096).all()
+
+
+def test_words_equal_whole_texts_on_odd_characters():
+    import random
+    rng = random.Random(3)
+    ids = reference_tokenizer()
+    alphabet = list("aAjJkK zZ09 ,.;:!?'\"<|>\t\n\x0b\x0c\x1c\x85\u00a0") + ["\u030c", "\u0301", "\u0338", "é", "É", "ß", "Σ", "ς", "İ", "K", "日",
+                "\u3099", "🙂", "\u200d", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "a, b. ", "word,", "Word."]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(4000)]
+    got, off = tokenizer(PATH).encode(*utf8_buffer(pa.array(texts)), 2)
+    for i, t in enumerate(texts):
+        assert got[off[i]:off[i + 1]].tolist() == ids(t), repr(t)

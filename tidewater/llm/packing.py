@@ -14,7 +14,7 @@ With ``targets``, quanta are the given shares; when a source runs dry the others
 by weight. This splits the service into rounds, in each of which the totals are what each source
 gives; without targets the shares are the sources' own and all queues end together.
 
-Documents are tokenized once, in blocks of about 1 MB that are written as rows of packed ids. A
+Documents are tokenized once, in blocks of about 2 MB that are written as rows of packed ids. A
 block's place in its sources' queues is the sum of the blocks before, kept per (source, block); it
 joins the blocks by broadcast only if Spark measures it small. A source that holds a third of all
 tokens is as spread as any other: nothing is grouped by source but block totals. The driver holds one
@@ -31,17 +31,23 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .anchors import spans
 from .common import materialise, pieces, ready, utf8_buffer
 
-WORD_CACHE = 300_000
-BLOCK_BYTES = 1 << 20
+#: Most words that a Python worker remembers; about 130 bytes each.
+WORD_CACHE = 800_000
+BLOCK_BYTES = 1 << 21
+CLOSING = frozenset([b",", b".", b";", b":", b"!", b"?"])
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 class WordTokenizer:
@@ -60,45 +66,92 @@ class WordTokenizer:
             raise ValueError("the tokenizer keeps white space: words cannot be encoded one by one")
         # an ASCII word may be looked up in lower case if the tokenizer lower-cases anyway
         self.lower = whole == self.model.encode(probe.lower(), add_special_tokens=False).ids
+        pieces_ = self.model.get_vocab(with_added_tokens=False)
+        closing = [i for x, i in pieces_.items() if x.endswith("</w>")]
+        self.closes = np.zeros(max(self.model.get_vocab().values()) + 1, bool) if closing else None
+        if closing:
+            self.closes[closing] = True
         self.reset()
 
     def reset(self) -> None:
         self.words: dict[bytes, int] = {}
         self.begin, self.size, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
 
-    def learn(self, new: list[bytes]) -> None:
-        ids = [e.ids for e in self.model.encode_batch([w.decode() for w in new], add_special_tokens=False)]
-        k, n = len(self.words), np.array([len(x) for x in ids], np.int64)
-        while k + len(new) > len(self.begin):
+    def ids_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and the number of each."""
+        ids = [e.ids for e in self.model.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.array([len(x) for x in ids], np.int64)
+
+    def letters(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of ASCII letters: each is one piece of the tokenizer, so in a text of many of them the ids
+        that close a piece tell where a word ends."""
+        texts = [b" ".join(words[i:i + 500]).decode() for i in range(0, len(words), 500)]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)), np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        return (ids, np.diff(np.concatenate([[0], ends]))) if len(ends) == len(words) else self.ids_of(words)
+
+    def add(self, words: list[bytes], ids: np.ndarray, n: np.ndarray) -> None:
+        k = len(self.words)
+        while k + len(words) > len(self.begin):
             self.begin, self.size = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.size, 2 * len(self.size))
-        while self.used + int(n.sum()) > len(self.flat):
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.size[k:k + len(new)] = n
-        self.begin[k:k + len(new)] = self.used + np.cumsum(n) - n
-        self.flat[self.used:self.used + int(n.sum())] = [i for x in ids for i in x]
-        self.used += int(n.sum())
-        self.words.update(zip(new, range(k, k + len(new)), strict=True))
-
-    def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each closed by ``end``, and the n+1 offsets."""
+        self.size[k:k + len(words)] = n
+        self.begin[k:k + len(words)] = self.used + np.cumsum(n) - n
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.words.update(zip(words, range(k, k + len(words)), strict=True))
+
+    def learn(self, new: list[bytes]) -> None:
+        """Tokenize words. One closing mark behind an ASCII letter or digit is a piece of its own: such a word is its stem's
+        ids and the mark's."""
+        marked = [w for w in new if w[-1:] in CLOSING and w[-2:-1].isalnum()]
+        both = set(marked)
+        stems = {w[:-1] for w in marked} | {w[-1:] for w in marked} | {w for w in new if w not in both}
+        plain, other = [], []
+        for w in stems:
+            if w not in self.words:
+                (plain if self.closes is not None and w.isalpha() and w.isascii() else other).append(w)
+        for words, find in ((plain, self.letters), (other, self.ids_of)):
+            if words:
+                self.add(words, *find(words))
+        if marked:
+            parts = np.array([self.words[x] for w in marked for x in (w[:-1], w[-1:])], np.int64)
+            size = self.size[parts]
+            self.add(marked, self.flat[spans(self.begin[parts], size)], size[0::2] + size[1::2])
+
+    def encode(self, data: np.ndarray, off: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each closed by ``end``, and the n+1 offsets. ASCII letters are lowered first where that cannot
+        change the ids: none of them composes with a mark outside U+0300..U+033F, whose UTF-8 starts with 0xCC, and ``<``
+        may open a special token."""
         if len(self.words) > WORD_CACHE:
             self.reset()
-        split = [(t.lower() if self.lower and t.isascii() and b"<" not in t else t).split() for t in texts]
-        get = self.words.get
-        at = [list(map(get, ws)) for ws in split]
-        if any(None in a for a in at):
-            self.learn(list({w for ws, a in zip(split, at, strict=True) if None in a for w, i in zip(ws, a, strict=True) if i is None}))
-            at = [list(map(get, ws)) if None in a else a for ws, a in zip(split, at, strict=True)]
-        n = np.array([len(a) for a in at], np.int64)
-        word = np.array([i for a in at for i in a], np.int64)
+        if self.lower:
+            odd = np.concatenate([[0], np.cumsum((data == 0x3C) | (data == 0xCC))])
+            data = np.where(np.repeat(odd[off[1:]] == odd[off[:-1]], np.diff(off)), LOWER[data], data)
+        texts = pa.StringArray.from_buffers(len(off) - 1, pa.py_buffer(off.astype(np.int32).tobytes()), pa.py_buffer(np.ascontiguousarray(data)))
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        at = list(map(self.words.get, distinct))
+        lost = [j for j, i in enumerate(at) if i is None and distinct[j]]
+        if lost:
+            self.learn([distinct[j] for j in lost])
+            for j in lost:
+                at[j] = self.words[distinct[j]]
+        index = np.array([-1 if i is None else i for i in at], np.int64)       # a text's white space at its ends leaves empty words
+        word = index[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
+        real = word >= 0
+        count = np.concatenate([[0], np.cumsum(real)])[split.offsets.to_numpy()]
+        word = word[real]
         size = self.size[word]
-        upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])]
-        off = upto + np.arange(len(n) + 1)
-        out = np.full(int(off[-1]), end, np.uint32)
+        upto = np.concatenate([[0], np.cumsum(size)])[count]
+        ends = upto + np.arange(len(off))
+        out = np.full(int(ends[-1]), end, np.uint32)
         inside = np.ones(len(out), bool)
-        inside[off[1:] - 1] = False
+        inside[ends[1:] - 1] = False
         out[inside] = self.flat[spans(self.begin[word], size)]
-        return out, off
+        return out, ends
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -200,9 +253,9 @@ def pack(docs: DataFrame, tokenizer_path: str, end: int = 2, length: int = 4096,
         t = tokenizer(tokenizer_path)
         for b in batches:
             data, off = utf8_buffer(b.column(2))
-            raw, ids = data.tobytes(), b.column(0)
+            ids = b.column(0)
             for i, j in pieces(data, off, BLOCK_BYTES):
-                body, at = t.encode([raw[x:y] for x, y in zip(off[i:j].tolist(), off[i + 1:j + 1].tolist(), strict=True)], end)
+                body, at = t.encode(data[off[i]:off[j]], off[i:j + 1] - off[i], end)
                 names = b.column(1).slice(i, j - i).to_pylist()
                 known = sorted(set(names))
                 number = {x: k for k, x in enumerate(known)}
