@@ -4,8 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidewater.operators.relational import (anti_join, first_per_key, left_join_or_keys, membership_flag,
-                                            row_number_skew_safe)
+from tidewater.operators.relational import anti_join, first_per_key, left_join_or_keys, row_number_skew_safe
 
 
 def skewed_rows(n=3000, seed=7):
@@ -88,10 +87,3 @@ def test_or_keys_join_matches_nested_loop_and_is_equi(spark):
     assert sorted(out, key=str) == sorted(brute, key=str)
     plan = left_join_or_keys(plans, dim, "location", ["iso", "country"])._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
-
-
-def test_membership_flag_spreads_null_keys(spark):
-    df = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id int, k string")
-    members = spark.createDataFrame([("a",), (None,)], "k string")
-    out = {r.id: r.f for r in membership_flag(df, members, "k", "f", salt="id").collect()}
-    assert out == {1: True, 2: False, 3: False}

@@ -14,7 +14,7 @@ from __future__ import annotations
 # one row per event, with the web columns every event source shares
 WEB_EVENTS = """
 SELECT e.event_id, e.ts AS original_timestamp, e.event_type,
-  CASE WHEN e.event_id % 11 = 0 THEN NULL ELSE concat('a', CAST(e.user_id AS STRING)) END AS anonymous_id,
+  CASE WHEN e.event_id % 3 = 2 THEN NULL ELSE concat('a', CAST(e.user_id AS STRING)) END AS anonymous_id,
   CASE WHEN e.user_id % 3 = 0 THEN concat('u', CAST(e.user_id AS STRING)) END AS user_id,
   CASE WHEN e.event_id % 13 = 0 THEN NULL
        ELSE concat(CAST(e.user_id AS STRING), '-', CAST(dayofyear(e.ts) AS STRING)) END AS session_id,

@@ -88,13 +88,6 @@ def anti_join(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other.select(key).distinct(), key, "left_anti")
 
 
-def membership_flag(df: DataFrame, members: DataFrame, key: str, flag: str, salt: str | None = None) -> DataFrame:
-    """``CASE WHEN m.key IS NULL THEN FALSE ELSE TRUE END`` after ``LEFT JOIN (SELECT DISTINCT key)``."""
-    m = members.select(key).filter(F.col(key).isNotNull()).distinct().withColumn("_m", F.lit(True))
-    j = df.join(m, key, "left") if salt is None else left_join_nullable(df, m, key, key, salt)
-    return j.withColumn(flag, F.coalesce(F.col("_m"), F.lit(False))).drop("_m")
-
-
 def left_join_or_keys(left: DataFrame, dim: DataFrame, left_key: str, dim_keys: Sequence[str]) -> DataFrame:
     """``LEFT JOIN dim ON left.k = dim.a OR left.k = dim.b`` as a hash equi-join.
 
