@@ -29,4 +29,4 @@ def test_entry_smoke(spark):
     import __spark_entry__ as e
     df = e.entry(spark)
     assert df.count() >= 0 and [c for c, _ in df.dtypes][0] == "month"
-    assert set(e.queries()) == set(e.oracle_sql())
+    assert set(QUERIES) <= set(e.oracle_sql()) <= set(e.queries())
