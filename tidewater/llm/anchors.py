@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ready, utf8_buffer, word_bounds
+from .common import new_stage, ready, utf8_buffer, word_bounds
 
 GROUP_BYTES = 4 << 20
 BUCKET_RECORDS = 400_000
@@ -59,19 +59,18 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(29))
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse modulo 2^64, kept by size class."""
-    size = 1 << max(12, int(n - 1).bit_length())
-    if size not in _POWERS:
-        def run(b):
+    """The first n powers of the base and of its inverse modulo 2^64; the longest asked for are kept."""
+    if len(_POWERS[0]) < n:
+        size = 1 << max(12, int(n - 1).bit_length())
+        for k, b in enumerate((BASE, BASE_INVERSE)):
             x = np.full(size, b, U)
             x[0] = 1
-            return np.multiply.accumulate(x)
-        _POWERS[size] = (run(BASE), run(BASE_INVERSE))
-    return _POWERS[size][0][:n], _POWERS[size][1][:n]
+            _POWERS[k] = np.multiply.accumulate(x)
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def prefix_hashes(values: np.ndarray) -> np.ndarray:
@@ -254,6 +253,7 @@ def send(g: int, ids: np.ndarray, records: np.ndarray, to: np.ndarray, body: Cal
 
 def decide(t: pa.Table, same_document: bool) -> pa.Table:
     """Step 2, of one bucket."""
+    new_stage()
     held = [(g, REPEATED, x) for g, x in zip(t.column("g").to_pylist(), t.column("body").to_pylist(), strict=True) if x]
     recs, g, doc_id = received(t)
     order = np.argsort(recs["anchor"], kind="stable")
@@ -316,6 +316,7 @@ def mark_repeats(docs: DataFrame, *, length: int, run: int, words: bool, same_do
     n_buckets = n_shards = max(8, int(total * density / BUCKET_RECORDS))
 
     def announce(t: pa.Table) -> pa.Table:
+        new_stage()
         g = group_of(t)
         values, off, _ = elements(g, words)
         recs = all_segments(values, off, length, run)
@@ -334,6 +335,7 @@ def mark_repeats(docs: DataFrame, *, length: int, run: int, words: bool, same_do
         return packed(send(int(t.column(0)[0].as_py()), g.ids, recs, to, lambda part: held.get(int(to[part[0]]), b"")), SENT)
 
     def cut(docs_: pa.Table, back: pa.Table) -> pa.Table:
+        new_stage()
         asked = [np.frombuffer(r, SEGMENT) for r in back.column(2).to_pylist()]
         if not asked or not docs_.num_rows:
             return packed([], SENT)
@@ -349,6 +351,7 @@ def mark_repeats(docs: DataFrame, *, length: int, run: int, words: bool, same_do
                            lambda part: source[spans(first[part], size[part])].tobytes()), SENT)
 
     def resolve(t: pa.Table) -> pa.Table:
+        new_stage()
         recs, g, doc_id = received(t)
         values = np.frombuffer(b"".join(t.column("body").to_pylist()), U if words else np.uint8)
         at = np.concatenate([[0], np.cumsum(recs["windows"].astype(np.int64) + length - 1)])
@@ -367,6 +370,7 @@ def mark_repeats(docs: DataFrame, *, length: int, run: int, words: bool, same_do
         return packed(rows, BACK)
 
     def close(docs_: pa.Table, back: pa.Table) -> pa.Table:
+        new_stage()
         if not docs_.num_rows:
             return target.empty_table()
         g = group_of(docs_)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,28 @@ def ready(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+_KEPT: dict = {"stage": None}
+
+
+def new_stage() -> None:
+    """What a Python worker remembers (tokenizers, words, counts) belongs to one stage. Every task calls this first, so a
+    worker that Spark uses again for another stage gives that memory back."""
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
+    if _KEPT["stage"] != stage:
+        _KEPT.clear()
+        _KEPT["stage"] = stage
+        pa.default_memory_pool().release_unused()
+
+
+def remembered(key: tuple, make: Callable):
+    """``make()``, once per Python worker and stage."""
+    new_stage()
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 # ------------------------------------------------------------------------------------------------
 # Arrow text
 # ------------------------------------------------------------------------------------------------
@@ -97,6 +122,7 @@ def word_counts(df: DataFrame, text: str, keep: list[str], out: str) -> DataFram
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema) + f", `{out}` long"
 
     def count(batches):
+        new_stage()
         for b in batches:
             data, off = utf8_buffer(b.column(b.num_columns - 1))
             n = np.zeros(b.num_rows, np.int64)

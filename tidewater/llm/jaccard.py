@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import anchors
 from .anchors import STEP_FACTORS, U, mixed, ranges, spans, word_values
-from .common import materialise, pieces, ready, utf8_buffer, word_bounds
+from .common import materialise, new_stage, pieces, ready, utf8_buffer, word_bounds
 from .components import components
 
 SHINGLE = 5
@@ -92,6 +92,7 @@ def bucketed(h: np.ndarray, n_buckets: int) -> np.ndarray:
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """__g, key, text of every text that is not null, once per Arrow batch."""
     def reduce(batches):
+        new_stage()
         for b in batches:
             first = {k: i for i, k in zip(range(b.num_rows - 1, -1, -1), reversed(b.column(1).to_pylist()), strict=True)}
             yield b.take(pa.array(sorted(first.values()), pa.int64()))
@@ -102,6 +103,7 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 
 def group_sets(t: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Keys in order, and the shingle sets of a group's distinct texts."""
+    new_stage()
     keys = t.column("key").to_pylist()
     first = {k: i for i, k in zip(range(len(keys) - 1, -1, -1), reversed(keys), strict=True)}
     order = sorted(first)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import ready
+from .common import ready, remembered
 
 #: Most words whose counts a Python worker remembers.
 WORD_CACHE = 300_000
@@ -93,14 +93,9 @@ class JsonCounter:
         return [len(self.model.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
-_COUNTERS: dict[str, PieceCounter | JsonCounter] = {}
-
-
 def counter(path: str) -> PieceCounter | JsonCounter:
     """One per Python worker and file."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = JsonCounter(path) if path.endswith(".json") else PieceCounter(path)
-    return _COUNTERS[path]
+    return remembered(("counter", path), lambda: JsonCounter(path) if path.endswith(".json") else PieceCounter(path))
 
 
 def encode_counts(contents: DataFrame, path: str) -> DataFrame:
