@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import BYTE_VALUE, STEP_FACTORS, U, mixed, prefix_hashes, powers, spans, word_values
-from .common import IS_SPACE, pieces, ready, utf8_buffer, word_bounds
+from .common import IS_SPACE, new_stage, pieces, ready, utf8_buffer, word_bounds
 
 #: Labelled rows that the classifier sees at most, and the share of them kept for calibration.
-SAMPLE, HELD_OUT = 4000, 0.25
+SAMPLE, HELD_OUT = 2000, 0.25
 #: A text is rejected from this probability of low quality on.
 REJECT_FROM = 0.5
 BITS = 16
@@ -131,6 +131,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, la
     texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
 
     def made(batches):
+        new_stage()
         for b in batches:
             ys, hs, n = b.column(1), b.column(2), 0
             for part, o, _, _, word_off, words in analysed(b.column(3)):
@@ -155,25 +156,32 @@ def train(rows: list, rounds: int = 120, ridge: float = 1e-4) -> dict | None:
     low = np.array([r.y == 0 for r in rows], np.float64)
     if not 0 < low[:cut].sum() < cut or not 0 < low[cut:].sum() < len(rows) - cut:
         return None
-    index = [np.frombuffer(r.at, np.int32) for r in rows]
-    value = [np.frombuffer(r.value, np.float32) * GAIN for r in rows]
-    row = np.repeat(np.arange(len(rows)), [len(x) for x in index])
-    col, val = np.concatenate(index).astype(np.int64), np.concatenate(value).astype(np.float64)
-    seen = row < cut
-    r, c, v = row[seen], col[seen], val[seen]
+    # the rows one after the other; those that train are a prefix, and sums by row need no row numbers
+    size = np.array([len(r.at) // 4 for r in rows], np.int64)
+    col = np.concatenate([np.frombuffer(r.at, np.int32) for r in rows])
+    val = np.concatenate([np.frombuffer(r.value, np.float32) for r in rows]) * np.float32(GAIN)
+    rows.clear()
+    begin, n = np.cumsum(size) - size, int(size[:cut].sum())
+
+    def scores(first: int, last: int, w: np.ndarray) -> np.ndarray:
+        a, b = int(begin[first]) if first < len(size) else len(col), int(begin[last]) if last < len(size) else len(col)
+        total = np.concatenate([[0.0], np.cumsum(val[a:b] * w[col[a:b]], dtype=np.float64)])
+        at = begin[first:last] - a
+        return total[at + size[first:last]] - total[at]
+
+    c, v = col[:n].astype(np.intp), val[:n]
     w, bias = np.zeros(KINDS << BITS), 0.0
     m1, m2, b1, b2 = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, rounds + 1):
-        z = np.bincount(r, v * w[c], minlength=cut) + bias
+        z = scores(0, cut, w) + bias
         gap = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - low[:cut]) / cut
-        g, gb = np.bincount(c, v * gap[r], minlength=len(w)) + ridge * w, gap.sum()
+        g, gb = np.bincount(c, v * np.repeat(gap.astype(np.float32), size[:cut]), minlength=len(w)) + ridge * w, gap.sum()
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         b1, b2 = 0.9 * b1 + 0.1 * gb, 0.999 * b2 + 0.001 * gb * gb
         fix1, fix2, rate = 1 - 0.9 ** t, 1 - 0.999 ** t, 0.05
         w -= rate * (m1 / fix1) / (np.sqrt(m2 / fix2) + 1e-8)
         bias -= rate * (b1 / fix1) / (np.sqrt(b2 / fix2) + 1e-8)
-    held = ~seen
-    z = np.bincount(row[held] - cut, val[held] * w[col[held]], minlength=len(rows) - cut) + bias
+    z = scores(cut, len(size), w) + bias
     slope, shift = platt(z, low[cut:])
     return {"weights": w.astype(np.float32), "bias": bias, "slope": slope, "shift": shift}
 
@@ -213,6 +221,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     names = [*keep.columns, *[x.split()[0] for x in COLUMNS.split(", ")]]
 
     def judge(batches):
+        new_stage()
         for b in batches:
             n = 0
             for part, o, starts, ends, word_off, words in analysed(b.column(b.num_columns - 1)):
