@@ -40,10 +40,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .anchors import spans
-from .common import materialise, pieces, ready, utf8_buffer
+from .common import materialise, new_stage, pieces, ready, remembered, utf8_buffer
 
 #: Most words that a Python worker remembers; about 130 bytes each.
-WORD_CACHE = 800_000
+WORD_CACHE = 690_000
 BLOCK_BYTES = 1 << 21
 CLOSING = frozenset([b",", b".", b";", b":", b"!", b"?"])
 LOWER = np.arange(256, dtype=np.uint8)
@@ -154,13 +154,8 @@ class WordTokenizer:
         return out, ends
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
 def tokenizer(path: str) -> WordTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
+    return remembered(("word tokenizer", path), lambda: WordTokenizer(path))
 
 
 class Service:
@@ -294,6 +289,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end: int = 2, length: int = 4096,
     placed = blocks.join(starts, "block").select("names", "starts", "sources", "doc_ids", "nulls", "sizes", "ids")
 
     def deal(batches):
+        new_stage()
         for b in batches:
             for r in b.to_pylist():
                 begin = dict(r["starts"])
