@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidewater.llm import quality
 from tidewater.llm.quality import judge_quality, platt
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -84,3 +85,22 @@ def test_platt_recovers_a_logistic():
     y = (rng.random(20_000) < 1 / (1 + np.exp(-(0.7 * z - 1)))).astype(float)
     a, b = platt(z, y)
     assert a == pytest.approx(0.7, abs=0.05) and b == pytest.approx(-1, abs=0.08)
+
+
+def test_every_label_up_to_4000_is_used(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = quality.training_rows(spark.read.parquet(f"{sf}/documents.parquet"), labels, "doc_id", "text", "doc_id", "quality")
+    n = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").select("doc_id").distinct().count()
+    assert 2000 < n < 4000 and len(rows) == n
+
+
+def test_blocks_do_not_change_the_model(spark, monkeypatch):
+    data = [(i, " ".join("w%d" % (i * j % 97) for j in range(60)) + (" buy now" if i % 3 == 0 else ""), "en", "s", 1) for i in range(200)]
+    args = (spark.createDataFrame(data, DOC), spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(200)], LABEL),
+            "doc_id", "text", "doc_id", "quality")
+    whole = quality.train(quality.training_rows(*args))
+    monkeypatch.setattr(quality, "BLOCK", 1000)
+    assert len(quality.blocks(quality.training_rows(*args))) > 10
+    parts = quality.train(quality.training_rows(*args))
+    assert np.allclose(whole["weights"], parts["weights"], atol=1e-4) and parts["slope"] == pytest.approx(whole["slope"], rel=1e-3)

@@ -21,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import BYTE_VALUE, STEP_FACTORS, U, mixed, prefix_hashes, powers, spans, word_values
-from .common import IS_SPACE, new_stage, pieces, ready, utf8_buffer, word_bounds
+from .anchors import BYTE_VALUE, STEP_FACTORS, U, mixed, prefix_hashes, powers, ranges, spans, word_values
+from .common import IS_SPACE, materialise, new_stage, pieces, ready, utf8_buffer, word_bounds
 
 #: Labelled rows that the classifier sees at most, and the share of them kept for calibration.
-SAMPLE, HELD_OUT = 2000, 0.25
+SAMPLE, HELD_OUT = 4000, 0.25
+#: Features that one step of the training on the driver holds in wide numbers.
+BLOCK = 1 << 20
 #: A text is rejected from this probability of low quality on.
 REJECT_FROM = 0.5
 BITS = 16
@@ -125,7 +127,8 @@ def analysed(batch_text):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label_id: str, label: str) -> list:
-    """Label and sparse features of the sampled labelled documents; collected, bounded by ``SAMPLE``."""
+    """Label and sparse features of the sampled labelled documents; bounded by ``SAMPLE``. The executors write them, the driver
+    reads one partition at a time."""
     sample = labels.filter(F.col(label).isNotNull() & F.col(label_id).isNotNull()).groupBy(F.col(label_id).alias("id")) \
         .agg(F.min(label).cast("int").alias("y")).withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(SAMPLE)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
@@ -146,8 +149,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, la
                                                  names=["y", "h", "at", "value"])
                 n += k
 
-    rows = texts.select("id", "y", "h", "text").mapInArrow(made, "y int, h long, at binary, value binary").collect()
-    return sorted(rows, key=lambda r: (r.h, r.y, r.at))
+    rows = materialise(texts.select("id", "y", "h", "text").mapInArrow(made, "y int, h long, at binary, value binary"), "quality-features")
+    return sorted(rows.toLocalIterator(), key=lambda r: (r.h, r.y, r.at))
+
+
+def blocks(rows: list) -> list[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of rows of about ``BLOCK`` features: (rows, their sizes, columns, values). ``rows`` is emptied on the way."""
+    size = np.array([len(r.at) // 4 for r in rows], np.int64)
+    out = []
+    for a, b in ranges((np.cumsum(size) - size) // BLOCK):
+        col = np.concatenate([np.frombuffer(r.at, np.int32) for r in rows[a:b]])
+        val = np.concatenate([np.frombuffer(r.value, np.float32) for r in rows[a:b]]) * np.float32(GAIN)
+        rows[a:b] = [None] * (b - a)
+        out.append((slice(a, b), size[a:b], col, val))
+    return out
+
+
+def scores(part: list, n: int, w: np.ndarray) -> np.ndarray:
+    """The linear part of the score of the ``n`` rows of some blocks."""
+    z = np.zeros(n)
+    for at, size, col, val in part:
+        total = np.concatenate([[0.0], np.cumsum(val * w[col], dtype=np.float64)])
+        end = np.cumsum(size)
+        z[at] = total[end] - total[end - size]
+    return z
 
 
 def train(rows: list, rounds: int = 120, ridge: float = 1e-4) -> dict | None:
@@ -156,32 +181,23 @@ def train(rows: list, rounds: int = 120, ridge: float = 1e-4) -> dict | None:
     low = np.array([r.y == 0 for r in rows], np.float64)
     if not 0 < low[:cut].sum() < cut or not 0 < low[cut:].sum() < len(rows) - cut:
         return None
-    # the rows one after the other; those that train are a prefix, and sums by row need no row numbers
-    size = np.array([len(r.at) // 4 for r in rows], np.int64)
-    col = np.concatenate([np.frombuffer(r.at, np.int32) for r in rows])
-    val = np.concatenate([np.frombuffer(r.value, np.float32) for r in rows]) * np.float32(GAIN)
-    rows.clear()
-    begin, n = np.cumsum(size) - size, int(size[:cut].sum())
-
-    def scores(first: int, last: int, w: np.ndarray) -> np.ndarray:
-        a, b = int(begin[first]) if first < len(size) else len(col), int(begin[last]) if last < len(size) else len(col)
-        total = np.concatenate([[0.0], np.cumsum(val[a:b] * w[col[a:b]], dtype=np.float64)])
-        at = begin[first:last] - a
-        return total[at + size[first:last]] - total[at]
-
-    c, v = col[:n].astype(np.intp), val[:n]
+    held = rows[cut:]
+    del rows[cut:]
+    train_on, calibrate_on = blocks(rows), blocks(held)
     w, bias = np.zeros(KINDS << BITS), 0.0
     m1, m2, b1, b2 = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, rounds + 1):
-        z = scores(0, cut, w) + bias
+        z = scores(train_on, cut, w) + bias
         gap = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - low[:cut]) / cut
-        g, gb = np.bincount(c, v * np.repeat(gap.astype(np.float32), size[:cut]), minlength=len(w)) + ridge * w, gap.sum()
+        g, gb = ridge * w, gap.sum()
+        for at, size, col, val in train_on:
+            g += np.bincount(col, val * np.repeat(gap[at].astype(np.float32), size), minlength=len(w))
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         b1, b2 = 0.9 * b1 + 0.1 * gb, 0.999 * b2 + 0.001 * gb * gb
         fix1, fix2, rate = 1 - 0.9 ** t, 1 - 0.999 ** t, 0.05
         w -= rate * (m1 / fix1) / (np.sqrt(m2 / fix2) + 1e-8)
         bias -= rate * (b1 / fix1) / (np.sqrt(b2 / fix2) + 1e-8)
-    z = scores(cut, len(size), w) + bias
+    z = scores(calibrate_on, len(low) - cut, w) + bias
     slope, shift = platt(z, low[cut:])
     return {"weights": w.astype(np.float32), "bias": bias, "slope": slope, "shift": shift}
 
