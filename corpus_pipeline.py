@@ -1,15 +1,15 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet and read by the next.
 
 1. quality         documents that the rules or the classifier reject go
-2. near_duplicates one document of each group of near duplicates stays: the one of least id
+2. near_duplicates one row of each group of near duplicates stays: the one of least id
 3. substrings      passages of 50 words that a document of smaller id has too go from the text
 4. mixture         documents are repeated or left out so that sources meet their target weights
 5. packing         what remains is packed into windows of 4096 tokens; the last stage returns pieces
 
 A stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last return
 the columns of ``documents``; where a text changes, ``n_chars`` is its new length. A document all of
-whose words are removed stays with an empty text. Rows without an id pass the stages that compare by
-id. An empty table passes every stage.
+whose words are removed stays with an empty text. Rows without an id count as those of the largest id.
+An empty table passes every stage.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import materialise
 from tidewater.llm.fm_dedup import remove_repeated_passages
-from tidewater.llm.jaccard import near_duplicates
+from tidewater.llm.jaccard import one_per_component
 from tidewater.llm.mixing import mix
 from tidewater.llm.packing import pack
 from tidewater.llm.quality import judge_quality
@@ -33,13 +33,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of a group the row of least id stays; of several rows with that id the one of least text."""
-    groups = near_duplicates(docs)
-    stay = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").select(*COLUMNS)
-    twice = kept.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    one = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r")).select("doc_id", "r.*")
-    return kept.join(twice, "doc_id", "left_anti").unionByName(one).unionByName(docs.filter("doc_id IS NULL").select(*COLUMNS))
+    """Of a group the row of least id stays, one without an id only where no row has one; of several with that id the one of least text."""
+    return one_per_component(docs, carry=("lang", "source", "n_chars")).select(*COLUMNS)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -97,3 +97,13 @@ def test_odd_rows_pass_every_stage(spark, tmp_path, rows):
         if stage is not P.packing:
             assert out.columns == P.COLUMNS
     P.run(spark, sf).collect()
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Ids are repeated over different texts, or null: groups are of rows."""
+    text = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    a, b, c, d = map(text, "bacd")
+    rows = [(0, a), (1, a + " more"), (1, b), (1, c), (2, c), (None, a), (None, d), (None, d), (None, ""), (3, None), (3, " ")]
+    got = P.near_duplicate_groups(spark, spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOC).repartition(3), "").collect()
+    want = [(0, a), (1, b), (1, c), (None, d), (None, ""), (3, None), (3, " ")]
+    assert Counter(tuple(r)[:2] for r in got) == Counter(want)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import anchors
 from .anchors import STEP_FACTORS, U, mixed, ranges, spans, word_values
-from .common import materialise, new_stage, pieces, ready, utf8_buffer, word_bounds
+from .common import WORD, materialise, new_stage, pieces, ready, utf8_buffer, word_bounds
 from .components import components
 
 SHINGLE = 5
@@ -315,14 +315,11 @@ def linked(sets: DataFrame, labels: DataFrame | None, n_buckets: int, percent: i
         lambda p, s: decide(p, s, percent), "a long, b long"), "jaccard-links")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
-    ready(docs.sparkSession)
-    total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+def text_classes(docs: DataFrame, percent: int) -> DataFrame:
+    """key, n, label of every distinct text with words: its number of shingles and its component. ``docs``: text, key."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_groups, n_buckets = max(1, -(-total // anchors.GROUP_BYTES)), max(8, int(total // 6 // BUCKET_SHINGLES))
-    key = F.unhex(F.md5(F.col(text).cast("binary")))
-    keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), key.alias("key"))
-    by_group = distinct_texts(keyed.withColumn("__g", F.pmod(F.xxhash64("key"), F.lit(n_groups)).cast("int"))).groupBy("__g")
+    by_group = distinct_texts(docs.withColumn("__g", F.pmod(F.xxhash64("key"), F.lit(n_groups)).cast("int"))).groupBy("__g")
     counted = by_group.applyInArrow(lambda t: count_in_group(t, n_buckets), COUNTED)
     frequent = counted.groupBy("to").applyInArrow(count_in_bucket, FREQUENT)
     sets = materialise(by_group.cogroup(frequent.groupBy("__g")).applyInArrow(
@@ -334,8 +331,19 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     labels = components(links.unionByName(more), "a", "b")
 
     texts = sets.filter("n > 0").select("key", "uid", "n")
-    texts = texts.join(labels.select(F.col("v").alias("uid"), "label"), "uid", "left") \
-                 .select("key", "n", F.coalesce("label", "uid").alias("label"))
+    return texts.join(labels.select(F.col("v").alias("uid"), "label"), "uid", "left") \
+                .select("key", "n", F.coalesce("label", "uid").alias("label"))
+
+
+def keyed_by_text(docs: DataFrame, id_col: str, text: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), *carry, F.unhex(F.md5(F.col(text).cast("binary"))).alias("key"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    ready(docs.sparkSession)
+    keyed = keyed_by_text(docs, id_col, text)
+    texts = text_classes(keyed, percent)
     ids = keyed.select("doc_id", "key")
     least = ids.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least")).join(texts, "key")
     whole = least.groupBy("label").agg(F.min("least").alias("component"))
@@ -343,3 +351,28 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     return ids.join(by_key, "key", "left").select(
         "doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"),
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+
+
+def one_per_component(docs: DataFrame, carry: tuple[str, ...], percent: int = 75) -> DataFrame:
+    """doc_id, text and ``carry`` of the least row of every component: least id (null the largest), then least text and ``carry``.
+    Components are of rows, not of ids; rows without words are in none and all stay."""
+    ready(docs.sparkSession)
+    keyed = keyed_by_text(docs, "doc_id", "text", carry)
+    texts = text_classes(keyed.select("text", "key"), percent)
+    # the rows of every text that have its least id
+    ids = keyed.filter("key IS NOT NULL").groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    first = ids.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rows")).alias("f")) \
+        .select("key", "f.*").join(texts.select("key", "label"), "key")
+    head = first.groupBy("label").agg(F.min("doc_id").alias("head"))
+    heads = materialise(first.join(head, "label").filter("doc_id <=> head").select("key", "label", "head", "rows"), "jaccard-heads")
+    several = heads.groupBy("label").agg(F.sum("rows").alias("n")).filter("n > 1").select("label")
+
+    def rows(of: DataFrame) -> DataFrame:
+        of = of.select(F.col("key").alias("k"), "head", "label")
+        return keyed.join(of, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("head"))).select("doc_id", "text", *carry, "label")
+
+    names = ["doc_id", "text", *carry]
+    single = rows(heads.join(several, "label", "left_anti")).select(*names)
+    least = rows(heads.join(several, "label", "left_semi")).groupBy("label").agg(F.min(F.struct(*names)).alias("r")).select("r.*")
+    wordless = docs.filter(F.col("text").isNull() | ~F.col("text").rlike(WORD)).select(*names)
+    return single.unionByName(least).unionByName(wordless)
