@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over whole tables, with DuckDB SQL where it can express them."""
+"""The thirteen operators as registered queries over whole tables, with DuckDB SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from .mixing import mix
 from .packing import pack
 from .quality import judge_quality
 from .sharding import shard
+from .structure_repair import repair_report
 from .suffix_dedup import remove_repeated_bytes
 from .token_counts import count_tokens
 from .topk import top_inner_products
@@ -72,9 +73,23 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The contract's faults, planted by crc32 of ``conv_id:turn``, with ``times`` (0: dropped, 2: repeated)."""
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, F.lit("")).when(fault == 2, F.translate(known("text"), ".!?", "")).otherwise(known("text"))
+    return rows.select("conv_id", "turn", F.when(fault == 4, F.lit("user")).otherwise(known("role")).alias("role"), text.alias("text"),
+                       F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("times"))
+
+
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(damaged(table(spark, sf_dir, "conversations")), times="times")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixture_packing, op2_token_counts, op3_entropy_mix, op4_fm_index_dedup, op5_top_inner_products,
-                            op6_quality_rules, op7_jaccard_components, op8_host_reputation, op9_interleaved_shards, op10_suffix_dedup)
+                            op6_quality_rules, op7_jaccard_components, op8_host_reputation, op9_interleaved_shards, op10_suffix_dedup,
+                            op11_structure_repair)
 }
 
 # ------------------------------------------------------------------------------------------------
@@ -154,5 +169,57 @@ SELECT page_id, r.host, path, rule, CASE WHEN rule IN ('example.com/de/', 'net/'
   WHEN blocked THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled r LEFT JOIN judged j ON j.host = r.host"""
 
+# states: 0 nothing, 1 system, 2 user, 3 assistant last; a best is the cost in nine digits and the audit, so the least is the least text
+OP11_SQL = r"""WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)),
+    lambda acc, b: list_reduce(list_concat([xor(acc, b)], range(8)), lambda r, k: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295) % 20 AS fault
+  FROM conversations),
+r AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE fault <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos, left(role, 1) AS initial FROM r),
+f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM n),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pos > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+ways(p, initial, q, cost, letter) AS (VALUES (0, 's', 1, 0, 'K'), (0, 'u', 2, 0, 'K'), (1, 'u', 2, 0, 'K'), (3, 'u', 2, 0, 'K'), (2, 'a', 3, 0, 'K'),
+  (0, '', 2, 3, 'R'), (1, '', 2, 3, 'R'), (3, '', 2, 3, 'R'), (2, '', 3, 3, 'R')),
+fill(p, q, cost, letters) AS (VALUES (0, 0, 0, ''), (0, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 1, 0, ''), (1, 2, 3, 'I'), (1, 3, 6, 'II'),
+  (2, 2, 0, ''), (2, 3, 3, 'I'), (3, 3, 0, ''), (3, 2, 3, 'I')),
+best AS (
+  SELECT x.conv_id, 0::BIGINT AS pos, q AS state, cost::BIGINT AS cost, letters AS audit FROM (SELECT DISTINCT conv_id FROM conversations) x, fill WHERE p = 0
+  UNION ALL
+  SELECT conv_id, pos, state, least_one[1]::BIGINT, least_one[2] FROM (
+    SELECT conv_id, pos, state, min([lpad(cost::VARCHAR, 9, '0'), audit]) AS least_one FROM (
+      SELECT b.conv_id, f.pos, i.q AS state, b.cost + e.cost + i.cost AS cost, b.audit || e.letter || i.letters AS audit
+      FROM best b JOIN f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.pos = b.pos + 1,
+        LATERAL (SELECT w.q, w.cost + CASE WHEN f.fault = 'truncated' THEN 3 ELSE 0 END AS cost, w.letter FROM ways w
+                 WHERE w.p = b.state AND w.initial IN ('', f.initial) AND (f.fault IS NULL OR f.fault = 'truncated')
+                 UNION ALL SELECT b.state, 4, 'D') e, fill i WHERE i.p = e.q) GROUP BY conv_id, pos, state)),
+chosen AS (
+  SELECT b.conv_id, arg_min(b.cost, (b.cost, audit)) AS cost, arg_min(audit, (b.cost, audit)) AS audit
+  FROM best b LEFT JOIN (SELECT conv_id, max(pos) AS n FROM f GROUP BY conv_id) m ON m.conv_id IS NOT DISTINCT FROM b.conv_id
+  WHERE b.pos = coalesce(n, 0) AND state IN (0, 3) GROUP BY b.conv_id),
+letters AS (
+  SELECT conv_id, k, audit[k] AS letter, length(replace(audit[1:k], 'I', '')) AS pos, length(replace(audit[1:k], 'D', '')) AS place
+  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS k FROM chosen)),
+outs AS (
+  SELECT l.conv_id, place, letter, f.role, CASE WHEN letter = 'I' THEN '' ELSE f.text END AS text,
+    max(CASE WHEN place = 1 AND letter = 'K' AND f.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.conv_id) AS headed
+  FROM letters l LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.pos = l.pos WHERE letter <> 'D'),
+whole AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - headed) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+    chr(10) ORDER BY place) AS body FROM outs GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM chosen c LEFT JOIN facts x ON x.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN whole w ON w.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 ORACLES: dict[str, str] = {"op4_fm_index_dedup": OP4_SQL, "op5_top_inner_products": OP5_SQL, "op7_jaccard_components": OP7_SQL,
-                           "op8_host_reputation": OP8_SQL}
+                           "op8_host_reputation": OP8_SQL, "op11_structure_repair": OP11_SQL}
