@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import WORD, table
 from .fm_dedup import remove_repeated_passages
 from .jaccard import near_duplicates
 from .mixing import mix
 from .packing import pack
+from .periodic_runs import periodic_runs
 from .quality import judge_quality
 from .sharding import shard
 from .structure_repair import repair_report
@@ -86,10 +87,34 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(damaged(table(spark, sf_dir, "conversations")), times="times")
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """The contract's texts: in one of ten documents (by crc32 of the id; without one, none) the words from some place on repeat
+    a stretch of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    cut = docs.select("doc_id", "text", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"))).alias("words"), F.floor(h / 10).alias("g"))
+    cut = cut.withColumn("a", (F.col("g") % F.size("words")).cast("int"))
+    cut = cut.withColumn("rest", F.size("words") - F.col("a"))
+    cut = cut.withColumn("p", F.floor(F.col("rest") / (3 + F.col("g") % 8)).cast("int") + 1)
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(period, F.ceil(F.col("rest") / F.col("p")).cast("int"))), F.lit(1), F.col("rest"))
+    text = F.when(F.size("words") > 0, F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")).otherwise(F.col("text"))
+    return cut.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_periods(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("size"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.size").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.size div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixture_packing, op2_token_counts, op3_entropy_mix, op4_fm_index_dedup, op5_top_inner_products,
                             op6_quality_rules, op7_jaccard_components, op8_host_reputation, op9_interleaved_shards, op10_suffix_dedup,
-                            op11_structure_repair)
+                            op11_structure_repair, op12_periodic_runs)
 }
 
 # ------------------------------------------------------------------------------------------------
@@ -169,11 +194,31 @@ SELECT page_id, r.host, path, rule, CASE WHEN rule IN ('example.com/de/', 'net/'
   WHEN blocked THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled r LEFT JOIN judged j ON j.host = r.host"""
 
+# every period and place: an equality of words i and i + q; islands of them are the stretches of period q
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)),
+    lambda acc, b: list_reduce(list_concat([xor(acc, b)], range(8)), lambda r, k: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295)"""
+OP12_SQL = f"""WITH h AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS words, {_CRC.format(text="doc_id::VARCHAR")} AS h FROM documents),
+g AS (SELECT *, CASE WHEN h % 10 = 0 AND len(words) > 0 THEN (h // 10) % len(words) END AS a FROM h),
+w AS (SELECT doc_id, CASE WHEN a IS NULL THEN words ELSE list_transform(range(len(words)),
+    lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(words) - a) // (3 + (h // 10) % 8)) END]) END AS words FROM g),
+coded AS (SELECT doc_id, list_transform(words, lambda x: hash(x)) AS words FROM w),
+q AS (SELECT doc_id, words, unnest(range(1, len(words) // 4 + 1)) AS q FROM coded),
+e AS (SELECT doc_id, q, unnest(list_filter(range(len(words) - q), lambda i: words[i + 1] = words[i + q + 1])) AS i FROM q),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+found AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM found GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+each AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS body FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+told AS (SELECT doc_id, count(*) AS n_runs, arg_max((start, length, period), (length, -start, -period)) AS best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best[1] AS start, best[2] AS length, best[3] AS period, 1000 * best[2] // best[3] AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM w LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
 # states: 0 nothing, 1 system, 2 user, 3 assistant last; a best is the cost in nine digits and the audit, so the least is the least text
 OP11_SQL = r"""WITH RECURSIVE c AS (
-  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_concat([4294967295::BIGINT],
-    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)),
-    lambda acc, b: list_reduce(list_concat([xor(acc, b)], range(8)), lambda r, k: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295) % 20 AS fault
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, """ + _CRC.format(text="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')") + r""" % 20 AS fault
   FROM conversations),
 r AS (
   SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
@@ -222,4 +267,5 @@ SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM chosen c LEFT JOIN facts x ON x.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN whole w ON w.conv_id IS NOT DISTINCT FROM c.conv_id"""
 
 ORACLES: dict[str, str] = {"op4_fm_index_dedup": OP4_SQL, "op5_top_inner_products": OP5_SQL, "op7_jaccard_components": OP7_SQL,
-                           "op8_host_reputation": OP8_SQL, "op11_structure_repair": OP11_SQL}
+                           "op8_host_reputation": OP8_SQL, "op11_structure_repair": OP11_SQL,
+                           "op12_periodic_runs": OP12_SQL}
