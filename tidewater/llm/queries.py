@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD, table
+from .decontaminate import decontaminate
 from .fm_dedup import remove_repeated_passages
 from .jaccard import near_duplicates
 from .mixing import mix
@@ -111,10 +112,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hit.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixture_packing, op2_token_counts, op3_entropy_mix, op4_fm_index_dedup, op5_top_inner_products,
                             op6_quality_rules, op7_jaccard_components, op8_host_reputation, op9_interleaved_shards, op10_suffix_dedup,
-                            op11_structure_repair, op12_periodic_runs)
+                            op11_structure_repair, op12_periodic_runs, op13_benchmark_decontamination)
 }
 
 # ------------------------------------------------------------------------------------------------
@@ -216,6 +223,22 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best[1] AS start, best[2] AS lengt
   sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
 FROM w LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+_FOLDED = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+OP13_SQL = f"""WITH d AS (SELECT doc_id, {_FOLDED} AS words FROM documents),
+b AS (SELECT item_id, {_FOLDED} AS words FROM benchmark),
+p AS (SELECT DISTINCT item_id, n, array_to_string(words[i:i + n - 1], ' ') AS body FROM (
+  SELECT *, least(len(words), 10) AS n, unnest(range(1, greatest(len(words) - 8, 2))) AS i FROM b WHERE len(words) > 0)),
+places AS (SELECT doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') AS body FROM (
+  SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM p) WHERE len(words) >= n)),
+hits AS (SELECT doc_id, item_id, n, i FROM places JOIN p USING (n, body)),
+covered AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS w FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS body FROM (
+  SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(body, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
 # states: 0 nothing, 1 system, 2 user, 3 assistant last; a best is the cost in nine digits and the audit, so the least is the least text
 OP11_SQL = r"""WITH RECURSIVE c AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, """ + _CRC.format(text="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')") + r""" % 20 AS fault
@@ -268,4 +291,5 @@ FROM chosen c LEFT JOIN facts x ON x.conv_id IS NOT DISTINCT FROM c.conv_id LEFT
 
 ORACLES: dict[str, str] = {"op4_fm_index_dedup": OP4_SQL, "op5_top_inner_products": OP5_SQL, "op7_jaccard_components": OP7_SQL,
                            "op8_host_reputation": OP8_SQL, "op11_structure_repair": OP11_SQL,
-                           "op12_periodic_runs": OP12_SQL}
+                           "op12_periodic_runs": OP12_SQL,
+                           "op13_benchmark_decontamination": OP13_SQL}
