@@ -26,7 +26,7 @@ def cards_of(spark, pages):
 def test_element_table_tolerant_tree(spark):
     html = ('<div class="a  b"><p>x<b>y</b><br>z</p><span>w</div><i>q &amp; r</i>'
             '<script>var t="</p><td>";</script><img src=x/></em>')
-    rows = {r.ord: r for r in html_elements(pages_df(spark, [html])).collect()}
+    rows = {r.ord: r for r in html_elements(pages_df(spark, [html]), paths=True).collect()}
     tags = [rows[k].tag for k in sorted(rows)]
     assert tags == ["div", "p", "b", "br", "span", "i", "script", "img"]
     assert rows[1].text == "x y z w" and rows[1]["class"] == ["a", "b"]
@@ -253,3 +253,97 @@ def test_matrix_cards_shuffle_once(spark):
     pages = pages_df(spark, [CARD_PAGE]).withColumn("line", F.lit("ax"))
     plan = matrix_cards(pages)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_elements_know_their_last_descendant(spark):
+    html = "<a><b>x<c></c></b><d>y</d></a><e><f></f></e>" + "<i><b>" * 3
+    rows = {r.ord: r for r in html_elements(pages_df(spark, [html]), texts=["b"], paths=True).collect()}
+    up = {k: set(r.path) for k, r in rows.items()}
+    for x in rows:
+        for a in rows:
+            assert (a < x <= rows[a].last) == (a in up[x])
+    assert rows[2].text == "x" and rows[1].text is None
+
+
+def test_deep_pages_cost_their_length(spark):
+    deep = "<div>" * 300_000 + CARD_PAGE
+    rows = {r.page_id: r for r in facts(spark, [deep, CARD_PAGE]).collect()}
+    assert rows[0].cards == rows[1].cards and rows[0].specs == rows[1].specs and len(rows[0].cards) == 2
+    assert html_elements(pages_df(spark, [deep]), texts=["th"]).count() == 300_000 + html_elements(pages_df(spark, [CARD_PAGE])).count()
+
+
+def test_first_parts_of_nested_cards(spark):
+    """Against the ancestors of every element."""
+    from tidewater.operators.html import PageReader, page_parts
+    rnd = random.Random(8)
+    for _ in range(60):
+        html = "".join(rnd.choice(['<div class="product product-type-HetznerProduct">', f'<p class="product-text-name">n{rnd.randrange(99)}',
+                                   f'<ho-split-price-container product-key="{rnd.randrange(99)}">', "</div>", "</p>", "</ho-split-price-container>",
+                                   '<ho-price-container price-type="hourly" product-key="h">', '<ho-price-container product-key="x">'])
+                       for _ in range(40))
+        page = PageReader(html)
+        up = [set(page.ancestors(i)) for i in range(len(page.elements))]
+        first = lambda c, test: next((i for i, e in enumerate(page.elements) if c in up[i] and test(e)), None)  # noqa: E731, B023
+        want = []
+        for c, e in enumerate(page.elements):
+            if e.tag == "div" and "product" in e.classes():
+                name, m = first(c, lambda e: "product-text-name" in e.classes()), first(c, lambda e: e.tag == "ho-split-price-container")
+                h = first(c, lambda e: e.tag == "ho-price-container" and e.attrs.get("price-type") == "hourly")
+                key = lambda i: None if i is None else page.elements[i].attrs["product-key"]  # noqa: E731, B023
+                want.append({"name": None if name is None else page.text(name), "monthly": key(m), "hourly": key(h)})
+        assert page_parts(html)["cards"] == want
+
+
+def test_rows_of_nested_tables_as_a_scan_table_by_table(spark):
+    """Every row once per table around it, however many; only the first eight can matter."""
+    rnd = random.Random(9)
+    pages, want = [], []
+    for depth in (1, 3, 12, 40):
+        labels = [rnd.choice(LABELS) for _ in range(depth)]
+        pages.append("".join(f"<table><tr><th>{x}</th><td>v</td></tr><tr><td>" for x in labels))
+        # a level's rows stand inside all tables above: table by table lists from every level down; the second row's label is all text below
+        below = [" ".join(f"{x} v" for x in labels[k + 1:]) for k in range(depth)]
+        listing = [y for k in range(depth) for j in range(k, depth) for y in (labels[j], below[j])]
+        want.append(brute_assign(listing))
+    specs = facts(spark, pages).select("page_id", "specs.*")
+    got = {r.page_id: {a: r[a]["label"] for a in ATTRIBUTES if r[a] is not None} for r in specs.collect()}
+    assert [got[k] for k in range(len(pages))] == want
+
+
+DEEP_JSON = M + '{"plansGroups":' + "[" * 60_000
+
+
+def hostile():
+    """(kind, body, what becomes of it)"""
+    long = " " * 1000
+    return [("groups", DEEP_JSON + "]" * 60_000 + "}", "RecursionError"), ("arrays", 'x\\"servers\\":' + "[" * 60_000 + "]" * 60_000, "RecursionError"),
+            ("matrix", "<![foo[x]]>" + long, "AssertionError"), ("matrix", "<![ x" + long, "AssertionError"),
+            ("matrix", "<div>" * 50_000 + CARD_PAGE, None), ("groups", M + r'{"plansGroups":["\ud800"]}' + long, None),
+            ("arrays", r'\"servers\":[{\"a\":\"\udfff\"}]' + long, None)]
+
+
+def test_one_hostile_body_is_one_error_row(spark):
+    import datetime as dt
+    import json
+    now = dt.datetime(2026, 1, 1)
+    good = CARD_PAGE + " " * 1000
+    rows = [("p", kind, f"bad{i}", "ax", now, body) for i, (kind, body, _) in enumerate(hostile())]
+    rows += [("p", "matrix", f"good{i}", "ax", now, good + " " * i) for i in range(3)] + [("q", "matrix", "alone", "ax", now, "<![foo[x]]>" + " " * 1000)]
+    df = spark.createDataFrame(rows, RESPONSE)
+    # bytes that are no UTF-8 are read with replacement characters
+    broken = df.filter("source_url = 'good0'").withColumn("source_url", F.lit("bytes")).withColumn(
+        "body", F.concat(F.col("body").cast("binary"), F.unhex(F.lit("FFFE80"))).cast("string"))
+    from tidewater.plans.ingest import ingest_results, quarantine, raw_rows
+    results = ingest_results(df.unionByName(broken), spark.createDataFrame([], PRICE))
+    kept = {r.source_url: r.payload for r in raw_rows(results).collect()}
+    out = {r.source_url: r.error for r in quarantine(results).collect()}
+    assert {"good0", "good1", "good2", "bytes"} <= kept.keys() and kept["bytes"] == kept["good0"]
+    for i, (_, _, error) in enumerate(hostile()):
+        if error:
+            assert error in out[f"bad{i}"], i
+        else:
+            assert f"bad{i}" in kept
+    assert json.loads(kept["bad4"]) == json.loads(kept["good0"]) and kept["bad5"] == r'["\ud800"]' and kept["bad6"] == r'[{"a":"\udfff"}]'
+    assert "alone" in out
+    el = html_elements(pages_df(spark, ["<p>x</p>", "<![foo[x]]>", "<b>y</b>"])).collect()
+    assert sorted((r.page_id, r.tag or "", (r.page_error or "").split(":")[0]) for r in el) == [(0, "p", ""), (1, "", "AssertionError"), (2, "b", "")]

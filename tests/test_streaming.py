@@ -31,7 +31,7 @@ def test_ingest_stream_available_now(spark):
     after = spark.read.parquet(raw)
     assert after.count() > n_first
     st = spark.read.parquet(status)
-    assert set(r.provider for r in st.collect()) == {"provider-a", "provider-b", "provider-c", "provider-d"}
+    assert set(r.provider for r in st.collect()) == {"provider-a", "provider-b", "provider-c", "provider-d", "provider-f"}
     assert st.select("batch_id").distinct().count() == 2
     n_status, stored = st.count(), sorted(after.collect())
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators.embedded_json import embedded_arrays, embedded_object, explode_payload, to_json_doc
 from ..operators.html import ATTRIBUTES, card_rows, expand_cells_sql, html_elements, page_facts, read_pages
-from ..plans.ingest import attach_prices, distinct_price_keys, ingest, matrix_cards
+from ..plans.ingest import attach_prices, distinct_price_keys, ingest, ingest_results, matrix_cards, quarantine
 from ..session import tables_dir
 from ..sources.pages import (RAW_COLS, Tables, catalog_ok, page_ok, payload_rows, upsert_latest, upsert_raw_table,
                              valid_pages, write_model)
@@ -156,7 +156,7 @@ def json_explode_plans(spark, sf):
                                                   F.col("item")["k"].alias("k"))
 
 
-@register("json_embedded_object", with_inputs(["stored_responses"], P.GROUPS_CTE, final=P.GROUPS_FINAL))
+@register("json_embedded_object", with_inputs(["stored_responses"], P.HOSTILE_CTE, P.GROUPS_CTE, final=P.GROUPS_FINAL))
 def json_embedded_object(spark, sf):
     out = embedded_object(_responses(Inputs(spark, sf), "groups"), html="body")
     return out.select("response_id", F.col("error").isNull().alias("ok"), "payload")
@@ -167,7 +167,7 @@ def _arrays(spark, sf):
     return out.select("response_id", F.col("error").isNull().alias("ok"), "payload")
 
 
-ARRAYS_SQL = with_inputs(["stored_responses"], P.ARRAYS_CTE, final=P.ARRAYS_FINAL)
+ARRAYS_SQL = with_inputs(["stored_responses"], P.HOSTILE_CTE, P.ARRAYS_CTE, final=P.ARRAYS_FINAL)
 register("json_embedded_arrays", ARRAYS_SQL)(_arrays)
 register("array_concat", ARRAYS_SQL)(_arrays)
 
@@ -189,7 +189,7 @@ def upsert_raw_rows(spark, sf):
 
 
 def ingest_sql(final: str) -> str:
-    return with_inputs([*P.MATRIX_INPUTS, "stored_responses", "prices"], P.MATRIX_CTES, P.GROUPS_CTE, P.ARRAYS_CTE, P.RESULTS_CTES, final=final)
+    return with_inputs([*P.MATRIX_INPUTS, "stored_responses", "prices"], P.MATRIX_CTES, P.HOSTILE_CTE, P.GROUPS_CTE, P.ARRAYS_CTE, P.RESULTS_CTES, final=final)
 
 
 def _ingest(spark, sf):
@@ -202,6 +202,13 @@ def ingest_raw_rows(spark, sf):
     return _ingest(spark, sf)[0]
 
 
+@register("ingest_quarantine", ingest_sql(P.QUARANTINE_FINAL))
+def ingest_quarantine(spark, sf):
+    """The failed responses, by where they came from."""
+    i = Inputs(spark, sf)
+    return quarantine(ingest_results(i["stored_responses"], i["prices"])).select("provider", "source_url", "fetched_at")
+
+
 @register("ingest_status", ingest_sql(P.STATUS_FINAL))
 def ingest_status_q(spark, sf):
     return _ingest(spark, sf)[1]

@@ -8,7 +8,10 @@ runs the relational extraction; agreement checks the whole parse → extract pat
 
 from __future__ import annotations
 
+import json
+
 from ..functions import rules as R
+from ..plans.ingest import CARD_JSON_FIELDS
 
 MATRIX_CTES = """
 mp_keys AS (
@@ -103,10 +106,19 @@ FROM mp_cards WHERE line <> 'gpu' GROUP BY page_id"""
 # ------------------------------------------------------------------------------------------------
 # stored responses
 # ------------------------------------------------------------------------------------------------
+# the hostile ones, by construction: which are read, and as what
+_DEEP_FIELDS = {"line": "deep", "plan_name": "Deep", "plan_id": "mdeep", "monthly_key": "mdeep", "hourly_key": "mdeep"}
+DEEP_CARD = "[" + json.dumps({f: _DEEP_FIELDS.get(f) for f in [*CARD_JSON_FIELDS, "monthly_prices", "hourly_prices"]}, separators=(",", ":")) + "]"
+HOSTILE_CTE = f"""
+hostile AS (
+  SELECT *, (response_id - 300000000) % 5 IN (1, 3) AS ok, CASE (response_id - 300000000) % 5
+    WHEN 1 THEN '["' || chr(92) || 'ud800"]' WHEN 3 THEN '{DEEP_CARD}' END AS payload
+  FROM stored_responses WHERE provider = 'provider-f'),
+tame AS (SELECT * FROM stored_responses WHERE provider <> 'provider-f')"""
 _M = R.GROUPS_MARKER
 GROUPS_CTE = f"""
 g_resp AS (
-  SELECT response_id, body, strpos(body, '{_M}') AS pos FROM stored_responses WHERE kind = 'groups'),
+  SELECT response_id, body, strpos(body, '{_M}') AS pos FROM tame WHERE kind = 'groups'),
 g_obj AS (
   SELECT response_id, body, pos,
     CASE WHEN pos > 0 AND strpos(substr(body, pos + {len(_M)}), ';</script>') > 0
@@ -116,12 +128,13 @@ g_out AS (
   SELECT response_id, body,
     COALESCE(json_valid(obj) AND json_array_length(last_groups) > 0, FALSE) AS ok,
     CASE WHEN json_valid(obj) AND json_array_length(last_groups) > 0 THEN CAST(json(last_groups) AS VARCHAR) END AS payload
-  FROM (SELECT *, NULLIF(regexp_extract(obj, '.*"plansGroups":(\\[[^\\]]*\\])', 1), '') AS last_groups FROM g_obj))"""
+  FROM (SELECT *, NULLIF(regexp_extract(obj, '.*"plansGroups":(\\[[^\\]]*\\])', 1), '') AS last_groups FROM g_obj)
+  UNION ALL SELECT response_id, body, ok, payload FROM hostile WHERE kind = 'groups')"""
 GROUPS_FINAL = "SELECT response_id, ok, payload FROM g_out"
 
 ARRAYS_CTE = """
 a_resp AS (
-  SELECT response_id, body, replace(body, '\\"', '"') AS u FROM stored_responses WHERE kind = 'arrays'),
+  SELECT response_id, body, replace(body, '\\"', '"') AS u FROM tame WHERE kind = 'arrays'),
 a_parts AS (
   SELECT response_id, body,
     CASE WHEN response_id % 8 <> 7 THEN NULLIF(regexp_extract(u, '"servers":(\\[[^\\]]*\\])', 1), '') END AS a1,
@@ -135,7 +148,8 @@ a_inner AS (
 a_out AS (
   SELECT response_id, body, (i1 IS NOT NULL OR i2 IS NOT NULL) AS ok,
     CASE WHEN i1 IS NOT NULL OR i2 IS NOT NULL THEN concat('[', concat_ws(',', i1, i2), ']') END AS payload
-  FROM a_inner)"""
+  FROM a_inner
+  UNION ALL SELECT response_id, body, ok, payload FROM hostile WHERE kind = 'arrays')"""
 ARRAYS_FINAL = "SELECT response_id, ok, payload FROM a_out"
 
 CATALOG_OK = ("CASE WHEN json_valid(body) THEN COALESCE(json_type(body) = 'OBJECT' AND list_contains(json_keys(body), 'plans'), FALSE) "
@@ -174,11 +188,14 @@ results AS (
   SELECT provider, source_url, fetched_at, {CATALOG_OK}, body FROM stored_responses WHERE kind = 'catalog'
   UNION ALL
   SELECT DISTINCT provider, source_url, fetched_at, {_FINE}, coalesce(payload, '[]')
-  FROM stored_responses LEFT JOIN page_json ON response_id = 100000000 + page_id WHERE kind = 'matrix'
+  FROM tame LEFT JOIN page_json ON response_id = 100000000 + page_id WHERE kind = 'matrix'
+  UNION ALL
+  SELECT provider, source_url, fetched_at, ok, payload FROM hostile WHERE kind = 'matrix'
   UNION ALL
   SELECT provider, source_url, fetched_at, FALSE, NULL FROM stored_responses WHERE kind = 'rss' OR kind IS NULL)"""
 STATUS_FINAL = """SELECT provider, CAST(count_if(ok) AS BIGINT) AS n_ok, CAST(count_if(NOT ok) AS BIGINT) AS n_failed,
   count_if(ok) = 0 AS failed FROM results GROUP BY provider"""
+QUARANTINE_FINAL = "SELECT provider, source_url, fetched_at FROM results WHERE NOT ok"
 RAW_ROWS_FINAL = """SELECT provider, CAST(fetched_at AS DATE) AS extracted_date, source_url, payload, fetched_at
 FROM results WHERE ok"""
 

@@ -388,6 +388,22 @@ UNION ALL
 SELECT event_id, 'provider-e', CASE WHEN event_id % 2 = 0 THEN 'rss' END, CAST(NULL AS STRING), 'https://example.test/feed', ts, props
 FROM {events} WHERE event_type = 'purchase'
 """
+# bodies that break parsers: JSON nested beyond the decoder's stack (twice), a lone surrogate, a marked section, and a card in
+# 50,000 nested elements
+HOSTILE_CARD = ('<div class="product product-type-HetznerProduct"><h3 class="product-text-name">Deep</h3>'
+                '<ho-split-price-container product-key="mdeep"></ho-split-price-container></div>')
+STORED_RESPONSES += f"""
+UNION ALL
+SELECT 300000000 + n_nationkey, 'provider-f', CASE n_nationkey % 5 WHEN 2 THEN 'matrix' WHEN 3 THEN 'matrix' WHEN 4 THEN 'arrays' ELSE 'groups' END,
+  'deep', concat('https://example.test/hostile/', CAST(n_nationkey AS STRING)), CAST('2026-05-04 06:00:00' AS TIMESTAMP),
+  CASE n_nationkey % 5
+    WHEN 0 THEN concat('window.PLANS_PRICING_DATA = {{{{"plansGroups":', repeat('[', 60000), repeat(']', 60000), '}}}}')
+    WHEN 1 THEN concat('window.PLANS_PRICING_DATA = {{{{"plansGroups":["', chr(92), 'ud800"]}}}}', repeat(' ', 1000))
+    WHEN 2 THEN concat('<![foo[x]]>', repeat('<p>plans</p>', 90))
+    WHEN 3 THEN concat(repeat('<div>', 50000), '{HOSTILE_CARD}')
+    ELSE concat(BQ, 'servers', BQ, ':', repeat('[', 60000), repeat(']', 60000)) END
+FROM {{nation}}
+"""
 
 STORED_RESPONSES = STORED_RESPONSES.replace("BQ", _BQ)
 
@@ -404,7 +420,7 @@ STANDINS.update({
     "matrix_parts": (MATRIX_PARTS, ["part"]),
     "matrix_pages": (MATRIX_PAGES, ["matrix_parts"]),
     "prices": (PRICES, ["part"]),
-    "stored_responses": (STORED_RESPONSES, ["events", "matrix_pages", "pages"]),
+    "stored_responses": (STORED_RESPONSES, ["events", "matrix_pages", "pages", "nation"]),
     "raw_existing": (RAW_EXISTING, ["events"]),
     "raw_incoming": (RAW_INCOMING, ["events"]),
 })

@@ -5,6 +5,9 @@ they run in one vectorised (Arrow) pass over the pages that need it: the body re
 comes back as (payload, error). A value ends where its brackets balance outside strings; an
 unterminated object is an error, an unterminated array counts as absent, a balanced value that is not
 JSON is an error. Of a repeated key the last value counts, as in Python's decoder.
+
+Whatever a body does to the decoder (a nesting deeper than its stack, say) is that body's error alone. A lone
+surrogate, which JSON can spell but no column can hold, stays spelled (``\\ud800``).
 """
 
 from __future__ import annotations
@@ -12,11 +15,11 @@ from __future__ import annotations
 import json
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from ..functions import rules as R
 from ..session import ship_package
@@ -42,8 +45,12 @@ def value_end(text: str, start: int, opener: str) -> int:
     return -1
 
 
+_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
 def compact(value) -> str:
-    return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+    """JSON text; outside its strings JSON is ASCII, so a surrogate is part of one and may be spelled."""
+    return _SURROGATE.sub(lambda x: f"\\u{ord(x.group()):04x}", json.dumps(value, separators=(",", ":"), ensure_ascii=False))
 
 
 def object_member(text: str, marker: str = R.GROUPS_MARKER, member: str = R.GROUPS_KEY) -> tuple[str | None, str | None]:
@@ -83,18 +90,27 @@ def escaped_arrays(text: str, markers=R.ARRAY_MARKERS) -> tuple[str | None, str
 _EXTRACTORS = {"groups": object_member, "arrays": escaped_arrays}
 
 
-@pandas_udf(T.StructType([T.StructField("payload", T.StringType()), T.StructField("error", T.StringType())]))
-def extract_json(kind: pd.Series, body: pd.Series) -> pd.DataFrame:
-    """Payload and error of every body by its kind; nothing for other kinds and NULL bodies."""
-    out = [_EXTRACTORS[k](b) if k in _EXTRACTORS and b is not None else (None, None) for k, b in zip(kind, body, strict=True)]
-    return pd.DataFrame(out, columns=["payload", "error"])
+def extracted(kind: str | None, body: bytes | None) -> tuple[str | None, str | None]:
+    if kind not in _EXTRACTORS or body is None:
+        return None, None
+    try:
+        return _EXTRACTORS[kind](body.decode("utf-8", "replace"))
+    except Exception as e:      # one body's fault is one error row
+        return None, f"body cannot be read: {type(e).__name__}"
+
+
+@arrow_udf(T.StructType([T.StructField("payload", T.StringType()), T.StructField("error", T.StringType())]))
+def extract_json(kind: pa.Array, body: pa.Array) -> pa.Array:
+    """Payload and error of every body (UTF-8) by its kind; nothing for other kinds and NULL bodies."""
+    out = [extracted(k.as_py(), b.as_py()) for k, b in zip(kind, body, strict=True)]
+    return pa.StructArray.from_arrays([pa.array([x[i] for x in out], pa.string()) for i in (0, 1)], names=["payload", "error"])
 
 
 def embedded_payload(df: DataFrame, kind: str | Column, body: str | Column) -> Column:
     """Struct (payload, error); bodies of other kinds than ``groups`` and ``arrays`` are not sent to Python."""
     ship_package(df.sparkSession)
     k, b = (F.col(c) if isinstance(c, str) else c for c in (kind, body))
-    return extract_json(k, F.when(k.isin(*_EXTRACTORS), b))
+    return extract_json(k, F.when(k.isin(*_EXTRACTORS), b).cast("binary"))
 
 
 def _embedded(df: DataFrame, kind: str, html: str) -> DataFrame:

@@ -2,24 +2,29 @@
 
 HTML parsing is the only Python: an Arrow-batched ``mapInArrow`` around the standard-library parser.
 ``html_elements`` (H1) yields one row per element; the card extraction uses ``read_pages``, which yields
-one row per page with just the elements the rules look at, by role, and the table rows with their cells.
-Everything after that is array expressions on that row in the JVM:
-
-* a "first descendant of X matching P" is the first part that matches P and has X among its ancestors;
-* spec rows (H5) are folded with ``aggregate()`` over the page's ordered table rows, which reproduces
-  "first matching row wins, a used rule is skipped" exactly;
-* spec values meet their card by position: cells repeated by colspan, padded or cut to the cards.
+one row per page with just what the rules look at: cards and grids with their first parts, and the listed
+table rows with their cells. Everything after that is array expressions on that row in the JVM: spec rows
+(H5) are folded with ``aggregate()`` over the listed rows, which reproduces "first matching row wins, a used
+rule is skipped" exactly, and spec values meet their card by position, repeated by colspan, padded or cut.
+
+* Elements are numbered in document order and know their last descendant: x lies inside a where
+  ``a.ord < x.ord <= a.last``. Memory is linear in the page at any depth; ancestors are derived where asked for.
+* "First descendant of X matching P" is a merge of intervals: the parts of every kind are in document order,
+  so the first one behind X is found by halving and lies inside X or none does.
+* A page that cannot be read - whatever the parser raises on it - is an error row with the kind of the
+  error (``page_error``); the pages beside it land. Bytes that are no UTF-8 are read as replacement characters.
 
 No join or shuffle is needed after the pages are spread over the cores, a page stored twice cannot mix
 with itself, and Python yields every ``CHUNK_CHARS`` of pages, so its memory does not grow with the batch.
 
-Element: ord (pre-order, root = 0), parent, depth, tag, class array<string>, attrs map<string,string>,
-text (all descendant text, whitespace collapsed), path (ords of all ancestors, root first).
+Element: ord (pre-order, root = 0), last (its last descendant, else itself), parent, depth, tag, class
+array<string>, attrs map<string,string>, text (all descendant text, whitespace collapsed), page_error.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Sequence
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -31,18 +36,32 @@ from ..functions.text import blank_to_null, clean_or_null, clean_text, core_coun
     gpu_core_count, key_fallback
 from ..session import ship_package
 
-ELEMENT_SCHEMA = ("page_id long, ord int, parent int, depth int, tag string, class array<string>, "
-                  "attrs map<string,string>, text string, path array<int>")
+ELEMENT_SCHEMA = ("page_id long, ord int, last int, parent int, depth int, tag string, class array<string>, "
+                  "attrs map<string,string>, text string")
 CELL_T = "struct<text:string,colspan:string>"
-ROW_T = f"struct<up:array<int>,label:string,cells:array<{CELL_T}>>"
-#: What the card rules look at, by role, in document order. ``up``: ords of all ancestors.
-PARTS = {"cards": "array<int>", "names": "array<struct<up:array<int>,text:string>>",
-         "prices": "array<struct<up:array<int>,tag:string,key:string,price_type:string>>", "grids": "array<int>",
-         "items": "array<struct<up:array<int>,tag:string,class:array<string>,text:string>>", "tables": "array<int>",
-         "rows": f"array<{ROW_T}>"}
+GRID_FIELDS = [f for _, f in R.GPU_GRID_CELLS]
+#: What the card rules look at, in document order: cards and grids with their first parts, table rows as listed.
+PARTS = {"cards": "array<struct<name:string,monthly:string,hourly:string>>",
+         "grids": "array<struct<name:string," + ",".join(f"{f}:string" for f in GRID_FIELDS) + ">>",
+         "has_table": "boolean", "rows": f"array<struct<label:string,cells:array<{CELL_T}>>>"}
 CHUNK_CHARS = 1 << 21
+#: Most characters that the parts or elements of one page may hold; a page of more is an error row.
+MOST_CHARS = 1 << 28
+#: Bytes of pages for one task: parsing takes about a second a MB.
+SPREAD_BYTES = 16 << 20
 _VOID = frozenset(R.HTML_VOID_TAGS)
-PARENT, FIRST_TEXT, LAST_TEXT = 2, 4, 5
+ATTRIBUTES = ["cpu", "cpu_detail", "ram", "nvme", "ssd", "hdd", "bandwidth", "traffic"]
+
+
+class Element:
+    __slots__ = ("attrs", "depth", "first_word", "last", "last_word", "parent", "tag")
+
+    def __init__(self, tag: str, attrs: dict, parent: int, depth: int, first_word: int):
+        self.tag, self.attrs, self.parent, self.depth, self.first_word = tag, attrs, parent, depth, first_word
+        self.last = self.last_word = -1
+
+    def classes(self) -> list[str]:
+        return (self.attrs.get("class") or "").split()
 
 
 class PageReader(HTMLParser):
@@ -51,23 +70,27 @@ class PageReader(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        # tag, attributes, parent, depth, and the slice of ``words`` that is the element's text
-        self.elements: list[list] = [["__root__", {}, -1, 0, 0, None]]
+        self.elements = [Element("", {}, -1, 0, 0)]
         self.open = [0]
+        self.levels: dict[str, list[int]] = {}      # where the elements of a name are open, the innermost last
         self.words: list[str] = []
+        self.chars = 0
         self.feed(html)
         self.close()
         self.shut(0)
 
     def shut(self, level: int) -> None:
         """Close the open elements from ``level`` on."""
-        for i in self.open[level:]:
-            self.elements[i][LAST_TEXT] = len(self.words)
-        del self.open[level:]
+        while len(self.open) > level:
+            e = self.elements[self.open.pop()]
+            e.last_word, e.last = len(self.words), len(self.elements) - 1
+            if self.open:
+                self.levels[e.tag].pop()
 
     def handle_starttag(self, tag, attrs):
-        self.open.append(len(self.elements))
-        self.elements.append([tag, dict(attrs), self.open[-2], len(self.open) - 1, len(self.words), None])
+        self.levels.setdefault(tag, []).append(len(self.open))
+        self.elements.append(Element(tag, dict(attrs), self.open[-1], len(self.open), len(self.words)))
+        self.open.append(len(self.elements) - 1)
         if tag in _VOID:
             self.shut(len(self.open) - 1)
 
@@ -77,114 +100,193 @@ class PageReader(HTMLParser):
             self.shut(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        names = [self.elements[i][0] for i in self.open]
-        if tag in names[1:]:
-            self.shut(len(names) - 1 - names[::-1].index(tag))
+        if self.levels.get(tag):
+            self.shut(self.levels[tag][-1])
 
     def handle_data(self, data):
         if data.strip():
             self.words.append(data)
 
     def text(self, i: int) -> str:
-        _, _, _, _, a, b = self.elements[i]
-        return " ".join(" ".join(self.words[a:b]).split())
-
-    def ancestors(self) -> list[list[int]]:
-        """The ancestors of every element, root first."""
-        up: list[list[int]] = [[]]
-        for e in self.elements[1:]:
-            up.append([*up[e[PARENT]], e[PARENT]])
-        return up
-
-
-def classes(attrs: dict) -> list[str]:
-    return (attrs.get("class") or "").split()
-
-
-def element_rows(html: str) -> list[tuple]:
+        e = self.elements[i]
+        out = " ".join(" ".join(self.words[e.first_word:e.last_word]).split())
+        self.chars += len(out)
+        if self.chars > MOST_CHARS:
+            raise ValueError(f"the parts of the page hold more than {MOST_CHARS} characters")
+        return out
+
+    def ancestors(self, i: int) -> list[int]:
+        """Ords of the element's ancestors, root first."""
+        up = []
+        while i:
+            i = self.elements[i].parent
+            up.append(i)
+        return up[::-1]
+
+
+def element_rows(html: str, texts: Sequence[str] | None = None, paths: bool = False) -> Iterable[dict]:
     page = PageReader(html)
-    up = page.ancestors()
-    return [(i, parent, depth, tag, classes(attrs), list(attrs.items()), page.text(i), up[i])
-            for i, (tag, attrs, parent, depth, _, _) in enumerate(page.elements) if i]
+    for i, e in enumerate(page.elements):
+        if i:
+            row = {"ord": i, "last": e.last, "parent": e.parent, "depth": e.depth, "tag": e.tag, "class": e.classes(),
+                   "attrs": list(e.attrs.items()), "text": page.text(i) if texts is None or e.tag in texts else None}
+            yield {**row, "path": page.ancestors(i)} if paths else row
+
+
+class Parts:
+    """Parts of one kind in document order."""
+
+    def __init__(self, page: PageReader):
+        self.page, self.ords, self.texts = page, [], {}
+
+    def first_inside(self, anchor: int) -> int | None:
+        """The first part inside the anchor."""
+        k = bisect_right(self.ords, anchor)
+        return self.ords[k] if k < len(self.ords) and self.ords[k] <= self.page.elements[anchor].last else None
+
+    def text_inside(self, anchor: int) -> str | None:
+        i = self.first_inside(anchor)
+        if i is not None and i not in self.texts:
+            self.texts[i] = self.page.text(i)
+        return None if i is None else self.texts[i]
+
+    def key_inside(self, anchor: int) -> str | None:
+        i = self.first_inside(anchor)
+        return None if i is None else self.page.elements[i].attrs.get(R.PRODUCT_KEY_ATTR)
+
+
+def listed_rows(page: PageReader, rows: dict[int, tuple[list[int], list[int]]]) -> list[dict]:
+    """Table rows (ord: its tables, its cells) in the order of a scan table by table: a row inside nested tables is listed
+    once for each. A row that gives no attribute when it is listed never will, and there are ``ATTRIBUTES`` to give, so
+    its outermost tables, as many as there are attributes, are all that matter."""
+    read = {}
+    for i, (_, cells) in rows.items():
+        if cells:
+            read[i] = {"label": page.text(cells[0]).lower(),
+                       "cells": [{"text": page.text(c), "colspan": page.elements[c].attrs.get("colspan")} for c in cells[1:]]}
+    order = sorted((t, i) for i, (tables, _) in rows.items() if i in read for t in tables)
+    return [read[i] for _, i in order]
+
+
+def page_parts(html: str) -> dict[str, object]:
+    """What the card rules look at; text only where a rule reads it."""
+    page = PageReader(html)
+    names, monthly, hourly, grid_names = Parts(page), Parts(page), Parts(page), Parts(page)
+    cells = {k: Parts(page) for k, _ in R.GPU_GRID_CELLS}
+    cards, grids, rows, tables, has_table = [], [], {}, [], False
+    for i, e in enumerate(page.elements):
+        while tables and page.elements[tables[-1]].last < i:
+            tables.pop()
+        if e.tag == "table":
+            tables.append(i)
+            has_table = True
+        elif e.tag == "tr":
+            rows[i] = (tables[:len(ATTRIBUTES)], [])
+        elif e.tag in ("th", "td") and e.parent in rows:
+            rows[e.parent][1].append(i)
+        elif e.tag == R.MONTHLY_PRICE_TAG:
+            monthly.ords.append(i)
+        elif e.tag == R.HOURLY_PRICE_TAG and e.attrs.get("price-type") == R.HOURLY_PRICE_TYPE:
+            hourly.ords.append(i)
+        found = set(e.classes())
+        if R.CARD_NAME_CLASS in found:
+            names.ords.append(i)
+        if R.GPU_GRID_NAME_CLASS in found:
+            grid_names.ords.append(i)
+        if e.tag == "div":
+            if found.issuperset(R.CARD_CLASSES):
+                cards.append(i)
+            if R.GPU_GRID_CLASS in found:
+                grids.append(i)
+            for k in found & cells.keys():
+                cells[k].ords.append(i)
+    return {"cards": [{"name": names.text_inside(c), "monthly": monthly.key_inside(c), "hourly": hourly.key_inside(c)} for c in cards],
+            "grids": [{"name": grid_names.text_inside(g), **{f: cells[k].text_inside(g) for k, f in R.GPU_GRID_CELLS}} for g in grids],
+            "has_table": has_table, "rows": listed_rows(page, rows)}
 
 
-ITEM_CLASSES = frozenset([R.GPU_GRID_NAME_CLASS, *[k for k, _ in R.GPU_GRID_CELLS]])
+def _spread(pages: DataFrame, key: Column) -> DataFrame:
+    """Pages over at least the configured parallelism and, where their size is known, tasks of ``SPREAD_BYTES``: shuffling
+    bytes is far faster than parsing them."""
+    spark = pages.sparkSession
+    size = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    by_size = -(-size // SPREAD_BYTES) if size < 1 << 55 else 0         # an unknown size is given as the largest number
+    return pages.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, by_size), key)
 
 
-def page_parts(html: str) -> dict[str, list]:
-    """The elements of a page that the card rules look at, by role; text only where a rule reads it."""
-    page = PageReader(html)
-    up, out, rows = page.ancestors(), {k: [] for k in PARTS}, {}
-    for i, (tag, attrs, parent, _, _, _) in enumerate(page.elements):
-        names = classes(attrs)
-        if tag == "div" and set(R.CARD_CLASSES) <= set(names):
-            out["cards"].append(i)
-        if tag == "div" and R.GPU_GRID_CLASS in names:
-            out["grids"].append(i)
-        if R.CARD_NAME_CLASS in names:
-            out["names"].append({"up": up[i], "text": page.text(i)})
-        if tag in (R.MONTHLY_PRICE_TAG, R.HOURLY_PRICE_TAG):
-            out["prices"].append({"up": up[i], "tag": tag, "key": attrs.get(R.PRODUCT_KEY_ATTR), "price_type": attrs.get("price-type")})
-        if not ITEM_CLASSES.isdisjoint(names):
-            out["items"].append({"up": up[i], "tag": tag, "class": names, "text": page.text(i)})
-        if tag == "table":
-            out["tables"].append(i)
-        elif tag == "tr":
-            rows[i] = (up[i], [])
-        elif tag in ("th", "td") and parent in rows:
-            rows[parent][1].append({"text": page.text(i), "colspan": attrs.get("colspan")})
-    out["rows"] = [{"up": u, "label": c[0]["text"].lower(), "cells": c[1:]} for u, c in rows.values() if c]
-    return out
+def failure(e: Exception) -> str:
+    return f"{type(e).__name__}: {e}"[:200]
 
 
-def _spread(pages: DataFrame, key: Column) -> DataFrame:
-    """Pages over at least the configured parallelism: parsing runs at about 1 MB/s per core, shuffling bytes far faster."""
-    spark = pages.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return pages.repartition(n, key)
+def read_safely(parse: Callable[[str | None], Iterable[dict]], body: bytes | None) -> tuple[list[dict], str | None]:
+    """The records of a body and no error, or none and the error that it gives."""
+    try:
+        return list(parse(None if body is None else body.decode("utf-8", "replace"))), None
+    except Exception as e:      # whatever a stored page does to the parser, it is that page's error alone
+        return [], failure(e)
 
 
-def _parsed(pages: DataFrame, parse: Callable[[str | None], list], schema: str) -> DataFrame:
-    """One output record list per page: all columns but the last (the body) are repeated beside ``parse(body)``."""
+def _parsed(pages: DataFrame, parse: Callable[[str | None], Iterable[dict]], schema: str) -> DataFrame:
+    """The records of every page, with all columns but the last (the body) repeated beside them and ``page_error``; a page that
+    cannot be read is one record of its error alone."""
     ship_package(pages.sparkSession)
-    keep = pages.columns[:-1]
+    keep, body = pages.columns[:-1], pages.columns[-1]
     full = pages.select(*keep).limit(0).selectExpr("*", *[f"CAST(NULL AS {t}) AS `{n}`" for n, t in
-                                                          (x.split(" ", 1) for x in schema.split(", "))]).schema
+                                                          (x.split(" ", 1) for x in f"{schema}, page_error string".split(", "))]).schema
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
         target = to_arrow_schema(full)
         new = pa.schema([target.field(i) for i in range(len(keep), len(target))])
+
+        def batch(b, source, out):
+            kept = [c.take(pa.array(source, pa.int64())) for c in b.columns[:-1]]
+            made = pa.Table.from_pylist(out, schema=new).combine_chunks()
+            cols = kept + [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in made.columns]
+            return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, target, strict=True)], schema=target)
+
         for b in batches:
-            bodies, at = b.column(b.num_columns - 1), 0
-            while at < b.num_rows:
-                start, size, source, out = at, 0, [], []
-                while at < b.num_rows and size < CHUNK_CHARS:
-                    body = bodies[at].as_py()
-                    records = parse(body)
-                    out += records
-                    source += [at] * len(records)
-                    size += len(body or "") + 1
-                    at += 1
-                kept = [c.take(pa.array(source, pa.int64())) for c in b.columns[:-1]]
-                made = pa.Table.from_pylist(out, schema=new).combine_chunks()
-                cols = kept + [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in made.columns]
-                if at > start and source:
-                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, target, strict=True)], schema=target)
-
-    return pages.mapInArrow(run, full)
-
-
-def html_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """H1: one row per element of every page."""
-    names = ["ord", "parent", "depth", "tag", "class", "attrs", "text", "path"]
+            size, source, out = 0, [], []
+            for at, x in enumerate(b.column(b.num_columns - 1)):
+                records, error = read_safely(parse, x.as_py())
+                records = records if error is None else [{"page_error": error}]
+                try:
+                    made = batch(b, [at] * len(records), records) if len(records) > 4096 else None
+                except Exception as e:      # records that Arrow cannot hold
+                    made, records = None, [{"page_error": failure(e)}]
+                if made is not None:
+                    yield made
+                    continue
+                out += records
+                source += [at] * len(records)
+                size += len(x.as_buffer() or b"") + 1 if x.is_valid else 1
+                if size >= CHUNK_CHARS:
+                    yield batch(b, source, out)
+                    size, source, out = 0, [], []
+            if source:
+                yield batch(b, source, out)
+
+    return pages.select(*keep, F.col(body).cast("binary").alias(body)).mapInArrow(run, full)
+
+
+def html_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", texts: Sequence[str] | None = None,
+                  paths: bool = False) -> DataFrame:
+    """H1: one row per element of every page; a page that cannot be read is one row of its ``page_error``.
+
+    ``texts``: only the elements of these tags get their text (of nested elements every level repeats it); ``paths`` adds the
+    ords of all ancestors, root first."""
     src = pages.filter(F.col(html_col).isNotNull()).select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"))
-    return _parsed(_spread(src, F.xxhash64("page_id")), lambda html: [dict(zip(names, r, strict=True)) for r in element_rows(html)],
-                   ELEMENT_SCHEMA.removeprefix("page_id long, "))
+    schema = ELEMENT_SCHEMA.removeprefix("page_id long, ") + (", path array<int>" if paths else "")
+    return _parsed(_spread(src, F.xxhash64("page_id")), lambda html: element_rows(html, texts, paths), schema)
+
+
+def inside(element: str, anchor: str) -> Column:
+    """Whether the element lies inside the anchor (aliases of two element tables of one page)."""
+    return (F.col(f"{element}.ord") > F.col(f"{anchor}.ord")) & (F.col(f"{element}.ord") <= F.col(f"{anchor}.last"))
 
 
 def read_pages(pages: DataFrame, html_col: str = "html", carry: Sequence[str] = ("page_id",), spread: bool = True) -> DataFrame:
-    """One row per page: the carried columns and its parts (NULL where the body is NULL)."""
+    """One row per page: the carried columns, its parts (NULL where the body is NULL or cannot be read) and ``page_error``."""
     src = pages.select(*carry, F.col(html_col).alias("_html"))
     if spread:
         src = _spread(src, F.xxhash64(*carry))
@@ -195,38 +297,19 @@ def read_pages(pages: DataFrame, html_col: str = "html", carry: Sequence[str] =
 # ------------------------------------------------------------------------------------------------
 # H4 + H7: product cards and GPU grids
 # ------------------------------------------------------------------------------------------------
-def first_inside(parts: str, anchor: Column, test: Callable[[Column], Column], field: str) -> Column:
-    """The field of the anchor's first descendant, in document order, among the parts that pass; NULL without one."""
-    return F.get(F.filter(parts, lambda e: F.array_contains(e["up"], anchor) & test(e)), F.lit(0))[field]
-
-
 def product_cards() -> Column:
     """H4: the page's cards with a name and a price key, in document order: plan_name, monthly_key, hourly_key."""
-    def found(c):
-        return F.struct(
-            clean_text(first_inside("names", c, lambda e: F.lit(True), "text")).alias("plan_name"),
-            blank_to_null(first_inside("prices", c, lambda e: e["tag"] == R.MONTHLY_PRICE_TAG, "key")).alias("m"),
-            blank_to_null(first_inside("prices", c, lambda e: (e["tag"] == R.HOURLY_PRICE_TAG) & F.coalesce(
-                e["price_type"] == R.HOURLY_PRICE_TYPE, F.lit(False)), "key")).alias("h"))
-
     def card(c):
-        monthly, hourly = key_fallback(c["m"], c["h"])
-        return F.struct(c["plan_name"].alias("plan_name"), monthly.alias("monthly_key"), hourly.alias("hourly_key"))
+        monthly, hourly = key_fallback(blank_to_null(c["monthly"]), blank_to_null(c["hourly"]))
+        return F.struct(clean_text(c["name"]).alias("plan_name"), monthly.alias("monthly_key"), hourly.alias("hourly_key"))
 
-    cards = F.transform(F.transform("cards", found), card)
-    return F.filter(cards, lambda c: (c["plan_name"] != "") & c["monthly_key"].isNotNull())
-
-
-GRID_FIELDS = [f for _, f in R.GPU_GRID_CELLS]
+    return F.filter(F.transform("cards", card), lambda c: (c["plan_name"] != "") & c["monthly_key"].isNotNull())
 
 
 def gpu_grids() -> Column:
     """H7 grids, the last first: cleaned name and the six cleaned cells."""
     def grid(g):
-        cells = [clean_text(F.coalesce(first_inside("items", g, lambda e, k=klass: (e["tag"] == "div") & F.array_contains(e["class"], k),
-                                                    "text"), F.lit(""))).alias(f) for klass, f in R.GPU_GRID_CELLS]
-        name = first_inside("items", g, lambda e: F.array_contains(e["class"], R.GPU_GRID_NAME_CLASS), "text")
-        return F.struct(clean_text(name).alias("plan_name"), *cells)
+        return F.struct(clean_text(g["name"]).alias("plan_name"), *[clean_text(F.coalesce(g[f], F.lit(""))).alias(f) for f in GRID_FIELDS])
 
     return F.reverse(F.filter(F.transform("grids", grid), lambda g: g["plan_name"].isNotNull()))
 
@@ -234,7 +317,6 @@ def gpu_grids() -> Column:
 # ------------------------------------------------------------------------------------------------
 # H5: hardware table rows, first matching row per attribute
 # ------------------------------------------------------------------------------------------------
-ATTRIBUTES = ["cpu", "cpu_detail", "ram", "nvme", "ssd", "hdd", "bandwidth", "traffic"]
 PICKED_T = f"struct<label:string,cells:array<{CELL_T}>>"
 
 
@@ -252,12 +334,9 @@ def _fold_sql(rows: str) -> str:
 
 def page_facts(read: DataFrame) -> DataFrame:
     """``read_pages`` rows with has_table, cards, grids and specs (per attribute the (label, value cells) of the
-    first table row assigned to it, NULL without one) in place of the parts.
-
-    A row inside nested tables is listed once per enclosing table, as a per-table scan does."""
-    listed = "flatten(transform(tables, t -> filter(rows, r -> array_contains(r.up, t))))"
-    return read.select(*[c for c in read.columns if c not in PARTS], (F.size("tables") > 0).alias("has_table"),
-                       product_cards().alias("cards"), gpu_grids().alias("grids"), F.expr(_fold_sql(listed)).alias("specs"))
+    first table row assigned to it, NULL without one) in place of the parts."""
+    return read.select(*[c for c in read.columns if c not in PARTS], "has_table", product_cards().alias("cards"), gpu_grids().alias("grids"),
+                       F.expr(_fold_sql("rows")).alias("specs"))
 
 
 # ------------------------------------------------------------------------------------------------

@@ -4,9 +4,9 @@ Stored responses: provider, kind, source_url, fetched_at, body, plus ``line`` fo
 ``kind`` selects the extractor:
   groups  – object after a script marker (H2)      catalog – JSON catalog object with ``plans`` (S4)
   arrays  – two escaped arrays in page data (H3)   matrix  – HTML product matrix → plan cards (H1, H4–H7)
-HTML kinds pass the block-page guard first (S3). Each response is independent: a failure becomes an
-error row, never a failed job, and so does a kind that is NULL or unknown; a provider fails only when
-all of its responses failed (A9).
+HTML kinds pass the block-page guard first (S3). Each response is independent: a failure, whatever its body
+does to a parser, becomes an error row with its kind, never a failed job, and so does a kind that is NULL
+or unknown; ``quarantine`` lists them. A provider fails only when all of its responses failed (A9).
 
 A response stored more than once (at-least-once landing) counts once: responses are reduced by a 128-bit
 key over all their columns, which also spreads the bodies over the cores. Bodies are then read in one
@@ -117,6 +117,7 @@ def extract_responses(responses: DataFrame, prices: DataFrame, run_date: str | N
                      F.coalesce("_x.payload", F.when(fine & (kind == "catalog"), body)).alias("payload"),
                      F.when(fine & (kind == "matrix"), body).alias("html"))
     read = read_pages(one, "html", ["rid", *RESPONSE_COLS, "error", "payload"], spread=False)
+    read = read.withColumn("error", F.coalesce("error", F.concat(F.lit("page cannot be read: "), "page_error"))).drop("page_error")
     rows = write_table(page_facts(read), "ingest-extracted")
 
     matrix = rows.filter((F.col("kind") == "matrix") & F.col("error").isNull())
@@ -130,8 +131,22 @@ def extract_responses(responses: DataFrame, prices: DataFrame, run_date: str | N
         F.when(F.col("error").isNull(), F.col("payload")).alias("payload"), F.col("error").isNull().alias("ok"), "error")
 
 
+def ingest_results(responses: DataFrame, prices: DataFrame, run_date: str | None = None) -> DataFrame:
+    """The extracted rows, written once: the raw rows, the status and the quarantine all read them."""
+    return write_table(extract_responses(responses, prices, run_date), "ingest-results")
+
+
+def raw_rows(results: DataFrame) -> DataFrame:
+    """What is to be upserted."""
+    return results.filter("ok").select("provider", "extracted_date", "source_url", "payload", "fetched_at")
+
+
+def quarantine(results: DataFrame) -> DataFrame:
+    """The responses that failed, with the kind of the failure."""
+    return results.filter("NOT ok").select("provider", "kind", "source_url", "extracted_date", "fetched_at", "error")
+
+
 def ingest(responses: DataFrame, prices: DataFrame, run_date: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(raw rows to upsert, status per provider), both read from the extracted rows, which are written once."""
-    results = write_table(extract_responses(responses, prices, run_date), "ingest-results")
-    raw = results.filter("ok").select("provider", "extracted_date", "source_url", "payload", "fetched_at")
-    return raw, ingest_status(results)
+    """(raw rows to upsert, status per provider), both read from the extracted rows."""
+    results = ingest_results(responses, prices, run_date)
+    return raw_rows(results), ingest_status(results)
