@@ -150,3 +150,53 @@ def test_words_equal_whole_texts_on_odd_characters():
     got, off = tokenizer(PATH).encode(*utf8_buffer(pa.array(texts)), 2)
     for i, t in enumerate(texts):
         assert got[off[i]:off[i + 1]].tolist() == ids(t), repr(t)
+
+
+def odd_texts(n=1500):
+    import random
+    rng = random.Random(4)
+    words = ["w%d" % i for i in range(300)] + ["été", "straße", "日本", "İx", "a.b", "ok,", "ok", "!!", "x!", "é,", "9.", "<b>", "don't", "ǅ", "ﬁn"]
+    return [rng.choice([" ", "\n", "  "]).join(rng.choice(words) for _ in range(rng.randint(0, 20))) for _ in range(n)]
+
+
+def in_blocks(t, texts, size):
+    return [x for k in range(0, len(texts), size) for x in t.encode(*utf8_buffer(pa.array(texts[k:k + size])), 2)[0].tolist()]
+
+
+@pytest.mark.parametrize("cache", [0, 5, 60, 10_000])
+def test_word_table_forgets_without_a_trace(monkeypatch, cache):
+    from tidewater.llm import packing
+    monkeypatch.setattr(packing, "WORD_CACHE", cache)
+    ids, texts = reference_tokenizer(), odd_texts()
+    t = packing.WordTokenizer(PATH)
+    assert in_blocks(t, texts, 40) == [i for x in texts for i in ids(x)]
+    assert len(t.table) <= cache + 400
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    """Hashes cut to four bits: every word meets others of its hash."""
+    from tidewater.llm import packing
+    whole = packing.word_values
+    monkeypatch.setattr(packing, "word_values", lambda *a: whole(*a) & np.uint64(15))
+    ids, texts = reference_tokenizer(), odd_texts(300)
+    t = packing.WordTokenizer(PATH)
+    assert in_blocks(t, texts, 20) == [i for x in texts for i in ids(x)]
+    assert len(t.table) <= 16
+
+
+def test_windows_in_order_of_service(spark):
+    """The windows of the query's path, sources in many blocks and repeated, against tokens sorted by their virtual times."""
+    from fractions import Fraction
+    rows = [(i, "tok " * (i % 7 + 1), "en", "abca"[i % 4], 1) for i in range(60)]
+    got = pack(spark.createDataFrame(rows, DOC).repartition(7), PATH, length=16).collect()
+    total = defaultdict(int)
+    for r in got:
+        total[r.source] += r.length
+    order = sorted((Fraction(2 * t + 1, 2 * n), s) for s, n in total.items() for t in range(n))
+    want = defaultdict(int)
+    for k, (_, s) in enumerate(order):
+        want[k // 16, s] += 1
+    have = defaultdict(int)
+    for r in got:
+        have[r.sequence_id, r.source] += r.length
+    assert have == want

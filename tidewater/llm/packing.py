@@ -20,8 +20,10 @@ joins the blocks by broadcast only if Spark measures it small. A source that hol
 tokens is as spread as any other: nothing is grouped by source but block totals. The driver holds one
 total per source.
 
-Words between ASCII white space are tokenized on their own and remembered in the Python worker (at
-most ``WORD_CACHE``), which is exact for tokenizers that drop white space.
+Words between ASCII white space are tokenized on their own, without a closing mark behind them, and remembered
+in the Python worker in a flat table of about 40 bytes a word, found by hash and compared by their bytes. At
+``WORD_CACHE`` words a table becomes the old one, from which words still in use move on. That is exact for
+tokenizers that drop white space.
 
 Defined results: a null or empty text is its end id alone; repeated rows are packed each; a null source
 is a source of its own; an empty table gives no rows.
@@ -35,19 +37,91 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .anchors import spans
-from .common import materialise, new_stage, pieces, ready, remembered, utf8_buffer
+from .anchors import spans, word_values
+from .common import IS_SPACE, materialise, new_stage, pieces, ready, remembered, utf8_buffer, word_bounds
 
-#: Most words that a Python worker remembers; about 130 bytes each.
-WORD_CACHE = 690_000
+#: Most words of a table; a Python worker holds the one it fills and the one before.
+WORD_CACHE = 1_000_000
 BLOCK_BYTES = 1 << 21
-CLOSING = frozenset([b",", b".", b";", b":", b"!", b"?"])
+CLOSING = b",.;:!?"
+IS_CLOSING = np.isin(np.arange(256), list(CLOSING))
+IS_ALNUM = np.array([chr(c).isalnum() and c < 128 for c in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Words that are tokenized as one text.
+TOGETHER = 50
+
+
+class Growing:
+    """An array that is appended to."""
+
+    def __init__(self, dtype):
+        self.held, self.n = np.zeros(1024, dtype), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.held):
+            wide = np.zeros((self.n + len(more)) * 5 // 4, self.held.dtype)
+            wide[:self.n] = self.held[:self.n]
+            self.held = wide
+        self.held[self.n:self.n + len(more)] = more
+        self.n += len(more)
+
+
+class WordTable:
+    """Ids of words. A word is found by its hash among the sorted ones and compared by its bytes; of two words of one hash
+    only the first is held."""
+
+    def __init__(self):
+        self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.bytes, self.ids = Growing(np.uint8), Growing(np.uint32)
+        self.upto, self.ids_upto = Growing(np.int64), Growing(np.int64)
+        self.upto.add(np.zeros(1, np.int64))
+        self.ids_upto.add(np.zeros(1, np.int64))
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray, body: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Entries of the words, -1 where unknown."""
+        out = np.full(len(keys), -1, np.int64)
+        if not len(self.keys):
+            return out
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[at] == keys)
+        e = self.entry[at[hit]].astype(np.int64)
+        held = self.upto.held[e]
+        same = self.upto.held[e + 1] - held == size[hit]
+        hit, e, held = hit[same], e[same], held[same]
+        if len(hit):
+            n = size[hit]
+            differ = self.bytes.held[spans(held, n)] != body[spans(begin[hit], n)]
+            edge = np.cumsum(n) - n
+            same = ~np.logical_or.reduceat(differ, edge)
+            out[hit[same]] = e[same]
+        return out
+
+    def of(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the entries one after the other, and the number of each."""
+        first = self.ids_upto.held[entry]
+        n = self.ids_upto.held[entry + 1] - first
+        return self.ids.held[spans(first, n)], n
+
+    def add(self, keys: np.ndarray, body: np.ndarray, begin: np.ndarray, size: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        keys, new = np.unique(keys, return_index=True)
+        place = np.searchsorted(self.keys, keys)
+        if len(self.keys):
+            free = self.keys[np.minimum(place, len(self.keys) - 1)] != keys
+            keys, new, place = keys[free], new[free], place[free]
+        entry = len(self) + np.arange(len(new))
+        self.keys, self.entry = np.insert(self.keys, place, keys), np.insert(self.entry, place, entry.astype(np.int32))
+        first = np.cumsum(n) - n
+        self.bytes.add(body[spans(begin[new], size[new])])
+        self.ids.add(ids[spans(first[new], n[new])])
+        self.upto.add(self.upto.held[self.upto.n - 1] + np.cumsum(size[new]))
+        self.ids_upto.add(self.ids_upto.held[self.ids_upto.n - 1] + np.cumsum(n[new]))
 
 
 class WordTokenizer:
@@ -60,7 +134,7 @@ class WordTokenizer:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
-        probe = "Ab  cd's\t<x>\n12 é f"
+        probe = "Ab  cd's\t<x>\n12 é f"
         whole = self.model.encode(probe, add_special_tokens=False).ids
         if whole != [i for w in probe.encode().split() for i in self.model.encode(w.decode(), add_special_tokens=False).ids]:
             raise ValueError("the tokenizer keeps white space: words cannot be encoded one by one")
@@ -71,89 +145,111 @@ class WordTokenizer:
         self.closes = np.zeros(max(self.model.get_vocab().values()) + 1, bool) if closing else None
         if closing:
             self.closes[closing] = True
-        self.reset()
+        self.marks, self.mark_sizes = self.ids_of([chr(c) for c in CLOSING])
+        self.table, self.old = WordTable(), WordTable()
 
-    def reset(self) -> None:
-        self.words: dict[bytes, int] = {}
-        self.begin, self.size, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
-
-    def ids_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and the number of each."""
-        ids = [e.ids for e in self.model.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        ids = [e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(ids), np.uint32), np.array([len(x) for x in ids], np.int64)
 
-    def letters(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for words of ASCII letters: each is one piece of the tokenizer, so in a text of many of them the ids
-        that close a piece tell where a word ends."""
-        texts = [b" ".join(words[i:i + 500]).decode() for i in range(0, len(words), 500)]
-        ids = np.fromiter(chain.from_iterable(e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)), np.uint32)
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        return (ids, np.diff(np.concatenate([[0], ends]))) if len(ends) == len(words) else self.ids_of(words)
-
-    def add(self, words: list[bytes], ids: np.ndarray, n: np.ndarray) -> None:
-        k = len(self.words)
-        while k + len(words) > len(self.begin):
-            self.begin, self.size = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.size, 2 * len(self.size))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.size[k:k + len(words)] = n
-        self.begin[k:k + len(words)] = self.used + np.cumsum(n) - n
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.words.update(zip(words, range(k, k + len(words)), strict=True))
-
-    def learn(self, new: list[bytes]) -> None:
-        """Tokenize words. One closing mark behind an ASCII letter or digit is a piece of its own: such a word is its stem's
-        ids and the mark's."""
-        marked = [w for w in new if w[-1:] in CLOSING and w[-2:-1].isalnum()]
-        both = set(marked)
-        stems = {w[:-1] for w in marked} | {w[-1:] for w in marked} | {w for w in new if w not in both}
-        plain, other = [], []
-        for w in stems:
-            if w not in self.words:
-                (plain if self.closes is not None and w.isalpha() and w.isascii() else other).append(w)
-        for words, find in ((plain, self.letters), (other, self.ids_of)):
-            if words:
-                self.add(words, *find(words))
-        if marked:
-            parts = np.array([self.words[x] for w in marked for x in (w[:-1], w[-1:])], np.int64)
-            size = self.size[parts]
-            self.add(marked, self.flat[spans(self.begin[parts], size)], size[0::2] + size[1::2])
+    def letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters: each is one piece of the tokenizer, so in a text of many of them the ids that close
+        a piece tell where a word ends. Where they are not as many as the words, the tokenizer sees other letters."""
+        groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        out, sizes = [], []
+        for g, e in zip(groups, self.model.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            n = np.diff(ends, prepend=0)
+            if len(ends) != len(g):
+                ids, n = self.ids_of(g)
+            out.append(ids)
+            sizes.append(n)
+        return np.concatenate(out), np.concatenate(sizes)
+
+    def tokenized(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        alpha = np.array([self.closes is not None and w.isalpha() for w in words], bool)
+        n, parts = np.zeros(len(words), np.int64), []
+        for mine, find in ((np.flatnonzero(alpha), self.letters), (np.flatnonzero(~alpha), self.ids_of)):
+            if len(mine):
+                ids, n[mine] = find([words[i] for i in mine.tolist()])
+                parts.append((mine, ids))
+        out, first = np.empty(int(n.sum()), np.uint32), np.cumsum(n) - n
+        for mine, ids in parts:
+            out[spans(first[mine], n[mine])] = ids
+        return out, n
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words one after the other, and the number of each; what is unknown is tokenized and remembered."""
+        body, off = utf8_buffer(words)
+        begin, size = off[:-1], np.diff(off)
+        keys = word_values(body, begin, off[1:])
+        if len(self.table) > WORD_CACHE:
+            self.table, self.old = WordTable(), self.table
+        now = self.table.find(keys, body, begin, size)
+        n, parts = np.zeros(len(keys), np.int64), []
+
+        def take(mine, ids, sizes):
+            n[mine] = sizes
+            parts.append((mine, ids))
+
+        known, rest = np.flatnonzero(now >= 0), np.flatnonzero(now < 0)
+        take(known, *self.table.of(now[known]))
+        before = self.old.find(keys[rest], body, begin[rest], size[rest])
+        older, new = rest[before >= 0], rest[before < 0]
+        for mine, (ids, sizes) in ((older, self.old.of(before[before >= 0])), (new, self.tokenized(words.take(pa.array(new)).to_pylist()))):
+            take(mine, ids, sizes)
+            self.table.add(keys[mine], body, begin[mine], size[mine], ids, sizes)
+        out, first = np.empty(int(n.sum()), np.uint32), np.cumsum(n) - n
+        for mine, ids in parts:
+            out[spans(first[mine], n[mine])] = ids
+        return out, n
 
     def encode(self, data: np.ndarray, off: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end``, and the n+1 offsets. ASCII letters are lowered first where that cannot
         change the ids: none of them composes with a mark outside U+0300..U+033F, whose UTF-8 starts with 0xCC, and ``<``
-        may open a special token."""
-        if len(self.words) > WORD_CACHE:
-            self.reset()
+        may open a special token. One closing mark behind an ASCII letter or digit is a piece of its own: such a word is
+        its stem's ids and the mark's."""
         if self.lower:
             odd = np.concatenate([[0], np.cumsum((data == 0x3C) | (data == 0xCC))])
             data = np.where(np.repeat(odd[off[1:]] == odd[off[:-1]], np.diff(off)), LOWER[data], data)
-        texts = pa.StringArray.from_buffers(len(off) - 1, pa.py_buffer(off.astype(np.int32).tobytes()), pa.py_buffer(np.ascontiguousarray(data)))
-        split = pc.ascii_split_whitespace(texts)
-        coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
-        at = list(map(self.words.get, distinct))
-        lost = [j for j, i in enumerate(at) if i is None and distinct[j]]
-        if lost:
-            self.learn([distinct[j] for j in lost])
-            for j in lost:
-                at[j] = self.words[distinct[j]]
-        index = np.array([-1 if i is None else i for i in at], np.int64)       # a text's white space at its ends leaves empty words
-        word = index[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
-        real = word >= 0
-        count = np.concatenate([[0], np.cumsum(real)])[split.offsets.to_numpy()]
-        word = word[real]
-        size = self.size[word]
-        upto = np.concatenate([[0], np.cumsum(size)])[count]
+        starts, ends, at = word_bounds(data, off)
+        coded = binary_words(data[~IS_SPACE[data]], ends - starts).dictionary_encode()
+        body, edge = utf8_buffer(coded.dictionary)
+        size = np.diff(edge)
+        last = body[edge[1:] - 1]
+        marked = (size > 1) & IS_CLOSING[last] & IS_ALNUM[body[np.maximum(edge[1:] - 2, 0)]]
+        keep = np.ones(len(body), bool)
+        keep[edge[1:][marked] - 1] = False
+        stems = binary_words(body[keep], size - marked).dictionary_encode()
+        ids, n = self.look_up(stems.dictionary.cast(pa.string()))
+        # every distinct word: its stem's ids, then its mark's
+        stem = stems.indices.to_numpy(zero_copy_only=False)
+        mark = np.argmax(last[:, None] == np.frombuffer(CLOSING, np.uint8), axis=1)
+        pool = np.concatenate([ids, self.marks])
+        stem_at, mark_at = np.cumsum(n) - n, len(ids) + np.cumsum(self.mark_sizes) - self.mark_sizes
+        two = np.stack([n[stem], np.where(marked, self.mark_sizes[mark], 0)], axis=1)
+        flat = pool[spans(np.stack([stem_at[stem], mark_at[mark]], axis=1).ravel(), two.ravel())]
+        sizes = two.sum(1)
+        begin = np.cumsum(sizes) - sizes
+        word = coded.indices.to_numpy(zero_copy_only=False)
+        size = sizes[word]
+        upto = np.concatenate([[0], np.cumsum(size)])[at]
         ends = upto + np.arange(len(off))
         out = np.full(int(ends[-1]), end, np.uint32)
         inside = np.ones(len(out), bool)
         inside[ends[1:] - 1] = False
-        out[inside] = self.flat[spans(self.begin[word], size)]
+        out[inside] = flat[spans(begin[word], size)]
         return out, ends
 
 
+def binary_words(body: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Words laid end to end, of the sizes given."""
+    edge = pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, edge, pa.py_buffer(np.ascontiguousarray(body))])
+
+
 def tokenizer(path: str) -> WordTokenizer:
     return remembered(("word tokenizer", path), lambda: WordTokenizer(path))
 
