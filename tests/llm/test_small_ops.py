@@ -145,11 +145,49 @@ def test_top_inner_products(spark):
              (2400, [1.0, 2.0], 0, "x"), (2401, [3.0, 1.0], 0, "x"), (None, [1.0] * 24, 0, "x"), (2500, [float("inf")] * 24, 0, "x")]
     df = spark.createDataFrame(rows, VEC).repartition(5)
     for head, block in ((2048, 2048), (16, 50)):
-        got = {tuple(r) for r in top_inner_products(df, F.col("vec_id") % 100 == 0, head=head, block=block, query_block=4).collect()}
+        got = {tuple(r) for r in top_inner_products(df, F.col("vec_id") % 100 == 0, head=head, block=block, group=4).collect()}
         assert got == brute_top(rows)
     assert top_inner_products(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_top_inner_products_of_repeated_ids(spark):
+    """Rows are told apart by their place: twins are candidates of each other and each is asked."""
+    rows = [(0, [1.0, 0.0], 0, "x"), (0, [2.0, 0.0], 0, "x"), (1, [3.0, 1.0], 0, "x")]
+    got = sorted(tuple(r) for r in top_inner_products(spark.createDataFrame(rows, VEC), F.col("vec_id") % 100 == 0).collect())
+    one, two, three = 1024, 2048, 3072
+    assert got == sorted([(0, 1, 1, one * three), (0, 2, 0, one * two), (0, 1, 1, two * three), (0, 2, 0, one * two)])
+    same = [(100 * (i % 3), [1.0, 1.0], 0, "x") for i in range(9)]
+    got = [tuple(r) for r in top_inner_products(spark.createDataFrame(same, VEC), F.col("vec_id") % 100 == 0, k=4, block=2, group=2).collect()]
+    assert Counter(got) == Counter((q, r, 0 if q or r < 3 else 100, 2 << 20) for q in (0, 0, 0, 100, 100, 100, 200, 200, 200) for r in (1, 2, 3, 4)
+                                   if not (q and r == 4)) + Counter((q, 4, 100, 2 << 20) for q in (100, 200) for _ in range(3))
+
+
+def test_long_vectors_at_the_ends_of_a_long(spark):
+    rows = [(i, [float(x), float(-x)], 0, "x") for i, x in enumerate([3e12, 3e12, -3e12, 1.0, 0.0, 2e13, -2e13])]
+    got = sorted(tuple(r) for r in top_inner_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, score string"),
+                                                      F.col("vec_id") % 100 == 0, k=6).collect())
+    v = [[int(np.floor(1024 * x)) for x in r[1]] for r in rows]
+    ends = np.iinfo(np.int64)
+    want = sorted((-max(min(sum(a * b for a, b in zip(v[0], w, strict=True)), ends.max), ends.min), c) for c, w in enumerate(v) if c)
+    assert got == [(0, r, c, -x) for r, (x, c) in enumerate(want, 1)]
+
+
+@pytest.mark.parametrize("spread", [3.0, 0.0])
+def test_blocks_meet_only_groups_they_can_matter_to(spark, spread):
+    """Of vectors of very different lengths few blocks are sent; of equally long ones all are, and the result is right."""
+    from tidewater.llm import topk
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(0, 1, 16) * np.exp(spread * rng.normal())).astype(np.float32).tolist(), 0, "x") for i in range(1500)]
+    df = spark.createDataFrame(rows, VEC)
+    out = top_inner_products(df, F.col("vec_id") % 100 == 0, head=64, block=32, group=8)
+    assert {tuple(r) for r in out.collect()} == brute_top(rows)
+    g = topk.Group(np.arange(4), np.eye(4, 16, dtype=np.int64) * 1000, np.full(4, -np.inf), np.zeros((16, 0)), 2)
+    far = np.zeros((6, 16), np.int64)
+    far[:, 0] = [900, 800, 700, 3, 2, 1]
+    g.read(np.arange(10, 16), np.arange(10, 16), far, np.sqrt((far ** 2.0).sum(1)), step=1)
+    assert g.scored < 24 and g.kept[2][:2].tolist() == [10, 11]
+
+
 def test_urls(spark):
     urls = ["http://a.example.net/en/1", "http://EXAMPLE.net/de/", "http://example.net", "https://x.example.com/de/?q", "http://b.org/fr/x#y",
             "http://notexample.com/de/1", "no url", None, "", "ftp://net/", "http://h?x://y/z", "http://a.example.com/de"]

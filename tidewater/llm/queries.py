@@ -143,11 +143,11 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
 FROM w LEFT JOIN kept USING (doc_id)"""
 
 OP5_SQL = """WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  SELECT row_number() OVER () AS uid, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
 SELECT q.vec_id AS query_id, CAST(row_number() OVER best AS INTEGER) AS rank, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
-WINDOW best AS (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id)
+FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.uid <> q.uid AND len(q.e) = len(c.e)
+WINDOW best AS (PARTITION BY q.uid ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id)
 QUALIFY row_number() OVER best <= 10"""
 
 OP7_SQL = f"""WITH RECURSIVE w AS (
