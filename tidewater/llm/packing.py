@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from fractions import Fraction
 from itertools import chain
 
 import numpy as np
@@ -294,22 +295,43 @@ class Service:
         return self.before[k] + np.clip(count, 0, n).sum(1)
 
     def served(self, upto: np.ndarray) -> np.ndarray:
-        """Tokens of every source among the first ``upto`` served: (places, sources)."""
+        """Tokens of every source among the first ``upto`` served: (places, sources).
+
+        By the time upto / size a source has given its tokens up to that time; their sum misses ``upto`` by at most half
+        the number of sources, and so many tokens next to that time, the first or last in order, are added or taken."""
         upto = np.minimum(upto, self.n)
         k = np.clip(np.searchsorted(self.before, upto, side="right") - 1, 0, len(self.before) - 2)
         n, size = self.given[k + 1] - self.given[k], (self.before[k + 1] - self.before[k])[:, None]
-        guess = ((upto - self.before[k])[:, None] * (n / np.maximum(size, 1))).astype(np.int64)
-        reach = len(self.total) + 2
-        lo, hi = self.given[k] + np.clip(guess - reach, 0, n), self.given[k] + np.clip(guess + reach, 0, n)
-        source = np.broadcast_to(np.arange(len(self.total))[None, :], lo.shape)
+        whole, u = np.maximum(size, 1), (upto - self.before[k])[:, None]
+        c = np.clip(self.quotient(2 * u, n, -whole, 2 * whole)[0], 0, n)
+        over = c.sum(1) - u[:, 0]
         while True:
-            row, col = np.nonzero(lo < hi)
-            if not len(row):
-                return lo
-            mid = (lo[row, col] + hi[row, col]) // 2
-            early = self.rank(source[row, col], mid) < upto[row]
-            lo[row[early], col[early]] = mid[early] + 1
-            hi[row[~early], col[~early]] = mid[~early]
+            rows = np.flatnonzero(over)
+            if not len(rows):
+                return self.given[k] + c
+            sign = np.sign(over[rows])[:, None]             # 1: the last token goes, -1: the next one comes
+            t, m = c[rows] - (sign > 0), n[rows]
+            with np.errstate(over="ignore"):                # a small number, so exact modulo 2^64
+                late = ((2 * t + 1) * whole[rows] - 2 * u[rows] * m) * sign
+            col = self.latest(late, np.where((t >= 0) & (t < m), m, 0), sign[:, 0])
+            c[rows, col] -= sign[:, 0]
+            over[rows] -= sign[:, 0]
+
+    @staticmethod
+    def latest(late: np.ndarray, n: np.ndarray, sign: np.ndarray) -> np.ndarray:
+        """The column of the greatest late / n (n = 0: none) in every row; of equal ones the last, or the first where the sign is
+        negative. Doubles decide unless they are close and the numbers are not the same; then whole numbers do."""
+        with np.errstate(divide="ignore", invalid="ignore"):
+            key = np.where(n > 0, late / n, -np.inf)
+        last = n.shape[1] - 1
+        best = np.where(sign > 0, last - np.argmax(key[:, ::-1], axis=1), np.argmax(key, axis=1))
+        rows = np.arange(len(best))
+        top = key[rows, best][:, None]
+        near = (key >= top - 1e-9 * (1 + np.abs(top))) & ((late != late[rows, best][:, None]) | (n != n[rows, best][:, None]))
+        for r in np.flatnonzero(near.any(1)).tolist():
+            exact = [(Fraction(int(x), int(m)), i * int(sign[r])) for i, (x, m) in enumerate(zip(late[r], n[r], strict=True)) if m]
+            best[r] = abs(max(exact)[1])
+        return best
 
 
 def cut(service: Service, s: np.ndarray, first: np.ndarray, n: np.ndarray, length: int):
