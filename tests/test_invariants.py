@@ -13,7 +13,8 @@ from tidewater.functions import rules as R
 from tidewater.plans.sessions import build_sessions, tag_sessions
 from tidewater.plans.funnel import lead_stages
 from tidewater.plans.roi import roi_model
-from tidewater.sources.pages import upsert_latest, upsert_raw_table
+from tidewater.session import settings, write_table
+from tidewater.sources.pages import bucketed_raw_table, merged_by_key, touched, upsert_bucketed, upsert_latest, upsert_raw_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -59,7 +60,7 @@ RAW = "provider string, extracted_date date, source_url string, payload string,
 
 
 def raw(spark, rows):
-    return spark.createDataFrame([(p, dt.date(2026, 1, d), u, x, t and dt.datetime(2026, 1, d, t)) for p, d, u, x, t in rows], RAW)
+    return spark.createDataFrame([(p, d and dt.date(2026, 1, d), u, x, t and dt.datetime(2026, 1, d or 1, t)) for p, d, u, x, t in rows], RAW)
 
 
 def test_upsert_touches_only_its_dates_in_a_static_session(spark):
@@ -75,6 +76,69 @@ def test_upsert_touches_only_its_dates_in_a_static_session(spark):
     assert got == {(1, "u"): ("p", "[1]"), (2, "u"): ("p", "[3]"), (2, "w"): ("q", "[4]")}
 
 
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_upsert_keeps_rows_without_a_date(spark, bucketed):
+    """NULL dates, NULL urls and both: only the incoming rows' own keys change, and a replay changes nothing."""
+    path = os.path.join(tempfile.mkdtemp(prefix="tidewater-raw-"), "raw")
+    name = f"raw_{os.path.basename(os.path.dirname(path)).replace('-', '_')}"
+
+    def put(rows):
+        if not bucketed:
+            upsert_raw_table(spark, path, raw(spark, rows))
+            return
+        bucketed_raw_table(spark, name, path, 4)
+        upsert_bucketed(spark, name, raw(spark, rows))
+
+    put([("p", None, "u1", "[1]", 1), ("p", None, None, "[2]", None), ("p", 1, "u1", "[3]", 1), ("p", 2, "u1", "[4]", 1)])
+    for _ in range(2):
+        put([("q", None, "u2", "[5]", 1), ("q", 1, "u9", "[6]", None), ("q", None, None, "[7]", 2), ("q", 1, "u1", "[0]", None)])
+        got = {(r.extracted_date and r.extracted_date.day, r.source_url): (r.provider, r.payload) for r in spark.read.parquet(path).collect()}
+        assert got == {(None, "u1"): ("p", "[1]"), (None, None): ("p", "[7]"), (None, "u2"): ("q", "[5]"), (1, "u1"): ("p", "[3]"),
+                       (1, "u9"): ("q", "[6]"), (2, "u1"): ("p", "[4]")}
+    if bucketed:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_bucketed_upsert_shuffles_the_incoming_rows_alone(spark):
+    name, path = "raw_shuffle_test", os.path.join(tempfile.mkdtemp(prefix="tidewater-raw-"), "raw")
+    bucketed_raw_table(spark, name, path, 4)
+    upsert_bucketed(spark, name, raw(spark, [("p", 1 + i % 3, f"u{i}", "[1]", 1) for i in range(200)]))
+    new = write_table(raw(spark, [("q", 2, f"u{i}", "[2]", 2) for i in range(50)]), "upsert-test")
+    with settings(spark, {"spark.sql.requireAllClusterKeysForCoPartition": "false"}):
+        plan = merged_by_key(touched(spark.table(name), new), new)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(extracted_date" in plan
+    # the plan is a tree of lines: nothing above the stored scan, up to the join, is an exchange
+    lines = plan.splitlines()
+    at = next(i for i, x in enumerate(lines) if "Bucketed: true" in x)
+    depth, above = len(lines[at]) - len(lines[at].lstrip(" :+-")), []
+    for x in reversed(lines[:at]):
+        d = len(x) - len(x.lstrip(" :+-"))
+        if d < depth:
+            above.append(x)
+            depth = d
+        if "SortMergeJoin" in x:
+            break
+    assert above and "SortMergeJoin" in above[-1] and not any("Exchange" in x for x in above)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_leads_read_the_sessions_once(spark):
+    """Sessions and See are built once: the plan that is left reads their tables."""
+    i = Inputs(spark, SF)
+    written = []
+    from tidewater.plans import funnel, sessions
+    keep = funnel.write_table, sessions.write_table
+    try:
+        for module in (funnel, sessions):
+            module.write_table = lambda df, name, f=keep[0]: written.append(name) or f(df, name)
+        from tidewater.harness.catalog import leads_df
+        plan = leads_df(i)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        funnel.write_table, sessions.write_table = keep
+    assert written == ["sessions-built", "lead-firsts", "lead-see"]
+    assert plan.count("Scan parquet") <= 20 and "session_by_anonymous" not in plan
+
+
 def test_a_table_of_another_shape_is_an_error(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="tidewater-raw-"), "raw")
     rows = raw(spark, [("p", 1, "u", "[1]", 1), ("p", 1, "v", "[1]", 1)])

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidewater.operators.relational import anti_join, first_per_key, left_join_or_keys, row_number_skew_safe
+from tidewater.operators.relational import anti_join, as_of, first_per_key, left_join_or_keys, row_number_skew_safe
 
 
 def skewed_rows(n=3000, seed=7):
@@ -32,12 +32,12 @@ def brute_rank(rows):
 def test_row_number_matches_brute_force(spark):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "id long, k string, ts int").repartition(5)
-    for width in (1, 7, 1000):          # slices of one value, of several, of all
-        got = row_number_skew_safe(df, ["k"], ["ts", "id"], "rn", slice_by=F.floor(F.col("ts") / width))
+    for slices in (2, 7, 400):          # slices of many values, of several, of less than one
+        got = row_number_skew_safe(df, ["k"], ["ts", "id"], "rn", slices=slices)
         assert dict(got.dtypes)["rn"] == "bigint" and {r.id: r.rn for r in got.collect()} == brute_rank(rows)
 
 
-def test_row_number_by_hours_and_two_keys(spark):
+def test_row_number_by_times_and_two_keys(spark):
     import datetime as dt
     rows = [(i, "a" if i % 3 else None, i % 2, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=37 * (i % 50)) if i % 7 else None) for i in range(400)]
     df = spark.createDataFrame(rows, "id long, k string, j int, ts timestamp_ntz")
@@ -49,11 +49,57 @@ def test_row_number_by_hours_and_two_keys(spark):
 
 
 def test_row_number_spreads_the_hot_key(spark):
-    """No window sees more than a slice of the key, and nothing is written on the side."""
-    rows = skewed_rows()
-    df = spark.createDataFrame(rows, "id long, k string, ts int")
-    plan = row_number_skew_safe(df, ["k"], ["ts", "id"], "rn", slice_by=F.col("ts"))._jdf.queryExecution().executedPlan().toString()
-    assert "_cell" in plan and "RangePartitioning" not in plan and "Scan parquet" not in plan
+    """A third of all rows in one key and one instant: no window sees more than a few parts in a hundred of the rows."""
+    import datetime as dt
+    rnd, busy = random.Random(1), dt.datetime(2024, 5, 1, 12)
+    rows = [("hot" if i % 3 == 0 else f"k{rnd.randrange(50)}", busy if i % 3 == 0 else busy + dt.timedelta(seconds=rnd.randrange(99999)),
+             f"s{rnd.randrange(10**9):09d}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, s string, id long")
+    out = row_number_skew_safe(df, ["k"], ["ts", "s", "id"], "rn", slices=50)
+    got = {r.id: r.rn for r in out.collect()}
+    for k in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == k), key=lambda r: r[1:])
+        assert [got[r[3]] for r in mine] == list(range(1, len(mine) + 1))
+    from tidewater.operators.relational import order_slice
+    from tidewater.session import write_table
+    df = write_table(df, "ranked-test")
+    sizes = df.groupBy("k", order_slice(df, ["ts", "s"], 50)).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 0.05 * len(rows)
+
+
+def test_numbers_rise_with_their_columns(spark):
+    import datetime as dt
+    from tidewater.operators.relational import as_number, bounds_below
+    texts = ["", "a", "ab", "abcdefg", "abcdefgh", "a\u00e9", "b", "\u00e9", "\uffff", "\U0001f600"]
+    df = spark.createDataFrame([(t, dt.datetime(1960 + i, 3, 31, 2, 30), dt.date(1960 + i, 1, 1), 1.5 * i - 3) for i, t in enumerate(texts)],
+                               "t string, ts timestamp_ntz, d date, x double")
+    for c in df.columns:
+        got = [r[0] for r in df.select(as_number(df, c)).collect()]
+        assert got == sorted(got) and (c == "t" or len(set(got)) == len(got))
+    values = spark.createDataFrame([(v,) for v in range(-1, 12)], "v long")
+    for bounds in ([], [3], [0, 2, 2, 2, 5, 9]):
+        assert [r[0] for r in values.select(bounds_below(F.col("v"), bounds)).collect()] == [sum(b <= v for b in bounds) for v in range(-1, 12)]
+
+
+def brute_as_of(asked, known):
+    out = []
+    for i, k, t in asked:
+        fit = [(s, v or "", v) for kk, s, v in known if kk == k and k is not None and t is not None and s is not None and s <= t]
+        out.append((i, max(fit)[2] if fit else None))
+    return sorted(out)
+
+
+def test_as_of_against_brute_force(spark):
+    import datetime as dt
+    rnd, zero = random.Random(5), dt.datetime(2024, 1, 1)
+    when = lambda: rnd.choice([None, zero + dt.timedelta(hours=rnd.randrange(200)), zero + dt.timedelta(minutes=rnd.randrange(60))])
+    key = lambda: rnd.choice(["hot", "hot", "a", "b", "c", None])
+    asked = [(i, key(), when()) for i in range(400)]
+    known = [(key(), when(), rnd.choice([None, "x", "y", "z"])) for _ in range(150)]
+    a = spark.createDataFrame(asked, "id long, k string, at timestamp_ntz")
+    for n in (150, 0):
+        b = spark.createDataFrame(known[:n], "k string, since timestamp_ntz, v string")
+        assert sorted((r.id, r.v) for r in as_of(a, b, "k", "at", "since", "v").collect()) == brute_as_of(asked, known[:n])
 
 
 def test_first_per_key_matches_brute_force_and_has_no_window(spark):

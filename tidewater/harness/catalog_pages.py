@@ -10,8 +10,8 @@ from ..operators.embedded_json import embedded_arrays, embedded_object, explode_
 from ..operators.html import ATTRIBUTES, card_rows, expand_cells_sql, html_elements, page_facts, read_pages
 from ..plans.ingest import attach_prices, distinct_price_keys, ingest, ingest_results, matrix_cards, quarantine
 from ..session import tables_dir
-from ..sources.pages import (RAW_COLS, Tables, catalog_ok, page_ok, payload_rows, upsert_latest, upsert_raw_table,
-                             valid_pages, write_model)
+from ..sources.pages import (RAW_COLS, Tables, bucketed_raw_table, catalog_ok, page_ok, payload_rows, upsert_bucketed, upsert_latest,
+                             upsert_raw_table, valid_pages, write_model)
 from . import oracle_pages as P
 from .catalog import register, with_inputs
 from .standins import Inputs
@@ -65,7 +65,8 @@ def distinct_keys(spark, sf):
 
 @register("join_two_roles", matrix_sql(P.TWO_ROLES_FINAL, ["prices"]))
 def join_two_roles(spark, sf):
-    return attach_prices(_cards(spark, sf), Inputs(spark, sf)["prices"]).select(
+    fetched = _cards(spark, sf).withColumn("fetched_at", F.expr("TIMESTAMP_NTZ '2026-05-04 06:00:00' + make_dt_interval(page_id % 3 - 1)"))
+    return attach_prices(fetched, Inputs(spark, sf)["prices"], "fetched_at").select(
         "page_id", "position", "monthly_key", "hourly_key", "monthly_prices", "hourly_prices")
 
 
@@ -188,6 +189,19 @@ def upsert_raw_rows(spark, sf):
     return spark.read.parquet(path).select(*RAW_COLS)
 
 
+@register("upsert_bucketed_rows", with_inputs(["raw_existing", "raw_incoming"], final=P.UPSERT_FINAL))
+def upsert_bucketed_rows(spark, sf):
+    """The same into a table in buckets."""
+    i = Inputs(spark, sf)
+    name = f"raw_responses_{uuid.uuid4().hex}"
+    path = f"{tables_dir(spark)}/{name}"
+    bucketed_raw_table(spark, name, path, 8)
+    for part in ("raw_existing", "raw_incoming"):
+        upsert_bucketed(spark, name, i[part].withColumn("fetched_at", F.col("fetched_at").cast("timestamp_ntz")))
+    spark.sql(f"DROP TABLE {name}")         # the catalog's entry; the files go with the intermediate tables
+    return spark.read.parquet(path).select(*RAW_COLS)
+
+
 def ingest_sql(final: str) -> str:
     return with_inputs([*P.MATRIX_INPUTS, "stored_responses", "prices"], P.MATRIX_CTES, P.HOSTILE_CTE, P.GROUPS_CTE, P.ARRAYS_CTE, P.RESULTS_CTES, final=final)
 

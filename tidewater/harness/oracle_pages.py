@@ -81,10 +81,13 @@ KEYS_FINAL = ("SELECT DISTINCT product_key FROM (SELECT monthly_key AS product_k
               "UNION ALL SELECT hourly_key FROM mp_cards)")
 _LATEST = """(SELECT product_key, prices FROM prices WHERE priced_at <= TIMESTAMP '{until}'
   QUALIFY row_number() OVER (PARTITION BY product_key ORDER BY priced_at DESC) = 1)"""
+# pages fetched on the third, fourth and fifth of May: a price of the fifth holds for the last only
+_AS_OF = """LEFT JOIN LATERAL (SELECT prices FROM prices x WHERE x.product_key = c.{key}
+  AND x.priced_at <= TIMESTAMP '2026-05-04 06:00:00' + to_days(CAST(c.page_id % 3 - 1 AS INTEGER))
+  ORDER BY x.priced_at DESC LIMIT 1) {name} ON TRUE"""
 TWO_ROLES_FINAL = f"""SELECT c.page_id, c.position, c.monthly_key, c.hourly_key, pm.prices AS monthly_prices,
   ph.prices AS hourly_prices
-FROM mp_cards c LEFT JOIN {_LATEST.format(until='9999-01-01')} pm ON pm.product_key = c.monthly_key
-LEFT JOIN {_LATEST.format(until='9999-01-01')} ph ON ph.product_key = c.hourly_key"""
+FROM mp_cards c {_AS_OF.format(key='monthly_key', name='pm')} {_AS_OF.format(key='hourly_key', name='ph')}"""
 JSON_ROUNDTRIP_FINAL = """SELECT page_id, position, CAST(json_object('plan_name', plan_name, 'monthly_key', monthly_key,
   'hourly_key', hourly_key, 'cores_count', cores_count, 'cpu_model', cpu_model) AS VARCHAR) AS doc FROM mp_enriched"""
 

@@ -410,7 +410,7 @@ STORED_RESPONSES = STORED_RESPONSES.replace("BQ", _BQ)
 # versions of a key: several, equal ones, and (mostly) NULL ones
 RAW_EXISTING = """
 SELECT CASE event_id % 3 WHEN 0 THEN 'provider-a' WHEN 1 THEN 'provider-b' ELSE 'provider-c' END AS provider,
-  CAST(ts AS DATE) AS extracted_date, concat('https://example.test/src/', CAST(user_id AS STRING)) AS source_url,
+  CASE WHEN event_id % 11 <> 0 THEN CAST(ts AS DATE) END AS extracted_date, concat('https://example.test/src/', CAST(user_id AS STRING)) AS source_url,
   props AS payload, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE ts END AS fetched_at
 FROM {events} WHERE event_type IN ('view', 'click', 'error')
 """

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col_
+from ..session import write_table
 
 NULL_KEY_PREFIX = "\u0000null:"
 
@@ -42,18 +43,68 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, cols: Seq
     return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in cols])
 
 
-def row_number_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence, name: str, slice_by: Column | None = None) -> DataFrame:
+#: Slices that the order of all rows is cut into; a task of the ranking sees about this part of one key at most.
+MOST_SLICES = 1024
+
+
+def as_number(df: DataFrame, name: str) -> Column:
+    """A number that rises with the column: microseconds, the number itself, or the first seven bytes of a text."""
+    kind, c = df.schema[name].dataType.typeName(), F.col(name)
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        zero = F.lit("1970-01-01").cast("date" if kind == "date" else kind)
+        return F.date_diff(c, zero).cast("long") if kind == "date" else F.timestamp_diff("MICROSECOND", zero, c)
+    if kind == "string":
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    return c.cast("double")
+
+
+def bounds_below(value: Column, bounds: list) -> Column:
+    """How many of the ascending bounds are at most the value, by halving."""
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
+    held = F.array(*[F.lit(b) for b in bounds])
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lambda at, step: F.when(
+        (at + step <= len(bounds)) & (F.get(held, at + step - 1) <= value), at + step).otherwise(at))
+
+
+def quantiles(df: DataFrame, value: Column, n: int) -> list:
+    """About n - 1 values that cut the rows into n equal parts, from a sketch; a value that holds several parts comes several times."""
+    parts = [i / n for i in range(1, n)]
+    return df.select(value.alias("v")).agg(F.percentile_approx("v", F.array(*[F.lit(x) for x in parts]), 10 * n)).first()[0] or []
+
+
+def order_slice(df: DataFrame, order: Sequence[str], n: int) -> Column:
+    """A coarse, monotone function of the order, from the data: quantiles of the first order column, and inside single values of it
+    that hold more than a part of all rows, quantiles of the second. The quantiles, 2 n numbers, come to the driver."""
+    first = as_number(df, order[0])
+    bounds = quantiles(df, first, n)
+    hot = sorted({x for x, y in zip(bounds, bounds[1:], strict=False) if x == y})
+    inner = F.lit(0)
+    if hot and len(order) > 1:
+        second = as_number(df, order[1])
+        is_hot = F.array_contains(F.array(*[F.lit(x) for x in hot]), first)
+        inside = quantiles(df.filter(is_hot), second, n)
+        # what follows a hot value in its slice comes behind it; NULLs of the second column come last
+        inner = F.when(is_hot, F.coalesce(bounds_below(second, inside), F.lit(len(inside) + 1))).otherwise(len(inside) + 2)
+    return F.when(first.isNotNull(), F.struct(bounds_below(first, bounds).alias("i"), F.coalesce(inner, F.lit(0)).alias("j")))
+
+
+def row_number_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int | None = None,
+                         written: bool = False) -> DataFrame:
     """Exact ``row_number() OVER (PARTITION BY keys ORDER BY order NULLS LAST)`` (bigint) without a hot task.
 
-    One path for all sizes. ``slice_by`` is a coarse, monotone function of the first order column (by
-    default the hour of a timestamp; NULL slices last). A row's number is its number inside (key,
-    slice), plus the rows of the key's earlier slices, which come from an aggregation reduced map-side.
-    A key that holds a third of all rows is spread over its slices; a window over a key only ever sees
-    one row per slice. The ranked frame is shuffled once: the window and the join share their key.
-    ``order`` must end with a unique tie-breaker (ties are arbitrary in the reference).
+    One path for all sizes. The order is cut into slices of about equally many rows (see ``order_slice``; NULLs of the
+    first column last). A row's number is its number inside (key, slice), plus the rows of the key's earlier slices, which
+    come from an aggregation reduced map-side. A key that holds a third of all rows is spread over its
+    slices, also where these rows fall into one hour or one instant; a window over a key only ever sees one row per slice.
+    The frame is written once, unless the caller has (``written``), and the ranked frame is shuffled once: the window and
+    the join share their key. ``order`` must end with a unique tie-breaker (ties are arbitrary in the reference).
     """
+    df = df if written else write_table(df, "ranked-input")
+    n = slices or max(2, min(MOST_SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    piece = order_slice(df, order, n)
     ord_sort = [col_(o).asc_nulls_last() for o in order]
-    piece = F.date_trunc("hour", col_(order[0])) if slice_by is None else slice_by
     # a struct compares NULL fields as equal, so a NULL key is one group in the window and in the join alike
     cells = df.withColumn("_cell", F.struct(*[F.col(k) for k in keys], piece.isNull().alias("_late"), piece.alias("_slice")))
     counts = cells.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
@@ -64,6 +115,34 @@ def row_number_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence, na
     return out.withColumn(name, F.col("_off") + F.col("_i")).drop("_cell", "_i", "_off")
 
 
+def as_of(asked: DataFrame, known: DataFrame, key: str, at: str, since: str, value: str) -> DataFrame:
+    """``asked`` with ``value``: of its key's ``known`` rows the one of greatest ``since`` <= ``at`` (of equal ones the greatest value);
+    NULL where there is none, or where key or time is NULL.
+
+    A row meets the values of its own day, not the key's history: known rows are reduced to the last of each (key, day),
+    which a window over the days of a key - as many as the calendar has - carries to the days that are asked. What changes inside
+    an asked day becomes intervals of validity. So the rows that the join reads do not grow with the history, a
+    key that a third of all rows ask for is a join key (which AQE splits) and nowhere a window of its rows."""
+    day = lambda c: F.date_trunc("day", F.col(c)).cast("date")
+    rows = asked.withColumn("_day", day(at))
+    known = known.filter(F.col(key).isNotNull() & F.col(since).isNotNull()).select(key, F.col(since).alias("_from"), F.col(value).alias("_v"))
+    known = known.groupBy(key, "_from").agg(F.max("_v").alias("_v")).withColumn("_day", day("_from"))
+    days = rows.filter(F.col(key).isNotNull() & F.col("_day").isNotNull()).select(key, "_day").distinct()
+    last = known.groupBy(key, "_day").agg(F.max(F.struct("_from", "_v")).alias("_last"))
+    both = last.withColumn("_is", F.lit(False)).unionByName(days.withColumn("_is", F.lit(True)), allowMissingColumns=True) \
+        .groupBy(key, "_day").agg(F.max("_last").alias("_last"), F.max("_is").alias("_is"))
+    before = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = both.withColumn("_c", F.last("_last", ignorenulls=True).over(before)).filter("_is AND _c IS NOT NULL") \
+        .select(key, "_day", F.col("_c._from").alias("_from"), F.col("_c._v").alias("_v"))
+    inside = known.join(days, [key, "_day"], "left_semi").select(key, "_day", "_from", "_v")
+    slices = carried.unionByName(inside)
+    ends = F.lead("_from").over(Window.partitionBy(key, "_day").orderBy("_from"))
+    valid = slices.withColumn("_until", ends).withColumnsRenamed({key: "_k", "_day": "_d"})
+    meets = (F.col(key) == F.col("_k")) & (F.col("_day") == F.col("_d")) & (F.col(at) >= F.col("_from")) \
+        & (F.col("_until").isNull() | (F.col(at) < F.col("_until")))
+    return rows.join(valid, meets, "left").select(*asked.columns, F.col("_v").alias(value))
+
+
 def spread_null_key(key, salt) -> Column:
     """Join key for an outer join whose NULL keys never match: NULLs get a unique, never-matching
     value so they hash over all partitions instead of one. ``salt`` must be unique-ish per row."""

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.text import add_months_ts, md5_key, rx, to_utc
 from ..operators.relational import first_per_key, left_join_nullable, least_chain
+from ..session import write_table
 
 NTZ = "timestamp_ntz"
 
@@ -31,14 +32,18 @@ def see_stage(sessions: DataFrame) -> DataFrame:
     """First visit per visitor, kept when the visitor is anonymous or is the user's first.
 
     ``anonymous_step = 1`` and ``user_step = 1`` (W4–W6) are both "first row per key" and are
-    computed as aggregations; the visit must be first in both rankings (same row)."""
+    computed as aggregations, both from one aggregation of the sessions to the first of every (visitor, client); the
+    visit must be first in both rankings (same row)."""
     s = sessions.filter(F.col("anonymous_id").isNotNull()).select(
         "anonymous_id", "session_id", F.col("first_user_by_anonymous").alias("korys_client_id"),
         "attribution_id", "session_start_time")
     # the ad fan-out repeats a session with several attribution keys: they break the remaining ties
-    by_visitor = first_per_key(s, ["anonymous_id"], ["session_start_time", "session_id", "attribution_id"],
+    order = ["session_start_time", "session_id", "attribution_id"]
+    # both rankings begin with the first session of every (visitor, client): the sessions are read once
+    firsts = write_table(first_per_key(s, ["anonymous_id", "korys_client_id"], order, order), "lead-firsts")
+    by_visitor = first_per_key(firsts, ["anonymous_id"], [*order, "korys_client_id"],
                                ["session_id", "korys_client_id", "attribution_id", "session_start_time"])
-    by_user = (first_per_key(s.filter(F.col("korys_client_id").isNotNull()), ["korys_client_id"],
+    by_user = (first_per_key(firsts.filter(F.col("korys_client_id").isNotNull()), ["korys_client_id"],
                              ["session_start_time", "anonymous_id", "session_id", "attribution_id"],
                              ["anonymous_id", "session_id", "attribution_id"])
                .toDF("u_client", "u_anonymous_id", "u_session_id", "u_attribution_id"))
@@ -96,7 +101,7 @@ def client_touches(sales: DataFrame, resources: DataFrame, teams: DataFrame) ->
 def lead_stages(sessions: DataFrame, clients: DataFrame, orders: DataFrame, forms: DataFrame, sales: DataFrame,
                 resources: DataFrame, teams: DataFrame) -> DataFrame:
     """Stage entry times before the back-fill (D11–D13): one row per lead."""
-    see = see_stage(sessions)
+    see = write_table(see_stage(sessions), "lead-see")
     contacts = clients.filter(F.col("korys_contact_created_date").isNotNull()).select(
         "korys_client_id", to_utc("korys_contact_created_date").alias("contact_at"))
 
@@ -106,12 +111,12 @@ def lead_stages(sessions: DataFrame, clients: DataFrame, orders: DataFrame, form
                                   "korys_client_id", "c_client", salt="anonymous_id")
     see_side = see_side.join(visitor_touches(orders, forms), "anonymous_id", "left")
     seen = see.select("korys_client_id").filter(F.col("korys_client_id").isNotNull())
-    only_contacts = contacts.filter(F.col("korys_client_id").isNotNull()).join(seen, "korys_client_id", "left_anti") \
-        .unionByName(contacts.filter(F.col("korys_client_id").isNull()))
-    leads = see_side.withColumn("_salt", F.col("anonymous_id")).unionByName(
-        only_contacts.withColumn("_salt", F.col("contact_at").cast("string")), allowMissingColumns=True)
+    only_contacts = contacts.filter(F.col("korys_client_id").isNotNull()).join(seen, "korys_client_id", "left_anti")
+    leads = see_side.withColumn("_salt", F.col("anonymous_id")).unionByName(only_contacts, allowMissingColumns=True)
     leads = left_join_nullable(leads, client_touches(sales, resources, teams).withColumnRenamed("korys_client_id", "t_client"),
                                "korys_client_id", "t_client", salt="_salt")
+    # contacts without a key meet nothing: they are added behind the join, so that however many there are they are never shuffled
+    leads = leads.unionByName(contacts.filter(F.col("korys_client_id").isNull()), allowMissingColumns=True)
 
     think = F.least("contact_at", "order_page_at", "think_form_at")
     do = F.least(F.col("new_sale").cast(NTZ), F.col("order_try_at"), F.col("do_form_at"))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.text import to_utc
 from ..operators.embedded_json import embedded_payload
 from ..operators.html import card_rows, page_facts, read_pages
+from ..operators.relational import as_of
 from ..session import write_table
 from ..sources.pages import catalog_ok, ingest_status, page_ok
 
@@ -50,32 +51,30 @@ def distinct_price_keys(cards: DataFrame) -> DataFrame:
     return cards.select(k).filter(F.col("product_key").isNotNull() & (F.col("product_key") != "")).distinct()
 
 
-def latest_price() -> Column:
-    """Of a key's prices the latest; of equal times the greatest text."""
-    return F.max(F.struct("priced_at", "prices"))["prices"].alias("prices")
+def prices_at(asked: DataFrame, prices: DataFrame, at: str) -> DataFrame:
+    """``asked`` (product_key, the time column ``at``, any others) with ``prices``: the key's latest price at that time."""
+    return as_of(asked, prices.select("product_key", "prices", to_utc("priced_at").alias("priced_at")), "product_key", at, "priced_at", "prices")
 
 
-def attach_prices(cards: DataFrame, prices: DataFrame) -> DataFrame:
-    """One price table joined in two roles; a key without a price gives NULL, of several prices the latest counts.
+def attach_prices(cards: DataFrame, prices: DataFrame, at: str) -> DataFrame:
+    """One price table joined in two roles, as known at the cards' time ``at``; a key without a price gives NULL.
 
-    Prices are first reduced to the keys the cards use, so both joins see a table no larger than the
-    distinct key set."""
-    keys = distinct_price_keys(cards)
-    p = prices.join(keys, "product_key", "left_semi").groupBy("product_key").agg(latest_price())
-    monthly = p.select(F.col("product_key").alias("monthly_key"), F.col("prices").alias("monthly_prices"))
-    hourly = p.select(F.col("product_key").alias("hourly_key"), F.col("prices").alias("hourly_prices"))
-    return cards.join(monthly, "monthly_key", "left").join(hourly, "hourly_key", "left")
+    Prices are looked up once for each distinct (key, time) of the cards, so both joins see a table no larger than that."""
+    asked = cards.select(F.explode(F.array("monthly_key", "hourly_key")).alias("product_key"), F.col(at).alias("at")) \
+        .filter("product_key <> '' AND at IS NOT NULL").distinct()
+    p = prices_at(asked, prices, "at")
+    role = lambda key, out: p.select(F.col("product_key").alias(key), F.col("at").alias(at), F.col("prices").alias(out))
+    return cards.join(role("monthly_key", "monthly_prices"), ["monthly_key", at], "left") \
+        .join(role("hourly_key", "hourly_prices"), ["hourly_key", at], "left")
 
 
 def price_maps(pages: DataFrame, prices: DataFrame) -> DataFrame:
     """(rid, prices): for every page the latest price of each key of its cards, as known when it was fetched.
 
-    The map is bounded by the page's cards; a key that many stored pages share is split by AQE's skew join."""
+    The map is bounded by the page's cards."""
     keys = F.array_distinct(F.flatten(F.transform("cards", lambda c: F.array(c["monthly_key"], c["hourly_key"]))))
     asked = pages.select("rid", to_utc("fetched_at").alias("at"), F.explode(keys).alias("product_key")).filter("product_key <> ''")
-    known = prices.select("product_key", "prices", to_utc("priced_at").alias("priced_at"))
-    one = asked.join(known, "product_key").filter(F.col("priced_at") <= F.col("at")) \
-        .groupBy("rid", "product_key").agg(latest_price())
+    one = prices_at(asked, prices, "at").filter(F.col("prices").isNotNull())
     return one.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("product_key", "prices"))).alias("prices"))
 
 

@@ -22,6 +22,7 @@ from ..functions import rules as R
 from ..functions.text import md5_key, rx, url_host_path
 from ..operators.relational import (anti_join, first_per_key, left_join_nullable, order_struct,
                                     row_number_skew_safe, spread_null_key)
+from ..session import write_table
 
 LANDING = [("anonymous_id", "anonymous_id"), ("user_id", "user_id"), ("campaign_name", "campaign"),
            ("campaign_source", "source"), ("campaign_medium", "medium"), ("campaign_content", "content"),
@@ -120,10 +121,10 @@ def visitor_dimension(identifies: DataFrame, internal: DataFrame, tiebreak: Sequ
 def tag_sessions(sessions: DataFrame, identifies: DataFrame, clients: DataFrame,
                  tiebreak: Sequence[str] = ()) -> DataFrame:
     """Sessions with their visit number (W4), first users, internal flag, device and channel. The number needs the
-    sessions alone, so it is counted before the joins: no wide frame is built twice."""
+    sessions alone, so it is counted before the joins. ``sessions`` is read several times: write it first."""
     visitors = visitor_dimension(identifies, internal_visitors(sessions, clients), tiebreak)
     by_session = first_identity(identifies, "session_id", "first_user_by_session", tiebreak)
-    s = row_number_skew_safe(sessions, ["anonymous_id"], ["session_start_time", "session_id"], "session_by_anonymous")
+    s = row_number_skew_safe(sessions, ["anonymous_id"], ["session_start_time", "session_id"], "session_by_anonymous", written=True)
     s = s.join(by_session, "session_id", "left")
     s = left_join_nullable(s, visitors, "anonymous_id", "anonymous_id", salt="session_id")
     return (s.withColumn("is_cherry", F.coalesce(F.col("is_cherry"), F.lit(False)))
@@ -143,8 +144,9 @@ def attribution_id(ad_group_id="ad_group_id", keyword="keyword") -> F.Column:
 
 def session_model(pageviews: DataFrame, interactions: DataFrame, identifies: DataFrame, gads: DataFrame,
                   clients: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The full sessions model (D9): tagged sessions fanned out by the distinct ad clicks."""
-    sessions = build_sessions(pageviews, interactions, tiebreak)
+    """The full sessions model (D9): tagged sessions fanned out by the distinct ad clicks (J9). The sessions are built and
+    written once; the internal visitors, the slices of the ranking and the ranking itself read that table."""
+    sessions = write_table(build_sessions(pageviews, interactions, tiebreak), "sessions-built")
     tagged = tag_sessions(sessions, identifies, clients, tiebreak)
     ads = (gads.select("gclid", "ad_group_id", F.col("keyword_info_text").alias("keyword")).distinct()
            .withColumnRenamed("gclid", "gclid_ad"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..session import write_table
+from ..session import settings, write_table
 
 RAW_COLS = ["provider", "extracted_date", "source_url", "payload", "fetched_at"]
 RAW_KEYS = ["source_url", "extracted_date"]
@@ -100,21 +100,66 @@ def stored_rows(spark, path: str) -> DataFrame | None:
         return None
 
 
+def touched(rows: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The rows of the dates that ``incoming`` has, NULL dates among them, so that the scan prunes the other partitions.
+    The dates come to the driver: at most one for each day."""
+    days = [r[0] for r in incoming.select("extracted_date").distinct().collect()]
+    date = F.col("extracted_date")
+    known = date.isin([d for d in days if d is not None])
+    return rows.filter(known | date.isNull() if None in days else known)
+
+
 def upsert_raw_table(spark, path: str, incoming: DataFrame) -> DataFrame:
-    """Merge ``incoming`` into the raw-response table at ``path``: only the partitions (dates) that
+    """Merge ``incoming`` into the raw-response table at ``path``: only the partitions (dates, NULL is one) that
     ``incoming`` touches are read and rewritten. ``incoming`` is evaluated once, and the merged rows are
     written to the shared folder first, so the job that overwrites the partitions no longer reads them."""
     new = write_table(incoming.select(*RAW_COLS), "upsert-incoming")
     old = stored_rows(spark, path)
-    if old is None:
-        old = new.limit(0)
-    else:
-        old = old.join(new.select("extracted_date").distinct(), "extracted_date", "left_semi").select(*RAW_COLS)
+    old = new.limit(0) if old is None else touched(old, new)
     merged = write_table(upsert_latest(old, new), "upsert-merged")
     write_model(merged, path, partition_by=["extracted_date"])
     return merged
 
 
+def bucketed_raw_table(spark, name: str, path: str, buckets: int) -> None:
+    """Know the raw-response table at ``path`` as ``name``, partitioned by date and bucketed by ``source_url``. The catalog
+    alone holds the number of buckets: every session names the one that the table was made with."""
+    spark.sql(f"""CREATE TABLE IF NOT EXISTS {name} (provider STRING, source_url STRING, payload STRING, fetched_at TIMESTAMP_NTZ, extracted_date DATE)
+        USING parquet PARTITIONED BY (extracted_date) CLUSTERED BY (source_url) INTO {int(buckets)} BUCKETS LOCATION '{path}'""")
+    if stored_rows(spark, path) is not None:
+        spark.catalog.recoverPartitions(name)
+
+
+def merged_by_key(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """``upsert_latest`` where ``stored`` has one row per key and lies in buckets: a full join on the keys, for which the
+    incoming rows alone, reduced to one per key, are shuffled."""
+    new = upsert_latest(incoming.limit(0), incoming)
+    known = F.col("source_url").isNotNull()
+    s, n = stored.filter(known).alias("s"), new.filter(known).alias("n")
+    c = lambda side, name: F.col(f"{side}.{name}")
+    # the buckets serve the plain equality; rows without a url, at most one a date, are merged beside
+    key = (c("s", "source_url") == c("n", "source_url")) & c("s", "extracted_date").eqNullSafe(c("n", "extracted_date"))
+    s, n = s.withColumn("s_is", F.lit(True)).alias("s"), n.withColumn("n_is", F.lit(True)).alias("n")
+    age = lambda side: F.struct(c(side, "fetched_at").isNotNull(), c(side, "fetched_at"))
+    incoming_wins = c("s", "s_is").isNull() | (c("n", "n_is").isNotNull() & (age("n") >= age("s")))
+    pick = lambda name: F.when(incoming_wins, c("n", name)).otherwise(c("s", name)).alias(name)
+    either = lambda name: F.when(c("s", "s_is").isNull(), c("n", name)).otherwise(c("s", name)).alias(name)
+    joined = s.join(n, key, "full").select(either("provider"), either("source_url"), pick("payload"), pick("fetched_at"), either("extracted_date"))
+    return joined.unionByName(upsert_latest(stored.filter(~known), new.filter(~known)))
+
+
+def upsert_bucketed(spark, name: str, incoming: DataFrame) -> None:
+    """Merge ``incoming`` into the bucketed table ``name``: of the stored rows only the touched dates are read, bucket by
+    bucket, and none is shuffled; the joined buckets are written as they are. Spark replaces the touched partitions
+    when all tasks are done, so a lost task reads the old ones again."""
+    new = write_table(incoming.select(*RAW_COLS), "upsert-incoming")
+    merged = merged_by_key(touched(spark.table(name), new), new)
+    with settings(spark, {
+            "spark.sql.requireAllClusterKeysForCoPartition": "false",           # buckets by source_url serve a join on (source_url, date)
+            "spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        merged.write.insertInto(name, overwrite=True)
+
+
 def ingest_status(results: DataFrame, source: str = "provider", ok: str = "ok") -> DataFrame:
     """success/failure counts per source; a source fails only if every fetch failed."""
     return (results.groupBy(source)
