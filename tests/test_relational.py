@@ -133,3 +133,20 @@ def test_or_keys_join_matches_nested_loop_and_is_equi(spark):
     assert sorted(out, key=str) == sorted(brute, key=str)
     plan = left_join_or_keys(plans, dim, "location", ["iso", "country"])._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_partners_filter_the_sessions_by_a_bloom_filter(spark):
+    """Where the partners are not broadcast, the sessions are filtered before their shuffle."""
+    from tidewater.functions.rules import INTERNAL_REFERRER
+    from tidewater.plans.sessions import internal_visitors
+    from tidewater.session import settings, write_table
+    sessions = write_table(spark.range(20_000).selectExpr("concat('v', id % 700) AS anonymous_id", "IF(id % 3 = 0, NULL, concat('u', id % 900)) AS user_id",
+                                                          f"IF(id % 997 = 0, '{INTERNAL_REFERRER}', 'x.com') AS referrer_domain"), "bloom-sessions")
+    clients = write_table(spark.range(300).selectExpr("concat('u', id) AS korys_client_id", "id % 50 = 0 AS is_company_partner"), "bloom-clients")
+    out = internal_visitors(sessions, clients)
+    want = {r[0] for r in out.collect()}
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                          "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}):
+        out = internal_visitors(sessions, clients)
+        assert "might_contain" in out._jdf.queryExecution().optimizedPlan().toString()
+        assert {r[0] for r in out.collect()} == want and len(want) > 5

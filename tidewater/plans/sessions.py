@@ -98,13 +98,14 @@ def first_identity(identifies: DataFrame, key: str, out: str, tiebreak: Sequence
 def internal_visitors(sessions: DataFrame, clients: DataFrame) -> DataFrame:
     """Visitors with a session from the internal host or by a partner client.
 
-    One pass over the sessions, reduced to (visitor, user); users that are NULL never meet a key."""
+    Partners are met by a semi-join on (visitor, user) rows: where they are few it is a broadcast, where they are too many
+    for one Spark filters the sessions by a Bloom filter of the partners' keys before they are shuffled. NULL users take no part."""
     partners = (clients.filter(F.col("is_company_partner").eqNullSafe(True) & F.col("korys_client_id").isNotNull())
-                .select(F.col("korys_client_id").alias("p_user")).distinct().withColumn("_partner", F.lit(True)))
-    seen = (sessions.filter(F.col("anonymous_id").isNotNull()).groupBy("anonymous_id", "user_id")
-            .agg(F.max(rx("referrer_domain", R.INTERNAL_REFERRER)).alias("_host")))
-    both = left_join_nullable(seen, partners, "user_id", "p_user", salt="anonymous_id")
-    return both.filter(F.coalesce("_host", F.lit(False)) | F.coalesce("_partner", F.lit(False))).select("anonymous_id").distinct()
+                .select(F.col("korys_client_id").alias("user_id")))
+    known = sessions.filter(F.col("anonymous_id").isNotNull())
+    host = known.filter(rx("referrer_domain", R.INTERNAL_REFERRER)).select("anonymous_id")
+    by_partner = known.filter(F.col("user_id").isNotNull()).select("anonymous_id", "user_id").join(partners, "user_id", "left_semi")
+    return host.unionByName(by_partner.select("anonymous_id")).distinct()
 
 
 def visitor_dimension(identifies: DataFrame, internal: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:

@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # semi and inner joins filter a large side by a Bloom filter of a small side's keys before its shuffle
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
     # reliable checkpoints of the exact ranking are removed once their DataFrames are collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -74,8 +77,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def tables_dir(spark: SparkSession) -> str:
-    """Where this application's intermediate tables lie."""
-    return os.path.join(checkpoint_dir(spark), "tables", spark.sparkContext.applicationId)
+    """Where this application's intermediate tables lie; the folder is removed when the interpreter ends."""
+    folder = os.path.join(checkpoint_dir(spark), "tables", spark.sparkContext.applicationId)
+    if folder not in _CLEANED:
+        _CLEANED.add(folder)
+        atexit.register(_remove_at_exit, spark, folder)
+    return folder
 
 
 _SCRATCH: list[list[str]] = []
@@ -90,9 +97,6 @@ def write_table(df, name: str):
     earlier), those written inside ``with scratch(spark):`` when the block ends."""
     spark = df.sparkSession
     path = os.path.join(tables_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    if tables_dir(spark) not in _CLEANED:
-        _CLEANED.add(tables_dir(spark))
-        atexit.register(_remove_at_exit, spark, tables_dir(spark))
     if _SCRATCH:
         _SCRATCH[-1].append(path)
     df.write.mode("overwrite").parquet(path)
