@@ -104,3 +104,31 @@ def test_blocks_do_not_change_the_model(spark, monkeypatch):
     assert len(quality.blocks(quality.training_rows(*args))) > 10
     parts = quality.train(quality.training_rows(*args))
     assert np.allclose(whole["weights"], parts["weights"], atol=1e-4) and parts["slope"] == pytest.approx(whole["slope"], rel=1e-3)
+
+
+def test_a_rare_class_is_seen(spark, monkeypatch):
+    """Of 900 labels 6 are low and the 50 of least hash hold none: the classifier still learns them, at their share."""
+    monkeypatch.setattr(quality, "SAMPLE", 50)
+    monkeypatch.setattr(quality, "LEAST_OF_A_CLASS", 40)
+    ids = spark.range(900).select("id", F.xxhash64("id").alias("h")).orderBy("h").collect()
+    low = {r.id for r in ids[-6:]}
+    data = [(i, ("BUY!! NOW!! " * 20 if i in low else "good words here and there " * 9) + str(i), "en", "s", 1) for i in range(900)]
+    labels = spark.createDataFrame([(i, int(i not in low), 0) for i in range(900)] + [(9999, 0, 0)], LABEL)
+    rows = quality.training_rows(spark.createDataFrame(data, DOC), labels, "doc_id", "text", "doc_id", "quality")
+    assert sum(r.y == 0 for r in rows) == 6 and 50 <= len(rows) <= 130 and {(r.y, r["of"]) for r in rows} == {(0, 6), (1, 894)}
+    got = judge_quality(spark.createDataFrame(data, DOC), labels).collect()
+    p = {r.doc_id: r.p_low for r in got}
+    assert min(p[i] for i in low) > max(p[i] for i in range(900) if i not in low)
+
+
+def test_characters_not_bytes():
+    """Runs of four characters of any script; equal characters have equal values."""
+    texts = ["aéa", "日本語日本語", "🙂🙂", "", "abcd"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    off = np.cumsum([0] + [len(t.encode()) for t in texts])
+    v, at = quality.characters(data, off)
+    assert np.diff(at).tolist() == [len(t) for t in texts]
+    chars = "".join(texts)
+    assert all((v[i] == v[j]) == (chars[i] == chars[j]) for i in range(len(chars)) for j in range(len(chars)))
+    broken = np.array([0x80, 0x80, 0x61, 0xFF], np.uint8)
+    assert np.diff(quality.characters(broken, np.array([0, 2, 4]))[1]).tolist() == [1, 2]

@@ -12,7 +12,7 @@ from tidewater.llm.mixing import mix
 from tidewater.llm.sharding import shard
 from tidewater.llm.token_counts import count_tokens
 from tidewater.llm.topk import top_inner_products
-from tidewater.llm.url_filter import host_reputation, judge_urls, registered_domain
+from tidewater.llm.url_filter import default_suffixes, host_reputation, judge_urls, named_hosts, read_suffixes
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = [(0, None, None, None, None), (1, "", "en", "a", 0), (2, " \n\t ", "en", "a", 4), (3, "x" * 200_000, "en", "b", 1),
@@ -209,6 +209,66 @@ def test_reputation_shrinks(spark):
     assert all(r.lower <= r.mean for r in got.values())
 
 
-def test_registered_domain(spark):
-    df = spark.createDataFrame([("a.b.co.uk",), ("co.uk",), ("x.y.example.org",), ("localhost",)], "h string")
-    assert [r[0] for r in df.select(registered_domain(F.col("h"))).collect()] == ["b.co.uk", "co.uk", "example.org", "localhost"]
+def test_named_hosts(spark, tmp_path):
+    hosts = ["a.b.co.uk", "co.uk", "x.y.example.org", "localhost", "shop.example.co.il", "example.com:8080", "me:pw@www.example.com", "1.2.3.4",
+             "1.2.3.4:80", "[::1]:80", "a.b.c.ck", "x.www.ck", "www.ck", "ck", "a..com", "com."]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").withColumn("__labels", F.lit(1)).drop("__labels")
+    names = lambda rules: {r.host: (r.domain, r.suffix) for r in named_hosts(df, rules).collect()}
+    got = names(default_suffixes(spark))
+    assert [got[h] for h in hosts[:4]] == [("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("example.org", "org"), ("localhost", "localhost")]
+    assert got["example.com:8080"] == got["me:pw@www.example.com"] == ("example.com", "com")
+    assert got["1.2.3.4"] == got["1.2.3.4:80"] == ("1.2.3.4", "1.2.3.4") and got["[::1]:80"] == ("[::1]", "[::1]")
+    (tmp_path / "list.dat").write_text("// comment\n\nco.il  and more\n*.ck\n!www.ck\ncom\n")
+    got = names(read_suffixes(spark, str(tmp_path / "list.dat")))
+    assert got["shop.example.co.il"] == ("example.co.il", "co.il") and got["a.b.c.ck"] == ("b.c.ck", "c.ck")
+    assert got["x.www.ck"] == got["www.ck"] == ("www.ck", "ck") and got["ck"] == ("ck", "ck") and got["a.b.co.uk"] == ("co.uk", "uk")
+
+
+def test_urls_of_odd_tables(spark):
+    """Empty tables, repeated pages, very long urls, labels without a value."""
+    none = spark.createDataFrame([], "page_id long, bad int")
+    assert judge_urls(spark.createDataFrame([], "page_id long, url string"), none).count() == 0
+    long = "http://" + "a" * 100_000 + ".com/" + "b" * 100_000
+    rows = [(1, long), (1, long), (None, "http://x.com/"), (2, "http://u@x.com:80/"), (3, None)]
+    got = judge_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame([(2, None), (None, 1)], "page_id long, bad int"))
+    assert Counter((r.page_id, len(r.host), len(r.path), r.verdict) for r in got.collect()) == Counter(
+        {(1, 100_004, 100_001, "allow"): 2, (None, 5, 1, "allow"): 1, (2, 10, 1, "allow"): 1, (3, 0, 0, "allow"): 1})
+
+def tilted_rate(sizes, tilts, target, cap):
+    """min(cap, exp(x * tilt)) with tokens that add up to the target, by halving."""
+    lo, hi = -60.0, 60.0
+    for _ in range(200):
+        x = (lo + hi) / 2
+        if sum(n * min(cap, np.exp(x * t)) for n, t in zip(sizes, tilts, strict=True)) < target:
+            lo = x
+        else:
+            hi = x
+    return [min(cap, np.exp(hi * t)) for t in tilts]
+
+
+def test_mix_with_tilts(spark):
+    """Rates of documents that move differently: they meet the targets, and copies follow the running sums of rates."""
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join(["w"] * int(rng.integers(0, 40))), "abbbb"[i % 5], float(rng.choice([0.25, 0.5, 1.0, 2.0, 3.7]))) for i in range(600)]
+    rows += [(7, "w w w", "a", 0.5)] * 5 + [(8, "w w", "b", None), (9, "w", "b", -1.0), (10, "w", "b", float("nan")), (11, "w w", "b", float("inf"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, tilt double")
+    got = mix(df, weights=(1, 2), tilt="tilt").collect()
+    assert len(got) == len(rows)
+    size = lambda t: len(t.split())
+    totals = {s: sum(size(r[1]) for r in rows if r[2] == s) for s in "ab"}
+    for s in "ab":
+        mine = [r for r in rows if r[2] == s]
+        tilts = [t if t is not None and 0 < t < float("inf") else 1.0 for *_, t in mine]
+        out = [r for r in got if r.source == s]
+        target = out[0].target
+        want = tilted_rate([size(r[1]) for r in mine], tilts, target, 2.0)
+        assert sorted((r.doc_id, r.size, round(r.rate, 6)) for r in out) == sorted((r[0], size(r[1]), round(float(x), 6)) for r, x in zip(mine, want, strict=True))
+        assert all(r.copies in (int(r.rate), int(r.rate) + 1) and r.taken == r.copies * r.size for r in out)
+        assert abs(sum(r.taken for r in out) - target) <= max(3, 0.004 * target) and target <= 2 * totals[s]
+
+
+def test_unreached_targets_are_an_error(spark, monkeypatch):
+    from tidewater.llm import mixing
+    monkeypatch.setattr(mixing, "MAX_ITERATIONS", 1)
+    with pytest.raises(RuntimeError, match="misses its target"):
+        mix(spark.createDataFrame(many(40), DOC))

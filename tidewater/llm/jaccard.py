@@ -1,7 +1,8 @@
 """N-gram Jaccard join by T-occurrence search.
 
 Two texts link when the Jaccard similarity of their sets of 5-word shingles is at least ``percent``
-/ 100. All links that matter for the components are found; copies are never expanded into pairs.
+/ 100. The links that are found are those that make the components: of a group of near copies, whose links are
+as many as the square of its texts, enough to join it. Copies are never expanded into pairs.
 
 1. Equal texts are one class, reduced in every Arrow batch before the shuffle. Classes are dealt by
    hash into groups of a few MB; everything below is on classes.
@@ -17,7 +18,8 @@ Two texts link when the Jaccard similarity of their sets of 5-word shingles is a
 4. Pairs meet their shingle sets in shards (a centre's pairs over several) and are decided exactly by
    T-occurrence search over the centre's shingles: the inverted lists of its candidates are cut by
    DivideSkip into long ones and short ones, the short lists are merged and counted, and only candidates that
-   reach T less the number of long lists are probed in those by binary search.
+   reach T less the number of long lists are probed in those by binary search. (The lists of step 3 give the candidates:
+   lists of whole sets in one place would shuffle every set once for each of its shingles.)
 
 A link's text may be any of its class; component ids are the least document id of all classes joined.
 
@@ -133,12 +135,12 @@ def count_in_group(t: pa.Table, n_buckets: int) -> pa.Table:
     k, c = np.unique(bucketed(h, n_buckets), return_counts=True)
     to = (k >> U(32)).astype(np.int64)
     return rows_of(COUNTED, [(int(to[a]), t.column(0)[0].as_py(), (k[a:b] & LOW).astype("<u4").tobytes(),
-                              b"" if c[a:b].max() == 1 else np.minimum(c[a:b], 65535).astype("<u2").tobytes()) for a, b in ranges(to)])
+                              b"" if c[a:b].max() == 1 else c[a:b].astype("<u4").tobytes()) for a, b in ranges(to)])
 
 
 def count_in_bucket(t: pa.Table) -> pa.Table:
     lows = [np.frombuffer(x, "<u4") for x in t.column("lows").to_pylist()]
-    counts = [np.frombuffer(x, "<u2") if x else np.ones(len(low), "<u2") for x, low in
+    counts = [np.frombuffer(x, "<u4") if x else np.ones(len(low), "<u4") for x, low in
               zip(t.column("counts").to_pylist(), lows, strict=True)]
     g, low = np.repeat(np.array(t.column("g").to_pylist(), np.int64), [len(x) for x in lows]), np.concatenate(lows)
     n, bucket = np.concatenate(counts).astype(np.int64), t.column("to")[0].as_py()
@@ -149,7 +151,7 @@ def count_in_bucket(t: pa.Table) -> pa.Table:
     df[order] = np.repeat(total, np.diff(np.r_[cut, len(low)]))
     keep = np.flatnonzero(df > 1)
     keep = keep[np.lexsort((low[keep], g[keep]))]
-    return rows_of(FREQUENT, [(int(g[keep[a]]), bucket, low[keep[a:b]].tobytes(), np.minimum(df[keep[a:b]], 65535).astype("<u2").tobytes())
+    return rows_of(FREQUENT, [(int(g[keep[a]]), bucket, low[keep[a:b]].tobytes(), df[keep[a:b]].astype("<i8").tobytes())
                               for a, b in ranges(g[keep])])
 
 
@@ -160,7 +162,7 @@ def ordered_sets(t: pa.Table, back: pa.Table, n_buckets: int, percent: int) -> p
     keys, h, off = group_sets(t)
     known = sorted(zip(back.column("bucket").to_pylist(), back.column("lows").to_pylist(), back.column("counts").to_pylist(), strict=True))
     table = np.concatenate([np.zeros(0, U)] + [np.frombuffer(x, "<u4").astype(U) | U(b << 32) for b, x, _ in known])
-    often = np.concatenate([np.zeros(0, np.int64)] + [np.frombuffer(c, "<u2").astype(np.int64) for _, _, c in known])
+    often = np.concatenate([np.zeros(0, np.int64)] + [np.frombuffer(c, "<i8") for _, _, c in known])
     df = np.ones(len(h), np.int64)
     if len(table):
         k = bucketed(h, n_buckets)
@@ -250,20 +252,22 @@ def occurrence_search(centre: np.ndarray, sets: list[np.ndarray], percent: int)
     lists = np.argsort(at[ok], kind="stable")       # inverted lists, ordered by shingle and text
     which, who = at[ok][lists], text[ok][lists]
     length = np.bincount(which, minlength=len(centre))
-    begin = np.cumsum(length) - length
-    # DivideSkip: so many of the longest lists are only probed
-    n_long = min(int(t.min() / (MU * np.log2(max(2, length.max(initial=1))) + 1)), int(t.min()) - 1, len(centre))
-    n_long = max(0, n_long) if m > 8 else 0         # few candidates: merging all lists is cheaper
+    # DivideSkip: so many of the longest lists are only probed, for texts that the short ones bring within reach
+    n_long = max(0, min(int(t.min() / (MU * np.log2(max(2, length.max(initial=1))) + 1)), int(t.min()) - 1, len(centre)))
     long = np.argsort(-length, kind="stable")[:n_long]
     is_long = np.zeros(len(centre), bool)
     is_long[long] = True
-    count = np.bincount(who[~is_long[which]], minlength=m)          # the short lists, merged
-    near = np.flatnonzero(count >= t - n_long)
-    for i in long.tolist():
-        one = who[begin[i]:begin[i] + length[i]]
-        if len(one):
-            j = np.minimum(np.searchsorted(one, near), len(one) - 1)
-            count[near] += one[j] == near
+    merged = np.sort(who[~is_long[which]], kind="stable")           # ascending runs: a merge of the short lists
+    first = np.flatnonzero(np.r_[True, merged[1:] != merged[:-1]]) if len(merged) else np.zeros(0, np.int64)
+    count = np.zeros(m, np.int64)
+    count[merged[first]] = np.diff(np.r_[first, len(merged)])
+    near = merged[first]
+    near = near[count[near] >= t[near] - n_long]
+    if len(near) and n_long:
+        place = which * m + who                                     # ascending: a list is a range of it, probed by halving
+        probes = long[:, None] * m + near[None, :]
+        found = np.minimum(np.searchsorted(place, probes), len(place) - 1)
+        count[near] += (place[found] == probes).sum(0)
     out = np.zeros(m, np.int64)
     out[near] = np.where(count[near] >= t[near], count[near], 0)
     return out

@@ -75,12 +75,13 @@ class WordTable:
     """Ids of words. A word is found by its hash among the sorted ones and compared by its bytes; of two words of one hash
     only the first is held."""
 
-    def __init__(self):
+    def __init__(self, narrow: bool = False):
         self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        self.bytes, self.ids = Growing(np.uint8), Growing(np.uint32)
-        self.upto, self.ids_upto = Growing(np.int64), Growing(np.int64)
-        self.upto.add(np.zeros(1, np.int64))
-        self.ids_upto.add(np.zeros(1, np.int64))
+        self.bytes, self.ids = Growing(np.uint8), Growing(np.uint16 if narrow else np.uint32)
+        # a table holds some millions of words and ids at most
+        self.upto, self.ids_upto = Growing(np.int32), Growing(np.int32)
+        self.upto.add(np.zeros(1, np.int32))
+        self.ids_upto.add(np.zeros(1, np.int32))
 
     def __len__(self) -> int:
         return len(self.keys)
@@ -93,7 +94,7 @@ class WordTable:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         hit = np.flatnonzero(self.keys[at] == keys)
         e = self.entry[at[hit]].astype(np.int64)
-        held = self.upto.held[e]
+        held = self.upto.held[e].astype(np.int64)
         same = self.upto.held[e + 1] - held == size[hit]
         hit, e, held = hit[same], e[same], held[same]
         if len(hit):
@@ -106,9 +107,9 @@ class WordTable:
 
     def of(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the entries one after the other, and the number of each."""
-        first = self.ids_upto.held[entry]
+        first = self.ids_upto.held[entry].astype(np.int64)
         n = self.ids_upto.held[entry + 1] - first
-        return self.ids.held[spans(first, n)], n
+        return self.ids.held[spans(first, n)].astype(np.uint32), n
 
     def add(self, keys: np.ndarray, body: np.ndarray, begin: np.ndarray, size: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
         keys, new = np.unique(keys, return_index=True)
@@ -147,7 +148,8 @@ class WordTokenizer:
         if closing:
             self.closes[closing] = True
         self.marks, self.mark_sizes = self.ids_of([chr(c) for c in CLOSING])
-        self.table, self.old = WordTable(), WordTable()
+        self.narrow = max(self.model.get_vocab().values()) < 1 << 16
+        self.table, self.old = WordTable(self.narrow), WordTable(self.narrow)
 
     def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and the number of each."""
@@ -187,7 +189,7 @@ class WordTokenizer:
         begin, size = off[:-1], np.diff(off)
         keys = word_values(body, begin, off[1:])
         if len(self.table) > WORD_CACHE:
-            self.table, self.old = WordTable(), self.table
+            self.table, self.old = WordTable(self.narrow), self.table
         now = self.table.find(keys, body, begin, size)
         n, parts = np.zeros(len(keys), np.int64), []
 

@@ -1,16 +1,17 @@
 """Quality rules: word and line statistics, then a hashed n-gram classifier.
 
 The classifier is a logistic regression over hashed features: words, pairs of words and runs of four
-bytes, each kind as its mean over the text, so that a text's length has no weight. It is trained on a
-bounded sample of labelled rows (``SAMPLE``, those of least id hash), whose features are made by the
-executors; the last ``HELD_OUT`` share of them calibrates its score to a probability (Platt). Texts are
+characters (code points), each kind as its mean over the text, so that a text's length has no weight. It is trained on a
+bounded sample of labelled rows, whose features are made by the executors: the ``SAMPLE`` of least id hash and, so that a rare
+class is seen, the ``LEAST_OF_A_CLASS`` of least id hash of each class; a row weighs what brings its class back to its share
+of all labels. The last ``HELD_OUT`` share of each class calibrates the score to a probability (Platt). Texts are
 scored in Arrow batches; a text is rejected where the probability of low quality reaches
 ``REJECT_FROM``. Statistics and scores cover every whole text.
 
 Words and lines are compared by 64-bit hashes.
 
-Defined results: a null or empty text has no words and fails the base rules; an unlabelled table, or one
-whose sample has one class only, rejects nothing beyond the base rules; a document labelled more than
+Defined results: a null or empty text has no words and fails the base rules; an unlabelled table, or one with fewer than two
+labelled documents of a class, rejects nothing beyond the base rules; a document labelled more than
 once counts with its lowest label; rows are judged each on its own; an empty table gives no rows.
 """
 
@@ -26,6 +27,8 @@ from .common import IS_SPACE, materialise, new_stage, pieces, ready, utf8_buffer
 
 #: Labelled rows that the classifier sees at most, and the share of them kept for calibration.
 SAMPLE, HELD_OUT = 4000, 0.25
+#: Labelled rows of each class that are taken at least, where there are as many.
+LEAST_OF_A_CLASS = 500
 #: Features that one step of the training on the driver holds in wide numbers.
 BLOCK = 1 << 20
 #: A text is rejected from this probability of low quality on.
@@ -92,16 +95,29 @@ def features(data: np.ndarray, off: np.ndarray, word_off, words) -> list[tuple[n
     out = [((words & mask).astype(np.int64), word_off)]
     pair = ((mixed(words[:-1] * STEP_FACTORS[4] + words[1:]) & mask).astype(np.int64) + (1 << BITS)) if len(words) > 1 else np.zeros(0, np.int64)
     out.append(without_crossing(pair, word_off, 2))
-    v = BYTE_VALUE[data]
+    v, char_off = characters(data, off)
     if len(v) >= 4:
         two = v[:-1] * STEP_FACTORS[5] + v[1:]
         four = (mixed(two[:-2] * STEP_FACTORS[6] + two[2:]) & mask).astype(np.int64) + (2 << BITS)
     else:
         four = np.zeros(0, np.int64)
-    out.append(without_crossing(four, off, 4))
+    out.append(without_crossing(four, char_off, 4))
     return out
 
 
+def characters(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A value for every character (its bytes as a number, hashed), and the n+1 character offsets by text."""
+    begin = (data & 0xC0) != 0x80
+    begin[off[:-1][off[:-1] < len(data)]] = True        # a text begins with a character whatever its bytes
+    starts = np.flatnonzero(begin)
+    wide = BYTE_VALUE[data[starts]]
+    size = np.diff(starts, append=len(data))
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        wide[more] = wide[more] * STEP_FACTORS[7] + BYTE_VALUE[data[starts[more] + k]]
+    return wide, np.searchsorted(starts, off)
+
+
 def without_crossing(at: np.ndarray, off: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
     size = np.maximum(0, np.diff(off) - span + 1)
     return at[spans(off[:-1], size)], np.concatenate([[0], np.cumsum(size)])
@@ -127,17 +143,21 @@ def analysed(batch_text):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label_id: str, label: str) -> list:
-    """Label and sparse features of the sampled labelled documents; bounded by ``SAMPLE``. The executors write them, the driver
-    reads one partition at a time."""
-    sample = labels.filter(F.col(label).isNotNull() & F.col(label_id).isNotNull()).groupBy(F.col(label_id).alias("id")) \
-        .agg(F.min(label).cast("int").alias("y")).withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(SAMPLE)
+    """Label, size of the label's class (``of``) and sparse features of the sampled labelled documents; bounded by ``SAMPLE`` and two
+    times ``LEAST_OF_A_CLASS``. The executors write them, the driver reads one partition at a time."""
+    known = labels.filter(F.col(label).isNotNull() & F.col(label_id).isNotNull()).groupBy(F.col(label_id).alias("id")) \
+        .agg(F.min(label).cast("int").alias("y")).join(docs.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
+    known = materialise(known.withColumn("y", (F.col("y") != 0).cast("int")).withColumn("h", F.xxhash64("id")), "quality-labels")
+    least = [known.filter(F.col("y") == y).orderBy("h", "id").limit(LEAST_OF_A_CLASS) for y in (0, 1)]
+    sample = known.orderBy("h", "id").limit(SAMPLE).unionByName(least[0]).unionByName(least[1]).distinct()
+    sample = sample.join(F.broadcast(known.groupBy("y").agg(F.count(F.lit(1)).alias("of"))), "y").select("id", "y", "h", "of")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
 
     def made(batches):
         new_stage()
         for b in batches:
-            ys, hs, n = b.column(1), b.column(2), 0
-            for part, o, _, _, word_off, words in analysed(b.column(3)):
+            ys, hs, ofs, n = b.column(1), b.column(2), b.column(3), 0
+            for part, o, _, _, word_off, words in analysed(b.column(4)):
                 kinds = features(part, o, word_off, words)
                 index, value = [], []
                 for d in range(len(o) - 1):
@@ -145,11 +165,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, la
                     index.append(np.concatenate([u for u, _ in uni]).astype(np.int32).tobytes())
                     value.append(np.concatenate([c / max(1, c.sum()) for _, c in uni]).astype(np.float32).tobytes())
                 k = len(o) - 1
-                yield pa.RecordBatch.from_arrays([ys.slice(n, k), hs.slice(n, k), pa.array(index, pa.binary()), pa.array(value, pa.binary())],
-                                                 names=["y", "h", "at", "value"])
+                yield pa.RecordBatch.from_arrays([ys.slice(n, k), hs.slice(n, k), ofs.slice(n, k), pa.array(index, pa.binary()),
+                                                  pa.array(value, pa.binary())], names=["y", "h", "of", "at", "value"])
                 n += k
 
-    rows = materialise(texts.select("id", "y", "h", "text").mapInArrow(made, "y int, h long, at binary, value binary"), "quality-features")
+    rows = materialise(texts.select("id", "y", "h", "of", "text").mapInArrow(made, "y int, h long, of long, at binary, value binary"), "quality-features")
     return sorted(rows.toLocalIterator(), key=lambda r: (r.h, r.y, r.at))
 
 
@@ -177,10 +197,18 @@ def scores(part: list, n: int, w: np.ndarray) -> np.ndarray:
 
 def train(rows: list, rounds: int = 120, ridge: float = 1e-4) -> dict | None:
     """Logistic regression of low quality (label 0) by full-batch adaptive gradients, then Platt calibration on the rows held out."""
-    cut = len(rows) - int(len(rows) * HELD_OUT)
-    low = np.array([r.y == 0 for r in rows], np.float64)
-    if not 0 < low[:cut].sum() < cut or not 0 < low[cut:].sum() < len(rows) - cut:
+    classes = [[i for i, r in enumerate(rows) if (r.y == 0) == is_low] for is_low in (True, False)]
+    if min(map(len, classes)) < 2:
         return None
+    kept = sorted(i for c in classes for i in c[:len(c) - max(1, int(len(c) * HELD_OUT))])
+    cut, chosen = len(kept), set(kept)
+    order = kept + [i for i in range(len(rows)) if i not in chosen]
+    rows[:] = [rows[i] for i in order]
+    low = np.array([r.y == 0 for r in rows], np.float64)
+    # a row weighs the share of its class among all labels over that among the sampled ones
+    of = {y: next(r["of"] for r in rows if (r.y == 0) == y) for y in (True, False)}
+    n = {True: len(classes[0]), False: len(classes[1])}
+    weight = np.array([of[x] / (of[True] + of[False]) * len(rows) / n[x] for x in (low > 0).tolist()])
     held = rows[cut:]
     del rows[cut:]
     train_on, calibrate_on = blocks(rows), blocks(held)
@@ -188,7 +216,7 @@ def train(rows: list, rounds: int = 120, ridge: float = 1e-4) -> dict | None:
     m1, m2, b1, b2 = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, rounds + 1):
         z = scores(train_on, cut, w) + bias
-        gap = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - low[:cut]) / cut
+        gap = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - low[:cut]) * weight[:cut] / weight[:cut].sum()
         g, gb = ridge * w, gap.sum()
         for at, size, col, val in train_on:
             g += np.bincount(col, val * np.repeat(gap[at].astype(np.float32), size), minlength=len(w))
@@ -198,18 +226,19 @@ def train(rows: list, rounds: int = 120, ridge: float = 1e-4) -> dict | None:
         w -= rate * (m1 / fix1) / (np.sqrt(m2 / fix2) + 1e-8)
         bias -= rate * (b1 / fix1) / (np.sqrt(b2 / fix2) + 1e-8)
     z = scores(calibrate_on, len(low) - cut, w) + bias
-    slope, shift = platt(z, low[cut:])
+    slope, shift = platt(z, low[cut:], weight[cut:])
     return {"weights": w.astype(np.float32), "bias": bias, "slope": slope, "shift": shift}
 
 
-def platt(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic that fits the outcomes, by Newton's method on smoothed targets."""
-    pos, neg = y.sum(), len(y) - y.sum()
+def platt(score: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, float]:
+    """Slope and shift of the logistic that fits the weighted outcomes, by Newton's method on smoothed targets."""
+    w = np.ones(len(y)) if weight is None else weight
+    pos, neg = (w * y).sum(), (w * (1 - y)).sum()
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     a, b = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * score + b, -30, 30)))
-        d, h = p - target, np.maximum(p * (1 - p), 1e-9)
+        d, h = w * (p - target), w * np.maximum(p * (1 - p), 1e-9)
         ga, gb = (d * score).sum() + 1e-6 * a, d.sum()
         haa, hab, hbb = (h * score * score).sum() + 1e-6, (h * score).sum(), h.sum() + 1e-6
         det = haa * hbb - hab * hab

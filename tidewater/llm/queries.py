@@ -59,10 +59,10 @@ def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages against the rules and their hosts' reputation. A page's outcome is the label of the
-    document with its id: bad where its quality is 0 or it is toxic."""
+    document with its id: bad where its quality is 0 or it is toxic, none where it says neither."""
+    bad = (F.coalesce(F.col("quality"), F.lit(1)) == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1)
     labels = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("page_id"),
-        ((F.coalesce(F.col("quality"), F.lit(1)) == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1)).cast("int").alias("bad"))
+        F.col("doc_id").alias("page_id"), F.when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), bad.cast("int")).alias("bad"))
     return judge_urls(table(spark, sf_dir, "pages"), labels)
 
 
@@ -175,20 +175,22 @@ OP8_SQL = f"""WITH p AS (
       'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 known AS (
   SELECT doc_id AS page_id, max(CAST(coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1 AS BIGINT)) AS bad
-  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+  FROM labels WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
 hosts AS (
   SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS bad,
-    regexp_extract(host, '([^.]+\\.[^.]+)$', 1) AS two, regexp_extract(host, '([^.]+\\.[^.]+\\.[^.]+)$', 1) AS three
+    regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name, string_split(name, '.') AS l,
+    len(l) - CASE WHEN len(l) > 1 AND array_to_string(l[-2:], '.') IN {_TWO} THEN 2 ELSE 1 END AS cut
   FROM p LEFT JOIN known USING (page_id) WHERE host <> '' GROUP BY host),
 named AS (
-  SELECT host, n, bad, CASE WHEN two IN {_TWO} THEN CASE WHEN three <> '' THEN three ELSE two END WHEN two <> '' THEN two ELSE host END AS domain,
-    CASE WHEN two IN {_TWO} THEN two ELSE regexp_extract(host, '([^.]*)$', 1) END AS suffix FROM hosts),
+  SELECT host, n, bad, CASE WHEN lone THEN name ELSE array_to_string(l[greatest(cut, 1):], '.') END AS domain,
+    CASE WHEN lone THEN name ELSE array_to_string(l[cut + 1:], '.') END AS suffix
+  FROM (SELECT *, regexp_matches(name, '^\\[.*\\]$|^[0-9]+(\\.[0-9]+){{3}}$') AS lone FROM hosts)),
 overall AS (SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n) ELSE 0.0 END AS rate FROM named),
 s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(rate) AS prior FROM named, overall GROUP BY suffix),
 s1 AS (SELECT suffix, (bad + k * prior) / (n + k) AS prior FROM s0, ({_FIT.format(table='s0')})),
-d0 AS (SELECT domain, sum(n) AS n, sum(bad) AS bad, any_value(prior) AS prior FROM named JOIN s1 USING (suffix) GROUP BY domain),
-d1 AS (SELECT domain, (bad + k * prior) / (n + k) AS prior FROM d0, ({_FIT.format(table='d0')})),
-h0 AS (SELECT host, n, bad, prior FROM named JOIN d1 USING (domain)),
+d0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad, any_value(prior) AS prior FROM named JOIN s1 USING (suffix) GROUP BY domain, suffix),
+d1 AS (SELECT domain, suffix, (bad + k * prior) / (n + k) AS prior FROM d0, ({_FIT.format(table='d0')})),
+h0 AS (SELECT host, n, bad, prior FROM named JOIN d1 USING (domain, suffix)),
 h1 AS (SELECT host, (bad + k * prior) / (n + k) AS mean, n + k AS total FROM h0, ({_FIT.format(table='h0')})),
 judged AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (total + 1)) > 0.3 AS blocked FROM h1),
 ruled AS (

@@ -9,7 +9,8 @@ per task. An encoding run that fails appends nothing: Parquet commits whole.
 
 A piece tokenizer whose pieces never hold a word mark behind another character can join nothing
 across a single space. The words of a text between single spaces are then encoded on their own and
-remembered in the Python worker (at most ``WORD_CACHE`` of them); their counts add up to the text's.
+remembered in the Python worker (``WORD_CACHE`` of them, and as many of the generation before, from which words still in
+use move on); their counts add up to the text's.
 The property is read from the model; texts with leading, trailing or repeated spaces or a literal
 word mark, and models without the property, are encoded whole.
 
@@ -28,7 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import tables_dir
 from .common import ready, remembered
 
 #: Most words whose counts a Python worker remembers.
@@ -59,6 +60,7 @@ class PieceCounter:
         self.additive = plain and proto.trainer_spec.byte_fallback and all(
             MARK not in p[1:] or not p.strip(MARK) for p in pieces)
         self.words: dict[str, int] = {}
+        self.old: dict[str, int] = {}
 
     def count(self, texts: list[str]) -> list[int]:
         return [self.count_one(t) for t in texts]
@@ -70,10 +72,13 @@ class PieceCounter:
             return len(self.model.encode(text))
         units = text.split(" ")
         if len(self.words) > WORD_CACHE:
-            self.words.clear()
+            self.words, self.old = {}, self.words
         counts = list(map(self.words.get, units))
         if None in counts:
-            new = list({u for u, n in zip(units, counts, strict=True) if n is None})
+            lost = {u for u, n in zip(units, counts, strict=True) if n is None}
+            older = lost & self.old.keys()
+            self.words.update((u, self.old[u]) for u in older)
+            new = list(lost - older)
             self.words.update(zip(new, map(len, self.model.encode(new)), strict=True))
             counts = map(self.words.__getitem__, units)
         return sum(counts)
@@ -116,9 +121,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
                  id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_bytes, n_tokens, over_limit.
 
-    ``cache``: folder of the cache, kept between runs; by default a new one in the shared folder."""
+    ``cache``: folder of the cache, kept between runs; by default a new one among the application's intermediate tables,
+    which goes with them."""
     spark = docs.sparkSession
-    folder = os.path.join(cache or os.path.join(checkpoint_dir(spark), "tables", f"token-cache-{uuid.uuid4().hex}"),
+    folder = os.path.join(cache or os.path.join(tables_dir(spark), f"token-cache-{uuid.uuid4().hex}"),
                           f"tokenizer={tokenizer_version(tokenizer)}")
     body = F.coalesce(F.col(text), F.lit(""))
     digest = F.unhex(F.sha2(body.cast("binary"), 256))
@@ -133,9 +139,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
         keyed = keyed.join(known.select("digest"), "digest", "left_anti")
     misses = keyed.groupBy("digest").agg(F.first("content").alias("content"))
     encode_counts(misses, tokenizer).write.mode("append").parquet(folder)
-    # runs that overlap may both append a content: its counts are equal
-    counts = spark.read.schema("digest binary, n_tokens long").parquet(folder)
-    counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     rows = docs.select(F.col(id_col).alias("doc_id"), digest.alias("digest"),
                        F.octet_length(body.cast("binary")).cast("long").alias("n_bytes"))
+    # of a filled cache only what is asked for is grouped; runs that overlap may both append a content: its counts are equal
+    counts = spark.read.schema("digest binary, n_tokens long").parquet(folder)
+    if known is not None:
+        counts = counts.join(rows.select("digest").distinct(), "digest", "left_semi")
+    counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     return rows.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -3,11 +3,16 @@
 A page outcome is 1 (bad) or 0 (good) where a label exists. Counts of outcomes are shrunk through a
 beta-binomial hierarchy: the prior of a host is its registered domain's posterior mean, whose prior
 is its suffix's, whose prior is the overall rate. The strength of the prior (its pseudo-count) is
-fitted at each level by moments over all groups of that level. A host is blocked when the lower
+fitted at each level by moments over all groups of that level, and kept between ``floor`` and ``ceiling`` (2 and 200: moments
+of few groups give no or an unbounded strength). A host is blocked when the lower
 bound of its posterior bad rate (mean less ``z`` standard deviations of the beta) is above
 ``limit``; one bad page of an unknown host therefore blocks nothing.
 
-Counts are summed per host before anything is joined, so a host holding a third of all pages is
+Suffixes are a table of the public suffix list's form (``read_suffixes``): plain names, ``*.name`` and ``!name``; the
+last label of a host is a suffix where no rule fits. By default it holds ``TWO_PART_SUFFIXES`` only. A host is named without
+user and port; an address is its own domain and suffix.
+
+Counts are summed per host before anything is joined and written once, so a host holding a third of all pages is
 one row after map-side aggregation; the verdict goes back to pages by host.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, takes no part in
@@ -18,9 +23,11 @@ prior's verdict, and without any label no host is blocked; an empty table gives
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 #: The contract's rules: (host, path, verdict).
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -51,17 +58,39 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def name_suffix(host: Column) -> Column:
-    two = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
-    return F.when(two.isin(TWO_PART_SUFFIXES), two).otherwise(F.regexp_extract(host, r"([^.]*)$", 1))
+def read_suffixes(spark: SparkSession, path: str) -> DataFrame:
+    """Rules of a file in the public suffix list's form: one a line, up to the first space; ``//`` begins a comment."""
+    rule = F.split(F.trim("value"), r"\s")[0]
+    return spark.read.text(path).select(rule.alias("rule")).filter("rule <> '' AND NOT startswith(rule, '//')").distinct()
+
+
+def default_suffixes(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(x,) for x in TWO_PART_SUFFIXES], "rule string")
+
+
+def host_name(host: Column) -> Column:
+    """The host without user and port."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
+
 
+def named_hosts(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """``hosts`` (distinct ``host``, any others) with domain (suffix and one label before it) and suffix.
 
-def registered_domain(host: Column) -> Column:
-    """Suffix and one label before it; the host itself where it has no such label."""
-    three = F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)
-    two = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
-    return F.when(two.isin(TWO_PART_SUFFIXES), F.when(three != "", three).otherwise(two)) \
-            .otherwise(F.when(two != "", two).otherwise(host))
+    A host's tails meet the rules by equality: a plain rule cuts at its tail, a wildcard one label before, and an exception one
+    label behind; an exception counts before the others, of those the longest."""
+    labels = F.split(host_name(F.col("host")), r"\.")
+    tail = lambda at: F.array_join(F.slice("__labels", at + 1, F.size("__labels")), ".")
+    split = hosts.withColumn("__labels", labels)
+    places = split.select("host", F.posexplode("__labels").alias("i", "label"), "__labels").select("host", "i", tail(F.col("i")).alias("name"))
+    rules = suffixes.select(F.regexp_replace("rule", r"^(!|\*\.)", "").alias("name"),
+                            F.when(F.col("rule").startswith("!"), 1).when(F.col("rule").startswith("*."), -1).otherwise(0).alias("shift"))
+    hits = places.join(rules, "name").withColumn("cut", F.col("i") + F.col("shift")).filter("cut >= 0")
+    cuts = hits.groupBy("host").agg(F.coalesce(F.min(F.when(F.col("shift") == 1, F.col("cut"))), F.min("cut")).alias("cut"))
+    out = split.join(cuts, "host", "left").withColumn("cut", F.coalesce("cut", F.size("__labels") - 1))
+    address = host_name(F.col("host")).rlike(r"^\[.*\]$|^[0-9]+(\.[0-9]+){3}$")
+    whole = host_name(F.col("host"))
+    return out.select(*hosts.columns, F.when(address, whole).otherwise(tail(F.greatest(F.col("cut") - 1, F.lit(0)))).alias("domain"),
+                      F.when(address, whole).otherwise(tail(F.col("cut"))).alias("suffix"))
 
 
 def strength(groups: DataFrame, n: str, bad: str, mean: str, floor: float, ceiling: float) -> DataFrame:
@@ -77,23 +106,25 @@ def strength(groups: DataFrame, n: str, bad: str, mean: str, floor: float, ceili
                             F.lit(ceiling)).alias("strength"))
 
 
-def host_reputation(outcomes: DataFrame, floor: float = 2.0, ceiling: float = 200.0, z: float = 1.645) -> DataFrame:
+def host_reputation(outcomes: DataFrame, floor: float = 2.0, ceiling: float = 200.0, z: float = 1.645,
+                    suffixes: DataFrame | None = None) -> DataFrame:
     """``outcomes``: host, n, bad (one row per host). Adds mean and lower bound of the posterior bad rate."""
     def one(df: DataFrame, value: str) -> Column:   # a one-row frame as a scalar subquery
         return F.coalesce(df.select(value).scalar(), F.lit(ceiling))
 
-    hosts = outcomes.withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", name_suffix(F.col("host")))
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    overall = suffixes.agg(F.when(F.sum("n") > 0, F.sum("bad") / F.sum("n")).otherwise(F.lit(0.0)).alias("rate"))
+    rules = suffixes if suffixes is not None else default_suffixes(outcomes.sparkSession)
+    hosts = materialise(named_hosts(outcomes, rules), "reputation-hosts")
+    domains = materialise(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "reputation-domains")
+    tops = materialise(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "reputation-suffixes")
+    overall = tops.agg(F.when(F.sum("n") > 0, F.sum("bad") / F.sum("n")).otherwise(F.lit(0.0)).alias("rate"))
 
-    s = suffixes.withColumn("prior", overall.select("rate").scalar())
+    s = tops.withColumn("prior", overall.select("rate").scalar())
     s = s.withColumn("k", one(strength(s, "n", "bad", "prior", floor, ceiling), "strength"))
     s = s.select("suffix", ((F.col("bad") + F.col("k") * F.col("prior")) / (F.col("n") + F.col("k"))).alias("prior"))
     d = domains.join(s, "suffix")
     d = d.withColumn("k", one(strength(d, "n", "bad", "prior", floor, ceiling), "strength"))
-    d = d.select("domain", ((F.col("bad") + F.col("k") * F.col("prior")) / (F.col("n") + F.col("k"))).alias("prior"))
-    h = hosts.join(d, "domain")
+    d = d.select("domain", "suffix", ((F.col("bad") + F.col("k") * F.col("prior")) / (F.col("n") + F.col("k"))).alias("prior"))
+    h = hosts.join(d, ["domain", "suffix"])
     h = h.withColumn("k", one(strength(h, "n", "bad", "prior", floor, ceiling), "strength"))
     a, total = F.col("bad") + F.col("k") * F.col("prior"), F.col("n") + F.col("k")
     mean = a / total
@@ -102,7 +133,7 @@ def host_reputation(outcomes: DataFrame, floor: float = 2.0, ceiling: float = 20
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, limit: float = 0.3, rules=RULES, id_col: str = "page_id",
-               url: str = "url", outcome_id: str = "page_id", outcome: str = "bad") -> DataFrame:
+               url: str = "url", outcome_id: str = "page_id", outcome: str = "bad", suffixes: DataFrame | None = None) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict. ``outcomes``: page id and 0/1 (null: unlabelled)."""
     p = pages.select(F.col(id_col).alias("page_id"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
     known = outcomes.select(F.col(outcome_id).alias("page_id"), F.col(outcome).cast("long").alias("bad")) \
@@ -110,7 +141,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, limit: float = 0.3, rules=
                     .groupBy("page_id").agg(F.max("bad").alias("bad"))
     counts = p.filter(F.col("host") != "").select("page_id", "host").join(known, "page_id", "left") \
               .groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    rep = host_reputation(counts).select("host", (F.col("lower") > limit).alias("__blocked"))
+    rep = host_reputation(counts, suffixes=suffixes).select("host", (F.col("lower") > limit).alias("__blocked"))
     rule, fixed = rule_of(F.col("host"), F.col("path"), rules)
     return p.join(rep, "host", "left").select(
         "page_id", "host", "path", rule.alias("rule"),
