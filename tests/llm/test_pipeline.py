@@ -6,6 +6,7 @@ import sys
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 import corpus_pipeline as P  # noqa: E402
@@ -99,6 +100,18 @@ def test_odd_rows_pass_every_stage(spark, tmp_path, rows):
     P.run(spark, sf).collect()
 
 
+def test_clashing_columns_and_no_labels(spark, tmp_path):
+    """Columns named like the stages' own are not read, and labels may be empty."""
+    sf, rows = str(tmp_path), corpus()[:40]
+    plain = spark.createDataFrame(rows, DOC)
+    odd = plain.withColumns({c: F.lit(7) for c in ("row", "copies", "rows", "kept", "label", "key", "size", "words", "n_removed", "block", "__g", "copy")})
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    for name, stage in P.STAGES[:-1]:
+        assert Counter(stage(spark, odd, sf).collect()) == Counter(stage(spark, plain, sf).collect()), name
+    columns = ["doc_id", "start", "length", "sequence_id", "offset"]
+    assert Counter(P.packing(spark, odd, sf).select(columns).collect()) == Counter(P.packing(spark, plain, sf).select(columns).collect())
+
+
 def test_one_row_of_each_group_stays(spark):
     """Ids are repeated over different texts, or null: groups are of rows."""
     text = lambda k: " ".join(f"{k}{i}" for i in range(40))

@@ -50,6 +50,25 @@ def test_shards(spark, rows):
         assert len(slots) == 7 and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
 
 
+def test_shards_in_the_order_of_fractional_ranks(spark):
+    """Every row's place against its definition: (2 r - 1) / 2 n of its rank by seeded hash among the n rows of its source."""
+    from fractions import Fraction
+    rows = [r for r in many(500) if r[0] != 3] + [(3, "three", "en", None, 1)]
+    df = docs(spark, rows)
+    hashed = df.select("doc_id", "source", F.xxhash64(F.lit(20), F.col("doc_id"), F.crc32(F.col("text").cast("binary"))).alias("h")).collect()
+    by_source = defaultdict(list)
+    for r in sorted(hashed, key=lambda r: r.h & ((1 << 64) - 1)):       # by the top bits first: as unsigned
+        by_source[r.source].append(r.doc_id)
+    key = lambda s: "n" if s is None else "s" + s
+    order = sorted((Fraction(2 * k + 1, 2 * len(ids)), key(s), k, d) for s, ids in by_source.items() for k, d in enumerate(ids))
+    place = {d: g for g, (*_, d) in enumerate(order)}
+    n, got = len(rows), shard(df, n_shards=7).collect()
+    for r in got:
+        assert r.shard == place[r.doc_id] * 7 // n
+    for k in range(7):
+        assert [r.doc_id for r in sorted((r for r in got if r.shard == k), key=lambda r: r.slot)] == [d for *_, d in order if place[d] * 7 // n == k]
+
+
 def test_shards_hold_the_mixture(spark):
     rows = many(2000)
     source = {r[0]: r[3] for r in rows}

@@ -121,9 +121,11 @@ def host_reputation(outcomes: DataFrame, floor: float = 2.0, ceiling: float = 20
     s = tops.withColumn("prior", overall.select("rate").scalar())
     s = s.withColumn("k", one(strength(s, "n", "bad", "prior", floor, ceiling), "strength"))
     s = s.select("suffix", ((F.col("bad") + F.col("k") * F.col("prior")) / (F.col("n") + F.col("k"))).alias("prior"))
+    s = materialise(s, "reputation-suffix-priors")
     d = domains.join(s, "suffix")
     d = d.withColumn("k", one(strength(d, "n", "bad", "prior", floor, ceiling), "strength"))
     d = d.select("domain", "suffix", ((F.col("bad") + F.col("k") * F.col("prior")) / (F.col("n") + F.col("k"))).alias("prior"))
+    d = materialise(d, "reputation-domain-priors")
     h = hosts.join(d, ["domain", "suffix"])
     h = h.withColumn("k", one(strength(h, "n", "bad", "prior", floor, ceiling), "strength"))
     a, total = F.col("bad") + F.col("k") * F.col("prior"), F.col("n") + F.col("k")
