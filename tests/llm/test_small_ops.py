@@ -286,6 +286,14 @@ def test_mix_with_tilts(spark):
         assert abs(sum(r.taken for r in out) - target) <= max(3, 0.004 * target) and target <= 2 * totals[s]
 
 
+def test_a_source_at_its_cap(spark):
+    """A tiny source of great weight gives all it may, the others share the rest; a target is never above the cap."""
+    rows = [(i, "w " * 7, "en", "tiny" if i < 3 else "a big one", 1) for i in range(100)]
+    got = mix(spark.createDataFrame(rows, DOC), weights=(1, 3)).collect()
+    assert {(r.source, r.target, r.copies) for r in got if r.source == "tiny"} == {("tiny", 42.0, 2)}
+    assert sum(r.taken for r in got) == pytest.approx(1050, abs=7)
+
+
 def test_unreached_targets_are_an_error(spark, monkeypatch):
     from tidewater.llm import mixing
     monkeypatch.setattr(mixing, "MAX_ITERATIONS", 1)

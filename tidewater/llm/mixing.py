@@ -75,9 +75,9 @@ def entropy_rates(histogram: DataFrame, targets: DataFrame, cap: float) -> DataF
         gap = F.col("target") - F.col("mass")
         error = F.when(hi - lo <= 1e-15 * (1 + F.abs(hi)), 0.0).otherwise(F.abs(gap / F.col("target")))
         sums = sums.withColumn("error", error).withColumn("lo", F.when(gap > 0, lam).otherwise(lo)).withColumn("hi", F.when(gap > 0, hi).otherwise(lam))
-        step = lam + gap / F.col("slope")
+        step = lam + F.try_divide(gap, F.col("slope"))      # all capped: no slope
         # a step beyond the upper bound, where all rates are capped or which was too far before, stops there
-        inner = F.when((F.col("slope") > 0) & (step > F.col("lo")) & (step < F.col("hi")), step) \
+        inner = F.when((step > F.col("lo")) & (step < F.col("hi")), step) \
             .when((step >= F.col("hi")) & (lam < F.col("hi")), F.col("hi")).otherwise((F.col("lo") + F.col("hi")) / 2)
         state = materialise(sums.select("__s", "target", F.when(F.col("error") <= TOLERANCE, lam).otherwise(inner).alias("lam"), "lo", "hi", "error"),
                             "entropy-dual")
