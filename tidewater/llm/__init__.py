@@ -11,6 +11,9 @@ jaccard                n-gram Jaccard join by T-occurrence search (DivideSkip)
 url_filter             URL rules and empirical-Bayes host reputation
 sharding               proportional stratified interleaving into shards
 suffix_dedup           repeated substrings by a hash-compared suffix sort
+structure_repair       conversation repair by weighted CYK parsing over intervals
+periodic_runs          periodic runs of words by difference-cover extensions
+decontaminate          benchmark passages by an FM-index for every shard
 =====================  ==========================================================================
 
 Nothing outside this subpackage imports it. Every operator reads only the columns it names, so
