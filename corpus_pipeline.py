@@ -9,7 +9,9 @@
 A stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last return
 the columns of ``documents``; where a text changes, ``n_chars`` is its new length. A document all of
 whose words are removed stays with an empty text. Rows without an id count as those of the largest id.
-An empty table passes every stage.
+Null and empty texts have no words: the first stage rejects them. Rows that are equal in all columns are equal to every
+stage: which of them goes or stays does not matter. Without labels the first stage applies its base rules alone. Further
+columns, whatever their names, are not read. An empty table passes every stage.
 """
 
 from __future__ import annotations
