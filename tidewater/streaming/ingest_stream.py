@@ -22,6 +22,18 @@ from ..session import checkpoint_dir, scratch
 from ..sources.pages import raise_on_failed, upsert_raw_table, write_model
 
 
+def stream_folder(spark: SparkSession, name: str) -> str:
+    return os.path.join(checkpoint_dir(spark), "streams", name)
+
+
+def last_committed(spark: SparkSession, name: str) -> int:
+    """The last batch that the stream has committed; -1 before the first."""
+    commits = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(stream_folder(spark, name), "commits"))
+    fs = commits.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(commits)] if fs.exists(commits) else []
+    return max((int(n) for n in names if n.isdigit()), default=-1)
+
+
 def start_ingest_stream(spark: SparkSession, responses_dir: str, schema: StructType, prices: DataFrame,
                         raw_table: str, status_table: str, run_date: str | None = None, name: str = "page_ingest",
                         available_now: bool = True):
@@ -34,8 +46,7 @@ def start_ingest_stream(spark: SparkSession, responses_dir: str, schema: StructT
             upsert_raw_table(spark, raw_table, raw)
             write_model(status.withColumn("batch_id", F.lit(batch_id)), status_table, partition_by=["batch_id"])
 
-    w = (src.writeStream.foreachBatch(process)
-         .option("checkpointLocation", os.path.join(checkpoint_dir(spark), "streams", name)))
+    w = src.writeStream.foreachBatch(process).option("checkpointLocation", stream_folder(spark, name))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     return w.start()
 
@@ -44,8 +55,7 @@ def run_ingest(spark: SparkSession, responses_dir: str, schema: StructType, pric
                status_table: str, run_date: str | None = None, name: str = "page_ingest") -> None:
     """A scheduled run: process all that is new, then fail (``ProviderFailed``) if in one of its batches every response
     of a provider failed. Both tables are written before that, and the stream's progress is kept."""
-    query = start_ingest_stream(spark, responses_dir, schema, prices, raw_table, status_table, run_date, name)
-    query.awaitTermination()
-    batches = [p["batchId"] for p in query.recentProgress if p["numInputRows"]]
-    if batches:
-        raise_on_failed(spark.read.parquet(status_table).filter(F.col("batch_id").isin(batches)))
+    before = last_committed(spark, name)
+    start_ingest_stream(spark, responses_dir, schema, prices, raw_table, status_table, run_date, name).awaitTermination()
+    if last_committed(spark, name) > before:        # all batches of the run, however many: the progress keeps the last 100 only
+        raise_on_failed(spark.read.parquet(status_table).filter(F.col("batch_id") > before))
