@@ -129,6 +129,20 @@ def test_token_counts(spark, tmp_path):
     assert count_tokens(docs(spark, []), path).count() == 0
 
 
+def test_a_filled_cache_serves_whole_tables(spark, tmp_path):
+    """Half of the table first, then all of it twice: only what is missing is encoded, and the counts are those of a cold cache."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    path, cache = public_tokenizers.path("piece_bpe_32k.model"), str(tmp_path / "cache")
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    contents = df.select("text").distinct().count()
+    sizes = []
+    for part in (df.filter("doc_id % 2 = 0"), df, df):
+        got = sorted(map(tuple, count_tokens(part, path, cache=cache).collect()))
+        sizes.append(spark.read.parquet(cache).count())
+    assert sizes[0] < sizes[1] == sizes[2] == contents
+    assert got == sorted(map(tuple, count_tokens(df, path).collect())) and len(got) == df.count()
+
+
 def test_word_by_word_counts_add_up(spark):
     """Real texts: counting between spaces equals encoding whole texts."""
     public_tokenizers = pytest.importorskip("public_tokenizers")
