@@ -5,9 +5,10 @@ import random
 
 from pyspark.sql import functions as F
 
+from tidewater.harness.standins import Inputs
 from tidewater.operators.embedded_json import embedded_arrays, embedded_object
 from tidewater.operators.html import ATTRIBUTES, card_rows, html_elements, page_facts, read_pages
-from tidewater.plans.ingest import extract_responses, matrix_cards
+from tidewater.plans.ingest import attach_prices, extract_responses, matrix_cards, prices_at
 from tidewater.sources.pages import catalog_ok, page_ok, payload_rows
 
 
@@ -223,6 +224,45 @@ RESPONSE = "provider string, kind string, source_url string, line string, fetche
 PRICE = "product_key string, prices string, priced_at timestamp_ntz"
 
 
+def test_prices_in_two_roles_make_the_cards_once(spark, tmp_path):
+    """Cards come from parsed pages: every branch that made them anew would parse them anew."""
+    import datetime as dt
+    day = lambda d: dt.datetime(2026, 1, d, 12)
+    rows = [(0, "m", "h", day(2)), (1, "m", "m", day(4)), (2, "h", "", day(2)), (3, None, "h", day(4)), (4, "m", "none", None),
+            (5, "m", "h", day(2)), (5, "m", "h", day(2)), (6, "none", None, day(1))]
+    made, folder = "card long, monthly_key string, hourly_key string, at timestamp_ntz", str(tmp_path)
+
+    def parse(batches):
+        import os
+        import uuid
+        for b in batches:
+            for _ in range(b.num_rows):
+                open(os.path.join(folder, uuid.uuid4().hex), "w").close()
+            yield b
+
+    cards = spark.createDataFrame(rows, made).mapInArrow(parse, made)
+    prices = spark.createDataFrame([("m", "1", day(1)), ("m", "2", day(3)), ("h", "5", day(1)), ("h", None, day(4)), (None, "9", day(1))], PRICE)
+    got = attach_prices(cards, prices, "at").select("card", "monthly_prices", "hourly_prices").collect()
+    assert sorted(tuple(r) for r in got) == [(0, "1", "5"), (1, "2", "2"), (2, "5", None), (3, None, None), (4, None, None),
+                                             (5, "1", "5"), (5, "1", "5"), (6, None, None)]
+    assert len(list(tmp_path.iterdir())) == len(rows)
+    asked = spark.createDataFrame([("m", day(2))], "product_key string, at timestamp_ntz")
+    plan = prices_at(asked, prices, "at")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_matrix_pages_are_made_in_many_tasks(spark, tmp_path):
+    """A small file of parts is read in one task; the pages, many times its size, are not made there, nor shuffled to be made."""
+    parts = [(k, f"part {k}", "PROMO", k % 50, 1.0) for k in range(400)] * 2
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_type string, p_size int, p_retailprice double").coalesce(1) \
+        .write.parquet(f"{tmp_path}/part.parquet")
+    i = Inputs(spark, str(tmp_path))
+    placed = i["matrix_parts"].select("page_id", F.spark_partition_id().alias("task"))
+    where = placed.groupBy("page_id").agg(F.collect_set("task").alias("at"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(where) == 10 and all(r.n == 80 and len(r["at"]) == 1 for r in where) and len({r["at"][0] for r in where}) > 1
+    assert "ENSURE_REQUIREMENTS" not in i["matrix_pages"]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_ingest_cases(spark):
     import datetime as dt
     import json

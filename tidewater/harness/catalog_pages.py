@@ -65,7 +65,8 @@ def distinct_keys(spark, sf):
 
 @register("join_two_roles", matrix_sql(P.TWO_ROLES_FINAL, ["prices"]))
 def join_two_roles(spark, sf):
-    fetched = _cards(spark, sf).withColumn("fetched_at", F.expr("TIMESTAMP_NTZ '2026-05-04 06:00:00' + make_dt_interval(page_id % 3 - 1)"))
+    fetched = _cards(spark, sf).select("page_id", "position", "monthly_key", "hourly_key", F.expr(
+        "TIMESTAMP_NTZ '2026-05-04 06:00:00' + make_dt_interval(page_id % 3 - 1)").alias("fetched_at"))
     return attach_prices(fetched, Inputs(spark, sf)["prices"], "fetched_at").select(
         "page_id", "position", "monthly_key", "hourly_key", "monthly_prices", "hourly_prices")
 

@@ -59,10 +59,12 @@ def prices_at(asked: DataFrame, prices: DataFrame, at: str) -> DataFrame:
 def attach_prices(cards: DataFrame, prices: DataFrame, at: str) -> DataFrame:
     """One price table joined in two roles, as known at the cards' time ``at``; a key without a price gives NULL.
 
-    Prices are looked up once for each distinct (key, time) of the cards, so both joins see a table no larger than that."""
+    The cards are read four times, and to make them pages are parsed, so they are written once. Prices are looked up once for each
+    distinct (key, time) of the cards and written too, so both joins see a table no larger than that."""
+    cards = write_table(cards, "priced-cards")
     asked = cards.select(F.explode(F.array("monthly_key", "hourly_key")).alias("product_key"), F.col(at).alias("at")) \
         .filter("product_key <> '' AND at IS NOT NULL").distinct()
-    p = prices_at(asked, prices, "at")
+    p = write_table(prices_at(asked, prices, "at").filter("prices IS NOT NULL"), "known-prices")
     role = lambda key, out: p.select(F.col("product_key").alias(key), F.col("at").alias(at), F.col("prices").alias(out))
     return cards.join(role("monthly_key", "monthly_prices"), ["monthly_key", at], "left") \
         .join(role("hourly_key", "hourly_prices"), ["hourly_key", at], "left")
