@@ -117,6 +117,52 @@ def test_pairs_skip_one_component():
     assert len(pairs_of(p, True, 75)) == 0
 
 
+def test_pairs_need_a_first_common_shingle_in_reach():
+    p = np.zeros(2, jaccard.POSTING)
+    p["low"], p["uid"], p["n"], p["label"] = 1, [1, 2], 100, [1, 2]
+    for place, found in ((14, 1), (15, 0), (24, 0)):    # T is 86
+        p["place"] = p["single"] = place
+        assert len(pairs_of(p, True, 75)) == found
+    p["place"], p["single"] = 24, 0     # the pair comes from an earlier list, if it links
+    assert not len(pairs_of(p, True, 75))
+
+
+@pytest.mark.parametrize("most", [1, 1000, 1 << 40])
+def test_parts_hold_every_pair_once(most):
+    rng = np.random.default_rng(1)
+    p = np.zeros(3000, jaccard.PAIR)
+    p["a"], p["b"] = rng.integers(0, 5, 3000), rng.integers(10, 400, 3000)
+    size = rng.integers(80, 100, 400)
+    got = jaccard.parts_of(p, size[p["b"]], 75, most)
+    assert Counter(x for part in got for x in part.tolist()) == Counter(set(p.tolist()))
+    assert all(size[part["b"]].sum() <= most + 300 for part in got)
+    assert (len(got) == 1) == (most == 1 << 40)
+
+
+def test_large_group_in_parts(spark, monkeypatch):
+    """Near copies of one text, many of which link with none: the sets that one task gets at once are bounded."""
+    rng = random.Random(7)
+    base = ["b%d" % i for i in range(120)]
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for p in rng.sample(range(120), rng.randint(0, 6)):
+            w[p] = "x%d_%d" % (p, rng.randrange(3))
+        rows.append((i, " ".join(w), "en", "s", 1))
+    assert run(spark, rows) == brute(rows)
+    held = spark.sparkContext.accumulator(0)
+    decide = jaccard.decide
+
+    def measured(pairs, sets, percent):
+        if sum(len(x) // 8 for x in sets.column("hashes").to_pylist()) > 4500:
+            held.add(1)
+        return decide(pairs, sets, percent)
+    monkeypatch.setattr(jaccard, "PART_SHINGLES", 4000, raising=False)
+    monkeypatch.setattr(jaccard, "decide", measured)
+    assert run(spark, rows) == brute(rows)
+    assert held.value == 0
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(i, i + 1) for i in range(100, 160)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(30)] + [(300, 301), (301, 300), (302, 302)]

@@ -14,9 +14,11 @@ as many as the square of its texts, enough to join it. Copies are never expanded
    n - ceil(n * percent / 100) + 1; prefixes go to buckets as inverted lists. Round one takes from each list only the
    pairs of one centre (the text with fewest unique shingles among those of compatible size) with the
    others; after the components of its links are known, round two takes all pairs of a list that are
-   still in different components, if sizes and places admit the overlap.
-4. Pairs meet their shingle sets in shards (a centre's pairs over several) and are decided exactly by
-   T-occurrence search over the centre's shingles: the inverted lists of its candidates are cut by
+   still in different components, if sizes admit it and, were this their first common shingle, what
+   follows it in both reaches T. (Linked texts do have a first one.)
+4. Pairs are dealt to shards, where each is kept once, and a shard is cut into parts whose sets have about
+   PART_SHINGLES shingles: parts are as many as the pairs need, whatever the size of a group of near copies.
+   In its part a pair meets its shingle sets and is decided exactly by T-occurrence search over the centre's shingles: the inverted lists of its candidates are cut by
    DivideSkip into long ones and short ones, the short lists are merged and counted, and only candidates that
    reach T less the number of long lists are probed in those by binary search. (The lists of step 3 give the candidates:
    lists of whole sets in one place would shuffle every set once for each of its shingles.)
@@ -26,7 +28,8 @@ A link's text may be any of its class; component ids are the least document id o
 Defined results: a null text or one without words has an empty set, links with nothing and is its own
 component; fewer than five words make one shingle; a null id counts as the largest in a component;
 rows with one id and different texts each belong to their text's component; an empty table gives no
-rows. Worst case: a list whose texts share frequent shingles only and never link costs all its pairs.
+rows. Worst case: a list whose texts share frequent shingles only and never link costs all its pairs, in time and
+shuffle; memory is bounded by the group, the bucket and the part.
 """
 
 from __future__ import annotations
@@ -43,6 +46,8 @@ from .components import components
 
 SHINGLE = 5
 BUCKET_SHINGLES = 2_000_000
+PART_SHINGLES = 4_000_000
+PENDING_PAIRS = 1_000_000
 SALT = 4
 MU = 0.01
 POSTING = np.dtype([("low", "<u4"), ("n", "<i4"), ("place", "<i4"), ("single", "<i4"), ("uid", "<i8"), ("label", "<i8")])
@@ -128,6 +133,8 @@ def rows_of(names: str, rows: list[tuple]) -> pa.Table:
 COUNTED = "to int, g int, lows binary, counts binary"
 FREQUENT = "__g int, bucket int, lows binary, counts binary"
 SETS = "key binary, uid long, n long, single int, prefix binary, hashes binary"
+DEALT = "to int, pairs binary, sizes binary"
+PARTS = "part long, pairs binary"
 
 
 def count_in_group(t: pa.Table, n_buckets: int) -> pa.Table:
@@ -204,8 +211,10 @@ def pairs_of(p: np.ndarray, everything: bool, percent: int) -> np.ndarray:
     if not len(p):
         return np.zeros(0, PAIR)
     p = p[np.lexsort((p["uid"], p["single"], p["low"]))]
-    out = []
+    out, pending = [], 0
     for a, b in ranges(p["low"]):
+        if pending > PENDING_PAIRS:     # pairs of several lists are kept once
+            out, pending = [distinct_pairs(np.concatenate(out))], 0
         one = p[a:b]
         if b - a < 2 or (one["label"] == one["label"][0]).all():
             continue
@@ -213,9 +222,10 @@ def pairs_of(p: np.ndarray, everything: bool, percent: int) -> np.ndarray:
             for i in range(len(one) - 1):
                 x, y = one[i], one[i + 1:]
                 lo, hi = np.minimum(x["n"], y["n"]), np.maximum(x["n"], y["n"])
-                reach = np.minimum(x["place"], y["place"]) + np.minimum(x["n"] - x["place"], y["n"] - y["place"])
+                reach = np.minimum(x["n"] - x["place"], y["n"] - y["place"])    # as if this were the first shingle they share
                 ok = (y["label"] != x["label"]) & (100 * lo >= percent * hi) & (reach >= overlap_needed(x["n"].astype(np.int64), y["n"], percent))
                 out.append(joined(x["uid"], y["uid"][ok]))
+                pending += len(out[-1])
         else:
             left = one
             while len(left) > 1:        # the first is the centre of all whose sizes admit a link with it
@@ -223,10 +233,16 @@ def pairs_of(p: np.ndarray, everything: bool, percent: int) -> np.ndarray:
                 lo, hi = np.minimum(x["n"], y["n"]), np.maximum(x["n"], y["n"])
                 ok = 100 * lo >= percent * hi
                 out.append(joined(x["uid"], y["uid"][ok]))
+                pending += len(out[-1])
                 left = y[~ok]
     if not out:
         return np.zeros(0, PAIR)
-    return np.unique(np.concatenate(out))
+    return distinct_pairs(np.concatenate(out))
+
+
+def distinct_pairs(p: np.ndarray) -> np.ndarray:
+    p = p[np.lexsort((p["b"], p["a"]))]
+    return p[np.r_[True, (p["a"][1:] != p["a"][:-1]) | (p["b"][1:] != p["b"][:-1])]] if len(p) else p
 
 
 def joined(a, b: np.ndarray) -> np.ndarray:
@@ -240,6 +256,17 @@ def shard_of(pairs: np.ndarray, n_shards: int) -> np.ndarray:
     return (mixed(pairs["a"].astype(U) * U(SALT) + salt) % U(n_shards)).astype(np.int64)
 
 
+def parts_of(p: np.ndarray, n: np.ndarray, percent: int, most: int) -> list[np.ndarray]:
+    """The distinct pairs of a shard, by centre, in parts whose sets have about ``most`` shingles; ``n``: sizes of the sets of b."""
+    order = np.lexsort((p["b"], p["a"]))
+    p, n = p[order], n[order].astype(np.int64)
+    new = np.r_[True, p["a"][1:] != p["a"][:-1]]
+    keep = new | np.r_[True, p["b"][1:] != p["b"][:-1]]
+    p, n, new = p[keep], n[keep], new[keep]
+    load = np.cumsum(n + np.where(new, 100 * n // max(1, percent), 0))      # a centre's set is larger than b's by that at most
+    return [p[x:y] for x, y in ranges((load - n) // most)]
+
+
 def occurrence_search(centre: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Overlap of the sorted set ``centre`` with each sorted set that reaches its T; 0 for the others."""
     m = len(sets)
@@ -276,7 +303,7 @@ def occurrence_search(centre: np.ndarray, sets: list[np.ndarray], percent: int)
 def decide(pairs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
     if not pairs.num_rows:
         return rows_of("a long, b long", [])
-    p = np.unique(np.concatenate([np.frombuffer(x, PAIR) for x in pairs.column("pairs").to_pylist()]))
+    p = np.concatenate([np.frombuffer(x, PAIR) for x in pairs.column("pairs").to_pylist()])
     have = {u: np.sort(np.frombuffer(x, U)) for u, x in zip(sets.column("uid").to_pylist(), sets.column("hashes").to_pylist(), strict=True)}
     a, b = [], []
     for x, y in ranges(p["a"]):
@@ -290,7 +317,7 @@ def decide(pairs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
 
 def linked(sets: DataFrame, labels: DataFrame | None, n_buckets: int, percent: int) -> DataFrame:
     """One round: verified links (a, b) between texts of different labels."""
-    again = labels is not None
+    again, most = labels is not None, PART_SHINGLES
     src = sets.filter("prefix IS NOT NULL AND octet_length(prefix) > 0").select("uid", "n", "single", "prefix")
     if not again:
         src = src.withColumn("label", F.col("uid"))
@@ -301,21 +328,31 @@ def linked(sets: DataFrame, labels: DataFrame | None, n_buckets: int, percent: i
         lambda b: listed(b, n_buckets), "to int, postings binary")
 
     def candidates(t: pa.Table) -> pa.Table:
-        p = pairs_of(np.concatenate([np.frombuffer(x, POSTING) for x in t.column("postings").to_pylist()]), again, percent)
+        postings = np.concatenate([np.frombuffer(x, POSTING) for x in t.column("postings").to_pylist()])
+        p = pairs_of(postings, again, percent)
+        uids, first = np.unique(postings["uid"], return_index=True)
+        n = postings["n"][first][np.searchsorted(uids, p["b"])]
         to = shard_of(p, n_buckets)
         order = np.argsort(to, kind="stable")
-        return rows_of("to int, pairs binary", [(int(to[order[x]]), p[order[x:y]].tobytes()) for x, y in ranges(to[order])])
-
-    pairs = materialise(lists.groupBy("to").applyInArrow(candidates, "to int, pairs binary"), "jaccard-pairs")
+        return rows_of(DEALT, [(int(to[order[x]]), p[order[x:y]].tobytes(), n[order[x:y]].tobytes()) for x, y in ranges(to[order])])
 
-    def wanted(t: pa.Table) -> pa.Table:
-        p = np.unique(np.concatenate([np.frombuffer(x, PAIR) for x in t.column("pairs").to_pylist()]))
-        u = np.unique(np.concatenate([p["a"], p["b"]]))
-        return pa.Table.from_arrays([pa.array(np.full(len(u), t.column("to")[0].as_py(), np.int32)), pa.array(u)], names=["to", "uid"])
+    def cut(t: pa.Table) -> pa.Table:
+        p, n = (np.concatenate([np.frombuffer(x, kind) for x in t.column(c).to_pylist()]) for c, kind in (("pairs", PAIR), ("sizes", "<i4")))
+        base = t.column("to")[0].as_py() << 32
+        return rows_of(PARTS, [(base + i, x.tobytes()) for i, x in enumerate(parts_of(p, n, percent, most))])
 
-    asked = pairs.groupBy("to").applyInArrow(wanted, "to int, uid long")
-    sent = asked.join(sets.select("uid", "hashes").filter("hashes IS NOT NULL"), "uid").select("to", "uid", "hashes")
-    return materialise(pairs.groupBy("to").cogroup(sent.groupBy("to")).applyInArrow(
+    def wanted(batches):
+        for b in batches:
+            for part, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                p = np.frombuffer(x, PAIR)
+                u = np.unique(np.concatenate([p["a"], p["b"]]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), part)), pa.array(u)], names=["part", "uid"])
+
+    dealt = lists.groupBy("to").applyInArrow(candidates, DEALT)
+    pairs = materialise(dealt.groupBy("to").applyInArrow(cut, PARTS), "jaccard-pairs")
+    asked = pairs.mapInArrow(wanted, "part long, uid long")
+    sent = asked.join(sets.select("uid", "hashes").filter("hashes IS NOT NULL"), "uid").select("part", "uid", "hashes")
+    return materialise(pairs.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(
         lambda p, s: decide(p, s, percent), "a long, b long"), "jaccard-links")
 
 
